@@ -311,3 +311,170 @@ def cancelled_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H5: sales lines of cancelled bills (semi join)."""
     sales, _, cancel = T.report_inputs(spark, sf_dir)
     return keep_keys(sales.select(*_LINE_COLS), cancel, "ma_hoa_don")
+
+
+# ----------------------------------------------------------------- ledger ---
+from sheetlake.operators import ledger as L  # noqa: E402
+from sheetlake.operators import tables as TB  # noqa: E402
+
+LMAP = T.LEDGER_MAPPING_SQL
+_LATEST_OPS_SQL = f"""
+latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY file_path
+                                 ORDER BY last_loaded_at DESC NULLS FIRST, id DESC NULLS LAST) AS rn
+    FROM ledger) t WHERE rn = 1
+), active AS (
+  SELECT file_path, table_name FROM latest
+  WHERE (operation IN ('INSERT', 'UPDATE') AND status <> 'failed')
+     OR (operation IS NULL AND status = 'success')
+)"""
+
+
+@register("latest_ops", f"""{LMAP}, {_LATEST_OPS_SQL}
+SELECT id, file_path, table_name, strftime(last_loaded_at, '%Y-%m-%d %H:%M:%S.%f') AS last_loaded_at,
+       CAST(row_count AS BIGINT) AS row_count, status, operation,
+       COALESCE(operation IN ('INSERT', 'UPDATE'), false)
+         OR (operation IS NULL AND COALESCE(status = 'success', false)) AS is_loaded
+FROM latest
+""")
+def latest_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2/F8: newest ledger row per file with its loaded flag."""
+    return L.latest_ops(T.ledger(spark, sf_dir))
+
+
+@register("active_sources", f"""{LMAP}, {_LATEST_OPS_SQL}
+SELECT file_path, table_name FROM active
+""")
+def active_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """files whose rows are live."""
+    return L.active_files(T.ledger(spark, sf_dir))
+
+
+_DELETED_SQL = f"""{LMAP}, {_LATEST_OPS_SQL}, gone AS (
+  SELECT a.file_path, a.table_name FROM active a LEFT JOIN listing l ON a.file_path = l.rel_path
+  WHERE l.rel_path IS NULL
+)"""
+
+
+@register("deleted_sources", f"""{_DELETED_SQL}
+SELECT file_path, table_name FROM gone
+""")
+def deleted_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """active files missing from the folder listing."""
+    return L.deleted_sources(L.active_files(T.ledger(spark, sf_dir)), T.listing(spark, sf_dir))
+
+
+@register("classify_ops", f"""{LMAP}, {_LATEST_OPS_SQL}
+SELECT l.rel_path,
+       CASE WHEN COALESCE(COALESCE(t.operation IN ('INSERT', 'UPDATE'), false)
+                 OR (t.operation IS NULL AND COALESCE(t.status = 'success', false)), false)
+            THEN 'UPDATE' ELSE 'INSERT' END AS operation
+FROM listing l LEFT JOIN latest t ON l.rel_path = t.file_path
+""")
+def classify_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT or UPDATE for each listed file."""
+    return L.classify_ops(T.listing(spark, sf_dir), T.ledger(spark, sf_dir))
+
+
+@register("run_log", f"""{LMAP}
+SELECT run_id, mode, strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+       strftime(finished_at, '%Y-%m-%d %H:%M:%S.%f') AS finished_at,
+       files_processed, files_skipped, errors
+FROM runs
+""")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one row per run folded from its start and finish events."""
+    return L.run_log(T.run_events(spark, sf_dir))
+
+
+@register("last_run_time", f"""{LMAP}
+SELECT strftime(max(started_at), '%Y-%m-%d %H:%M:%S.%f') AS last_run_started_at
+FROM runs WHERE finished_at IS NOT NULL
+""")
+def last_run_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """start of the newest finished run."""
+    return L.last_run_time(L.run_log(T.run_events(spark, sf_dir)))
+
+
+@register("run_summary", f"""{LMAP}
+SELECT CAST(strftime(last_loaded_at, '%Y%m%d') AS BIGINT) AS run_id,
+       count(*) FILTER (WHERE operation IN ('INSERT', 'UPDATE') AND status <> 'failed') AS files_processed,
+       count(*) FILTER (WHERE status = 'failed') AS files_skipped,
+       count(*) FILTER (WHERE operation = 'DELETED') AS files_deleted,
+       count(*) FILTER (WHERE operation IS NULL) AS files_legacy
+FROM ledger GROUP BY 1
+""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """processed / skipped / deleted counters per run."""
+    led = T.ledger(spark, sf_dir).withColumn(
+        "run_id", F.date_format("last_loaded_at", "yyyyMMdd").cast("bigint"))
+    return L.run_summary(led, "run_id")
+
+
+@register("row_count_audit", f"""{MAP}, {T.LEDGER_SQL}
+SELECT 'sales_revenue' AS table_name, count(*) AS n_rows FROM sales_revenue
+UNION ALL SELECT 'customer_data', count(*) FROM customer_data
+UNION ALL SELECT 'cancellation_bills', count(*) FROM cancellation_bills
+UNION ALL SELECT '_load_metadata', count(*) FROM ledger
+""")
+def row_count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count per table as a UNION ALL."""
+    sales, cust, cancel = T.report_inputs(spark, sf_dir)
+    return L.row_count_audit({"sales_revenue": sales, "customer_data": cust,
+                              "cancellation_bills": cancel, "_load_metadata": T.ledger(spark, sf_dir)})
+
+
+@register("rows_per_source", f"""{LMAP}
+SELECT source_file, count(*) AS n_rows FROM events_table GROUP BY source_file
+""")
+def rows_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows per source file."""
+    return L.rows_per_source(T.events_table(spark, sf_dir))
+
+
+_EV_OUT = ("event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props, "
+           "source_file")
+
+
+@register("replace_by_source", f"""{LMAP},
+last_run AS (SELECT max(started_at) AS t FROM runs WHERE finished_at IS NOT NULL),
+base AS (SELECT * FROM events_table WHERE ts <= (SELECT t FROM last_run)),
+changed AS (SELECT DISTINCT source_file FROM events_table WHERE ts > (SELECT t FROM last_run)),
+fresh AS (SELECT e.* FROM events_table e JOIN changed c ON e.source_file = c.source_file),
+replaced AS (
+  SELECT b.* FROM base b LEFT JOIN changed c ON b.source_file = c.source_file WHERE c.source_file IS NULL
+  UNION ALL SELECT * FROM fresh)
+SELECT {_EV_OUT} FROM replaced
+""")
+def replace_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files changed since the last finished run are re-read whole and
+    replace their earlier rows (the result equals a full reload)."""
+    ev = T.events_table(spark, sf_dir)
+    since = L.last_run_time(L.run_log(T.run_events(spark, sf_dir))).scalar()
+    base = ev.filter(F.col("ts") <= since)
+    changed = ev.filter(F.col("ts") > since).select("source_file").distinct()
+    fresh = keep_keys(ev, changed, "source_file")
+    return TB.replace_by_source(base, fresh, sources=changed)
+
+
+_ARCHIVE_SQL = f"""{_DELETED_SQL}
+SELECT {_EV_OUT} FROM events_table e
+WHERE {{cond}} (SELECT 1 FROM gone g WHERE g.file_path = e.source_file)
+"""
+
+
+@register("archive_kept", _ARCHIVE_SQL.replace("{cond}", "NOT EXISTS"))
+def archive_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: rows that stay in the table after archiving vanished files."""
+    gone = L.deleted_sources(L.active_files(T.ledger(spark, sf_dir)), T.listing(spark, sf_dir))
+    kept, _ = TB.archive_split(T.events_table(spark, sf_dir), gone)
+    return kept
+
+
+@register("archive_moved", _ARCHIVE_SQL.replace("{cond}", "EXISTS"))
+def archive_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows moved to the archive table (without the time stamp)."""
+    gone = L.deleted_sources(L.active_files(T.ledger(spark, sf_dir)), T.listing(spark, sf_dir))
+    _, moved = TB.archive_split(T.events_table(spark, sf_dir), gone)
+    return moved.drop("deleted_at")

@@ -149,3 +149,108 @@ cancellation_bills AS (
 )"""
 
 MAPPING_SQL = "WITH " + ",".join([SALES_SQL, CUSTOMERS_SQL, CANCELLATIONS_SQL])
+
+
+# ------------------------------------------------------------------ ledger ---
+# ``events`` plays the file ledger: one file per user, one operation per event.
+#   signup -> INSERT, click -> UPDATE, purchase -> DELETED, view -> legacy row
+#   without operation, error -> INSERT that failed.
+# The folder listing holds the files touched in the last day of the log; the
+# others count as gone. Runs are the days of the log.
+
+def _file_path(user: str = "user_id"):
+    return F.concat(F.lit("events/"), F.col(user).cast("string"), F.lit(".csv"))
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    return ev.select(
+        F.col("event_id").alias("id"),
+        _file_path().alias("file_path"),
+        F.lit("events").alias("table_name"),
+        F.col("ts").alias("last_loaded_at"),
+        F.get_json_object("props", "$.k").cast("int").alias("row_count"),
+        F.when(et == "error", F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.when(et == "signup", F.lit("INSERT")).when(et == "click", F.lit("UPDATE"))
+         .when(et == "purchase", F.lit("DELETED")).when(et == "error", F.lit("INSERT"))
+         .alias("operation"),
+    )
+
+
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events rows as a landed table whose rows come from per-user files."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", "ts", "user_id", "event_type", "value", "props",
+                     _file_path().alias("source_file"))
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    cutoff = ev.select(F.max("ts") - F.expr("INTERVAL 1 DAY")).scalar()
+    return ev.filter(F.col("ts") > cutoff).select(_file_path().alias("rel_path")).distinct()
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``started`` and ``finished`` events of one run per log day; a day whose
+    last event is an error never finished."""
+    ev = table(spark, sf_dir, "events")
+    day = F.date_format(F.col("ts"), "yyyyMMdd").cast("bigint")
+    per_day = ev.groupBy(day.alias("run_id")).agg(
+        F.min("ts").alias("first_at"), F.max("ts").alias("last_at"),
+        F.max_by("event_type", F.struct("ts", "event_id")).alias("last_event"),
+        F.count_if(F.col("event_type").isin("signup", "click")).alias("files_processed"),
+        F.count_if(F.col("event_type") == "error").alias("files_skipped"),
+        F.count_if(F.col("event_type") == "purchase").alias("errors"),
+    )
+    started = per_day.select("run_id", F.lit("started").alias("event"), F.col("first_at").alias("at"),
+                             F.lit("daily").alias("mode"), F.lit(None).cast("bigint").alias("files_processed"),
+                             F.lit(None).cast("bigint").alias("files_skipped"),
+                             F.lit(None).cast("bigint").alias("errors"))
+    finished = per_day.filter(F.col("last_event") != "error").select(
+        "run_id", F.lit("finished").alias("event"), F.col("last_at").alias("at"),
+        F.lit(None).cast("string").alias("mode"), "files_processed", "files_skipped", "errors")
+    return started.unionByName(finished)
+
+
+FILE_PATH_SQL = "'events/' || CAST(user_id AS VARCHAR) || '.csv'"
+
+LEDGER_SQL = f"""
+ledger AS (
+  SELECT event_id AS id, {FILE_PATH_SQL} AS file_path, 'events' AS table_name, ts AS last_loaded_at,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS row_count,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
+         CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'click' THEN 'UPDATE'
+                         WHEN 'purchase' THEN 'DELETED' WHEN 'error' THEN 'INSERT' END AS operation
+  FROM events
+)"""
+
+EVENTS_TABLE_SQL = f"""
+events_table AS (
+  SELECT event_id, ts, user_id, event_type, value, props, {FILE_PATH_SQL} AS source_file FROM events
+)"""
+
+LISTING_SQL = f"""
+listing AS (
+  SELECT DISTINCT {FILE_PATH_SQL} AS rel_path FROM events
+  WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+)"""
+
+RUNS_SQL = """
+per_day AS (
+  SELECT CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS run_id, min(ts) AS first_at, max(ts) AS last_at,
+         arg_max(event_type, struct_pack(t := ts, i := event_id)) AS last_event,
+         count(*) FILTER (WHERE event_type IN ('signup', 'click')) AS files_processed,
+         count(*) FILTER (WHERE event_type = 'error') AS files_skipped,
+         count(*) FILTER (WHERE event_type = 'purchase') AS errors
+  FROM events GROUP BY 1
+), runs AS (
+  SELECT run_id, 'daily' AS mode, first_at AS started_at,
+         CASE WHEN last_event <> 'error' THEN last_at END AS finished_at,
+         CASE WHEN last_event <> 'error' THEN files_processed END AS files_processed,
+         CASE WHEN last_event <> 'error' THEN files_skipped END AS files_skipped,
+         CASE WHEN last_event <> 'error' THEN errors END AS errors
+  FROM per_day
+)"""
+
+LEDGER_MAPPING_SQL = "WITH " + ",".join([LEDGER_SQL, EVENTS_TABLE_SQL, LISTING_SQL, RUNS_SQL])
