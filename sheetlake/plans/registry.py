@@ -478,3 +478,198 @@ def archive_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = L.deleted_sources(L.active_files(T.ledger(spark, sf_dir)), T.listing(spark, sf_dir))
     _, moved = TB.archive_split(T.events_table(spark, sf_dir), gone)
     return moved.drop("deleted_at")
+
+
+# ------------------------------------------------------ cleaning & typing ---
+from sheetlake.functions import cleaning as C  # noqa: E402
+from sheetlake.functions.dates import parse_flexible_date  # noqa: E402
+from sheetlake.functions.keys import row_key as _row_key  # noqa: E402
+from sheetlake.functions.names import fold_name as _fold_name  # noqa: E402
+from sheetlake.operators import coerce as CO  # noqa: E402
+from sheetlake.operators import typing_ as TY  # noqa: E402
+
+
+def _strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^{C.WS}+|{C.WS}+$', '', 'g')"
+
+
+def _ident_sql(x: str) -> str:
+    s = _strip_sql(x)
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {s} IN ('', '.0') THEN NULL"
+            f" WHEN regexp_full_match({s}, '[+-]?[0-9]+(\\.0+)?')"
+            f" THEN COALESCE(CAST(TRY_CAST(regexp_extract({s}, '^([+-]?[0-9]+)', 1) AS DECIMAL(38,0)) AS VARCHAR), {s})"
+            f" ELSE {s} END")
+
+
+def _contact_sql(x: str) -> str:
+    s = _strip_sql(x)
+    return f"CASE WHEN regexp_full_match({s}, '[0-9]+\\.0+') THEN regexp_extract({s}, '^([0-9]+)', 1) ELSE {s} END"
+
+
+def _text_sql(x: str) -> str:
+    return f"CASE WHEN {_strip_sql(x)} = '.0' THEN '' ELSE {x} END"
+
+
+@register("clean_identifier", f"""WITH {T.IDENTIFIER_CELLS_SQL}
+SELECT o_orderkey, id_khach_hang AS id_raw, {_ident_sql("id_khach_hang")} AS id_khach_hang FROM cells
+""")
+def clean_identifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifier cells to canonical integer text."""
+    cells = T.identifier_cells(spark, sf_dir)
+    return cells.select("o_orderkey", F.col("id_khach_hang").alias("id_raw"),
+                        C.clean_identifier(F.col("id_khach_hang")).alias("id_khach_hang"))
+
+
+@register("clean_contact", f"""WITH {T.IDENTIFIER_CELLS_SQL}
+SELECT o_orderkey, thong_tin_nguoi_than AS contact_raw,
+       {_contact_sql("thong_tin_nguoi_than")} AS thong_tin_nguoi_than FROM cells
+""")
+def clean_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The free-text contact column."""
+    cells = T.identifier_cells(spark, sf_dir)
+    return cells.select("o_orderkey", F.col("thong_tin_nguoi_than").alias("contact_raw"),
+                        C.clean_contact(F.col("thong_tin_nguoi_than")).alias("thong_tin_nguoi_than"))
+
+
+@register("clean_text", f"""WITH {T.IDENTIFIER_CELLS_SQL}
+SELECT o_orderkey, ly_do_huy AS text_raw, {_text_sql("ly_do_huy")} AS ly_do_huy FROM cells
+""")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: ``.0`` text cells to empty text."""
+    cells = T.identifier_cells(spark, sf_dir)
+    return cells.select("o_orderkey", F.col("ly_do_huy").alias("text_raw"),
+                        C.clean_text(F.col("ly_do_huy")).alias("ly_do_huy"))
+
+
+@register("clean_cells", f"""WITH {T.IDENTIFIER_CELLS_SQL}
+SELECT o_orderkey, {_ident_sql("id_khach_hang")} AS id_khach_hang,
+       {_contact_sql("thong_tin_nguoi_than")} AS thong_tin_nguoi_than,
+       {_text_sql("ly_do_huy")} AS ly_do_huy FROM cells
+""")
+def clean_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column cleaned by the rule its name selects."""
+    return C.clean_cells(T.identifier_cells(spark, sf_dir))
+
+
+_PROFILED = ["so_luong", "ty_le", "ngay_giao", "ngay_cap_nhat", "co", "so_dong", "ghi_chu", "ngay_loi"]
+
+
+def _profile_sql(c: str) -> str:
+    t = f"trim({c})"
+    filled = f"{c} IS NOT NULL AND {t} <> ''"
+    num = f"regexp_full_match({t}, '{TY.NUMERIC_PATTERN}')"
+    ts = f"regexp_full_match({t}, '{TY.TIMESTAMP_PATTERN}')"
+    return (f"SELECT '{c}' AS column_name,"
+            f" count(*) FILTER (WHERE {filled}) AS non_blank,"
+            f" count(*) FILTER (WHERE {c} IS NOT NULL AND {t} = '') AS blank_cells,"
+            f" count(*) FILTER (WHERE {filled} AND NOT {num}) AS numeric_violations,"
+            f" count(*) FILTER (WHERE {filled} AND NOT {ts}) AS timestamp_violations,"
+            f" count(*) FILTER (WHERE {filled} AND {ts} AND TRY_CAST({t} AS TIMESTAMP) IS NULL)"
+            f" AS timestamp_cast_failures,"
+            f" CAST(max(CASE WHEN {filled} AND {num} THEN length(regexp_extract({t}, '^[+-]?0*([0-9]*)', 1)) END)"
+            f" AS BIGINT) AS int_digits,"
+            f" CAST(max(CASE WHEN {filled} AND {num} THEN length(regexp_extract({t}, '\\.([0-9]+)$', 1)) END)"
+            f" AS BIGINT) AS scale FROM landing")
+
+
+_PROFILE_SQL = f"""WITH {T.LANDING_SQL}, prof AS (
+{" UNION ALL ".join(_profile_sql(c) for c in _PROFILED)}
+)
+SELECT *, CASE
+  WHEN numeric_violations = 0 AND blank_cells = 0
+       AND greatest(COALESCE(int_digits, 0) + COALESCE(scale, 0), 1) <= 38
+    THEN printf('decimal(%d,%d)', greatest(COALESCE(int_digits, 0) + COALESCE(scale, 0), 1), COALESCE(scale, 0))
+  WHEN timestamp_violations = 0 AND timestamp_cast_failures = 0 AND blank_cells = 0 AND non_blank > 0
+    THEN 'timestamp'
+  ELSE 'string' END AS promoted_type
+FROM prof
+"""
+
+
+@register("type_profile", _PROFILE_SQL)
+def type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-pass profile of every text column and the type it earns."""
+    return TY.decide_types(TY.type_profile(T.landing_text(spark, sf_dir)))
+
+
+@register("promote_types", f"""WITH {T.LANDING_SQL}
+SELECT source_file, ma_hoa_don, row_no,
+       CAST(trim(so_luong) AS DOUBLE) AS so_luong, CAST(trim(ty_le) AS DOUBLE) AS ty_le,
+       strftime(CAST(trim(ngay_giao) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS ngay_giao,
+       strftime(CAST(trim(ngay_cap_nhat) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS ngay_cap_nhat,
+       co, so_dong, CAST(NULL AS DOUBLE) AS ghi_chu, ngay_loi
+FROM landing
+""")
+def promote_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table with its columns promoted."""
+    return TY.promote_types(T.landing_text(spark, sf_dir))
+
+
+@register("parse_flexible_date", f"""WITH {T.DATE_CELLS_SQL}
+SELECT l_orderkey, l_linenumber, ngay_sinh_raw, {flexible_date_sql("ngay_sinh_raw")} AS ngay_sinh FROM cells
+""")
+def flexible_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates written in any of the export layouts."""
+    cells = T.date_cells(spark, sf_dir)
+    return cells.withColumn("ngay_sinh", parse_flexible_date(F.col("ngay_sinh_raw")))
+
+
+@register("row_key", f"""
+SELECT {T.MONTH_FILE_SQL} AS source_file, l_orderkey * 8 + l_linenumber AS row_no,
+       md5(concat_ws('|', {T.MONTH_FILE_SQL}, CAST(l_orderkey * 8 + l_linenumber AS VARCHAR))) AS row_key
+FROM lineitem
+""")
+def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stable row keys from file and row number."""
+    li = T.table(spark, sf_dir, "lineitem")
+    rows = li.select(T._month_file().alias("source_file"),
+                     (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_no"))
+    return rows.withColumn("row_key", _row_key(F.col("source_file"), F.col("row_no")))
+
+
+@register("fold_name", """
+SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE COALESCE(NULLIF(trim(
+  regexp_replace(regexp_replace(replace(lower(strip_accents(replace(replace(text, 'Đ', 'D'), 'đ', 'd'))),
+                 '%', 'per'), '[()]', '', 'g'), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'col') END AS folded
+FROM documents
+""")
+def fold_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: the name-folding rule over whole document texts."""
+    docs = T.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", _fold_name(F.col("text")).alias("folded"))
+
+
+_FLOAT_WORDS = ", ".join(f"'{w}'" for w in CO.FLOAT_WORDS)
+_COERCE_SQL = f"""WITH {T.TYPED_CELLS_SQL}, typed AS (
+  SELECT source_file, l_orderkey, l_linenumber,
+    CAST(CASE WHEN regexp_full_match({_strip_sql("so_luong")}, '{CO.INTEGER_PATTERN}')
+              THEN TRY_CAST({_strip_sql("so_luong")} AS INTEGER) END AS BIGINT) AS q,
+    CASE WHEN regexp_full_match({_strip_sql("don_gia")}, '{CO.FLOAT_PATTERN}')
+              OR lower({_strip_sql("don_gia")}) IN ({_FLOAT_WORDS})
+         THEN TRY_CAST({_strip_sql("don_gia")} AS DOUBLE) END AS p,
+    so_luong, don_gia
+  FROM cells
+)"""
+
+
+@register("coerce_rejects", f"""{_COERCE_SQL}
+SELECT source_file, l_orderkey, l_linenumber, q AS so_luong, p AS don_gia,
+       (so_luong IS NULL OR q IS NOT NULL) AND (don_gia IS NULL OR p IS NOT NULL) AS _ok
+FROM typed
+""")
+def coerce_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed cells converted; rows with a cell that does not convert flagged."""
+    return CO.coerce_or_reject(T.typed_cells(spark, sf_dir), {"so_luong": "integer", "don_gia": "float"})
+
+
+@register("load_stats", f"""{_COERCE_SQL}, flagged AS (
+  SELECT source_file, (so_luong IS NULL OR q IS NOT NULL) AND (don_gia IS NULL OR p IS NOT NULL) AS ok
+  FROM typed)
+SELECT source_file, count(*) FILTER (WHERE ok) AS loaded, count(*) FILTER (WHERE NOT ok) AS skipped,
+       CASE WHEN count(*) FILTER (WHERE NOT ok) = 0 THEN 'success' ELSE 'partial' END AS status
+FROM flagged GROUP BY source_file
+""")
+def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded / skipped rows and status per source file."""
+    flagged = CO.coerce_or_reject(T.typed_cells(spark, sf_dir), {"so_luong": "integer", "don_gia": "float"})
+    return CO.load_stats(flagged)

@@ -254,3 +254,162 @@ per_day AS (
 )"""
 
 LEDGER_MAPPING_SQL = "WITH " + ",".join([LEDGER_SQL, EVENTS_TABLE_SQL, LISTING_SQL, RUNS_SQL])
+
+
+# ------------------------------------------------------------ text cells ---
+# Raw text cells derived row by row from the benchmark tables, spelled the way
+# exported sheets spell them (padding, ``.0`` tails, signs, blanks, junk).
+
+def identifier_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_custkey").cast("string")
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    raw = (F.when(pr == "1-URGENT", F.concat(k, F.lit(".0")))
+            .when(pr == "2-HIGH", F.concat(F.lit(" "), k, F.lit(" ")))
+            .when(pr == "3-MEDIUM", F.concat(F.lit("+00"), k))
+            .when(pr == "4-NOT SPECIFIED", F.when(st == "P", F.lit(".0")).otherwise(F.concat(k, F.lit(".000"))))
+            .otherwise(F.when(st == "P", F.lit(" ")).otherwise(F.concat(F.lit("KH-"), k))))
+    contact = (F.when(pr == "1-URGENT", F.concat(F.lit("0"), k, F.lit(".0")))
+                .when(pr == "2-HIGH", F.concat(F.lit(" "), k, F.lit(".000 ")))
+                .when(pr == "3-MEDIUM", F.concat(F.lit("Chong: KH"), k, F.lit(" - SDT: 09"),
+                                                 F.col("o_orderkey").cast("string")))
+                .when(pr == "4-NOT SPECIFIED", F.concat(k, F.lit(".5")))
+                .otherwise(F.concat(F.lit(" "), st)))
+    text = (F.when(pr == "1-URGENT", F.lit(".0")).when(pr == "2-HIGH", F.lit(" .0 "))
+             .when(pr == "3-MEDIUM", F.lit(" x ")).when(pr == "4-NOT SPECIFIED", F.lit("0.0"))
+             .otherwise(F.concat(st, F.lit(" "))))
+    return o.select("o_orderkey", raw.alias("id_khach_hang"), contact.alias("thong_tin_nguoi_than"),
+                    text.alias("ly_do_huy"))
+
+
+IDENTIFIER_CELLS_SQL = """
+cells AS (
+  SELECT o_orderkey,
+    CASE o_orderpriority
+      WHEN '1-URGENT' THEN CAST(o_custkey AS VARCHAR) || '.0'
+      WHEN '2-HIGH' THEN ' ' || CAST(o_custkey AS VARCHAR) || ' '
+      WHEN '3-MEDIUM' THEN '+00' || CAST(o_custkey AS VARCHAR)
+      WHEN '4-NOT SPECIFIED' THEN CASE WHEN o_orderstatus = 'P' THEN '.0' ELSE CAST(o_custkey AS VARCHAR) || '.000' END
+      ELSE CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE 'KH-' || CAST(o_custkey AS VARCHAR) END
+    END AS id_khach_hang,
+    CASE o_orderpriority
+      WHEN '1-URGENT' THEN '0' || CAST(o_custkey AS VARCHAR) || '.0'
+      WHEN '2-HIGH' THEN ' ' || CAST(o_custkey AS VARCHAR) || '.000 '
+      WHEN '3-MEDIUM' THEN 'Chong: KH' || CAST(o_custkey AS VARCHAR) || ' - SDT: 09' || CAST(o_orderkey AS VARCHAR)
+      WHEN '4-NOT SPECIFIED' THEN CAST(o_custkey AS VARCHAR) || '.5'
+      ELSE ' ' || o_orderstatus
+    END AS thong_tin_nguoi_than,
+    CASE o_orderpriority
+      WHEN '1-URGENT' THEN '.0' WHEN '2-HIGH' THEN ' .0 ' WHEN '3-MEDIUM' THEN ' x '
+      WHEN '4-NOT SPECIFIED' THEN '0.0' ELSE o_orderstatus || ' '
+    END AS ly_do_huy
+  FROM orders
+)"""
+
+
+def _month_file(ts: str = "l_shipdate"):
+    return F.concat(F.lit("sales/"), F.date_format(F.col(ts), "yyyy-MM"), F.lit(".csv"))
+
+
+MONTH_FILE_SQL = "'sales/' || strftime(l_shipdate, '%Y-%m') || '.csv'"
+
+
+def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as an all-text landing table, as the loader stores it."""
+    li = table(spark, sf_dir, "lineitem")
+    d = F.date_format("l_shipdate", "yyyy-MM-dd")
+    return li.select(
+        _month_file().alias("source_file"),
+        F.col("l_orderkey").cast("string").alias("ma_hoa_don"),
+        F.col("l_linenumber").cast("bigint").alias("row_no"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("so_luong"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit(".5")).alias("ty_le"),
+        d.alias("ngay_giao"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("ngay_cap_nhat"),
+        F.col("l_returnflag").alias("co"),
+        F.when(F.col("l_linestatus") == "O", F.lit(" "))
+         .otherwise(F.col("l_linenumber").cast("string")).alias("so_dong"),
+        F.lit(None).cast("string").alias("ghi_chu"),
+        F.when(F.col("l_returnflag") == "R",
+               F.concat(F.date_format("l_shipdate", "yyyy-MM"), F.lit("-31"))).otherwise(d).alias("ngay_loi"),
+    )
+
+
+LANDING_SQL = f"""
+landing AS (
+  SELECT {MONTH_FILE_SQL} AS source_file, CAST(l_orderkey AS VARCHAR) AS ma_hoa_don,
+         CAST(l_linenumber AS BIGINT) AS row_no,
+         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS so_luong,
+         CAST(l_linenumber AS VARCHAR) || '.5' AS ty_le,
+         strftime(l_shipdate, '%Y-%m-%d') AS ngay_giao,
+         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ngay_cap_nhat,
+         l_returnflag AS co,
+         CASE WHEN l_linestatus = 'O' THEN ' ' ELSE CAST(l_linenumber AS VARCHAR) END AS so_dong,
+         CAST(NULL AS VARCHAR) AS ghi_chu,
+         CASE WHEN l_returnflag = 'R' THEN strftime(l_shipdate, '%Y-%m') || '-31'
+              ELSE strftime(l_shipdate, '%Y-%m-%d') END AS ngay_loi
+  FROM lineitem
+)"""
+
+
+def date_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    ymd = F.date_format("l_shipdate", "yyyyMMdd")
+    n = F.col("l_linenumber")
+    serial = F.concat(F.datediff(F.col("l_shipdate"), F.lit("1899-12-30").cast("date")).cast("string"),
+                      F.lit(".0"))
+    raw = (F.when(n == 1, ymd)
+            .when(n == 2, F.date_format("l_shipdate", "dd/MM/yyyy"))
+            .when(n == 3, serial)
+            .when(n == 4, F.when(F.col("l_returnflag") == "A", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+                           .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")))
+            .when(n == 5, F.concat(F.lit(" "), ymd, F.lit(" ")))
+            .when(n == 6, F.concat(F.lit("2"), F.substring(ymd, 2, 7)))
+            .otherwise(F.concat(F.date_format("l_shipdate", "yyyyMM"), F.lit("30"))))
+    return li.select("l_orderkey", "l_linenumber", raw.alias("ngay_sinh_raw"))
+
+
+DATE_CELLS_SQL = """
+cells AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE l_linenumber
+      WHEN 1 THEN strftime(l_shipdate, '%Y%m%d')
+      WHEN 2 THEN strftime(l_shipdate, '%d/%m/%Y')
+      WHEN 3 THEN CAST(date_diff('day', DATE '1899-12-30', CAST(l_shipdate AS DATE)) AS VARCHAR) || '.0'
+      WHEN 4 THEN CASE WHEN l_returnflag = 'A' THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
+                       ELSE strftime(l_shipdate, '%Y-%m-%d') END
+      WHEN 5 THEN ' ' || strftime(l_shipdate, '%Y%m%d') || ' '
+      WHEN 6 THEN '2' || substr(strftime(l_shipdate, '%Y%m%d'), 2, 7)
+      ELSE strftime(l_shipdate, '%Y%m') || '30'
+    END AS ngay_sinh_raw
+  FROM lineitem
+)"""
+
+
+def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells bound for typed columns; some do not convert."""
+    li = table(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("bigint").cast("string")
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    price = F.concat(F.col("l_partkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
+    qty = (F.when((rf == "R") & (ls == "F"), F.concat(q, F.lit("x")))
+            .when(rf == "N", F.concat(F.lit(" "), q)).otherwise(q))
+    unit = (F.when((rf == "A") & (ls == "O"), F.lit("n/a"))
+             .when((rf == "N") & (ls == "O"), F.concat(price, F.lit("e1")))
+             .otherwise(price))
+    return li.select(_month_file().alias("source_file"), "l_orderkey", "l_linenumber",
+                     qty.alias("so_luong"), unit.alias("don_gia"))
+
+
+TYPED_CELLS_SQL = f"""
+cells AS (
+  SELECT {MONTH_FILE_SQL} AS source_file, l_orderkey, l_linenumber,
+    CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'x'
+         WHEN l_returnflag = 'N' THEN ' ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+         ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS so_luong,
+    CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'n/a'
+         WHEN l_returnflag = 'N' AND l_linestatus = 'O'
+           THEN CAST(l_partkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) || 'e1'
+         ELSE CAST(l_partkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) END AS don_gia
+  FROM lineitem
+)"""
