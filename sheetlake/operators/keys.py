@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _key_frame(other: DataFrame, on: Sequence[str], other_on: Sequence[str] | None) -> DataFrame:
@@ -25,7 +26,8 @@ def exclude_keys(df: DataFrame, other: DataFrame, on: Sequence[str] | str,
     """
     on = [on] if isinstance(on, str) else list(on)
     other_on = [other_on] if isinstance(other_on, str) else other_on
-    return df.join(_key_frame(other, on, other_on), on=on, how="left_anti")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return df.join(_key_frame(other, on, other_on), on=on, how="left_anti").select(*cols)
 
 
 def keep_keys(df: DataFrame, other: DataFrame, on: Sequence[str] | str,
@@ -33,4 +35,5 @@ def keep_keys(df: DataFrame, other: DataFrame, on: Sequence[str] | str,
     """Rows of ``df`` whose key occurs in ``other`` (``left_semi``)."""
     on = [on] if isinstance(on, str) else list(on)
     other_on = [other_on] if isinstance(other_on, str) else other_on
-    return df.join(_key_frame(other, on, other_on), on=on, how="left_semi")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return df.join(_key_frame(other, on, other_on), on=on, how="left_semi").select(*cols)

@@ -75,11 +75,13 @@ def decide_types(profile: DataFrame, blank_as_null: bool = False) -> DataFrame:
     scale = F.coalesce(F.col("scale"), F.lit(0))
     precision = F.greatest(ints + scale, F.lit(1))
     numeric = (F.col("numeric_violations") == 0) & blanks_ok & (precision <= MAX_PRECISION)
+    # Stored precision is the widest decimal, so later, larger values still fit
+    # (the source type is an unbounded numeric); the scale is what the data showed.
     stamp = ((F.col("timestamp_violations") == 0) & (F.col("timestamp_cast_failures") == 0)
              & blanks_ok & (F.col("non_blank") > 0))
     return profile.withColumn(
         "promoted_type",
-        F.when(numeric, F.format_string("decimal(%d,%d)", precision, scale))
+        F.when(numeric, F.format_string("decimal(%d,%d)", F.lit(MAX_PRECISION), scale))
          .when(stamp, F.lit("timestamp"))
          .otherwise(F.lit("string")))
 

@@ -578,7 +578,7 @@ _PROFILE_SQL = f"""WITH {T.LANDING_SQL}, prof AS (
 SELECT *, CASE
   WHEN numeric_violations = 0 AND blank_cells = 0
        AND greatest(COALESCE(int_digits, 0) + COALESCE(scale, 0), 1) <= 38
-    THEN printf('decimal(%d,%d)', greatest(COALESCE(int_digits, 0) + COALESCE(scale, 0), 1), COALESCE(scale, 0))
+    THEN printf('decimal(38,%d)', COALESCE(scale, 0))
   WHEN timestamp_violations = 0 AND timestamp_cast_failures = 0 AND blank_cells = 0 AND non_blank > 0
     THEN 'timestamp'
   ELSE 'string' END AS promoted_type

@@ -70,12 +70,12 @@ def drop_sources(spark: SparkSession, p: str, sources: DataFrame, source_col: st
     if table is None:
         return 0
     keys = sources.select(F.col(source_col).alias(SOURCE)).distinct()
-    files = (table.select(SOURCE).join(keys, SOURCE, "left_semi")
-                  .select(F.input_file_name().alias("f")).distinct())
+    files = (table.select(SOURCE, F.input_file_name().alias("f"))
+                  .join(keys, SOURCE, "left_semi").select("f").distinct())
     folders = sorted({r["f"].rsplit("/", 1)[0] for r in files.collect()})
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in folders:
-        hp = jvm.org.apache.hadoop.fs.Path(folder)
+        hp = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))  # the name is URI-encoded
         hp.getFileSystem(conf).delete(hp, True)
     return len(folders)

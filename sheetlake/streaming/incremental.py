@@ -13,40 +13,45 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from sheetlake.operators import ledger as L
-from sheetlake.operators.coerce import coerce_or_reject
 from sheetlake.operators.schema import union_schema
 from sheetlake.operators.tables import archive_split
-from sheetlake.operators.typing_ import promote_types
+from sheetlake.operators.typing_ import NUMERIC_PATTERN, promote_types
 from sheetlake.plans import storage as S
 from sheetlake.plans.jobs import (DATE_COLUMNS, file_outcomes, land_scan, landed_table, new_run_id,
                                   runs, write_run_event)
 from sheetlake.sources.listing import list_reports
 from sheetlake.sources.reports import header_records, scan_report_rows
 
-TYPE_NAMES = {"int": "integer", "double": "float", "float": "float"}
-
-
 def _coerce_to(stored: DataFrame, fresh: DataFrame, table: str) -> DataFrame:
     """Cast a new text batch to the stored table's types; rows with a cell
-    that does not convert are flagged (``_ok``) for rejection (C5)."""
+    that does not convert exactly are flagged (``_ok`` false) for rejection
+    (C5). A decimal cell with more fraction digits than the stored scale is
+    rejected rather than rounded."""
     types = {f.name: f.dataType for f in stored.schema.fields}
-    out = fresh
-    flags = []
+    exprs, flags = [], []
     for name in fresh.columns:
+        raw = F.col(f"`{name}`")
         t = types.get(name)
-        if t is None or t.simpleString() == "string" or name in DATE_COLUMNS.get(table, ()):
+        fresh_type = dict(fresh.dtypes)[name]
+        if (t is None or t.simpleString() == "string" or fresh_type != "string"
+                or name in DATE_COLUMNS.get(table, ())):
+            exprs.append(raw.alias(name))
             continue
-        if t.simpleString().startswith(("decimal", "timestamp", "date", "int", "bigint", "double")):
-            raw = F.col(f"`{name}`")
-            value = F.nullif(F.trim(raw), F.lit("")).try_cast(t)
-            out = out.withColumn(name, value).withColumn(f"__ok_{name}", raw.isNull() | value.isNotNull())
-            flags.append(f"__ok_{name}")
+        text = F.nullif(F.trim(raw), F.lit(""))
+        value = text.try_cast(t)
+        good = raw.isNull() | value.isNotNull()
+        if isinstance(t, DecimalType):
+            good = raw.isNull() | (value.isNotNull() & text.rlike(NUMERIC_PATTERN)
+                                   & (F.length(F.regexp_extract(text, r"\.([0-9]+)$", 1)) <= t.scale))
+        exprs.append(value.alias(name))
+        flags.append(good)
     ok = F.lit(True)
-    for f in flags:
-        ok = ok & F.col(f)
-    return out.withColumn("_ok", ok).drop(*flags)
+    for g in flags:
+        ok = ok & g
+    return fresh.select(*exprs, ok.alias("_ok"))
 
 
 def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
@@ -106,9 +111,12 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
             gone_t = gone.filter(F.col("table_name") == table)
             _, moved = archive_split(stored, gone_t, deleted_at=F.lit(now).cast("timestamp"))
             moved = moved.withColumn("deleted_run", F.lit(run_id))
-            counts = moved.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
-            S.replace_partitions(moved, S.path(warehouse, f"{table}_deleted"),
-                                 partition_by=("deleted_run", S.SOURCE))
+            archive = S.path(warehouse, f"{table}_deleted")
+            S.replace_partitions(moved, archive, partition_by=("deleted_run", S.SOURCE))
+            # counts come from the written archive: the source rows are dropped next
+            counts = (spark.read.option("mergeSchema", "true").parquet(archive)
+                      .filter(F.col("deleted_run") == run_id)
+                      .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))).checkpoint()
             S.drop_sources(spark, S.path(warehouse, table), gone_t, "file_path")
             S.drop_sources(spark, S.text_path(warehouse, table), gone_t, "file_path")
             outcomes.append(gone_t.join(counts.withColumnRenamed("source_file", "file_path"), "file_path", "left")
