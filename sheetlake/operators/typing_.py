@@ -40,24 +40,29 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not cols:
         return df.sparkSession.createDataFrame([], ", ".join(
             [f"{c} {'string' if c == 'column_name' else 'bigint'}" for c in PROFILE_COLUMNS]))
-    measures = []
-    for c in cols:
+    # Per-cell flags first, in one projection: each pattern runs once per cell.
+    flags, measures = [], []
+    for i, c in enumerate(cols):
         raw = F.col(f"`{c}`")
         t = F.trim(raw)
         filled = raw.isNotNull() & (t != "")
-        is_num = t.rlike(NUMERIC_PATTERN)
-        is_ts = t.rlike(TIMESTAMP_PATTERN)
+        is_num = filled & t.rlike(NUMERIC_PATTERN)
+        is_ts = filled & t.rlike(TIMESTAMP_PATTERN)
+        flags += [filled.alias(f"f{i}"), (raw.isNotNull() & (t == "")).alias(f"b{i}"),
+                  is_num.alias(f"n{i}"), is_ts.alias(f"t{i}"),
+                  (is_ts & t.try_cast("timestamp").isNull()).alias(f"x{i}"),
+                  F.when(is_num, F.length(F.regexp_extract(t, r"^[+-]?0*([0-9]*)", 1))).alias(f"d{i}"),
+                  F.when(is_num, F.length(F.regexp_extract(t, r"\.([0-9]+)$", 1))).alias(f"s{i}")]
         measures.append(F.struct(
-            F.count_if(filled).alias("non_blank"),
-            F.count_if(raw.isNotNull() & (t == "")).alias("blank_cells"),
-            F.count_if(filled & ~is_num).alias("numeric_violations"),
-            F.count_if(filled & ~is_ts).alias("timestamp_violations"),
-            F.count_if(filled & is_ts & t.try_cast("timestamp").isNull()).alias("timestamp_cast_failures"),
-            F.max(F.when(filled & is_num,
-                         F.length(F.regexp_extract(t, r"^[+-]?0*([0-9]*)", 1)))).alias("int_digits"),
-            F.max(F.when(filled & is_num,
-                         F.length(F.regexp_extract(t, r"\.([0-9]+)$", 1)))).alias("scale"),
+            F.count_if(F.col(f"f{i}")).alias("non_blank"),
+            F.count_if(F.col(f"b{i}")).alias("blank_cells"),
+            F.count_if(F.col(f"f{i}") & ~F.col(f"n{i}")).alias("numeric_violations"),
+            F.count_if(F.col(f"f{i}") & ~F.col(f"t{i}")).alias("timestamp_violations"),
+            F.count_if(F.col(f"x{i}")).alias("timestamp_cast_failures"),
+            F.max(F.col(f"d{i}")).alias("int_digits"),
+            F.max(F.col(f"s{i}")).alias("scale"),
         ).alias(c))
+    df = df.select(*flags)
     one_row = df.agg(*measures)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`.*")) for c in cols])
     prof = one_row.select(F.inline(rows))

@@ -125,7 +125,7 @@ LEFT JOIN first_last_day fld ON lc.id_khach_hang = fld.id_khach_hang
 @register("customer_spending", _SPEND_SQL)
 def customer_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 (flagship): per-customer spending in the period."""
-    return R.customer_spending(*T.report_inputs(spark, sf_dir), rules=RULES)
+    return R.customer_spending(*T.report_inputs(spark, sf_dir, spread_scan=False), rules=RULES)
 
 
 _REF_BILL = ["id_khach_hang", "ma_hoa_don", "loai_doanh_thu", "ten_doi_tuong_thanh_toan",
@@ -159,7 +159,7 @@ GROUP BY lc.nguoi_gioi_thieu_id, lc.nguoi_gioi_thieu_khach_hang, lc.nguoi_gioi_t
 """)
 def referral_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period revenue of referred customers per referrer."""
-    return R.referral_spending(*T.report_inputs(spark, sf_dir), rules=RULES)
+    return R.referral_spending(*T.report_inputs(spark, sf_dir, spread_scan=False), rules=RULES)
 
 
 _BILL_OUT = ", ".join(
@@ -621,7 +621,7 @@ FROM lineitem
 """)
 def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stable row keys from file and row number."""
-    li = T.table(spark, sf_dir, "lineitem")
+    li = T.spread_table(spark, sf_dir, "lineitem")
     rows = li.select(T._month_file().alias("source_file"),
                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_no"))
     return rows.withColumn("row_key", _row_key(F.col("source_file"), F.col("row_no")))
@@ -635,7 +635,7 @@ FROM documents
 """)
 def fold_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: the name-folding rule over whole document texts."""
-    docs = T.table(spark, sf_dir, "documents")
+    docs = T.spread_table(spark, sf_dir, "documents")
     return docs.select("doc_id", _fold_name(F.col("text")).alias("folded"))
 
 
@@ -673,3 +673,23 @@ def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded / skipped rows and status per source file."""
     flagged = CO.coerce_or_reject(T.typed_cells(spark, sf_dir), {"so_luong": "integer", "don_gia": "float"})
     return CO.load_stats(flagged)
+
+
+# ------------------------------------------------------------ file scan ---
+import uuid as _uuid  # noqa: E402
+
+from sheetlake.operators.schema import project_cells, union_schema  # noqa: E402
+from sheetlake.session import scratch_path  # noqa: E402
+from sheetlake.sources.reports import data_records, header_records, scan_report_rows  # noqa: E402
+
+
+@register("header_offset_scan", T.REPORT_ROWS_SQL)
+def header_offset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders exported as titled CSV report files, then
+    listed, decoded with a header offset, folded, unioned and projected."""
+    folder = T.write_report_files(spark, sf_dir, scratch_path(spark, f"reports-{_uuid.uuid4().hex}"))
+    scan = scan_report_rows(spark, {folder: "don_hang"}, {"don_hang": 1}, glob="*.txt")
+    cols = union_schema(header_records(scan), "don_hang")
+    rows = C.clean_cells(project_cells(data_records(scan), cols))
+    return rows.select(*cols, F.regexp_extract("source_file", r"file=([^/]+)/", 1).alias("report_month"),
+                       "row_no")

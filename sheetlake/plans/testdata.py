@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from sheetlake.functions.revenue import RevenueRules
+from sheetlake.session import spread
 
 MONEY = DecimalType(18, 2)
 
@@ -43,12 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """Spread a scan with fewer splits than task slots (no-op on large
+    inputs), hash-partitioned on ``keys`` when given."""
+    return spread(table(spark, sf_dir, name), keys=keys)
+
+
 def _null_text(name: str):
     return F.lit(None).cast("string").alias(name)
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def sales(spark: SparkSession, sf_dir: str, spread_scan: bool = True) -> DataFrame:
+    """``spread_scan=False`` for reports whose first join is selective (the
+    period reports): spreading there would shuffle rows the join drops."""
+    li = (spread_table(spark, sf_dir, "lineitem", "l_orderkey") if spread_scan
+          else table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders")
     p = table(spark, sf_dir, "part")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
@@ -107,8 +117,9 @@ def cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.filter(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("ma_hoa_don"))
 
 
-def report_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return sales(spark, sf_dir), customers(spark, sf_dir), cancellations(spark, sf_dir)
+def report_inputs(spark: SparkSession, sf_dir: str, spread_scan: bool = True
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return sales(spark, sf_dir, spread_scan), customers(spark, sf_dir), cancellations(spark, sf_dir)
 
 
 SALES_SQL = """
@@ -261,7 +272,7 @@ LEDGER_MAPPING_SQL = "WITH " + ",".join([LEDGER_SQL, EVENTS_TABLE_SQL, LISTING_S
 # exported sheets spell them (padding, ``.0`` tails, signs, blanks, junk).
 
 def identifier_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread_table(spark, sf_dir, "orders")
     k = F.col("o_custkey").cast("string")
     pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
     raw = (F.when(pr == "1-URGENT", F.concat(k, F.lit(".0")))
@@ -316,7 +327,7 @@ MONTH_FILE_SQL = "'sales/' || strftime(l_shipdate, '%Y-%m') || '.csv'"
 
 def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as an all-text landing table, as the loader stores it."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem")
     d = F.date_format("l_shipdate", "yyyy-MM-dd")
     return li.select(
         _month_file().alias("source_file"),
@@ -353,7 +364,7 @@ landing AS (
 
 
 def date_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem")
     ymd = F.date_format("l_shipdate", "yyyyMMdd")
     n = F.col("l_linenumber")
     serial = F.concat(F.datediff(F.col("l_shipdate"), F.lit("1899-12-30").cast("date")).cast("string"),
@@ -388,7 +399,7 @@ cells AS (
 
 def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells bound for typed columns; some do not convert."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem")
     q = F.col("l_quantity").cast("bigint").cast("string")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     price = F.concat(F.col("l_partkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
@@ -413,3 +424,43 @@ cells AS (
          ELSE CAST(l_partkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) END AS don_gia
   FROM lineitem
 )"""
+
+
+# ------------------------------------------------------------ report files ---
+# ``orders`` written out as exported report files: one CSV per order month,
+# a title row above a header with display names (one near-duplicate column),
+# so the file scan, header offset, name folding and first-wins rule run on
+# data derived from the tables.
+
+# --- Fixed values: display header of the exported order reports. ---
+REPORT_HEADER = ["Mã hóa đơn", "ID Khách hàng", "Trạng thái", "Ngày ghi", "Ưu tiên", "Ưu tiên "]
+# ---------------------------------------------------------------------
+
+
+def write_report_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    o = table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    body = o.select(
+        month.alias("file"), F.col("o_orderkey").alias("line_no"),
+        F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
+                    "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority",
+                    F.lit("x")).alias("value"))
+    months = o.select(month.alias("file")).distinct()
+    title = months.select("file", F.lit(-2).cast("bigint").alias("line_no"),
+                          F.concat(F.lit("Báo cáo đơn hàng "), F.col("file")).alias("value"))
+    header = months.select("file", F.lit(-1).cast("bigint").alias("line_no"),
+                           F.lit(",".join(REPORT_HEADER)).alias("value"))
+    lines = title.unionByName(header).unionByName(body)
+    (lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "value")
+          .write.mode("overwrite").partitionBy("file").text(folder))
+    return folder
+
+
+REPORT_ROWS_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS ma_hoa_don, CAST(o_custkey AS VARCHAR) AS id_khach_hang,
+       o_orderstatus AS trang_thai, strftime(o_orderdate, '%Y-%m-%d') AS ngay_ghi,
+       o_orderpriority AS uu_tien, strftime(o_orderdate, '%Y-%m') AS report_month,
+       CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) - 1 AS BIGINT)
+         AS row_no
+FROM orders
+"""

@@ -21,6 +21,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -57,3 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def spread(df, min_partitions: int | None = None, keys: tuple[str, ...] = ()):
+    """Spread a scan that yields fewer partitions than the cluster has task
+    slots (e.g. a small table stored as one Parquet row group, which a scan
+    cannot split). With ``keys`` the rows are hash-partitioned on the key the
+    plan partitions by next (no local sort, and later joins or windows on
+    that key can reuse it); without, round-robin. Large inputs already have
+    many splits and pass through untouched, so no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
