@@ -693,3 +693,19 @@ def header_offset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = C.clean_cells(project_cells(data_records(scan), cols))
     return rows.select(*cols, F.regexp_extract("source_file", r"file=([^/]+)/", 1).alias("report_month"),
                        "row_no")
+
+
+# ---------------------------------------------------------- schema drift ---
+from sheetlake.operators.schema import evolve_union as _evolve_union, schema_drift as _schema_drift  # noqa: E402
+
+
+@register("evolve_union", T.UNION_SQL)
+def evolve_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union of differently shaped files by column name."""
+    return _evolve_union(T.order_file_rows(spark, sf_dir), T.line_file_rows(spark, sf_dir))
+
+
+@register("schema_drift", T.DRIFT_SQL)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per file, columns new to the table and stored columns it lacks."""
+    return _schema_drift(T.event_headers(spark, sf_dir), list(T.DRIFT_EXISTING))

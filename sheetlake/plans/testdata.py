@@ -464,3 +464,59 @@ SELECT CAST(o_orderkey AS VARCHAR) AS ma_hoa_don, CAST(o_custkey AS VARCHAR) AS
          AS row_no
 FROM orders
 """
+
+
+# ---------------------------------------------------------- schema drift ---
+# Two exports of differently shaped files (orders-like and lineitem-like) for
+# the schema union; and per-file headers taken from ``events``: every user is
+# a file whose columns are the event types it recorded.
+
+# --- Fixed values: the stored schema the drift report compares against. ---
+DRIFT_EXISTING = ("click", "signup", "view", "refund")
+# ---------------------------------------------------------------------------
+
+
+def order_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("ma_hoa_don"),
+                    F.col("o_custkey").cast("string").alias("id_khach_hang"),
+                    F.col("o_orderstatus").alias("loai_hoa_don"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("ngay_ghi"),
+                    F.concat(F.lit("orders/"), F.col("o_orderpriority"), F.lit(".csv")).alias("source_file"))
+
+
+def line_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").cast("string").alias("ma_hoa_don"),
+                     F.col("l_partkey").cast("string").alias("san_pham"),
+                     F.col("l_linestatus").alias("loai_du_lieu"),
+                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("ngay_ghi"),
+                     F.concat(F.lit("lines/"), F.col("l_linestatus"), F.lit(".csv")).alias("source_file"))
+
+
+def event_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(_file_path().alias("source_file"), F.col("event_type").alias("column_name")).distinct()
+
+
+UNION_SQL = """
+SELECT id_khach_hang, loai_du_lieu, loai_hoa_don, ma_hoa_don, ngay_ghi, san_pham, source_file FROM (
+  SELECT CAST(o_orderkey AS VARCHAR) AS ma_hoa_don, CAST(o_custkey AS VARCHAR) AS id_khach_hang,
+         o_orderstatus AS loai_hoa_don, strftime(o_orderdate, '%Y-%m-%d') AS ngay_ghi,
+         'orders/' || o_orderpriority || '.csv' AS source_file FROM orders
+  UNION ALL BY NAME
+  SELECT CAST(l_orderkey AS VARCHAR) AS ma_hoa_don, CAST(l_partkey AS VARCHAR) AS san_pham,
+         l_linestatus AS loai_du_lieu, strftime(l_shipdate, '%Y-%m-%d') AS ngay_ghi,
+         'lines/' || l_linestatus || '.csv' AS source_file FROM lineitem
+)"""
+
+DRIFT_SQL = f"""
+WITH h AS (SELECT DISTINCT {FILE_PATH_SQL} AS source_file, event_type AS column_name FROM events),
+known AS (SELECT unnest([{", ".join(f"'{c}'" for c in DRIFT_EXISTING)}]) AS column_name),
+files AS (SELECT DISTINCT source_file FROM h)
+SELECT source_file, column_name, 'new' AS drift FROM h
+WHERE column_name NOT IN (SELECT column_name FROM known)
+UNION ALL
+SELECT f.source_file, k.column_name, 'missing' AS drift FROM files f, known k
+WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.source_file = f.source_file AND h.column_name = k.column_name)
+"""
