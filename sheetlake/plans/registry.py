@@ -689,7 +689,8 @@ def header_offset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed, decoded with a header offset, folded, unioned and projected."""
     folder = T.write_report_files(spark, sf_dir, scratch_path(spark, f"reports-{_uuid.uuid4().hex}"))
     scan = scan_report_rows(spark, {folder: "don_hang"}, {"don_hang": 1}, glob="*.txt")
-    cols = union_schema(header_records(scan), "don_hang")
+    heads = scan_report_rows(spark, {folder: "don_hang"}, {"don_hang": 1}, glob="*.txt", header_only=True)
+    cols = union_schema(header_records(heads), "don_hang")
     rows = C.clean_cells(project_cells(data_records(scan), cols))
     return rows.select(*cols, F.regexp_extract("source_file", r"file=([^/]+)/", 1).alias("report_month"),
                        "row_no")

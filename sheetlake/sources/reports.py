@@ -29,22 +29,24 @@ SCAN_SCHEMA = ("table_name string, source_file string, row_no long, names array<
 HEADER_ROW, ERROR_ROW = -1, -2
 CHUNK_ROWS = 10_000
 
-Decoder = Callable[[bytes, int], pd.DataFrame]
+Decoder = Callable[[bytes, int, "int | None"], pd.DataFrame]
 
 
-def decode_csv(content: bytes, header_row: int) -> pd.DataFrame:
+def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> pd.DataFrame:
     """Rows above ``header_row`` (0-based) are title rows. All cells are
-    text; empty cells and the usual NA spellings become NULL."""
-    return pd.read_csv(io.BytesIO(content), header=header_row, dtype=str)
+    text; empty cells and the usual NA spellings become NULL. ``nrows=0``
+    reads the header only."""
+    return pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, nrows=nrows)
 
 
-def decode_xlsx(content: bytes, header_row: int) -> pd.DataFrame:
+def decode_xlsx(content: bytes, header_row: int, nrows: int | None = None) -> pd.DataFrame:
     """First sheet of a workbook (needs ``openpyxl`` on the executors)."""
     try:
         import openpyxl  # noqa: F401
     except ImportError as e:  # pragma: no cover - depends on the deployment
         raise RuntimeError("xlsx decoding needs openpyxl on the executors") from e
-    return pd.read_excel(io.BytesIO(content), header=header_row, dtype=str, engine="openpyxl")
+    return pd.read_excel(io.BytesIO(content), header=header_row, dtype=str, engine="openpyxl",
+                         nrows=nrows)
 
 
 DECODERS: dict[str, Decoder] = {"csv": decode_csv, "xlsx": decode_xlsx}
@@ -62,12 +64,13 @@ def fold_header(raw_names) -> tuple[list[str], list[int]]:
     return names, keep
 
 
-def _records(decoder: Decoder, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _records(decoder: Decoder, batches: Iterator[pd.DataFrame],
+             header_only: bool = False) -> Iterator[pd.DataFrame]:
     for files in batches:
         for table_name, source_file, header_row, content in zip(
                 files["table_name"], files["source_file"], files["header_row"], files["content"]):
             try:
-                frame = decoder(bytes(content), int(header_row))
+                frame = decoder(bytes(content), int(header_row), 0 if header_only else None)
                 names, keep = fold_header(frame.columns)
             except Exception as e:  # an unreadable file must not stop the run
                 yield pd.DataFrame({"table_name": [table_name], "source_file": [source_file],
@@ -77,12 +80,13 @@ def _records(decoder: Decoder, batches: Iterator[pd.DataFrame]) -> Iterator[pd.D
             yield pd.DataFrame({"table_name": [table_name], "source_file": [source_file],
                                 "row_no": [HEADER_ROW], "names": [names], "cells": [None],
                                 "error": [None]})
-            body = frame.iloc[:, keep]
-            body.columns = names
+            if header_only:
+                continue
+            body = frame.iloc[:, keep].astype(object)
+            body = body.where(body.notna(), None)
             for start in range(0, len(body), CHUNK_ROWS):
                 part = body.iloc[start:start + CHUNK_ROWS]
-                cells = [{k: (None if pd.isna(v) else str(v)) for k, v in row.items()}
-                         for row in part.to_dict("records")]
+                cells = [dict(zip(names, row)) for row in part.itertuples(index=False, name=None)]
                 yield pd.DataFrame({"table_name": table_name, "source_file": source_file,
                                     "row_no": range(start, start + len(part)), "names": None,
                                     "cells": cells, "error": None})
@@ -90,10 +94,12 @@ def _records(decoder: Decoder, batches: Iterator[pd.DataFrame]) -> Iterator[pd.D
 
 def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
                      header_rows: Mapping[str, int], glob: str = "*.csv", decode: str = "csv",
-                     since: dt.datetime | None = None) -> DataFrame:
+                     since: dt.datetime | None = None, header_only: bool = False) -> DataFrame:
     """Decode every report file under the folders into landed records.
 
     ``header_rows``: 0-based header row per table (rows above are titles).
+    ``header_only``: emit header and error records only (the cheap first
+    pass that fixes the table schema, A6).
     """
     decoder = DECODERS[decode]
     frames = []
@@ -107,7 +113,7 @@ def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
     files = frames[0]
     for f in frames[1:]:
         files = files.unionByName(f)
-    return files.mapInPandas(lambda it: _records(decoder, it), SCAN_SCHEMA)
+    return files.mapInPandas(lambda it: _records(decoder, it, header_only), SCAN_SCHEMA)
 
 
 def header_records(scan: DataFrame) -> DataFrame:

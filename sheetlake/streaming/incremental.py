@@ -92,9 +92,9 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
             good = typed
         else:
             # existing columns keep their stored type; new columns are promoted
+            # date columns are always parsed (they are stored as dates)
             flagged = _coerce_to(stored, promote_types(text, columns=new_cols,
-                                                        date_columns=[c for c in DATE_COLUMNS.get(table, ())
-                                                                      if c in new_cols]), table)
+                                                        date_columns=DATE_COLUMNS.get(table, ())), table)
             good = flagged.filter("_ok").drop("_ok")
         S.replace_partitions(good, S.path(warehouse, table))
         outcomes.append(_with_skips(file_outcomes(scan, text, table, ops), text, good))

@@ -23,15 +23,20 @@ def write(path, text, age=0):
 
 def test_init_daily_reports(spark, workdir):
     src, wh = f"{workdir}/src", f"{workdir}/wh"
-    fm = {f"{src}/cancel": "cancellation_bills", f"{src}/revenue": "sales_revenue"}
-    hr = {"cancellation_bills": 1, "sales_revenue": 1}
+    fm = {f"{src}/cancel": "cancellation_bills", f"{src}/revenue": "sales_revenue",
+          f"{src}/customer": "customer_data"}
+    hr = {"cancellation_bills": 1, "sales_revenue": 1, "customer_data": 2}
+    write(f"{src}/customer/k1.csv", "T\nT2\nID,Ngày sinh\n7.0,32290.0\n", age=7200)
     write(f"{src}/cancel/c1.csv", "Title\nMã hóa đơn\n1.0\nHD2\n", age=7200)
     write(f"{src}/revenue/r1.csv", "Title\nMã hóa đơn,Số tiền,Ngày ghi\nHD1,100,2026-01-02\nHD3,50,2026-01-03\n",
           age=7200)
     write(f"{src}/revenue/r2.csv", "Title\nMã hóa đơn,Số tiền,Ngày ghi\nHD4,7,2026-01-05\n", age=7200)
     t0 = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=1)
     first = init(spark, fm, hr, wh, now=t0)
-    assert first["files_processed"] == 3
+    assert first["files_processed"] == 4
+    cust = spark.read.parquet(S.path(wh, "customer_data"))
+    assert dict(cust.dtypes)["ngay_sinh"] == "date"
+    assert [(r.id, r.ngay_sinh) for r in cust.collect()] == [("7", dt.date(1988, 5, 27))]
 
     sales = spark.read.parquet(S.path(wh, "sales_revenue"))
     types = dict(sales.dtypes)
@@ -45,6 +50,7 @@ def test_init_daily_reports(spark, workdir):
     write(f"{src}/revenue/r1.csv", "Title\nMã hóa đơn,Số tiền,Ngày ghi,Ghi chú\nHD1,120,2026-01-02,x\n")
     os.remove(f"{src}/revenue/r2.csv")
     write(f"{src}/revenue/r3.csv", "Title\nMã hóa đơn,Số tiền,Ngày ghi\nHD5,9,2026-01-06\nHD6,abc,2026-01-07\n")
+    write(f"{src}/customer/k2.csv", "T\nT2\nID,Ngày sinh\n8,27/05/1988\n")
     with open(f"{src}/revenue/bad.csv", "wb") as fh:
         fh.write(b"\x00\x01")
     second = daily(spark, fm, hr, wh)
@@ -53,6 +59,9 @@ def test_init_daily_reports(spark, workdir):
     sales = spark.read.option("mergeSchema", "true").parquet(S.path(wh, "sales_revenue"))
     got = sorted((r.ma_hoa_don, str(r.so_tien), r.ghi_chu) for r in sales.collect())
     assert got == [("HD1", "120", "x"), ("HD5", "9", None)]   # HD6 rejected: amount is not a number
+    cust = spark.read.option("mergeSchema", "true").parquet(S.path(wh, "customer_data"))
+    assert sorted((r.id, r.ngay_sinh) for r in cust.collect()) == [("7", dt.date(1988, 5, 27)),
+                                                                  ("8", dt.date(1988, 5, 27))]
     archived = spark.read.parquet(S.path(wh, "sales_revenue_deleted"))
     assert [r.ma_hoa_don for r in archived.collect()] == ["HD4"]
     assert archived.filter(F.col("deleted_at").isNull()).count() == 0

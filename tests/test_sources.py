@@ -107,3 +107,13 @@ def test_large_file_chunks(spark, workdir):
     rows = data_records(scan)
     assert rows.count() == 25_000
     assert rows.agg(F.countDistinct("row_no")).collect()[0][0] == 25_000
+
+
+def test_header_only_scan(spark, workdir):
+    write(f"{workdir}/r/a.csv", "T\nBill ID,Amount\n1,2\n3,4\n")
+    with open(f"{workdir}/r/bad.csv", "wb") as fh:
+        fh.write(b"\x00")
+    scan = scan_report_rows(spark, {f"{workdir}/r": "t"}, {"t": 1}, header_only=True)
+    assert data_records(scan).count() == 0
+    assert union_schema(header_records(scan), "t") == ["amount", "bill_id"]
+    assert [e.source_file for e in scan_errors(scan).collect()] == ["r/bad.csv"]
