@@ -21,29 +21,54 @@ def newest_first(c: ColumnOrName) -> Column:
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
                   ties: str = "one", rank_col: str | None = None) -> DataFrame:
-    """Keep the first row(s) of every key group under ``order_by``.
-
-    ``ties="one"``  -> ``row_number() = 1``: exactly one row per key. The
-    remaining columns are appended to the ordering (descending, NULLs last)
-    so the pick is deterministic: tied rows that survive are equal in every
-    output column.
-    ``ties="all"``  -> ``dense_rank() = 1``: every row tied on ``order_by``.
-
-    NULL keys form one group, as in SQL window partitions. The filter sits
-    directly on the rank, so Catalyst plans a partial ``WindowGroupLimit``
-    before the shuffle: a hot key is cut down to its top rows on the map side
-    and never reaches one task whole.
+    """Keep exactly one row per key group: the first under ``order_by``
+    (``row_number() = 1``, ``DISTINCT ON``).
+
+    The remaining columns are appended to the ordering (descending, NULLs
+    last), so the pick is deterministic: tied rows that survive are equal in
+    every output column. NULL keys form one group, as in SQL window
+    partitions. The filter sits directly on the rank, so Catalyst plans a
+    partial ``WindowGroupLimit`` before the shuffle: every map task forwards
+    at most one row per key, and a hot key never reaches one task whole.
+
+    ``ties="all"`` is :func:`newest_rows` (needs a single column name in
+    ``order_by``).
     """
-    if ties not in ("one", "all"):
+    if ties == "all":
+        if len(order_by) != 1 or not isinstance(order_by[0], str):
+            raise ValueError("ties='all' takes one order column name (newest first)")
+        return newest_rows(df, keys, order_by[0], rank_col)
+    if ties != "one":
         raise ValueError("ties must be 'one' or 'all'")
-    ordering = list(order_by)
-    if ties == "one":
-        used = set(keys)
-        ordering += [F.col(c).desc_nulls_last() for c in df.columns if c not in used]
-        rank = F.row_number()
-    else:
-        rank = F.dense_rank()
+    used = set(keys)
+    ordering = list(order_by) + [F.col(f"`{c}`").desc_nulls_last() for c in df.columns if c not in used]
     name = rank_col or "__rank"
     w = Window.partitionBy(*keys).orderBy(*ordering)
-    out = df.withColumn(name, rank.over(w)).filter(F.col(name) == 1)
+    out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) == 1)
     return out if rank_col else out.drop(name)
+
+
+def newest_rows(df: DataFrame, keys: Sequence[str], order_col: str,
+                rank_col: str | None = None) -> DataFrame:
+    """All rows carrying the newest ``order_col`` of their key
+    (``dense_rank() OVER (PARTITION BY keys ORDER BY order_col DESC) = 1``;
+    a NULL time counts as newest, as in PostgreSQL).
+
+    Built as a per-key aggregate joined back, not as a window: the aggregate
+    is combined on the map side, and the join back is broadcast when AQE
+    measures the per-key table small, or sort-merge with skew splitting
+    otherwise. A key holding a third of all rows, all tied (e.g. the NULL
+    bill code), is spread over many tasks instead of one window task.
+    """
+    order = F.col(f"`{order_col}`")
+    top = df.groupBy(*keys).agg(F.max(order.isNull().cast("int")).alias("__has_null"),
+                                F.max(order).alias("__top"))
+    top = top.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], "__has_null", "__top")
+    cond = None
+    for i, k in enumerate(keys):
+        c = df[f"`{k}`"].eqNullSafe(top[f"__k{i}"])
+        cond = c if cond is None else cond & c
+    joined = df.join(top, cond, "inner")
+    newest = F.when(F.col("__has_null") == 1, order.isNull()).otherwise(order == F.col("__top"))
+    out = joined.filter(newest).select(*[F.col(f"`{c}`") for c in df.columns])
+    return out.withColumn(rank_col, F.lit(1)) if rank_col else out

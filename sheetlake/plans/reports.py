@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sheetlake.functions.dates import parse_flexible_date
 from sheetlake.functions.revenue import RevenueRules, amount_value, net_revenue
 from sheetlake.operators.keys import exclude_keys
-from sheetlake.operators.latest import latest_by_key, newest_first
+from sheetlake.operators.latest import latest_by_key, newest_first, newest_rows
 
 BILL = "ma_hoa_don"
 CUSTOMER = "id_khach_hang"
@@ -105,12 +105,12 @@ def current_bills(sales: DataFrame, cancellations: DataFrame,
     """All distinct lines carrying the newest update of their bill (ties
     kept, ``Rank_HD`` = 1), cancelled bills removed, with net revenue.
 
-    Distinct runs after the rank: rank 1 does not depend on duplicates, and
-    the distinct then reuses the bill partitioning of the window.
+    Cancellation is decided per bill, so cancelled bills go first. Distinct
+    runs after the rank: rank 1 does not depend on duplicates.
     """
-    ranked = latest_by_key(sales.select(*BILL_COLUMNS), [BILL], [newest_first(BILL_UPDATED)],
-                           ties="all", rank_col="Rank_HD")
-    live = exclude_keys(ranked.distinct(), cancellations, BILL)
+    live = exclude_keys(sales.select(*BILL_COLUMNS), cancellations, BILL)
+    ranked = newest_rows(live, [BILL], BILL_UPDATED, rank_col="Rank_HD")
+    live = ranked.distinct()
     return with_revenue(live, rules).select(*BILL_COLUMNS, "Rank_HD", "revenue")
 
 
