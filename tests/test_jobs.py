@@ -89,3 +89,29 @@ def test_init_daily_reports(spark, workdir):
                       views={"sales_revenue": S.read(spark, S.path(wh, "sales_revenue"))})
     assert len(res["ok"]) == 1 and res["skipped"] == ["empty.sql"] and res["errors"][0][0] == "broken.sql"
     assert spark.read.parquet(res["ok"][0]).count() == 2
+
+
+def test_incremental_equals_full_reload(spark, workdir):
+    src = f"{workdir}/src"
+    fm = {f"{src}/revenue": "sales_revenue"}
+    hr = {"sales_revenue": 0}
+    write(f"{src}/revenue/a.csv", "Mã hóa đơn,Số tiền\nA1,1\nA2,2\n", age=7200)
+    write(f"{src}/revenue/b.csv", "Mã hóa đơn,Số tiền\nB1,3\n", age=7200)
+    write(f"{src}/revenue/c.csv", "Mã hóa đơn,Số tiền\nC1,4\n", age=7200)
+    t0 = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=1)
+    init(spark, fm, hr, f"{workdir}/wh1", now=t0)
+    write(f"{src}/revenue/a.csv", "Mã hóa đơn,Số tiền,Ghi chú\nA1,10,x\n")
+    os.remove(f"{src}/revenue/b.csv")
+    write(f"{src}/revenue/d/e.csv", "Mã hóa đơn,Số tiền\nD1,5\nD2,6\n")
+    daily(spark, fm, hr, f"{workdir}/wh1")
+    init(spark, fm, hr, f"{workdir}/wh2")
+
+    def rows(wh):
+        df = spark.read.option("mergeSchema", "true").parquet(S.path(wh, "sales_revenue"))
+        cols = sorted(c for c in df.columns)
+        return sorted(tuple("<null>" if r[c] is None else str(r[c]) for c in cols) for r in df.collect()), cols
+
+    inc, inc_cols = rows(f"{workdir}/wh1")
+    full, full_cols = rows(f"{workdir}/wh2")
+    assert inc_cols == full_cols and inc == full
+    assert [r[-1] for r in full] is not None and len(full) == 4
