@@ -55,8 +55,10 @@ def schema_drift(headers: DataFrame, existing: Sequence[str],
     per_file = headers.groupBy("source_file").agg(F.collect_set("column_name").alias("cols"))
     known = F.array(*[F.lit(c) for c in existing]) if existing else F.array().cast("array<string>")
     needed = F.array(*[F.lit(c) for c in required]) if required else F.array().cast("array<string>")
-    new = per_file.select("source_file", F.explode(F.array_except("cols", known)).alias("column_name"),
-                          F.lit("new").alias("drift"))
-    missing = per_file.select("source_file", F.explode(F.array_except(needed, "cols")).alias("column_name"),
-                              F.lit("missing").alias("drift"))
-    return new.unionByName(missing)
+
+    def tagged(names, drift: str):
+        return F.transform(names, lambda n: F.struct(n.alias("column_name"), F.lit(drift).alias("drift")))
+
+    drifts = F.concat(tagged(F.array_except("cols", known), "new"),
+                      tagged(F.array_except(needed, "cols"), "missing"))
+    return per_file.select("source_file", F.inline(drifts))
