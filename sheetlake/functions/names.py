@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import regex
 import sys
 import unicodedata
 from functools import lru_cache
@@ -21,29 +22,16 @@ IDENTIFIER_SUFFIXES = ("_id", "_pid")
 # -------------------------------------------------------------------------
 
 
-def fold_name_py(name: object) -> str:
-    """The folding rule on one Python string (reference for tests and for
-    short lists such as a header)."""
-    s = str(name)
-    for a, b in EXTRA_FOLDS.items():
-        s = s.replace(a, b)
-    s = unicodedata.normalize("NFD", s)
-    s = "".join(ch for ch in s if unicodedata.category(ch) != "Mn")
-    s = s.lower().replace("%", "per").replace("(", "").replace(")", "")
-    s = re.sub(r"[^a-z0-9]+", "_", s).strip("_")
-    return s or EMPTY_NAME
-
-
 def _strip_marks(ch: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
 
 
 @lru_cache(maxsize=1)
 def fold_table() -> tuple[str, str]:
-    """``translate`` table derived from the Unicode database: every character
-    whose canonical decomposition, without combining marks, is a single
-    character that lower-cases to an ASCII letter or digit. All other
-    non-ASCII characters end up in an ``_`` run either way."""
+    """Letter table derived from the Unicode database: every character whose
+    canonical decomposition, without combining marks, is a single character
+    that lower-cases to an ASCII letter or digit. All other non-ASCII
+    characters end up in an ``_`` run either way."""
     src, dst = list(EXTRA_FOLDS), list(EXTRA_FOLDS.values())
     for cp in range(0x80, sys.maxunicode + 1):
         ch = chr(cp)
@@ -56,13 +44,41 @@ def fold_table() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+# After the letter table and lower-casing, these rewrites run in order; the
+# same list drives the JVM expression and the Python form.
+FOLD_STEPS: tuple[tuple[str, str], ...] = (
+    (r"\p{Mn}", ""),          # combining marks of decomposed input
+    (r"%", "per"),
+    (r"[()]", ""),
+    (r"[^a-z0-9]+", "_"),
+    (r"^_+|_+$", ""),
+)
+
+
+@lru_cache(maxsize=1)
+def _py_fold():
+    src, dst = fold_table()
+    table = str.maketrans(src, dst)
+    steps = [(regex.compile(p), r) for p, r in FOLD_STEPS]
+    return table, steps
+
+
+def fold_name_py(name: object) -> str:
+    """:func:`fold_name` for one Python string (used per file header)."""
+    table, steps = _py_fold()
+    s = str(name).translate(table).lower()
+    for pattern, repl in steps:
+        s = pattern.sub(repl, s)
+    return s or EMPTY_NAME
+
+
 def fold_name(c: Column) -> Column:
-    """:func:`fold_name_py` as a JVM column expression (no Python UDF)."""
+    """Fold a column of names: accents off, lower case, ``%`` -> ``per``,
+    runs of other characters -> ``_`` (JVM expressions only, no UDF)."""
     src, dst = fold_table()
-    s = F.translate(c, src, dst)
-    s = F.lower(F.regexp_replace(s, r"\p{Mn}", ""))
-    s = F.regexp_replace(F.regexp_replace(s, "%", "per"), r"[()]", "")
-    s = F.regexp_replace(F.regexp_replace(s, r"[^a-z0-9]+", "_"), r"^_+|_+$", "")
+    s = F.lower(F.translate(c, src, dst))
+    for pattern, repl in FOLD_STEPS:
+        s = F.regexp_replace(s, pattern, repl)
     return F.when(c.isNull(), F.lit(None)).when(s == "", F.lit(EMPTY_NAME)).otherwise(s)
 
 

@@ -63,10 +63,25 @@ def test_fold_matches_python_rule(spark, name):
     assert got == fold_name_py(name)
 
 
-def test_fold_known_values():
-    assert fold_name_py("Ngày cập nhật hóa đơn cuối") == "ngay_cap_nhat_hoa_don_cuoi"
-    assert fold_name_py("Tỷ lệ (%)") == "ty_le_per"
-    assert fold_name_py("") == "col"
+@pytest.mark.parametrize("raw, folded", [
+    ("Ngày cập nhật hóa đơn cuối", "ngay_cap_nhat_hoa_don_cuoi"),
+    ("Số tiền thực tế thu", "so_tien_thuc_te_thu"),
+    ("Tên đối tượng thanh toán", "ten_doi_tuong_thanh_toan"),
+    ("ĐỊA CHỈ", "dia_chi"),
+    ("Tỷ lệ (%)", "ty_le_per"),
+    ("Ma\u0303 ho\u0301a \u0111o\u031bn", "ma_hoa_don"),   # decomposed input
+    ("Bill ID", "bill_id"),
+    ("  Note ", "note"),
+    ("\u212Aelvin", "kelvin"),                                 # Kelvin sign
+    ("\u0130stanbul", "istanbul"),                             # dotted capital I
+    ("(a)(b)", "ab"),
+    ("--", "col"),
+    ("", "col"),
+])
+def test_fold_known_values(spark, raw, folded):
+    assert fold_name_py(raw) == folded
+    got = spark.createDataFrame([(raw,)], "v string").select(fold_name(F.col("v"))).collect()[0][0]
+    assert got == folded
 
 
 def test_identifier_names(spark):
