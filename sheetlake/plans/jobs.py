@@ -45,13 +45,13 @@ def runs(spark: SparkSession, warehouse: str) -> DataFrame | None:
     return None if events is None else L.run_log(events)
 
 
-def land_scan(spark: SparkSession, scan: DataFrame, run_id: int) -> DataFrame:
+def land_scan(spark: SparkSession, scan: DataFrame, run_id: int) -> tuple[DataFrame, str]:
     """Decode once: write the decoded records to the shared checkpoint
     folder and continue from the written copy (cuts lineage; a lost
     executor never re-decodes files)."""
     p = scratch_path(spark, f"scan-{run_id}-{uuid.uuid4().hex[:8]}")
     scan.write.mode("overwrite").parquet(p)
-    return spark.read.parquet(p)
+    return spark.read.parquet(p), p
 
 
 def landed_table(scan: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -89,7 +89,8 @@ def init(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappin
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = new_run_id(now)
     write_run_event(spark, warehouse, run_id, "started", "init", now)
-    scan = land_scan(spark, scan_report_rows(spark, folder_map, header_rows, glob, decode), run_id)
+    scan, scan_path = land_scan(spark, scan_report_rows(spark, folder_map, header_rows, glob, decode),
+                                run_id)
     headers = header_records(scan)
     tables = [r[0] for r in scan.select("table_name").distinct().collect()]
     outcomes = []
@@ -111,6 +112,7 @@ def init(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappin
     rows = L.ledger_rows(ledger, F.lit(now).cast("timestamp")).withColumn("run_id", F.lit(run_id))
     S.overwrite(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
     stats = L.run_summary(rows, "run_id").collect()[0]
+    S.remove(spark, scan_path)
     done = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     write_run_event(spark, warehouse, run_id, "finished", "init", done,
                     stats["files_processed"], stats["files_skipped"], 0)

@@ -79,3 +79,11 @@ def drop_sources(spark: SparkSession, p: str, sources: DataFrame, source_col: st
         hp = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))  # the name is URI-encoded
         hp.getFileSystem(conf).delete(hp, True)
     return len(folders)
+
+
+def remove(spark: SparkSession, p: str) -> None:
+    """Delete a scratch folder written by this package (the landed scan of a
+    finished run)."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(p)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)

@@ -22,6 +22,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of collected DataFrames are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -67,7 +69,10 @@ def spread(df, min_partitions: int | None = None, keys: tuple[str, ...] = ()):
     plan partitions by next (no local sort, and later joins or windows on
     that key can reuse it); without, round-robin. Large inputs already have
     many splits and pass through untouched, so no shuffle is added at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -56,20 +56,25 @@ def _coerce_to(stored: DataFrame, fresh: DataFrame, table: str) -> DataFrame:
 
 def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
           warehouse: str, glob: str = "*.csv", decode: str = "csv",
-          now: dt.datetime | None = None) -> dict:
+          now: dt.datetime | None = None, since: dt.datetime | None = None) -> dict:
     """One incremental run. Commit order: data, archive, ledger, run end, so
-    a crash re-processes files rather than losing them."""
+    a crash re-processes files rather than losing them.
+
+    Files modified after ``since`` are read (default: the start of the newest
+    finished run; no run yet means all files). A table whose load failed is
+    listed in ``errors``; its files are read again once modified, or when a
+    run is started with an earlier ``since``.
+    """
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = new_run_id(now)
     history = runs(spark, warehouse)
-    since = None
-    if history is not None:
+    if since is None and history is not None:
         since = L.last_run_time(history).collect()[0][0]
     write_run_event(spark, warehouse, run_id, "started", "daily", now)
     ledger = S.read(spark, S.path(warehouse, S.LEDGER))
 
-    scan = land_scan(spark, scan_report_rows(spark, folder_map, header_rows, glob, decode, since=since),
-                     run_id)
+    scan, scan_path = land_scan(
+        spark, scan_report_rows(spark, folder_map, header_rows, glob, decode, since=since), run_id)
     headers = header_records(scan)
     changed = list_reports(spark, folder_map, glob, since)
     ops = (L.classify_ops(changed.select("rel_path"), ledger) if ledger is not None
@@ -77,27 +82,12 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
     # The ledger is rewritten below: cut the read of it out of the plan.
     ops = ops.checkpoint()
     outcomes = []
+    errors: list[tuple[str, str]] = []
     for table in sorted(r[0] for r in scan.select("table_name").distinct().collect()):
-        stored = S.read(spark, S.path(warehouse, table))
         try:
-            cols = union_schema(headers, table)
-        except ValueError:
-            outcomes.append(file_outcomes(scan, None, table, ops))
-            continue
-        text = landed_table(scan, table, cols)
-        S.replace_partitions(text, S.text_path(warehouse, table))
-        new_cols = [c for c in cols if stored is None or c not in stored.columns]
-        if stored is None:
-            typed = promote_types(text, date_columns=DATE_COLUMNS.get(table, ()))
-            good = typed
-        else:
-            # existing columns keep their stored type; new columns are promoted
-            # date columns are always parsed (they are stored as dates)
-            flagged = _coerce_to(stored, promote_types(text, columns=new_cols,
-                                                        date_columns=DATE_COLUMNS.get(table, ())), table)
-            good = flagged.filter("_ok").drop("_ok")
-        S.replace_partitions(good, S.path(warehouse, table))
-        outcomes.append(_with_skips(file_outcomes(scan, text, table, ops), text, good))
+            outcomes.append(_load_table(spark, warehouse, scan, headers, table, ops))
+        except Exception as e:  # one table must not stop the others; reported in the run's errors
+            errors.append((table, str(e).splitlines()[0]))
 
     # vanished files: archive their rows, then drop their partitions
     deleted = 0
@@ -105,25 +95,15 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
         listing = list_reports(spark, folder_map, glob)
         gone = L.deleted_sources(L.active_files(ledger), listing).checkpoint()
         for table in sorted(r[0] for r in gone.select("table_name").distinct().collect()):
-            stored = S.read(spark, S.path(warehouse, table))
-            if stored is None:
+            try:
+                archived = _archive_table(spark, warehouse, gone.filter(F.col("table_name") == table),
+                                          table, run_id, now)
+            except Exception as e:
+                errors.append((table, str(e).splitlines()[0]))
                 continue
-            gone_t = gone.filter(F.col("table_name") == table)
-            _, moved = archive_split(stored, gone_t, deleted_at=F.lit(now).cast("timestamp"))
-            moved = moved.withColumn("deleted_run", F.lit(run_id))
-            archive = S.path(warehouse, f"{table}_deleted")
-            S.replace_partitions(moved, archive, partition_by=("deleted_run", S.SOURCE))
-            # counts come from the written archive: the source rows are dropped next
-            counts = (spark.read.option("mergeSchema", "true").parquet(archive)
-                      .filter(F.col("deleted_run") == run_id)
-                      .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))).checkpoint()
-            S.drop_sources(spark, S.path(warehouse, table), gone_t, "file_path")
-            S.drop_sources(spark, S.text_path(warehouse, table), gone_t, "file_path")
-            outcomes.append(gone_t.join(counts.withColumnRenamed("source_file", "file_path"), "file_path", "left")
-                            .select("file_path", "table_name",
-                                    F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
-                                    F.lit(L.SUCCESS).alias("status"), F.lit(L.DELETED).alias("operation")))
-        deleted = gone.count()
+            if archived is not None:
+                outcomes.append(archived)
+                deleted += archived.count()
 
     processed = skipped = 0
     if outcomes:
@@ -134,10 +114,59 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
         S.replace_partitions(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
         stats = L.run_summary(rows, "run_id").collect()[0]
         processed, skipped = stats["files_processed"], stats["files_skipped"]
+    S.remove(spark, scan_path)
     done = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    write_run_event(spark, warehouse, run_id, "finished", "daily", done, processed, skipped, 0)
+    write_run_event(spark, warehouse, run_id, "finished", "daily", done, processed, skipped, len(errors))
     return {"run_id": run_id, "files_processed": processed, "files_skipped": skipped,
-            "files_deleted": deleted, "since": since}
+            "files_deleted": deleted, "since": since, "errors": errors}
+
+
+def _load_table(spark: SparkSession, warehouse: str, scan: DataFrame, headers: DataFrame, table: str,
+                ops: DataFrame) -> DataFrame:
+    """Land the changed files of one table (text, then typed) and return
+    their ledger outcomes."""
+    stored = S.read(spark, S.path(warehouse, table))
+    try:
+        cols = union_schema(headers, table)
+    except ValueError:
+        return file_outcomes(scan, None, table, ops)
+    text = landed_table(scan, table, cols)
+    S.replace_partitions(text, S.text_path(warehouse, table))
+    new_cols = [c for c in cols if stored is None or c not in stored.columns]
+    if stored is None:
+        good = promote_types(text, date_columns=DATE_COLUMNS.get(table, ()))
+    else:
+        # existing columns keep their stored type; new columns are promoted (D6);
+        # date columns are always parsed (they are stored as dates)
+        flagged = _coerce_to(stored, promote_types(text, columns=new_cols,
+                                                    date_columns=DATE_COLUMNS.get(table, ())), table)
+        good = flagged.filter("_ok").drop("_ok")
+    S.replace_partitions(good, S.path(warehouse, table))
+    return _with_skips(file_outcomes(scan, text, table, ops), text, good).checkpoint()
+
+
+def _archive_table(spark: SparkSession, warehouse: str, gone: DataFrame, table: str, run_id: int,
+                   now: dt.datetime) -> DataFrame | None:
+    """Archive the rows of vanished files of one table, then drop their
+    partitions; returns the ledger outcomes (``DELETED``), counted from
+    the written archive."""
+    stored = S.read(spark, S.path(warehouse, table))
+    if stored is None:
+        return None
+    _, moved = archive_split(stored, gone, deleted_at=F.lit(now).cast("timestamp"))
+    archive = S.path(warehouse, f"{table}_deleted")
+    S.replace_partitions(moved.withColumn("deleted_run", F.lit(run_id)), archive,
+                         partition_by=("deleted_run", S.SOURCE))
+    counts = (spark.read.option("mergeSchema", "true").parquet(archive)
+              .filter(F.col("deleted_run") == run_id)
+              .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))).checkpoint()
+    S.drop_sources(spark, S.path(warehouse, table), gone, "file_path")
+    S.drop_sources(spark, S.text_path(warehouse, table), gone, "file_path")
+    return (gone.join(counts.withColumnRenamed("source_file", "file_path"), "file_path", "left")
+                .select("file_path", "table_name",
+                        F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+                        F.lit(L.SUCCESS).alias("status"), F.lit(L.DELETED).alias("operation"))
+                .checkpoint())
 
 
 def _with_skips(outcomes: DataFrame, text: DataFrame, good: DataFrame) -> DataFrame:
