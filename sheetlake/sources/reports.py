@@ -15,14 +15,14 @@ from __future__ import annotations
 
 import datetime as dt
 import io
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetlake.functions.names import fold_name_py
-from sheetlake.sources.listing import binary_files, source_path
+from sheetlake.sources.listing import _folder_path, binary_files, source_path
 
 SCAN_SCHEMA = ("table_name string, source_file string, row_no long, names array<string>, "
                "cells map<string,string>, error string")
@@ -94,28 +94,44 @@ def _records(decoder: Decoder, batches: Iterator[pd.DataFrame],
 
 def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
                      header_rows: Mapping[str, int], glob: str = "*.csv", decode: str = "csv",
-                     since: dt.datetime | None = None, header_only: bool = False) -> DataFrame:
+                     since: dt.datetime | None = None, header_only: bool = False,
+                     paths: Collection[str] | None = None) -> DataFrame:
     """Decode every report file under the folders into landed records.
 
     ``header_rows``: 0-based header row per table (rows above are titles).
     ``header_only``: emit header and error records only (the cheap first
     pass that fixes the table schema, A6).
+    ``paths``: read exactly these files (as listed by
+    :func:`~sheetlake.sources.listing.list_reports`) instead of the whole
+    folders; only the selected bodies are read.
     """
     decoder = DECODERS[decode]
     frames = []
     for folder, table_name in folder_map.items():
-        files = binary_files(spark, folder, glob, since)
+        if paths is None:
+            files = binary_files(spark, folder, glob, since)
+        else:
+            inside = [p for p in paths if _under(p, folder)]
+            if not inside:
+                continue
+            files = spark.read.format("binaryFile").load(inside)
         frames.append(files.select(
             F.lit(table_name).alias("table_name"),
             source_path("path", folder).alias("source_file"),
             F.lit(int(header_rows.get(table_name, 0))).alias("header_row"),
             "content"))
+    if not frames:
+        return spark.createDataFrame([], SCAN_SCHEMA)
     files = frames[0]
     for f in frames[1:]:
         files = files.unionByName(f)
     return files.mapInPandas(lambda it: _records(decoder, it, header_only), SCAN_SCHEMA)
 
 
+def _under(path: str, folder: str) -> bool:
+    return ("/" + _folder_path(folder).strip("/") + "/") in path
+
+
 def header_records(scan: DataFrame) -> DataFrame:
     """``table_name, source_file, position, column_name`` of readable files."""
     heads = scan.filter(F.col("row_no") == HEADER_ROW)

@@ -56,7 +56,8 @@ def _coerce_to(stored: DataFrame, fresh: DataFrame, table: str) -> DataFrame:
 
 def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
           warehouse: str, glob: str = "*.csv", decode: str = "csv",
-          now: dt.datetime | None = None, since: dt.datetime | None = None) -> dict:
+          now: dt.datetime | None = None, since: dt.datetime | None = None,
+          detect: str = "mtime") -> dict:
     """One incremental run. Commit order: data, archive, ledger, run end, so
     a crash re-processes files rather than losing them.
 
@@ -64,7 +65,13 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
     finished run; no run yet means all files). A table whose load failed is
     listed in ``errors``; its files are read again once modified, or when a
     run is started with an earlier ``since``.
+
+    ``detect="ledger"`` also reads every listed file the ledger does not show
+    as loaded (e.g. a file copied in with an old modification time, or one
+    whose load failed), comparing the folder listing with the ledger.
     """
+    if detect not in ("mtime", "ledger"):
+        raise ValueError("detect must be 'mtime' or 'ledger'")
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = new_run_id(now)
     history = runs(spark, warehouse)
@@ -73,10 +80,18 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
     write_run_event(spark, warehouse, run_id, "started", "daily", now)
     ledger = S.read(spark, S.path(warehouse, S.LEDGER))
 
-    scan, scan_path = land_scan(
-        spark, scan_report_rows(spark, folder_map, header_rows, glob, decode, since=since), run_id)
+    if detect == "ledger" and ledger is not None:
+        listing = list_reports(spark, folder_map, glob)
+        loaded = L.latest_ops(ledger).filter("is_loaded").select(F.col("file_path").alias("rel_path"))
+        modified = listing.filter(F.col("modified_at") > F.lit(since)) if since is not None else listing
+        changed = modified.unionByName(listing.join(loaded, "rel_path", "left_anti")).distinct().checkpoint()
+        paths = [r["path"] for r in changed.select("path").collect()]  # this run's file list only
+        raw = scan_report_rows(spark, folder_map, header_rows, glob, decode, paths=paths)
+    else:
+        changed = list_reports(spark, folder_map, glob, since)
+        raw = scan_report_rows(spark, folder_map, header_rows, glob, decode, since=since)
+    scan, scan_path = land_scan(spark, raw, run_id)
     headers = header_records(scan)
-    changed = list_reports(spark, folder_map, glob, since)
     ops = (L.classify_ops(changed.select("rel_path"), ledger) if ledger is not None
            else changed.select("rel_path", F.lit(L.INSERT).alias("operation")))
     # The ledger is rewritten below: cut the read of it out of the plan.

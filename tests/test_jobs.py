@@ -115,3 +115,18 @@ def test_incremental_equals_full_reload(spark, workdir):
     full, full_cols = rows(f"{workdir}/wh2")
     assert inc_cols == full_cols and inc == full
     assert [r[-1] for r in full] is not None and len(full) == 4
+
+
+def test_ledger_detection_finds_old_copies(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    fm = {f"{src}/revenue": "sales_revenue"}
+    hr = {"sales_revenue": 0}
+    write(f"{src}/revenue/a.csv", "Mã hóa đơn,Số tiền\nA1,1\n", age=7200)
+    init(spark, fm, hr, wh, now=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=1))
+    write(f"{src}/revenue/old.csv", "Mã hóa đơn,Số tiền\nO1,2\n", age=30 * 86400)  # copied in, old mtime
+    by_mtime = daily(spark, fm, hr, wh)
+    assert by_mtime["files_processed"] == 0
+    by_ledger = daily(spark, fm, hr, wh, detect="ledger")
+    assert by_ledger["files_processed"] == 1
+    got = sorted(r.ma_hoa_don for r in spark.read.parquet(S.path(wh, "sales_revenue")).collect())
+    assert got == ["A1", "O1"]
