@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType
+from pyspark.sql.types import StringType
 
 from sheetlake.functions.dates import parse_flexible_date
 from sheetlake.functions.names import is_identifier_name
@@ -114,5 +114,3 @@ def promote_types(df: DataFrame, columns: Sequence[str] | None = None, blank_as_
         out.append(c.alias(f.name))
     return df.select(*out)
 
-
-__all__ = ["type_profile", "decide_types", "promote_types", "candidate_columns", "DecimalType"]

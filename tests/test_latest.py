@@ -5,7 +5,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from sheetlake.operators.latest import latest_by_key, newest_first, newest_rows
 
@@ -63,11 +62,10 @@ def test_latest_one_per_key_is_deterministic(spark, seed):
 def test_hot_key_plan_has_map_side_limit(spark):
     df = spark.createDataFrame(rows(9), "k string, t timestamp, a int, b string")
     plan = latest_by_key(df, ["k"], [newest_first("t")])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") >= 2 or "WindowGroupLimit" in plan
+    assert "WindowGroupLimit" in plan
 
 
 def test_newest_rows_rank_column(spark):
     df = spark.createDataFrame([("a", None), ("a", dt.datetime(2026, 1, 1))], "k string, t timestamp")
     out = newest_rows(df, ["k"], "t", rank_col="r").collect()
     assert [(r.k, r.t, r.r) for r in out] == [("a", None, 1)]
-    assert F is not None
