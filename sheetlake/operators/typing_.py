@@ -51,8 +51,11 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         flags += [filled.alias(f"f{i}"), (raw.isNotNull() & (t == "")).alias(f"b{i}"),
                   is_num.alias(f"n{i}"), is_ts.alias(f"t{i}"),
                   (is_ts & t.try_cast("timestamp").isNull()).alias(f"x{i}"),
-                  F.when(is_num, F.length(F.regexp_extract(t, r"^[+-]?0*([0-9]*)", 1))).alias(f"d{i}"),
-                  F.when(is_num, F.length(F.regexp_extract(t, r"\.([0-9]+)$", 1))).alias(f"s{i}")]
+                  # cells already match the number pattern: plain string functions suffice
+                  F.when(is_num, F.length(F.ltrim(F.substring_index(t, ".", 1), F.lit("+-0"))))
+                   .alias(f"d{i}"),
+                  F.when(is_num, F.when(F.instr(t, ".") > 0, F.length(t) - F.instr(t, "."))
+                                  .otherwise(F.lit(0))).alias(f"s{i}")]
         measures.append(F.struct(
             F.count_if(F.col(f"f{i}")).alias("non_blank"),
             F.count_if(F.col(f"b{i}")).alias("blank_cells"),

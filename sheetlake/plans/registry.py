@@ -621,7 +621,7 @@ FROM lineitem
 """)
 def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stable row keys from file and row number."""
-    li = T.spread_table(spark, sf_dir, "lineitem")
+    li = T.spread_table(spark, sf_dir, "lineitem", "l_orderkey")
     rows = li.select(T._month_file().alias("source_file"),
                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_no"))
     return rows.withColumn("row_key", _row_key(F.col("source_file"), F.col("row_no")))
@@ -635,7 +635,7 @@ FROM documents
 """)
 def fold_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: the name-folding rule over whole document texts."""
-    docs = T.spread_table(spark, sf_dir, "documents")
+    docs = T.spread_table(spark, sf_dir, "documents", "doc_id")
     return docs.select("doc_id", _fold_name(F.col("text")).alias("folded"))
 
 

@@ -272,7 +272,7 @@ LEDGER_MAPPING_SQL = "WITH " + ",".join([LEDGER_SQL, EVENTS_TABLE_SQL, LISTING_S
 # exported sheets spell them (padding, ``.0`` tails, signs, blanks, junk).
 
 def identifier_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread_table(spark, sf_dir, "orders")
+    o = spread_table(spark, sf_dir, "orders", "o_orderkey")
     k = F.col("o_custkey").cast("string")
     pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
     raw = (F.when(pr == "1-URGENT", F.concat(k, F.lit(".0")))
@@ -327,7 +327,7 @@ MONTH_FILE_SQL = "'sales/' || strftime(l_shipdate, '%Y-%m') || '.csv'"
 
 def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as an all-text landing table, as the loader stores it."""
-    li = spread_table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
     d = F.date_format("l_shipdate", "yyyy-MM-dd")
     return li.select(
         _month_file().alias("source_file"),
@@ -364,7 +364,7 @@ landing AS (
 
 
 def date_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
     ymd = F.date_format("l_shipdate", "yyyyMMdd")
     n = F.col("l_linenumber")
     serial = F.concat(F.datediff(F.col("l_shipdate"), F.lit("1899-12-30").cast("date")).cast("string"),
@@ -399,7 +399,7 @@ cells AS (
 
 def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells bound for typed columns; some do not convert."""
-    li = spread_table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
     q = F.col("l_quantity").cast("bigint").cast("string")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     price = F.concat(F.col("l_partkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
