@@ -46,9 +46,17 @@ def read(spark: SparkSession, p: str) -> DataFrame | None:
     return spark.read.option("mergeSchema", "true").parquet(p)
 
 
+def _balanced(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Group rows by output partition before writing, so each source file is
+    written as a few files rather than one per task. The rebalance is sized
+    by AQE: a source file holding a large share of the rows is split over
+    several writers, small ones are coalesced."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite(df: DataFrame, p: str, partition_by: tuple[str, ...] = (SOURCE,)) -> None:
     """Static full overwrite (init, E3, F10)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(p)
@@ -56,7 +64,7 @@ def overwrite(df: DataFrame, p: str, partition_by: tuple[str, ...] = (SOURCE,))
 
 def replace_partitions(df: DataFrame, p: str, partition_by: tuple[str, ...] = (SOURCE,)) -> None:
     """Replace exactly the partitions present in ``df`` (E2 stored form)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(p))
 
 
