@@ -44,6 +44,7 @@ def folder_map(args: argparse.Namespace) -> dict[str, str]:
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
     from sheetlake.plans import jobs, storage
+    from sheetlake.plans.views import report_views
     from sheetlake.session import get_spark
     from sheetlake.streaming.incremental import daily
 
@@ -57,6 +58,12 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     else:
         views = {t: df for t in HEADER_ROWS
                  if (df := storage.read(spark, storage.path(args.warehouse, t))) is not None}
+        if len(views) == len(HEADER_ROWS):
+            try:
+                views.update(report_views(views["sales_revenue"], views["customer_data"],
+                                          views["cancellation_bills"]))
+            except Exception as e:  # a table without the report columns: base tables only
+                print(f"reports not registered: {str(e).splitlines()[0]}", file=sys.stderr)
         script_dir = args.script_dir
         if args.script:
             import os

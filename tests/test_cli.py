@@ -28,3 +28,31 @@ def test_modes(spark, workdir):
                 "--out-dir", f"{workdir}/out"], spark=spark)
     assert len(out["ok"]) == 1
     assert spark.read.parquet(out["ok"][0]).collect()[0].n == 1
+
+
+def test_report_views_over_landed_tables(spark, workdir):
+    wh = f"{workdir}/wh"
+    head = ("Báo cáo\nKỳ\nĐơn vị\nLoại dữ liệu,ID khách hàng,Khách hàng,PID,Loại doanh thu,Loại hóa đơn,"
+            "Mã hóa đơn,Sản phẩm,Số lượng,Ngày ghi,Ngày cập nhật hóa đơn cuối,Số tiền thực tế thu,"
+            "Tên đối tượng thanh toán,Doanh thu thực hiện\n")
+    write(f"{workdir}/revenue/r.csv", head +
+          "x,7,A,1,FnB,t,HD1,Cà phê,1,2026-03-01,2026-03-01 10:00:00,20,,20\n"
+          "x,7,A,1,Khác,t,HD2,Phí,1,2026-03-02,2026-03-02 10:00:00,10,,10\n"
+          "x,7,A,1,FnB,t,HD3,Trà,1,2026-03-02,2026-03-02 10:00:00,99,,99\n")
+    write(f"{workdir}/customer/k.csv", "Báo cáo\nKỳ\nID,Tên khách hàng,PID,Giới tính,Ngày sinh,"
+          "Chuyên viên tư vấn,Mức độ,Nguồn 1,Người giới thiệu ID,Người giới thiệu khách hàng PID,"
+          "Người giới thiệu khách hàng,Người giới thiệu nội bộ,Có phúc lợi tập đoàn,Cấp quyền lợi áp dụng,"
+          "Công ty 1,Tên bảo hiểm thanh toán,Quan hệ với cấp quyền lợi áp dụng,Ngày cuối cập nhật\n"
+          "7,An,1,,32290.0,,,,,,,,,,,,,2026-01-01\n")
+    write(f"{workdir}/cancel/c.csv", "Báo cáo\nKỳ\nMã hóa đơn\nHD3\n")
+    common = ["--warehouse", wh, "--revenue-dir", f"{workdir}/revenue", "--cancel-dir", f"{workdir}/cancel",
+              "--customer-dir", f"{workdir}/customer"]
+    main(["--mode", "init", *common], spark=spark)
+    write(f"{workdir}/script/s.sql", "SELECT id, tongdt, dt_fnb FROM customer_spending")
+    write(f"{workdir}/script/d.sql", "SELECT * FROM daily_revenue")
+    out = main(["--mode", "run_script", "--warehouse", wh, "--script-dir", f"{workdir}/script",
+                "--out-dir", f"{workdir}/out"], spark=spark)
+    assert not out["errors"], out["errors"]
+    spend = [p for p in out["ok"] if "/s_" in p][0]
+    r = spark.read.parquet(spend).collect()[0]
+    assert (r.id, int(r.tongdt), int(r.dt_fnb)) == ("7", 22, 20)   # 20 + round(0.15 * 10); HD3 cancelled
