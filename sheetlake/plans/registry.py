@@ -606,7 +606,8 @@ def promote_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("parse_flexible_date", f"""WITH {T.DATE_CELLS_SQL}
-SELECT l_orderkey, l_linenumber, ngay_sinh_raw, {flexible_date_sql("ngay_sinh_raw")} AS ngay_sinh FROM cells
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, ngay_sinh_raw,
+       {flexible_date_sql("ngay_sinh_raw")} AS ngay_sinh FROM cells
 """)
 def flexible_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates written in any of the export layouts."""
@@ -653,7 +654,7 @@ _COERCE_SQL = f"""WITH {T.TYPED_CELLS_SQL}, typed AS (
 
 
 @register("coerce_rejects", f"""{_COERCE_SQL}
-SELECT source_file, l_orderkey, l_linenumber, q AS so_luong, p AS don_gia,
+SELECT source_file, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, q AS so_luong, p AS don_gia,
        (so_luong IS NULL OR q IS NOT NULL) AND (don_gia IS NULL OR p IS NOT NULL) AS _ok
 FROM typed
 """)

@@ -15,6 +15,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="generated tables not present")
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -61,5 +63,7 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes} == dtypes
     assert len(srows) == len(drows)
     assert _digest(sdf.columns, srows) == _digest(dcols, drows)
