@@ -57,7 +57,7 @@ def _coerce_to(stored: DataFrame, fresh: DataFrame, table: str) -> DataFrame:
 def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
           warehouse: str, glob: str = "*.csv", decode: str = "csv",
           now: dt.datetime | None = None, since: dt.datetime | None = None,
-          detect: str = "mtime") -> dict:
+          detect: str = "mtime", failed_keeps_active: bool = False) -> dict:
     """One incremental run. Commit order: data, archive, ledger, run end, so
     a crash re-processes files rather than losing them.
 
@@ -69,6 +69,9 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
     ``detect="ledger"`` also reads every listed file the ledger does not show
     as loaded (e.g. a file copied in with an old modification time, or one
     whose load failed), comparing the folder listing with the ledger.
+    ``failed_keeps_active=True`` lets a file whose newest re-read failed still
+    count as present in the tables, so its rows are archived when it is
+    deleted later (by default such a file is no longer active, as before).
     """
     if detect not in ("mtime", "ledger"):
         raise ValueError("detect must be 'mtime' or 'ledger'")
@@ -108,7 +111,8 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
     deleted = 0
     if ledger is not None:
         listing = list_reports(spark, folder_map, glob)
-        gone = L.deleted_sources(L.active_files(ledger), listing).checkpoint()
+        active = L.active_files(ledger, failed_keeps_active=failed_keeps_active)
+        gone = L.deleted_sources(active, listing).checkpoint()
         for table in sorted(r[0] for r in gone.select("table_name").distinct().collect()):
             try:
                 archived = _archive_table(spark, warehouse, gone.filter(F.col("table_name") == table),
