@@ -81,7 +81,7 @@ def test_init_daily_reports(spark, workdir):
 
     # reports over the stored tables
     scripts = f"{workdir}/scripts"
-    write(f"{scripts}/script_1.sql", "SELECT CAST(ngay_ghi AS DATE) AS ngay, sum(so_tien) AS doanh_thu "
+    write(f"{scripts}/daily_revenue.sql", "SELECT CAST(ngay_ghi AS DATE) AS ngay, sum(so_tien) AS doanh_thu "
                                      "FROM sales_revenue GROUP BY 1 ORDER BY 1 DESC")
     write(f"{scripts}/empty.sql", "  ")
     write(f"{scripts}/broken.sql", "SELECT nope FROM sales_revenue")
