@@ -5,10 +5,11 @@ Inputs are the three landed tables with normalised column names:
 per customer id) and ``cancellations`` (cancellation_bills, only
 ``ma_hoa_don`` is used). Every function returns a lazy DataFrame.
 
-Shuffle shape: ranking per bill and per customer uses window partitions with
-a map-side ``WindowGroupLimit``; every rollup is a partial + final hash
-aggregate; the per-customer pieces are keyed on the customer id, so their
-joins meet on one hash partitioning.
+Shuffle shape: one-row-per-key ranking (per bill, per customer) uses window
+partitions with a map-side ``WindowGroupLimit``; the ties-kept ranking of
+the current bills is a per-bill aggregate joined back (skew-safe); every
+rollup is a partial + final hash aggregate; the per-customer pieces are
+keyed on the customer id, so their joins meet on one hash partitioning.
 """
 
 from __future__ import annotations
@@ -109,9 +110,8 @@ def current_bills(sales: DataFrame, cancellations: DataFrame,
     runs after the rank: rank 1 does not depend on duplicates.
     """
     live = exclude_keys(sales.select(*BILL_COLUMNS), cancellations, BILL)
-    ranked = newest_rows(live, [BILL], BILL_UPDATED, rank_col="Rank_HD")
-    live = ranked.distinct()
-    return with_revenue(live, rules).select(*BILL_COLUMNS, "Rank_HD", "revenue")
+    newest = newest_rows(live, [BILL], BILL_UPDATED, rank_col="Rank_HD").distinct()
+    return with_revenue(newest, rules).select(*BILL_COLUMNS, "Rank_HD", "revenue")
 
 
 def customer_spending(sales: DataFrame, customers: DataFrame, cancellations: DataFrame,

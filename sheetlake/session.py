@@ -29,13 +29,25 @@ DEFAULT_CONF: dict[str, str] = {
 
 def get_spark(master: str | None = None, app_name: str = "sheetlake",
               conf: dict[str, str] | None = None) -> SparkSession:
-    """Return a session with the package defaults (existing values kept)."""
+    """Return a session with the package defaults.
+
+    A default is applied only when the launch configuration (``spark-submit
+    --conf``, ``spark-defaults.conf``) or a running session does not set the
+    key already; values passed in ``conf`` always apply.
+    """
+    from pyspark import SparkConf
+
+    launch = SparkConf()  # spark.* properties the application was launched with
+    active = SparkSession.getActiveSession()
+    explicit = dict(conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    merged = dict(DEFAULT_CONF)
-    merged.update(conf or {})
-    for key, value in merged.items():
+    for key, value in DEFAULT_CONF.items():
+        already = launch.contains(key) or (active is not None and active.conf.get(key, None) is not None)
+        if key not in explicit and not already:
+            builder = builder.config(key, value)
+    for key, value in explicit.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     checkpoint_dir(spark)
