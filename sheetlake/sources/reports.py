@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import itertools
 from collections.abc import Callable, Collection, Iterator, Mapping
 
 import pandas as pd
@@ -29,24 +30,28 @@ SCAN_SCHEMA = ("table_name string, source_file string, row_no long, names array<
 HEADER_ROW, ERROR_ROW = -1, -2
 CHUNK_ROWS = 10_000
 
-Decoder = Callable[[bytes, int, "int | None"], pd.DataFrame]
+Decoder = Callable[[bytes, int, "int | None"], Iterator[pd.DataFrame]]
 
 
-def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> pd.DataFrame:
+def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> Iterator[pd.DataFrame]:
     """Rows above ``header_row`` (0-based) are title rows. All cells are
-    text; empty cells and the usual NA spellings become NULL. ``nrows=0``
+    text; empty cells and the usual NA spellings become NULL. The body is
+    read in chunks of ``CHUNK_ROWS`` (a header-only file gives one empty
+    chunk), so a large file never sits in memory as one table; ``nrows=0``
     reads the header only."""
-    return pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, nrows=nrows)
+    if nrows is not None:
+        yield pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, nrows=nrows)
+        return
+    yield from pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, chunksize=CHUNK_ROWS)
 
 
-def decode_xlsx(content: bytes, header_row: int, nrows: int | None = None) -> pd.DataFrame:
+def decode_xlsx(content: bytes, header_row: int, nrows: int | None = None) -> Iterator[pd.DataFrame]:
     """First sheet of a workbook (needs ``openpyxl`` on the executors)."""
     try:
         import openpyxl  # noqa: F401
     except ImportError as e:  # pragma: no cover - depends on the deployment
         raise RuntimeError("xlsx decoding needs openpyxl on the executors") from e
-    return pd.read_excel(io.BytesIO(content), header=header_row, dtype=str, engine="openpyxl",
-                         nrows=nrows)
+    yield pd.read_excel(io.BytesIO(content), header=header_row, dtype=str, engine="openpyxl", nrows=nrows)
 
 
 DECODERS: dict[str, Decoder] = {"csv": decode_csv, "xlsx": decode_xlsx}
@@ -64,32 +69,44 @@ def fold_header(raw_names) -> tuple[list[str], list[int]]:
     return names, keep
 
 
+def _error(table_name, source_file, e: Exception) -> pd.DataFrame:
+    return pd.DataFrame({"table_name": [table_name], "source_file": [source_file], "row_no": [ERROR_ROW],
+                         "names": [None], "cells": [None], "error": [f"{type(e).__name__}: {e}"]})
+
+
 def _records(decoder: Decoder, batches: Iterator[pd.DataFrame],
              header_only: bool = False) -> Iterator[pd.DataFrame]:
     for files in batches:
         for table_name, source_file, header_row, content in zip(
                 files["table_name"], files["source_file"], files["header_row"], files["content"]):
+            # an unreadable file must not stop the run: it becomes an error record, and
+            # rows it may have yielded before failing are dropped by data_records()
             try:
-                frame = decoder(bytes(content), int(header_row), 0 if header_only else None)
-                names, keep = fold_header(frame.columns)
-            except Exception as e:  # an unreadable file must not stop the run
-                yield pd.DataFrame({"table_name": [table_name], "source_file": [source_file],
-                                    "row_no": [ERROR_ROW], "names": [None], "cells": [None],
-                                    "error": [f"{type(e).__name__}: {e}"]})
+                chunks = decoder(bytes(content), int(header_row), 0 if header_only else None)
+                first = next(chunks)
+                names, keep = fold_header(first.columns)
+            except Exception as e:
+                yield _error(table_name, source_file, e)
                 continue
             yield pd.DataFrame({"table_name": [table_name], "source_file": [source_file],
                                 "row_no": [HEADER_ROW], "names": [names], "cells": [None],
                                 "error": [None]})
             if header_only:
                 continue
-            body = frame.iloc[:, keep].astype(object)
-            body = body.where(body.notna(), None)
-            for start in range(0, len(body), CHUNK_ROWS):
-                part = body.iloc[start:start + CHUNK_ROWS]
-                cells = [dict(zip(names, row)) for row in part.itertuples(index=False, name=None)]
-                yield pd.DataFrame({"table_name": table_name, "source_file": source_file,
-                                    "row_no": range(start, start + len(part)), "names": None,
-                                    "cells": cells, "error": None})
+            start = 0
+            try:
+                for chunk in itertools.chain([first], chunks):
+                    if chunk.empty:  # header-only file
+                        continue
+                    body = chunk.iloc[:, keep].astype(object)
+                    body = body.where(body.notna(), None)
+                    cells = [dict(zip(names, row)) for row in body.itertuples(index=False, name=None)]
+                    yield pd.DataFrame({"table_name": table_name, "source_file": source_file,
+                                        "row_no": range(start, start + len(body)), "names": None,
+                                        "cells": cells, "error": None})
+                    start += len(body)
+            except Exception as e:
+                yield _error(table_name, source_file, e)
 
 
 def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
@@ -140,7 +157,10 @@ def header_records(scan: DataFrame) -> DataFrame:
 
 
 def data_records(scan: DataFrame) -> DataFrame:
-    return scan.filter(F.col("row_no") >= 0).select("table_name", "source_file", "row_no", "cells")
+    """Rows of files that decoded completely (a file with an error record
+    contributes no rows; the error list is small)."""
+    rows = scan.filter(F.col("row_no") >= 0).select("table_name", "source_file", "row_no", "cells")
+    return rows.join(scan_errors(scan).select("source_file"), "source_file", "left_anti")
 
 
 def scan_errors(scan: DataFrame) -> DataFrame:

@@ -117,3 +117,25 @@ def test_header_only_scan(spark, workdir):
     assert data_records(scan).count() == 0
     assert union_schema(header_records(scan), "t") == ["amount", "bill_id"]
     assert [e.source_file for e in scan_errors(scan).collect()] == ["r/bad.csv"]
+
+
+def test_file_failing_midway_contributes_no_rows(spark):
+    import pandas as pd
+
+    from sheetlake.sources.reports import SCAN_SCHEMA, _records
+
+    def decoder(content, header_row, nrows=None):
+        yield pd.DataFrame({"bill_id": ["1", "2"]})
+        if content == b"bad":
+            raise ValueError("broken in the middle")
+        yield pd.DataFrame({"bill_id": ["3"]})
+
+    files = pd.DataFrame({"table_name": ["t", "t"], "source_file": ["ok.csv", "bad.csv"],
+                          "header_row": [0, 0], "content": [b"ok", b"bad"]})
+    records = pd.concat(list(_records(decoder, iter([files]))), ignore_index=True)
+    assert (records["row_no"] == -2).sum() == 1                       # one error record
+    assert set(records.loc[records["row_no"] == -2, "source_file"]) == {"bad.csv"}
+    rows = [tuple(r) for r in records.itertuples(index=False, name=None)]
+    scan = spark.createDataFrame([(a, b, int(c), d, e, f) for a, b, c, d, e, f in rows], SCAN_SCHEMA)
+    kept = data_records(scan)
+    assert {r.source_file for r in kept.collect()} == {"ok.csv"} and kept.count() == 3
