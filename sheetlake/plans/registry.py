@@ -689,9 +689,12 @@ def header_offset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders exported as titled CSV report files, then
     listed, decoded with a header offset, folded, unioned and projected."""
     folder = T.write_report_files(spark, sf_dir, scratch_path(spark, f"reports-{_uuid.uuid4().hex}"))
+    # decode once: land the decoded records, then read headers, rows and errors from them
     scan = scan_report_rows(spark, {folder: "don_hang"}, {"don_hang": 1}, glob="*.txt")
-    heads = scan_report_rows(spark, {folder: "don_hang"}, {"don_hang": 1}, glob="*.txt", header_only=True)
-    cols = union_schema(header_records(heads), "don_hang")
+    landed = scratch_path(spark, f"scan-{_uuid.uuid4().hex}")
+    scan.write.parquet(landed)
+    scan = spark.read.parquet(landed)
+    cols = union_schema(header_records(scan), "don_hang")
     rows = C.clean_cells(project_cells(data_records(scan), cols))
     return rows.select(*cols, F.regexp_extract("source_file", r"file=([^/]+)/", 1).alias("report_month"),
                        "row_no")
