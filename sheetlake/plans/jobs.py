@@ -30,14 +30,16 @@ def new_run_id(now: dt.datetime) -> int:
 
 def write_run_event(spark: SparkSession, warehouse: str, run_id: int, event: str, mode: str,
                     at: dt.datetime, processed: int | None = None, skipped: int | None = None,
-                    errors: int | None = None) -> None:
+                    errors: int | None = None, reset: bool = False) -> None:
     """Append a ``started`` / ``finished`` event of a run (F6); the run log
-    is read through :func:`sheetlake.operators.ledger.run_log`."""
+    is read through :func:`sheetlake.operators.ledger.run_log`. ``reset``
+    starts a new log with this event (init, F10)."""
     row = spark.createDataFrame(
         [(run_id, event, at, mode, processed, skipped, errors)],
         "run_id long, event string, at timestamp, mode string, files_processed long, "
         "files_skipped long, errors long")
-    S.replace_partitions(row, S.path(warehouse, S.RUN_LOG), partition_by=("run_id", "event"))
+    write = S.overwrite if reset else S.replace_partitions
+    write(row, S.path(warehouse, S.RUN_LOG), partition_by=("run_id", "event"))
 
 
 def runs(spark: SparkSession, warehouse: str) -> DataFrame | None:
@@ -85,10 +87,11 @@ def file_outcomes(scan: DataFrame, loaded: DataFrame | None, table: str,
 def init(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
          warehouse: str, glob: str = "*.csv", decode: str = "csv",
          now: dt.datetime | None = None) -> dict:
-    """Full rebuild of every table that has files, ledger reset (init mode)."""
+    """Full rebuild of every table that has files; ledger and run log reset
+    (init mode)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = new_run_id(now)
-    write_run_event(spark, warehouse, run_id, "started", "init", now)
+    write_run_event(spark, warehouse, run_id, "started", "init", now, reset=True)
     scan, scan_path = land_scan(spark, scan_report_rows(spark, folder_map, header_rows, glob, decode),
                                 run_id)
     headers = header_records(scan)
@@ -106,18 +109,18 @@ def init(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappin
         typed = promote_types(text, date_columns=DATE_COLUMNS.get(table, ()))
         S.overwrite(typed, S.path(warehouse, table))
         outcomes.append(file_outcomes(scan, text, table))
-    ledger = outcomes[0]
-    for o in outcomes[1:]:
+    ledger = spark.createDataFrame(
+        [], "file_path string, row_count long, status string, table_name string, operation string")
+    for o in outcomes:
         ledger = ledger.unionByName(o)
     rows = L.ledger_rows(ledger, F.lit(now).cast("timestamp")).withColumn("run_id", F.lit(run_id))
     S.overwrite(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
-    stats = L.run_summary(rows, "run_id").collect()[0]
+    stats = L.run_summary(rows, "run_id").collect()
+    processed, skipped = (stats[0]["files_processed"], stats[0]["files_skipped"]) if stats else (0, 0)
     S.remove(spark, scan_path)
     done = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    write_run_event(spark, warehouse, run_id, "finished", "init", done,
-                    stats["files_processed"], stats["files_skipped"], 0)
-    return {"run_id": run_id, "files_processed": stats["files_processed"],
-            "files_skipped": stats["files_skipped"]}
+    write_run_event(spark, warehouse, run_id, "finished", "init", done, processed, skipped, 0)
+    return {"run_id": run_id, "files_processed": processed, "files_skipped": skipped}
 
 
 def run_reports(spark: SparkSession, script_dir: str, out_dir: str, fmt: str = "parquet",

@@ -7,9 +7,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package assumes. They are applied only when the
-# session does not already define them, so a cluster's own configuration wins.
-DEFAULT_CONF: dict[str, str] = {
+# Settings every job in this package assumes. The SQL settings are runtime
+# settings: they are applied to the session only where it does not already
+# set them, so a cluster's own configuration wins.
+DEFAULT_SQL_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,36 +21,36 @@ DEFAULT_CONF: dict[str, str] = {
     # Source paths are data, never typed partition values.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Start-up settings of a session this package creates itself.
+START_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # checkpoint files of collected DataFrames are removed by the cleaner
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+DEFAULT_CONF = {**DEFAULT_SQL_CONF, **START_CONF}
 
 
 def get_spark(master: str | None = None, app_name: str = "sheetlake",
               conf: dict[str, str] | None = None) -> SparkSession:
     """Return a session with the package defaults.
 
-    A default is applied only when the launch configuration (``spark-submit
-    --conf``, ``spark-defaults.conf``) or a running session does not set the
-    key already; values passed in ``conf`` always apply.
+    Values passed in ``conf`` always apply. The SQL defaults are set only
+    where the session (``spark-submit --conf``, ``spark-defaults.conf``) does
+    not set them already. Nothing starts the JVM before the builder, so
+    start-up values such as ``spark.driver.memory`` in ``conf`` take effect.
     """
-    from pyspark import SparkConf
-
-    launch = SparkConf()  # spark.* properties the application was launched with
-    active = SparkSession.getActiveSession()
     explicit = dict(conf or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in DEFAULT_CONF.items():
-        already = launch.contains(key) or (active is not None and active.conf.get(key, None) is not None)
-        if key not in explicit and not already:
-            builder = builder.config(key, value)
-    for key, value in explicit.items():
+    for key, value in {**START_CONF, **explicit}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    for key, value in DEFAULT_SQL_CONF.items():
+        if key not in explicit and spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
 

@@ -130,3 +130,17 @@ def test_ledger_detection_finds_old_copies(spark, workdir):
     assert by_ledger["files_processed"] == 1
     got = sorted(r.ma_hoa_don for r in spark.read.parquet(S.path(wh, "sales_revenue")).collect())
     assert got == ["A1", "O1"]
+
+
+def test_init_on_empty_folders_and_run_log_reset(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    os.makedirs(f"{src}/revenue")
+    fm = {f"{src}/revenue": "sales_revenue"}
+    first = init(spark, fm, {"sales_revenue": 0}, wh, now=dt.datetime(2026, 1, 1))
+    assert first["files_processed"] == 0
+    write(f"{src}/revenue/a.csv", "Mã hóa đơn\nA1\n")
+    daily(spark, fm, {"sales_revenue": 0}, wh)
+    assert runs(spark, wh).count() == 2
+    init(spark, fm, {"sales_revenue": 0}, wh, now=dt.datetime(2026, 2, 1))
+    log = runs(spark, wh).collect()
+    assert len(log) == 1 and log[0].mode == "init" and log[0].finished_at is not None
