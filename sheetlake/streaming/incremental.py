@@ -25,6 +25,7 @@ from sheetlake.plans.jobs import (DATE_COLUMNS, file_outcomes, land_scan, landed
 from sheetlake.sources.listing import list_reports
 from sheetlake.sources.reports import header_records, scan_report_rows
 
+
 def _coerce_to(stored: DataFrame, fresh: DataFrame, table: str) -> DataFrame:
     """Cast a new text batch to the stored table's types; rows with a cell
     that does not convert exactly are flagged (``_ok`` false) for rejection
