@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 ColumnOrName = Column | str
 
@@ -14,6 +15,17 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _orderable(t: DataType) -> bool:
+    """Spark cannot order maps (nor structs or arrays holding them)."""
+    if isinstance(t, MapType):
+        return False
+    if isinstance(t, ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
+
+
 def newest_first(c: ColumnOrName) -> Column:
     """``ORDER BY c DESC`` with the NULLs-first placement of PostgreSQL."""
     return _col(c).desc_nulls_first()
@@ -24,9 +36,9 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     """Keep exactly one row per key group: the first under ``order_by``
     (``row_number() = 1``, ``DISTINCT ON``).
 
-    The remaining columns are appended to the ordering (descending, NULLs
-    last), so the pick is deterministic: tied rows that survive are equal in
-    every output column. NULL keys form one group, as in SQL window
+    The remaining orderable columns are appended to the ordering (descending,
+    NULLs last), so the pick is deterministic: tied rows that survive are
+    equal in every orderable output column. NULL keys form one group, as in SQL window
     partitions. The filter sits directly on the rank, so Catalyst plans a
     partial ``WindowGroupLimit`` before the shuffle: every map task forwards
     at most one row per key, and a hot key never reaches one task whole.
@@ -41,7 +53,8 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     if ties != "one":
         raise ValueError("ties must be 'one' or 'all'")
     used = set(keys)
-    ordering = list(order_by) + [F.col(f"`{c}`").desc_nulls_last() for c in df.columns if c not in used]
+    ordering = list(order_by) + [F.col(f"`{f.name}`").desc_nulls_last() for f in df.schema.fields
+                                 if f.name not in used and _orderable(f.dataType)]
     name = rank_col or "__rank"
     w = Window.partitionBy(*keys).orderBy(*ordering)
     out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) == 1)

@@ -69,3 +69,10 @@ def test_newest_rows_rank_column(spark):
     df = spark.createDataFrame([("a", None), ("a", dt.datetime(2026, 1, 1))], "k string, t timestamp")
     out = newest_rows(df, ["k"], "t", rank_col="r").collect()
     assert [(r.k, r.t, r.r) for r in out] == [("a", None, 1)]
+
+
+def test_map_columns_are_not_tie_breakers(spark):
+    df = spark.createDataFrame([("a", 1, {"x": "1"}), ("a", 1, {"x": "2"}), ("b", 2, None)],
+                               "k string, t int, m map<string,string>")
+    out = latest_by_key(df, ["k"], [newest_first("t")]).collect()
+    assert sorted(r.k for r in out) == ["a", "b"]
