@@ -35,6 +35,9 @@ def fold_table() -> tuple[str, str]:
     src, dst = list(EXTRA_FOLDS), list(EXTRA_FOLDS.values())
     for cp in range(0x80, sys.maxunicode + 1):
         ch = chr(cp)
+        decomposition = unicodedata.decomposition(ch)
+        if not decomposition or decomposition.startswith("<"):
+            continue  # no canonical decomposition: the character folds to itself
         if ch in EXTRA_FOLDS or unicodedata.category(ch) in ("Mn", "Cs"):
             continue
         base = _strip_marks(ch)
