@@ -27,6 +27,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--decode", default="csv", choices=["csv", "xlsx"])
     p.add_argument("--detect", default="mtime", choices=["mtime", "ledger"],
                    help="daily: how changed files are found")
+    p.add_argument("--since", default=None,
+                   help="daily: read files modified after this UTC time (ISO), e.g. to redo a failed run")
     p.add_argument("--script-dir", default="script", help="run_script: folder of .sql files")
     p.add_argument("--script", default=None, help="run_script: one .sql file")
     p.add_argument("--out-dir", default="output", help="run_script: output folder")
@@ -53,8 +55,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     if args.mode == "init":
         result = jobs.init(spark, folder_map(args), HEADER_ROWS, args.warehouse, args.glob, args.decode)
     elif args.mode == "daily":
+        import datetime as dt
+
+        since = dt.datetime.fromisoformat(args.since) if args.since else None
         result = daily(spark, folder_map(args), HEADER_ROWS, args.warehouse, args.glob, args.decode,
-                       detect=args.detect)
+                       detect=args.detect, since=since)
     else:
         views = {t: df for t in HEADER_ROWS
                  if (df := storage.read(spark, storage.path(args.warehouse, t))) is not None}
