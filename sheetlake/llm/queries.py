@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetlake.llm.exact_dedup import exact_duplicates
 from sheetlake.llm.minhash import near_duplicates
+from sheetlake.llm.packing import pack
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -20,12 +21,17 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), share=(85, 100))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_packing": op2_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
