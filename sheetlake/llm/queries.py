@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheetlake.llm.exact_dedup import exact_duplicates
 from sheetlake.llm.minhash import near_duplicates
 from sheetlake.llm.packing import pack
+from sheetlake.llm.wavelet import token_shards
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +27,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", F.floor(F.length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +39,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_packing": op2_packing,
+    "op7_wavelet": op7_wavelet,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
