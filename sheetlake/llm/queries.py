@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetlake.llm.exact_dedup import exact_duplicates
+from sheetlake.llm.langid import identify
 from sheetlake.llm.minhash import near_duplicates
 from sheetlake.llm.packing import pack
 from sheetlake.llm.wavelet import token_shards
@@ -27,6 +28,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", F.floor(F.length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
@@ -39,6 +44,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_packing": op2_packing,
+    "op6_langid": op6_langid,
     "op7_wavelet": op7_wavelet,
     "op9_exact_dedup": op9_exact_dedup,
 }
