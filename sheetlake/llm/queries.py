@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetlake.llm import bpe
 from sheetlake.llm.exact_dedup import exact_duplicates
 from sheetlake.llm.langid import identify
 from sheetlake.llm.minhash import near_duplicates
@@ -37,6 +38,12 @@ def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.floor(F.length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_langid": op6_langid,
     "op7_wavelet": op7_wavelet,
+    "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
