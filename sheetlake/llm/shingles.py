@@ -43,11 +43,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of a block of texts and their offsets per text."""
+def words(raw: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a block of texts and their offsets per text.
+    ``outside`` marks the byte values that separate words."""
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[raw]
+    inside = ~outside[raw]
     breaks = np.zeros(len(raw) + 1, dtype=bool)
     breaks[offsets] = True
     before = np.empty_like(inside)
