@@ -13,6 +13,7 @@ from sheetlake.llm.langid import identify
 from sheetlake.llm.licenses import scan_licenses
 from sheetlake.llm.minhash import near_duplicates
 from sheetlake.llm.packing import pack
+from sheetlake.llm.pii import anonymised
 from sheetlake.llm.topk import top_k
 from sheetlake.llm.wavelet import token_shards
 
@@ -39,6 +40,10 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anonymised(table(spark, sf_dir, "documents"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_licenses": op3_licenses,
     "op4_topk": op4_topk,
+    "op5_pii": op5_pii,
     "op6_langid": op6_langid,
     "op7_wavelet": op7_wavelet,
     "op8_bpe": op8_bpe,
@@ -72,12 +78,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_topk": """
         with v as (
-            select vec_id, list_transform(embedding, x -> floor(1024 * x::double)::bigint) as e from embeddings
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e from embeddings
             where vec_id is not null and embedding is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         s as (
             select q.vec_id as query_id, c.vec_id,
-                   list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::bigint as score
+                   list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint as score
             from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(q.e) = len(c.e))
         select query_id, cast(row_number() over best as integer) as rank, vec_id, score
         from s window best as (partition by query_id order by score desc, vec_id)
