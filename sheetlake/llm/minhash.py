@@ -270,8 +270,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs`` with one document of each component of near duplicates, all its
-    columns unchanged. Rows without shingles or without an id all stay. Only
-    the ids to drop are joined back."""
-    drop = written(near_duplicates(docs, id_col, text_col, **kw).filter("not kept")
-                   .select(F.col("doc_id").alias("__drop")).distinct(), "minhash-drop")
+    columns unchanged. Rows without shingles or without an id all stay, and so
+    do rows that share the id of a kept one. Only ids to drop are joined back."""
+    rows = near_duplicates(docs, id_col, text_col, **kw).filter("doc_id is not null")
+    drop = written(rows.groupBy(F.col("doc_id").alias("__drop")).agg(F.bool_or("kept").alias("kept"))
+                   .filter("not kept").select("__drop"), "minhash-drop")
     return docs.join(drop.hint("shuffle_hash"), docs[id_col] == drop["__drop"], "left_anti")

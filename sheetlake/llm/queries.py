@@ -15,6 +15,7 @@ from sheetlake.llm.minhash import near_duplicates
 from sheetlake.llm.packing import pack
 from sheetlake.llm.pii import anonymised
 from sheetlake.llm.topk import top_k
+from sheetlake.llm.url_filter import judge
 from sheetlake.llm.wavelet import token_shards
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,6 +64,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_packing": op2_packing,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_wavelet": op7_wavelet,
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {
@@ -95,4 +101,55 @@ ORACLES: dict[str, str] = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id is not distinct from max(doc_id) over same as kept, text_sha256
         from t window same as (partition by text_sha256)""",
+    "op10_url_filter": r"""
+        with recursive rules(host, path, verdict) as (values
+            ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+            ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        links as (
+            select url, unnest(list_filter(list_concat(
+                list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
+                    lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?\s*canonical\b')),
+                    lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)),
+                list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
+                    lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+                    lambda t: regexp_extract(t, '(?is)\bcontent\s*=\s*(?:"[^">]*?|''[^''>]*?)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1))),
+                lambda x: x <> '')) as link
+            from pages where url is not null and html is not null),
+        targets as (
+            select url, case
+                when regexp_matches(link, '(?i)^[a-z][a-z0-9+.-]*://') then link
+                when link like '//%' then 'http:' || link
+                when link like '/%' then 'http://' || host || link
+                when link like '?%' then 'http://' || host || path || link
+                when regexp_matches(link, '(?i)^([a-z][a-z0-9+.-]*:|#)') then null
+                else 'http://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || link end as target
+            from links, lateral (
+                select translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') as host,
+                       regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path)),
+        parsed(url, host, path, query) as (
+            select u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz'),
+                   regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1),
+                   regexp_extract(u, '(?s)^.*?://[^?#]*\?([^#]*)', 1)
+            from (select url as u from pages union select target from targets) where u is not null),
+        judged as (
+            select p.url, p.host, p.path,
+                   case when p.host <> '' then p.host || coalesce(nullif(p.path, ''), '/')
+                        || case when p.query <> '' then '?' || p.query else '' end end as node,
+                   arg_max(r.host || r.path, length(r.host || r.path)) as rule,
+                   arg_max(r.verdict, length(r.host || r.path)) as verdict
+            from parsed p left join rules r on (p.host = r.host or suffix(p.host, '.' || r.host))
+                                           and starts_with(p.path, r.path)
+            group by p.url, p.host, p.path, p.query),
+        edges as (
+            select a.node as a, b.node as b from targets t join judged a on a.url = t.url join judged b on b.url = t.target
+            where a.node is not null and b.node is not null),
+        both_ways as (select a, b from edges union select b, a from edges),
+        bad(node) as (
+            select j.node from judged j join both_ways e on e.a = j.node where j.verdict = 'block'
+            union select e.b from bad join both_ways e on e.a = bad.node)
+        select p.page_id, coalesce(j.host, '') as host, coalesce(j.path, '') as path, j.rule,
+               coalesce(j.verdict, case when j.node in (select node from bad) then 'block' end, 'allow') as verdict
+        from pages p left join judged j on j.url = p.url""",
 }
