@@ -181,10 +181,11 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
 
     table = drawn(values.withColumn("attempt", F.lit(0)))
     family = F.substring_index("kind", "-", 1)
-    earlier = Window.partitionBy(family, "surrogate").orderBy("attempt", "kind", "value")
+    # men and women of one family name share its surrogate: the value counts, not the kind
+    earlier = Window.partitionBy(family, "surrogate").orderBy("attempt", "value")
     for _ in range(MAX_ATTEMPTS):
         taken = table.select(family.alias("f"), F.col("value").alias("original")).distinct()
-        checked = (table.withColumn("rank", F.row_number().over(earlier))
+        checked = (table.withColumn("rank", F.dense_rank().over(earlier))
                    .join(taken, (family == F.col("f")) & (F.col("surrogate") == F.col("original")), "left")
                    .withColumn("clash", (F.col("rank") > 1) | F.col("original").isNotNull()))
         checked = written(checked.select("kind", "value", "attempt", "surrogate", "clash"), "pii-checked")
