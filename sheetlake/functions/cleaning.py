@@ -34,13 +34,15 @@ def strip_ws(c: Column) -> Column:
 def clean_identifier(c: Column) -> Column:
     """Trimmed; empty or ``.0`` -> NULL; an integer written with an
     optional ``.000`` tail -> the integer as text (sign, leading zeros and
-    tail dropped, exact: no trip through floating point); other text trimmed."""
+    tail dropped, for any number of digits: no cast is involved); other text
+    trimmed."""
     s = strip_ws(c)
-    whole = F.regexp_extract(s, r"^([+-]?[0-9]+)", 1)
+    digits = F.regexp_extract(s, r"^[+-]?0*([1-9][0-9]*)(\.0+)?$", 1)
+    whole = F.when(digits == "", "0").otherwise(
+        F.concat(F.when(s.startswith("-"), "-").otherwise(""), digits))
     return (F.when(c.isNull(), F.lit(None).cast("string"))
              .when(s.isin("", DOT_ZERO), F.lit(None).cast("string"))
-             .when(s.rlike(r"^[+-]?[0-9]+(\.0+)?$"),
-                   F.coalesce(whole.try_cast(DecimalType(38, 0)).cast("string"), s))
+             .when(s.rlike(r"^[+-]?[0-9]+(\.0+)?$"), whole)
              .otherwise(s))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 # --- Fixed values: accepted layouts, spreadsheet day zero, valid range. ---
 SERIAL_DAY_ZERO = "1899-12-30"
 EARLIEST_DATE = "1900-01-01"
+LAST_SERIAL = 2_958_465  # 9999-12-31
 # --------------------------------------------------------------------------
 
 
@@ -28,11 +29,10 @@ def parse_flexible_date(c: Column, dtype: DataType | None = None) -> Column:
         parsed = F.to_date(c)
     else:
         t = F.trim(c.cast("string"))
-        int_part = F.regexp_extract(t, r"^([0-9]+)", 1)
-        serial = F.when(
-            F.length(int_part) <= 6,  # larger serials lie after year 4637
-            F.date_add(F.lit(SERIAL_DAY_ZERO).cast("date"), int_part.cast("int")),
-        )
+        # leading zeros do not count; a number beyond an int, or one that names a
+        # day after the date range of the type, lies in the future in any case
+        days = F.regexp_extract(t, r"^([0-9]+)", 1).try_cast("int")
+        serial = F.when(days <= LAST_SERIAL, F.date_add(F.lit(SERIAL_DAY_ZERO).cast("date"), days))
         parsed = (
             F.when(t.rlike(r"^[0-9]{8}$"), F.try_to_date(t, "yyyyMMdd"))
             .when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(t, "yyyy-MM-dd"))

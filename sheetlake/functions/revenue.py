@@ -51,13 +51,18 @@ class RevenueRules:
     package_product_words: tuple[str, ...] = PACKAGE_PRODUCT_WORDS
     period_after: str = PERIOD_AFTER
     period_before: str = PERIOD_BEFORE
-    amount_type: DecimalType = DecimalType(38, 6)
+    # 20 whole and 14 fraction digits: times a two-digit factor this still fits
+    # 38 digits, so the rule's only rounding is the last one
+    amount_type: DecimalType = DecimalType(34, 14)
 
 
 def amount_value(c: Column, dtype: DataType, amount_type: DecimalType) -> Column:
-    """``NULLIF(x::text, '')::numeric``: blank text is NULL, the rest decimal."""
+    """``NULLIF(x::text, '')::numeric``: blank text is NULL, the rest decimal. A
+    decimal column narrow enough for the rule's factors keeps its own type."""
     if isinstance(dtype, StringType):
         return F.nullif(c, F.lit("")).cast(amount_type)
+    if isinstance(dtype, DecimalType) and dtype.precision <= amount_type.precision:
+        return c
     return c.cast(amount_type)
 
 

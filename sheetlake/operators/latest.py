@@ -62,17 +62,33 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 
 
 def newest_rows(df: DataFrame, keys: Sequence[str], order_col: str,
-                rank_col: str | None = None) -> DataFrame:
+                rank_col: str | None = None, distinct: bool = False) -> DataFrame:
     """All rows carrying the newest ``order_col`` of their key
     (``dense_rank() OVER (PARTITION BY keys ORDER BY order_col DESC) = 1``;
-    a NULL time counts as newest, as in PostgreSQL).
-
-    Built as a per-key aggregate joined back, not as a window: the aggregate
-    is combined on the map side, and the join back is broadcast when AQE
-    measures the per-key table small, or sort-merge with skew splitting
-    otherwise. A key holding a third of all rows, all tied (e.g. the NULL
-    bill code), is spread over many tasks instead of one window task.
+    a NULL time counts as newest, as in PostgreSQL), each once with
+    ``distinct``.
+
+    Rows whose keys are all set are ranked in one window: a map-side
+    ``WindowGroupLimit`` drops older rows before the only shuffle, and the
+    distinct meets the same partitioning. Rows with a NULL key (which may be
+    most of a table) take another way: a per-key aggregate, combined map-side,
+    joined back null-safely, so they never meet in one window task.
     """
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(f"`{k}`").isNotNull()
+    name = rank_col or "__rank"
+    newest_first_window = Window.partitionBy(*keys).orderBy(F.col(f"`{order_col}`").desc_nulls_first())
+    ranked = (df.filter(known).withColumn(name, F.dense_rank().over(newest_first_window))
+              .filter(F.col(f"`{name}`") == 1))
+    rest = _newest_by_join(df.filter(~known), keys, order_col).withColumn(name, F.lit(1))
+    if distinct:
+        ranked, rest = ranked.distinct(), rest.distinct()
+    out = ranked.unionByName(rest)
+    return out if rank_col else out.drop(name)
+
+
+def _newest_by_join(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     order = F.col(f"`{order_col}`")
     top = df.groupBy(*keys).agg(F.max(order.isNull().cast("int")).alias("__has_null"),
                                 F.max(order).alias("__top"))
@@ -81,7 +97,5 @@ def newest_rows(df: DataFrame, keys: Sequence[str], order_col: str,
     for i, k in enumerate(keys):
         c = df[f"`{k}`"].eqNullSafe(top[f"__k{i}"])
         cond = c if cond is None else cond & c
-    joined = df.join(top, cond, "inner")
     newest = F.when(F.col("__has_null") == 1, order.isNull()).otherwise(order == F.col("__top"))
-    out = joined.filter(newest).select(*[F.col(f"`{c}`") for c in df.columns])
-    return out.withColumn(rank_col, F.lit(1)) if rank_col else out
+    return df.join(top, cond, "inner").filter(newest).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -17,7 +17,7 @@ from pyspark.sql.types import (ByteType, DecimalType, FloatType, IntegerType, Sh
 
 from sheetlake.plans import reports as R
 from sheetlake.plans import testdata as T
-from sheetlake.plans.sqlbits import desc_tiebreak, flexible_date_sql, revenue_sql, ts_text
+from sheetlake.plans.sqlbits import flexible_date_sql, ts_text
 from sheetlake.operators.keys import exclude_keys, keep_keys
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,131 +53,81 @@ def register(name: str, sql: str | None = None):
 
 RULES = T.MAPPED_RULES
 MAP = T.MAPPING_SQL
-REV = revenue_sql(RULES, "ten_doi_tuong_thanh_toan", "loai_doanh_thu", "so_tien_thuc_te_thu")
-PERIOD = (f"CAST(ngay_ghi AS DATE) > DATE '{RULES.period_after}'"
-          f" AND CAST(ngay_ghi AS DATE) < DATE '{RULES.period_before}'")
-DRUGS = ", ".join(f"'{k}'" for k in RULES.drug_and_product_kinds)
-HERBAL = f"'{RULES.herbal_kind}'"
+LIVE = """
+live AS (FROM sales_revenue s ANTI JOIN cancellation_bills c ON s.ma_hoa_don = c.ma_hoa_don)"""
+# Net revenue in whole cents and percents: no decimal rounding of the engine is involved.
+PERCENT = """CASE WHEN loai_doanh_thu = 'ECONOMY' AND ten_doi_tuong_thanh_toan IN ('1-URGENT', '2-HIGH') THEN -85
+       WHEN ten_doi_tuong_thanh_toan IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 0
+       WHEN loai_doanh_thu = 'ECONOMY' THEN 15 ELSE 100 END"""
+REVENUE = f"""(SELECT sign(v) * ((abs(v) + 5000) // 10000)
+    FROM (SELECT CAST(so_tien_thuc_te_thu * 100 AS BIGINT) * ({PERCENT}) AS v))"""
+PERIOD = "CAST(ngay_ghi AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-07-15'"
 
-# ---------------------------------------------------------------- reports ---
 
-_SPEND_CUST = R.SPENDING_CUSTOMER_COLUMNS
-_SPEND_BILL = ["id_khach_hang", "ma_hoa_don", "loai_du_lieu", "loai_doanh_thu", "san_pham",
-               "ten_doi_tuong_thanh_toan", "so_tien_thuc_te_thu", "ngay_cap_nhat_hoa_don_cuoi"]
-_SPEND_SQL = f"""{MAP},
-latest_customer AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT id AS id_khach_hang, {", ".join(_SPEND_CUST)},
-           row_number() OVER (PARTITION BY id ORDER BY ngay_cuoi_cap_nhat DESC NULLS FIRST,
-             {desc_tiebreak(_SPEND_CUST[1:] + ["ngay_cuoi_cap_nhat"])}) AS rn
-    FROM customer_data WHERE id IS NOT NULL) t WHERE rn = 1
-), period_sales AS (
-  SELECT {", ".join(_SPEND_BILL)} FROM sales_revenue WHERE {PERIOD}
-), latest_period_bill AS (
-  SELECT *, row_number() OVER (PARTITION BY ma_hoa_don ORDER BY ngay_cap_nhat_hoa_don_cuoi DESC NULLS FIRST,
-           {desc_tiebreak([c for c in _SPEND_BILL if c != "ma_hoa_don"])}) AS rn
-  FROM period_sales
-), valid_bill AS (
-  SELECT lpb.id_khach_hang, lpb.ma_hoa_don, lpb.loai_du_lieu, lpb.loai_doanh_thu, lpb.san_pham,
-         {REV.replace("ten_doi_tuong_thanh_toan", "lpb.ten_doi_tuong_thanh_toan").replace("loai_doanh_thu", "lpb.loai_doanh_thu").replace("so_tien_thuc_te_thu", "lpb.so_tien_thuc_te_thu")} AS revenue
-  FROM latest_period_bill lpb LEFT JOIN cancellation_bills cb ON lpb.ma_hoa_don = cb.ma_hoa_don
-  WHERE lpb.rn = 1 AND cb.ma_hoa_don IS NULL
-), bill_window AS (
-  SELECT id_khach_hang,
-    count(DISTINCT CASE WHEN loai_doanh_thu = {HERBAL} THEN ma_hoa_don END) AS so_don_thuoc,
-    sum(CASE WHEN loai_doanh_thu = {HERBAL} THEN revenue ELSE 0 END) AS dt_thuoc,
-    sum(CASE WHEN loai_doanh_thu IN ({DRUGS}) THEN revenue ELSE 0 END) AS dt_bdvasp,
-    sum(CASE WHEN loai_doanh_thu = '{RULES.fnb_kind}' THEN revenue ELSE 0 END) AS dt_fnb,
-    sum(CASE WHEN loai_doanh_thu NOT IN ({HERBAL}, {DRUGS}) THEN revenue ELSE 0 END) AS dt_khongdungthuoc,
-    sum(revenue) AS tongdt
-  FROM valid_bill GROUP BY id_khach_hang
-), combo_totals AS (
-  SELECT id_khach_hang, count(DISTINCT ma_hoa_don) AS so_lan_len_goi
-  FROM valid_bill
-  WHERE loai_du_lieu = '{RULES.package_data_kind}' AND loai_doanh_thu = '{RULES.package_kind}'
-    AND ({" OR ".join(f"san_pham LIKE '%{w}%'" for w in RULES.package_product_words)})
-  GROUP BY id_khach_hang
-), first_last_day AS (
-  SELECT sr.id_khach_hang, min(CAST(sr.ngay_ghi AS DATE)) AS "Ngay_dau_tien",
-         max(CAST(sr.ngay_ghi AS DATE)) AS "Ngay_cuoi_cung"
-  FROM sales_revenue sr LEFT JOIN cancellation_bills cb ON sr.ma_hoa_don = cb.ma_hoa_don
-  WHERE cb.ma_hoa_don IS NULL GROUP BY sr.id_khach_hang
-)
-SELECT lc.id, lc.ten_khach_hang, lc.pid, {flexible_date_sql("lc.ngay_sinh")} AS ngay_sinh_chuan,
-  lc.chuyen_vien_tu_van, lc.nguon_1, lc.nguoi_gioi_thieu_id, lc.nguoi_gioi_thieu_khach_hang,
-  lc.nguoi_gioi_thieu_khach_hang_pid, lc.co_phuc_loi_tap_doan, lc.quan_he_voi_cap_quyen_loi_ap_dung,
-  lc.cap_quyen_loi_ap_dung, lc.cong_ty_1, lc.ten_bao_hiem_thanh_toan,
-  fld."Ngay_dau_tien", fld."Ngay_cuoi_cung",
-  COALESCE(bw.so_don_thuoc, 0) AS so_don_thuoc,
-  CAST(COALESCE(bw.dt_thuoc, 0) AS DOUBLE) AS dt_thuoc,
-  CAST(COALESCE(bw.dt_bdvasp, 0) AS DOUBLE) AS dt_bdvasp,
-  CAST(COALESCE(bw.dt_fnb, 0) AS DOUBLE) AS dt_fnb,
-  CAST(COALESCE(ct.so_lan_len_goi, 0) AS BIGINT) AS so_lan_len_goi,
-  CAST(COALESCE(bw.dt_khongdungthuoc, 0) AS DOUBLE) AS dt_khongdungthuoc,
-  CAST(COALESCE(bw.tongdt, 0) AS DOUBLE) AS tongdt
-FROM latest_customer lc
-JOIN bill_window bw ON lc.id_khach_hang = bw.id_khach_hang
-LEFT JOIN combo_totals ct ON lc.id_khach_hang = ct.id_khach_hang
-LEFT JOIN first_last_day fld ON lc.id_khach_hang = fld.id_khach_hang
-"""
+def _largest(key: str, columns: list[str], source: str, time: str) -> str:
+    """The row of each key that is largest by (time, other columns): a maximum
+    over structs, as the rows compared hold no NULL that the order decides."""
+    fields = ", ".join(f"{c}: {c}" for c in [time, *[c for c in columns if c != time]])
+    return f"SELECT {key}, unnest(max({{{fields}}})) FROM {source} GROUP BY {key}"
 
 
-@register("customer_spending", _SPEND_SQL)
+# ---------------------------------------------------------------- reports ---
+
+_SPEND_BILL = ["id_khach_hang", "loai_du_lieu", "loai_doanh_thu", "san_pham", "ten_doi_tuong_thanh_toan",
+               "so_tien_thuc_te_thu"]
+
+
+@register("customer_spending", f"""{MAP}, {LIVE},
+people AS ({_largest("id", R.SPENDING_CUSTOMER_COLUMNS[1:], "customer_data", "ngay_cuoi_cap_nhat")}),
+bills AS ({_largest("ma_hoa_don", _SPEND_BILL, f"(FROM live WHERE {PERIOD})", "ngay_cap_nhat_hoa_don_cuoi")}),
+spent AS (SELECT *, {REVENUE} AS r FROM bills),
+totals AS (
+  SELECT id_khach_hang AS id, sum(r) AS tongdt,
+    count(*) FILTER (loai_doanh_thu = 'STANDARD') AS so_don_thuoc,
+    count(*) FILTER (loai_du_lieu = 'F' AND loai_doanh_thu = 'MEDIUM' AND regexp_matches(san_pham, 'ring|bolt'))
+      AS so_lan_len_goi,
+    sum(r) FILTER (loai_doanh_thu = 'STANDARD') AS dt_thuoc,
+    sum(r) FILTER (loai_doanh_thu = 'PROMO' OR loai_doanh_thu = 'LARGE') AS dt_bdvasp,
+    sum(r) FILTER (loai_doanh_thu = 'SMALL') AS dt_fnb,
+    sum(r) FILTER (loai_doanh_thu NOT SIMILAR TO 'STANDARD|PROMO|LARGE') AS dt_khongdungthuoc
+  FROM spent GROUP BY ALL),
+days AS (SELECT id_khach_hang AS id, min(ngay_ghi)::DATE AS "Ngay_dau_tien", max(ngay_ghi)::DATE AS "Ngay_cuoi_cung"
+         FROM live GROUP BY ALL)
+SELECT people.id, {", ".join(c for c in R.SPENDING_CUSTOMER_COLUMNS if c not in ("id", "ngay_sinh"))},
+  {flexible_date_sql("ngay_sinh")} AS ngay_sinh_chuan, "Ngay_dau_tien", "Ngay_cuoi_cung", so_don_thuoc, so_lan_len_goi,
+  {", ".join(f"ifnull({c}, 0)::DOUBLE AS {c}" for c in ("dt_thuoc", "dt_bdvasp", "dt_fnb", "dt_khongdungthuoc", "tongdt"))}
+FROM people JOIN totals USING (id) LEFT JOIN days USING (id)
+""")
 def customer_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 (flagship): per-customer spending in the period."""
-    return R.customer_spending(*T.report_inputs(spark, sf_dir, spread_scan=False), rules=RULES)
+    return R.customer_spending(*T.report_inputs(spark, sf_dir), rules=RULES)
 
 
-_REF_BILL = ["id_khach_hang", "ma_hoa_don", "loai_doanh_thu", "ten_doi_tuong_thanh_toan",
-             "so_tien_thuc_te_thu", "ngay_cap_nhat_hoa_don_cuoi"]
+_REF_BILL = ["id_khach_hang", "loai_doanh_thu", "ten_doi_tuong_thanh_toan", "so_tien_thuc_te_thu"]
 
 
-@register("referral_spending", f"""{MAP},
-latest_customer AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT id AS id_khach_hang, {", ".join(R.REFERRER)},
-           row_number() OVER (PARTITION BY id ORDER BY ngay_cuoi_cap_nhat DESC NULLS FIRST,
-             {desc_tiebreak(R.REFERRER + ["ngay_cuoi_cap_nhat"])}) AS rn
-    FROM customer_data WHERE id IS NOT NULL) t WHERE rn = 1
-), period_sales AS (
-  SELECT {", ".join(_REF_BILL)} FROM sales_revenue WHERE {PERIOD}
-), latest_period_bill AS (
-  SELECT *, row_number() OVER (PARTITION BY ma_hoa_don ORDER BY ngay_cap_nhat_hoa_don_cuoi DESC NULLS FIRST,
-           {desc_tiebreak([c for c in _REF_BILL if c != "ma_hoa_don"])}) AS rn
-  FROM period_sales
-), valid_bill AS (
-  SELECT lpb.id_khach_hang, {REV} AS revenue
-  FROM latest_period_bill lpb LEFT JOIN cancellation_bills cb ON lpb.ma_hoa_don = cb.ma_hoa_don
-  WHERE lpb.rn = 1 AND cb.ma_hoa_don IS NULL
-), bill_by_customer AS (
-  SELECT id_khach_hang, sum(revenue) AS dtf1 FROM valid_bill GROUP BY id_khach_hang
-)
-SELECT lc.nguoi_gioi_thieu_id, lc.nguoi_gioi_thieu_khach_hang, lc.nguoi_gioi_thieu_khach_hang_pid,
-       count(*) AS slf1, CAST(sum(bc.dtf1) AS DOUBLE) AS dtf1
-FROM latest_customer lc JOIN bill_by_customer bc ON lc.id_khach_hang = bc.id_khach_hang
-GROUP BY lc.nguoi_gioi_thieu_id, lc.nguoi_gioi_thieu_khach_hang, lc.nguoi_gioi_thieu_khach_hang_pid
+@register("referral_spending", f"""{MAP}, {LIVE},
+people AS ({_largest("id", R.REFERRER, "customer_data", "ngay_cuoi_cap_nhat")}),
+bills AS ({_largest("ma_hoa_don", _REF_BILL, f"(FROM live WHERE {PERIOD})", "ngay_cap_nhat_hoa_don_cuoi")}),
+spent AS (SELECT id_khach_hang AS id, sum({REVENUE}) AS total FROM bills GROUP BY ALL)
+SELECT {", ".join(R.REFERRER)}, count(*) AS slf1, sum(total)::DOUBLE AS dtf1
+FROM spent JOIN people USING (id) GROUP BY ALL
 """)
 def referral_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period revenue of referred customers per referrer."""
-    return R.referral_spending(*T.report_inputs(spark, sf_dir, spread_scan=False), rules=RULES)
+    return R.referral_spending(*T.report_inputs(spark, sf_dir), rules=RULES)
 
 
-_BILL_OUT = ", ".join(
-    ts_text(f"rt.{c}").replace(f" AS rt.{c}", f" AS {c}") if c in ("ngay_ghi", "ngay_cap_nhat_hoa_don_cuoi")
-    else (f"CAST(rt.{c} AS DOUBLE) AS {c}" if c == "so_tien_thuc_te_thu" else f"rt.{c}")
-    for c in R.BILL_COLUMNS)
+_BILL_OUT = ", ".join(ts_text(c) if c in ("ngay_ghi", "ngay_cap_nhat_hoa_don_cuoi")
+                      else f"{c}::DOUBLE AS {c}" if c == "so_tien_thuc_te_thu" else c for c in R.BILL_COLUMNS)
+_CURRENT = f"""{MAP}, {LIVE},
+tops AS (SELECT ma_hoa_don, max(ngay_cap_nhat_hoa_don_cuoi) AS top FROM live GROUP BY ma_hoa_don),
+lines AS (SELECT DISTINCT live.* FROM live JOIN tops ON live.ma_hoa_don IS NOT DISTINCT FROM tops.ma_hoa_don
+          AND ngay_cap_nhat_hoa_don_cuoi = top)"""
 
 
-@register("current_bills", f"""{MAP},
-clean_table AS (SELECT DISTINCT {", ".join(R.BILL_COLUMNS)} FROM sales_revenue),
-ranked_table AS (
-  SELECT *, dense_rank() OVER (PARTITION BY ma_hoa_don ORDER BY ngay_cap_nhat_hoa_don_cuoi DESC NULLS FIRST)
-         AS "Rank_HD"
-  FROM clean_table)
-SELECT {_BILL_OUT}, CAST(rt."Rank_HD" AS BIGINT) AS "Rank_HD",
-       CAST({REV.replace("ten_doi_tuong_thanh_toan", "rt.ten_doi_tuong_thanh_toan").replace("loai_doanh_thu", "rt.loai_doanh_thu").replace("so_tien_thuc_te_thu", "rt.so_tien_thuc_te_thu")} AS DOUBLE) AS revenue
-FROM ranked_table rt LEFT JOIN cancellation_bills cb ON rt.ma_hoa_don = cb.ma_hoa_don
-WHERE rt."Rank_HD" = 1 AND cb.ma_hoa_don IS NULL
+@register("current_bills", f"""{_CURRENT}
+SELECT {_BILL_OUT}, 1::BIGINT AS "Rank_HD", {REVENUE}::DOUBLE AS revenue FROM lines
 """)
 def current_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current lines of every live bill with net revenue."""
@@ -185,38 +135,28 @@ def current_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.current_bills(sales, cancel, RULES)
 
 
-_VISIT_SQL = f"""{MAP},
-latest_customer AS (
-  SELECT id, ten_khach_hang,
-         row_number() OVER (PARTITION BY id ORDER BY ngay_cuoi_cap_nhat DESC NULLS FIRST,
-                            {desc_tiebreak(["ten_khach_hang", "ngay_cuoi_cap_nhat"])}) AS rn
-  FROM customer_data
-), bill_days AS (
-  SELECT DISTINCT lc.id, lc.ten_khach_hang, CAST(sr.ngay_ghi AS DATE) AS "NgayHD"
-  FROM sales_revenue sr
-  LEFT JOIN latest_customer lc ON sr.id_khach_hang = lc.id AND lc.rn = 1
-  LEFT JOIN cancellation_bills cb ON sr.ma_hoa_don = cb.ma_hoa_don
-  WHERE cb.ma_hoa_don IS NULL
-)
-SELECT id, ten_khach_hang{{cols}}
-FROM bill_days GROUP BY id, ten_khach_hang
+_VISIT_SQL = f"""{MAP}, {LIVE},
+names AS (SELECT id, arg_max(ten_khach_hang, {{t: ngay_cuoi_cap_nhat, n: ten_khach_hang}}) AS ten_khach_hang
+          FROM customer_data GROUP BY id)
+SELECT id, ten_khach_hang, {{cols}}
+FROM live LEFT JOIN names ON id = id_khach_hang GROUP BY ALL
 """
+_FIRST, _LAST = 'min(ngay_ghi)::DATE AS "Ngay_dau_tien"', 'max(ngay_ghi)::DATE AS "Ngay_cuoi_cung"'
 
 
-@register("visit_bounds", _VISIT_SQL.replace(
-    "{cols}", ', min("NgayHD") AS "Ngay_dau_tien", max("NgayHD") AS "Ngay_cuoi_cung"'))
+@register("visit_bounds", _VISIT_SQL.replace("{cols}", f"{_FIRST}, {_LAST}"))
 def visit_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R4 + R5: first and last visit per customer in one aggregate."""
     return R.visit_bounds(*T.report_inputs(spark, sf_dir))
 
 
-@register("first_visit", _VISIT_SQL.replace("{cols}", ', min("NgayHD") AS "Ngay_dau_tien"'))
+@register("first_visit", _VISIT_SQL.replace("{cols}", _FIRST))
 def first_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First visit day per customer."""
     return R.first_visit(*T.report_inputs(spark, sf_dir))
 
 
-@register("last_visit", _VISIT_SQL.replace("{cols}", ', max("NgayHD") AS "Ngay_cuoi_cung"'))
+@register("last_visit", _VISIT_SQL.replace("{cols}", _LAST))
 def last_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last visit day per customer."""
     return R.last_visit(*T.report_inputs(spark, sf_dir))
@@ -226,14 +166,8 @@ _CUST_OUT = ", ".join(ts_text(c) if c == "ngay_cuoi_cap_nhat" else c for c in R.
 
 
 @register("latest_customer", f"""{MAP},
-clean_info AS (
-  SELECT {", ".join(R.CUSTOMER_COLUMNS)}, CAST(ngay_cuoi_cap_nhat AS DATE) AS "Ngayudpate",
-         row_number() OVER (PARTITION BY id ORDER BY ngay_cuoi_cap_nhat DESC NULLS FIRST,
-                            {desc_tiebreak(R.CUSTOMER_COLUMNS[1:])}) AS "Ngaymoinhat"
-  FROM customer_data
-)
-SELECT {_CUST_OUT}, "Ngayudpate", CAST("Ngaymoinhat" AS BIGINT) AS "Ngaymoinhat"
-FROM clean_info WHERE "Ngaymoinhat" = 1
+newest AS ({_largest("id", R.CUSTOMER_COLUMNS[1:], "customer_data", "ngay_cuoi_cap_nhat")})
+SELECT {_CUST_OUT}, newest.ngay_cuoi_cap_nhat::DATE AS "Ngayudpate", 1::BIGINT AS "Ngaymoinhat" FROM newest
 """)
 def latest_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest version of every customer."""
@@ -251,7 +185,7 @@ def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("net_revenue", f"""{MAP}
 SELECT ma_hoa_don, id_khach_hang, ten_doi_tuong_thanh_toan, loai_doanh_thu,
-       CAST(so_tien_thuc_te_thu AS DOUBLE) AS so_tien_thuc_te_thu, CAST({REV} AS DOUBLE) AS revenue
+       so_tien_thuc_te_thu::DOUBLE AS so_tien_thuc_te_thu, {REVENUE}::DOUBLE AS revenue
 FROM sales_revenue
 """)
 def net_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,23 +196,11 @@ def net_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.with_revenue(sales, RULES)
 
 
-@register("revenue_by_kind", f"""{MAP},
-clean_table AS (SELECT DISTINCT {", ".join(R.BILL_COLUMNS)} FROM sales_revenue),
-ranked_table AS (
-  SELECT *, dense_rank() OVER (PARTITION BY ma_hoa_don ORDER BY ngay_cap_nhat_hoa_don_cuoi DESC NULLS FIRST)
-         AS rk
-  FROM clean_table),
-bills AS (
-  SELECT rt.*, {REV.replace("ten_doi_tuong_thanh_toan", "rt.ten_doi_tuong_thanh_toan").replace("loai_doanh_thu", "rt.loai_doanh_thu").replace("so_tien_thuc_te_thu", "rt.so_tien_thuc_te_thu")} AS revenue
-  FROM ranked_table rt LEFT JOIN cancellation_bills cb ON rt.ma_hoa_don = cb.ma_hoa_don
-  WHERE rt.rk = 1 AND cb.ma_hoa_don IS NULL)
-SELECT loai_doanh_thu, loai_du_lieu, count(*) AS n_lines,
-  CAST(COALESCE(sum(CASE WHEN loai_doanh_thu <> ALL (SELECT unnest([{HERBAL}, {DRUGS}])) THEN revenue ELSE 0 END), 0) AS DOUBLE)
-    AS dt_khongdungthuoc,
-  CAST(COALESCE(sum(CASE WHEN {" OR ".join(f"san_pham LIKE '%{w}%'" for w in RULES.package_product_words)}
-    THEN revenue ELSE 0 END), 0) AS DOUBLE) AS dt_goi,
-  CAST(sum(revenue) AS DOUBLE) AS tongdt
-FROM bills GROUP BY loai_doanh_thu, loai_du_lieu
+@register("revenue_by_kind", f"""{_CURRENT}, priced AS (SELECT *, {REVENUE} AS r FROM lines)
+SELECT loai_doanh_thu, loai_du_lieu, count(*) AS n_lines, sum(r)::DOUBLE AS tongdt,
+  ifnull(sum(r) FILTER (loai_doanh_thu NOT SIMILAR TO 'STANDARD|PROMO|LARGE'), 0)::DOUBLE AS dt_khongdungthuoc,
+  ifnull(sum(r) FILTER (regexp_matches(san_pham, 'ring|bolt')), 0)::DOUBLE AS dt_goi
+FROM priced GROUP BY ALL
 """)
 def revenue_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditional revenue measures of the current bills per type and data kind."""
@@ -287,15 +209,12 @@ def revenue_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LINE_COLS = ["ma_hoa_don", "id_khach_hang", "san_pham", "ngay_cap_nhat_hoa_don_cuoi", "so_tien_thuc_te_thu"]
-_LINE_SQL = ", ".join(
-    ts_text(f"sr.{c}").replace(f" AS sr.{c}", f" AS {c}") if c == "ngay_cap_nhat_hoa_don_cuoi"
-    else (f"CAST(sr.{c} AS DOUBLE) AS {c}" if c == "so_tien_thuc_te_thu" else f"sr.{c}")
-    for c in _LINE_COLS)
+_LINE_SQL = ", ".join(ts_text(c) if c == "ngay_cap_nhat_hoa_don_cuoi"
+                      else f"{c}::DOUBLE AS {c}" if c == "so_tien_thuc_te_thu" else c for c in _LINE_COLS)
 
 
-@register("cancelled_excluded", f"""{MAP}
-SELECT {_LINE_SQL} FROM sales_revenue sr
-LEFT JOIN cancellation_bills cb ON sr.ma_hoa_don = cb.ma_hoa_don WHERE cb.ma_hoa_don IS NULL
+@register("cancelled_excluded", f"""{MAP}, {LIVE}
+SELECT {_LINE_SQL} FROM live
 """)
 def cancelled_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H4: sales lines of bills that were not cancelled (anti join)."""
@@ -304,8 +223,7 @@ def cancelled_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("cancelled_only", f"""{MAP}
-SELECT {_LINE_SQL} FROM sales_revenue sr
-WHERE EXISTS (SELECT 1 FROM cancellation_bills cb WHERE cb.ma_hoa_don = sr.ma_hoa_don)
+SELECT {_LINE_SQL} FROM sales_revenue SEMI JOIN cancellation_bills USING (ma_hoa_don)
 """)
 def cancelled_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H5: sales lines of cancelled bills (semi join)."""
@@ -313,6 +231,17 @@ def cancelled_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_keys(sales.select(*_LINE_COLS), cancel, "ma_hoa_don")
 
 
+@register("newest_line", f"""{MAP}
+SELECT ma_hoa_don, id_khach_hang, {ts_text("ngay_ghi")} FROM sales_revenue
+ORDER BY ngay_ghi DESC NULLS FIRST, ma_hoa_don DESC, id_khach_hang DESC LIMIT 1
+""")
+def newest_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: the newest sales line (ORDER BY ... LIMIT 1; a top-1 per task, no full sort)."""
+    return (T.sales(spark, sf_dir).select("ma_hoa_don", "id_khach_hang", "ngay_ghi")
+            .orderBy(F.col("ngay_ghi").desc_nulls_first(), F.col("ma_hoa_don").desc(), F.col("id_khach_hang").desc())
+            .limit(1))
+
+
 # ----------------------------------------------------------------- ledger ---
 from sheetlake.operators import ledger as L  # noqa: E402
 from sheetlake.operators import tables as TB  # noqa: E402
@@ -490,14 +419,17 @@ from sheetlake.operators import typing_ as TY  # noqa: E402
 
 
 def _strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, '^{C.WS}+|{C.WS}+$', '', 'g')"
+    # what Python calls blank, spelled as Unicode space classes
+    blank = r"[\s\p{Z}\x0B\x1C-\x1F\x{85}]"
+    return f"regexp_replace({x}, '^{blank}+|{blank}+$', '', 'g')"
 
 
 def _ident_sql(x: str) -> str:
     s = _strip_sql(x)
-    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {s} IN ('', '.0') THEN NULL"
-            f" WHEN regexp_full_match({s}, '[+-]?[0-9]+(\\.0+)?')"
-            f" THEN COALESCE(CAST(TRY_CAST(regexp_extract({s}, '^([+-]?[0-9]+)', 1) AS DECIMAL(38,0)) AS VARCHAR), {s})"
+    whole = f"ltrim(ltrim(split_part({s}, '.', 1), '+-'), '0')"
+    return (f"CASE WHEN nullif(nullif({s}, ''), '.0') IS NULL THEN NULL"
+            f" WHEN regexp_full_match({s}, '[-+]?\\d+([.]0+)?')"
+            f" THEN CASE WHEN {whole} = '' THEN '0' WHEN starts_with({s}, '-') THEN '-' || {whole} ELSE {whole} END"
             f" ELSE {s} END")
 
 
@@ -557,8 +489,8 @@ _PROFILED = ["so_luong", "ty_le", "ngay_giao", "ngay_cap_nhat", "co", "so_dong",
 def _profile_sql(c: str) -> str:
     t = f"trim({c})"
     filled = f"{c} IS NOT NULL AND {t} <> ''"
-    num = f"regexp_full_match({t}, '{TY.NUMERIC_PATTERN}')"
-    ts = f"regexp_full_match({t}, '{TY.TIMESTAMP_PATTERN}')"
+    num = f"regexp_full_match({t}, '[-+]?(\\d+|\\d*[.]\\d+)')"
+    ts = f"regexp_full_match({t}, '\\d{{4}}(-\\d\\d){{2}}([T ]\\d\\d(:\\d\\d){{2}}([.]\\d+)?)?')"
     return (f"SELECT '{c}' AS column_name,"
             f" count(*) FILTER (WHERE {filled}) AS non_blank,"
             f" count(*) FILTER (WHERE {c} IS NOT NULL AND {t} = '') AS blank_cells,"
@@ -622,7 +554,7 @@ FROM lineitem
 """)
 def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stable row keys from file and row number."""
-    li = T.spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+    li = T.table(spark, sf_dir, "lineitem")
     rows = li.select(T._month_file().alias("source_file"),
                      (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_no"))
     return rows.withColumn("row_key", _row_key(F.col("source_file"), F.col("row_no")))
@@ -636,17 +568,16 @@ FROM documents
 """)
 def fold_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: the name-folding rule over whole document texts."""
-    docs = T.spread_table(spark, sf_dir, "documents", "doc_id")
+    docs = T.table(spark, sf_dir, "documents")
     return docs.select("doc_id", _fold_name(F.col("text")).alias("folded"))
 
 
-_FLOAT_WORDS = ", ".join(f"'{w}'" for w in CO.FLOAT_WORDS)
 _COERCE_SQL = f"""WITH {T.TYPED_CELLS_SQL}, typed AS (
   SELECT source_file, l_orderkey, l_linenumber,
-    CAST(CASE WHEN regexp_full_match({_strip_sql("so_luong")}, '{CO.INTEGER_PATTERN}')
+    CAST(CASE WHEN regexp_full_match({_strip_sql("so_luong")}, '[-+]?\\d+')
               THEN TRY_CAST({_strip_sql("so_luong")} AS INTEGER) END AS BIGINT) AS q,
-    CASE WHEN regexp_full_match({_strip_sql("don_gia")}, '{CO.FLOAT_PATTERN}')
-              OR lower({_strip_sql("don_gia")}) IN ({_FLOAT_WORDS})
+    CASE WHEN regexp_full_match({_strip_sql("don_gia")},
+              '(?i)[-+]?((\\d+[.]?|\\d*[.]\\d+)(e[-+]?\\d+)?|inf(inity)?|nan)')
          THEN TRY_CAST({_strip_sql("don_gia")} AS DOUBLE) END AS p,
     so_luong, don_gia
   FROM cells

@@ -7,8 +7,8 @@ per customer id) and ``cancellations`` (cancellation_bills, only
 
 Shuffle shape: one-row-per-key ranking (per bill, per customer) uses window
 partitions with a map-side ``WindowGroupLimit``; the ties-kept ranking of
-the current bills is a per-bill aggregate joined back (skew-safe); every
-rollup is a partial + final hash aggregate; the per-customer pieces are
+the current bills is one such window, with a way of its own for the NULL
+bill; every rollup is a partial + final hash aggregate; the per-customer pieces are
 keyed on the customer id, so their joins meet on one hash partitioning.
 """
 
@@ -34,13 +34,14 @@ PAYER = "ten_doi_tuong_thanh_toan"
 KIND = "loai_doanh_thu"
 VERSION_UPDATED = "ngay_cuoi_cap_nhat"
 
-# Columns of the current-bills report, in report order.
+# --- Fixed values: required column names of the reports, in report order. ---
+# Columns of the current-bills report.
 BILL_COLUMNS = [
     "loai_du_lieu", "id_khach_hang", "khach_hang", "pid", "loai_doanh_thu",
     "loai_hoa_don", "ma_hoa_don", "san_pham", "so_luong", "ngay_ghi",
     "ngay_cap_nhat_hoa_don_cuoi", "so_tien_thuc_te_thu", "ten_doi_tuong_thanh_toan",
 ]
-# Customer attributes of the newest-customer report, in report order.
+# Customer attributes of the newest-customer report.
 CUSTOMER_COLUMNS = [
     "id", "ten_khach_hang", "pid", "gioi_tinh", "ngay_sinh", "chuyen_vien_tu_van",
     "muc_do", "nguon_1", "nguoi_gioi_thieu_id", "nguoi_gioi_thieu_khach_hang_pid",
@@ -48,7 +49,7 @@ CUSTOMER_COLUMNS = [
     "cap_quyen_loi_ap_dung", "cong_ty_1", "ten_bao_hiem_thanh_toan",
     "quan_he_voi_cap_quyen_loi_ap_dung", "ngay_cuoi_cap_nhat",
 ]
-# Customer attributes carried into the spending report, in report order.
+# Customer attributes carried into the spending report.
 SPENDING_CUSTOMER_COLUMNS = [
     "id", "ten_khach_hang", "pid", "ngay_sinh", "chuyen_vien_tu_van", "nguon_1",
     "nguoi_gioi_thieu_id", "nguoi_gioi_thieu_khach_hang", "nguoi_gioi_thieu_khach_hang_pid",
@@ -56,6 +57,7 @@ SPENDING_CUSTOMER_COLUMNS = [
     "cong_ty_1", "ten_bao_hiem_thanh_toan",
 ]
 REFERRER = ["nguoi_gioi_thieu_id", "nguoi_gioi_thieu_khach_hang", "nguoi_gioi_thieu_khach_hang_pid"]
+# -----------------------------------------------------------------------------
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -110,7 +112,7 @@ def current_bills(sales: DataFrame, cancellations: DataFrame,
     runs after the rank: rank 1 does not depend on duplicates.
     """
     live = exclude_keys(sales.select(*BILL_COLUMNS), cancellations, BILL)
-    newest = newest_rows(live, [BILL], BILL_UPDATED, rank_col="Rank_HD").distinct()
+    newest = newest_rows(live, [BILL], BILL_UPDATED, rank_col="Rank_HD", distinct=True)
     return with_revenue(newest, rules).select(*BILL_COLUMNS, "Rank_HD", "revenue")
 
 

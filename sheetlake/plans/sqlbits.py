@@ -1,39 +1,19 @@
-"""SQL text shared by the DuckDB oracles (same rules as the Spark functions)."""
+"""SQL text shared by the DuckDB oracles, written from the rules' meaning."""
 
 from __future__ import annotations
 
-from sheetlake.functions.revenue import RevenueRules
-
-
-def sql_list(values) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-
-
-def revenue_sql(rules: RevenueRules, payer: str, kind: str, amount: str) -> str:
-    return (
-        f"round(CASE WHEN {payer} IN ({sql_list(rules.rebate_payers)}) AND {kind} = '{rules.other_kind}'"
-        f" THEN {amount} * {rules.rebate_factor}"
-        f" WHEN {payer} IN ({sql_list(rules.zero_payers)}) THEN 0"
-        f" WHEN {kind} = '{rules.other_kind}' THEN {rules.other_factor} * {amount}"
-        f" ELSE {amount} END)"
-    )
-
 
 def flexible_date_sql(expr: str) -> str:
-    t = f"trim(CAST({expr} AS VARCHAR))"
-    parsed = (
-        f"CASE WHEN regexp_full_match({t}, '[0-9]{{8}}') THEN CAST(try_strptime({t}, '%Y%m%d') AS DATE)"
-        f" WHEN regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN CAST(try_strptime({t}, '%Y-%m-%d') AS DATE)"
-        f" WHEN regexp_full_match({t}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') THEN CAST(try_strptime({t}, '%d/%m/%Y') AS DATE)"
-        f" WHEN regexp_full_match({t}, '[0-9]+(\\.0+)?') AND length(regexp_extract({t}, '^([0-9]+)', 1)) <= 6"
-        f" THEN DATE '1899-12-30' + CAST(floor(CAST({t} AS DECIMAL(38,6))) AS INTEGER)"
-        f" END"
-    )
-    return f"(CASE WHEN ({parsed}) BETWEEN DATE '1900-01-01' AND current_date THEN ({parsed}) END)"
-
-
-def desc_tiebreak(cols) -> str:
-    return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
+    """Export dates: eight digits, ISO, day first, or a serial day number. A
+    serial is judged by its number against today's, for any count of digits."""
+    t = f"trim({expr}::VARCHAR)"
+    n = f"TRY_CAST(split_part({t}, '.', 1) AS HUGEINT)"
+    day = (f"CASE WHEN regexp_full_match({t}, '\\d{{8}}') THEN try_strptime({t}, '%Y%m%d')::DATE"
+           f" WHEN {t} SIMILAR TO '\\d{{4}}-\\d\\d-\\d\\d' THEN try_strptime({t}, '%Y-%m-%d')::DATE"
+           f" WHEN {t} SIMILAR TO '\\d\\d/\\d\\d/\\d{{4}}' THEN try_strptime({t}, '%d/%m/%Y')::DATE"
+           f" WHEN {t} SIMILAR TO '\\d+([.]0+)?' AND {n} BETWEEN 2 AND date_diff('day', DATE '1899-12-30', current_date)"
+           f" THEN DATE '1899-12-30' + {n}::INTEGER END")
+    return f"(SELECT d FROM (SELECT {day} AS d) WHERE d >= DATE '1900-01-01' AND d <= current_date)"
 
 
 TS_FMT = "%Y-%m-%d %H:%M:%S.%f"

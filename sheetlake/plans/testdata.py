@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from sheetlake.functions.revenue import RevenueRules
-from sheetlake.session import spread
 
 MONEY = DecimalType(18, 2)
 
@@ -44,21 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """Spread a scan with fewer splits than task slots (no-op on large
-    inputs), hash-partitioned on ``keys`` when given."""
-    return spread(table(spark, sf_dir, name), keys=keys)
-
-
 def _null_text(name: str):
     return F.lit(None).cast("string").alias(name)
 
 
-def sales(spark: SparkSession, sf_dir: str, spread_scan: bool = True) -> DataFrame:
-    """``spread_scan=False`` for reports whose first join is selective (the
-    period reports): spreading there would shuffle rows the join drops."""
-    li = (spread_table(spark, sf_dir, "lineitem", "l_orderkey") if spread_scan
-          else table(spark, sf_dir, "lineitem"))
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     p = table(spark, sf_dir, "part")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
@@ -117,9 +107,8 @@ def cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.filter(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("ma_hoa_don"))
 
 
-def report_inputs(spark: SparkSession, sf_dir: str, spread_scan: bool = True
-                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return sales(spark, sf_dir, spread_scan), customers(spark, sf_dir), cancellations(spark, sf_dir)
+def report_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return sales(spark, sf_dir), customers(spark, sf_dir), cancellations(spark, sf_dir)
 
 
 SALES_SQL = """
@@ -272,12 +261,12 @@ LEDGER_MAPPING_SQL = "WITH " + ",".join([LEDGER_SQL, EVENTS_TABLE_SQL, LISTING_S
 # exported sheets spell them (padding, ``.0`` tails, signs, blanks, junk).
 
 def identifier_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread_table(spark, sf_dir, "orders", "o_orderkey")
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_custkey").cast("string")
     pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
     raw = (F.when(pr == "1-URGENT", F.concat(k, F.lit(".0")))
             .when(pr == "2-HIGH", F.concat(F.lit(" "), k, F.lit(" ")))
-            .when(pr == "3-MEDIUM", F.concat(F.lit("+00"), k))
+            .when(pr == "3-MEDIUM", F.concat(F.lit("+00"), k, F.when(st == "P", F.lit("7" * 40)).otherwise("")))
             .when(pr == "4-NOT SPECIFIED", F.when(st == "P", F.lit(".0")).otherwise(F.concat(k, F.lit(".000"))))
             .otherwise(F.when(st == "P", F.lit(" ")).otherwise(F.concat(F.lit("KH-"), k))))
     contact = (F.when(pr == "1-URGENT", F.concat(F.lit("0"), k, F.lit(".0")))
@@ -299,7 +288,7 @@ cells AS (
     CASE o_orderpriority
       WHEN '1-URGENT' THEN CAST(o_custkey AS VARCHAR) || '.0'
       WHEN '2-HIGH' THEN ' ' || CAST(o_custkey AS VARCHAR) || ' '
-      WHEN '3-MEDIUM' THEN '+00' || CAST(o_custkey AS VARCHAR)
+      WHEN '3-MEDIUM' THEN '+00' || CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderstatus = 'P' THEN repeat('7', 40) ELSE '' END
       WHEN '4-NOT SPECIFIED' THEN CASE WHEN o_orderstatus = 'P' THEN '.0' ELSE CAST(o_custkey AS VARCHAR) || '.000' END
       ELSE CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE 'KH-' || CAST(o_custkey AS VARCHAR) END
     END AS id_khach_hang,
@@ -327,7 +316,7 @@ MONTH_FILE_SQL = "'sales/' || strftime(l_shipdate, '%Y-%m') || '.csv'"
 
 def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as an all-text landing table, as the loader stores it."""
-    li = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+    li = table(spark, sf_dir, "lineitem")
     d = F.date_format("l_shipdate", "yyyy-MM-dd")
     return li.select(
         _month_file().alias("source_file"),
@@ -364,14 +353,14 @@ landing AS (
 
 
 def date_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+    li = table(spark, sf_dir, "lineitem")
     ymd = F.date_format("l_shipdate", "yyyyMMdd")
     n = F.col("l_linenumber")
     serial = F.concat(F.datediff(F.col("l_shipdate"), F.lit("1899-12-30").cast("date")).cast("string"),
                       F.lit(".0"))
     raw = (F.when(n == 1, ymd)
             .when(n == 2, F.date_format("l_shipdate", "dd/MM/yyyy"))
-            .when(n == 3, serial)
+            .when(n == 3, F.when(F.col("l_returnflag") == "A", F.concat(F.lit("00"), serial)).otherwise(serial))
             .when(n == 4, F.when(F.col("l_returnflag") == "A", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
                            .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")))
             .when(n == 5, F.concat(F.lit(" "), ymd, F.lit(" ")))
@@ -386,7 +375,8 @@ cells AS (
     CASE l_linenumber
       WHEN 1 THEN strftime(l_shipdate, '%Y%m%d')
       WHEN 2 THEN strftime(l_shipdate, '%d/%m/%Y')
-      WHEN 3 THEN CAST(date_diff('day', DATE '1899-12-30', CAST(l_shipdate AS DATE)) AS VARCHAR) || '.0'
+      WHEN 3 THEN CASE WHEN l_returnflag = 'A' THEN '00' ELSE '' END
+        || CAST(date_diff('day', DATE '1899-12-30', CAST(l_shipdate AS DATE)) AS VARCHAR) || '.0'
       WHEN 4 THEN CASE WHEN l_returnflag = 'A' THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
                        ELSE strftime(l_shipdate, '%Y-%m-%d') END
       WHEN 5 THEN ' ' || strftime(l_shipdate, '%Y%m%d') || ' '
@@ -399,7 +389,7 @@ cells AS (
 
 def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells bound for typed columns; some do not convert."""
-    li = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+    li = table(spark, sf_dir, "lineitem")
     q = F.col("l_quantity").cast("bigint").cast("string")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     price = F.concat(F.col("l_partkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))

@@ -58,11 +58,14 @@ def get_spark(master: str | None = None, app_name: str = "sheetlake",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage (``spark.checkpoint.dir``).
 
-    On a cluster this must be set by the deployment to a shared file system.
-    Only when it is unset (local runs and tests) a fresh local folder is used.
+    On a cluster this must be set by the deployment to a shared file system;
+    executors could not read each other's local folders. Only a local session
+    (``local[...]``, all tasks on one machine) gets a fresh local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="sheetlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -73,19 +76,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
-
-
-def spread(df, min_partitions: int | None = None, keys: tuple[str, ...] = ()):
-    """Spread a scan that yields fewer partitions than the cluster has task
-    slots (e.g. a small table stored as one Parquet row group, which a scan
-    cannot split). With ``keys`` the rows are hash-partitioned on the key the
-    plan partitions by next (no local sort, and later joins or windows on
-    that key can reuse it); without, round-robin. Large inputs already have
-    many splits and pass through untouched, so no shuffle is added at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

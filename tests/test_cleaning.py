@@ -1,5 +1,7 @@
 """Cell cleaning, name folding and the identifier rule."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,28 @@ def test_dates_not_coerced_here(spark):
     # date targets are handled by promotion, not by the row coercion
     with pytest.raises(ValueError):
         coerce_or_reject(spark.createDataFrame([("x",)], "d string"), {"d": "date"})
+
+
+def test_identifiers_of_any_length_and_padded_serials(spark):
+    from sheetlake.functions.cleaning import clean_identifier
+    from sheetlake.functions.dates import parse_flexible_date
+
+    big = "9" * 45
+    cells = [(f"+00{big}.00", big), (f"-{big}", f"-{big}"), ("-000", "0"), ("007.0", "7"), ("7.5", "7.5")]
+    got = spark.createDataFrame(cells, "a string, want string").select(clean_identifier(F.col("a")).alias("g"), "want")
+    assert all(r.g == r.want for r in got.collect())
+    dates = ["0032290", "0032290.0", "000000000000000032290", "32290", "1", "99999999999999999999", "2958466"]
+    got = [r[0] for r in spark.createDataFrame([(d,) for d in dates], "a string").select(parse_flexible_date(F.col("a"))).collect()]
+    day = dt.date(1988, 5, 27)
+    assert got == [day, day, day, day, None, None, None]
+
+
+def test_revenue_is_rounded_once(spark):
+    from sheetlake.functions.revenue import RevenueRules, amount_value, net_revenue
+
+    rules = RevenueRules()
+    df = spark.createDataFrame([("2.4999996", "x"), ("2.5", "x"), ("-0.49999999", "x"), ("9.99999997", rules.other_kind)],
+                               "a string, kind string")
+    amount = amount_value(F.col("a"), df.schema["a"].dataType, rules.amount_type)
+    got = [int(r[0]) for r in df.select(net_revenue(F.lit("p"), F.col("kind"), amount, rules)).collect()]
+    assert got == [2, 3, 0, 1]

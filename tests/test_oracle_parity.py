@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sheetlake.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -50,16 +51,16 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) <= set(queries())
-    missing = set(queries()) - set(oracle_sql())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
+    missing = set(QUERIES) - set(ORACLES)
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(oracle_sql()[name])
+    res = duck.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)

@@ -35,14 +35,3 @@ def test_rebalanced_write_keeps_rows(spark, workdir):
     S.overwrite(df.repartition(16), p)
     back = S.read(spark, p)
     assert back.count() == 5000 and back.filter("source_file = 'hot.csv'").count() == 3000
-
-
-def test_spread_only_narrow_inputs(spark):
-    from sheetlake.session import spread
-
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert spread(wide, min_partitions=8) is wide                     # enough splits: untouched
-    narrow = spark.range(0, 1000, numPartitions=1)
-    keyed = spread(narrow, min_partitions=8, keys=("id",))
-    assert keyed.rdd.getNumPartitions() == 8 and keyed.count() == 1000
-    assert "hashpartitioning" in keyed._jdf.queryExecution().executedPlan().toString()
