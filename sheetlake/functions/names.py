@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import regex
 import sys
 import unicodedata
 from functools import lru_cache
@@ -47,10 +46,10 @@ def fold_table() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
-# After the letter table and lower-casing, these rewrites run in order; the
-# same list drives the JVM expression and the Python form.
+# After the letter table and lower-casing, combining marks (of decomposed
+# input) go, then these rewrites run in order; the same list drives the JVM
+# expression and the Python form.
 FOLD_STEPS: tuple[tuple[str, str], ...] = (
-    (r"\p{Mn}", ""),          # combining marks of decomposed input
     (r"%", "per"),
     (r"[()]", ""),
     (r"[^a-z0-9]+", "_"),
@@ -62,7 +61,7 @@ FOLD_STEPS: tuple[tuple[str, str], ...] = (
 def _py_fold():
     src, dst = fold_table()
     table = str.maketrans(src, dst)
-    steps = [(regex.compile(p), r) for p, r in FOLD_STEPS]
+    steps = [(re.compile(p), r) for p, r in FOLD_STEPS]
     return table, steps
 
 
@@ -70,6 +69,7 @@ def fold_name_py(name: object) -> str:
     """:func:`fold_name` for one Python string (used per file header)."""
     table, steps = _py_fold()
     s = str(name).translate(table).lower()
+    s = "".join(ch for ch in s if unicodedata.category(ch) != "Mn")
     for pattern, repl in steps:
         s = pattern.sub(repl, s)
     return s or EMPTY_NAME
@@ -79,7 +79,7 @@ def fold_name(c: Column) -> Column:
     """Fold a column of names: accents off, lower case, ``%`` -> ``per``,
     runs of other characters -> ``_`` (JVM expressions only, no UDF)."""
     src, dst = fold_table()
-    s = F.lower(F.translate(c, src, dst))
+    s = F.regexp_replace(F.lower(F.translate(c, src, dst)), r"\p{Mn}", "")
     for pattern, repl in FOLD_STEPS:
         s = F.regexp_replace(s, pattern, repl)
     return F.when(c.isNull(), F.lit(None)).when(s == "", F.lit(EMPTY_NAME)).otherwise(s)

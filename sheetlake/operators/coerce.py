@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetlake.functions.cleaning import strip_ws
+from sheetlake.operators.typing_ import NUMERIC_PATTERN, TIMESTAMP_PATTERN
 
 # --- Fixed values: accepted spellings of typed cells. ---
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
@@ -15,34 +17,46 @@ FLOAT_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 FLOAT_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan")
 # ---------------------------------------------------------
 
-TARGETS = {"integer": "int", "float": "double", "numeric": "double"}
+def _converted(raw, kind: str):
+    """A text cell as ``kind``, NULL where it does not convert exactly."""
+    s = strip_ws(raw)
+    if kind == "integer":
+        return F.when(s.rlike(INTEGER_PATTERN), s.try_cast("int"))
+    if kind in ("float", "numeric"):
+        return F.when(s.rlike(FLOAT_PATTERN) | F.lower(s).isin(*FLOAT_WORDS), s.try_cast("double"))
+    if kind == "timestamp":
+        # the pattern first: a bare cast takes a time of day or a year, and its
+        # result then depends on the day of the run
+        return F.when(s.rlike(TIMESTAMP_PATTERN), s.try_cast("timestamp"))
+    m = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    if not m:
+        raise ValueError(f"unsupported target type {kind!r}")
+    exact = F.length(F.regexp_extract(s, r"\.([0-9]+)$", 1)) <= int(m[2])
+    return F.when(s.rlike(NUMERIC_PATTERN) & exact, s.try_cast(kind))
 
 
-def coerce_or_reject(df: DataFrame, types: Mapping[str, str], flag: str = "_ok") -> DataFrame:
+def coerce_or_reject(df: DataFrame, types: Mapping[str, str], flag: str = "_ok",
+                     reasons: str | None = None) -> DataFrame:
     """Convert the named text columns to their target type and flag rows
     where any non-NULL cell does not convert (``flag`` = false). The rest of
     the row is untouched; nothing is dropped here, so callers split with
-    ``filter`` and count both sides in one pass.
+    ``filter`` and count both sides in one pass. ``reasons`` names an array
+    column of (column_name, raw_text) with the cells that did not convert.
 
-    Targets: ``integer`` (32-bit), ``float`` / ``numeric`` (double).
+    Targets: ``integer`` (32-bit), ``float`` / ``numeric`` (double),
+    ``timestamp``, ``decimal(p,s)``.
     """
-    ok = F.lit(True)
-    out = {}
+    out, bad = {}, []
     for name, kind in types.items():
-        if kind not in TARGETS:
-            raise ValueError(f"unsupported target type {kind!r}")
         raw = F.col(f"`{name}`")
-        s = strip_ws(raw)
-        if kind == "integer":
-            good = s.rlike(INTEGER_PATTERN)
-            value = F.when(good, s.try_cast("int"))
-        else:
-            good = s.rlike(FLOAT_PATTERN) | F.lower(s).isin(*FLOAT_WORDS)
-            value = F.when(good, s.try_cast("double"))
-        out[name] = value
-        ok = ok & (raw.isNull() | value.isNotNull())
+        out[name] = _converted(raw, kind)
+        bad.append(F.when(raw.isNotNull() & out[name].isNull(),
+                          F.struct(F.lit(name).alias("column_name"), raw.alias("raw_text"))))
+    failed = (F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad
+              else F.array().cast("array<struct<column_name:string,raw_text:string>>"))
     cols = [out.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns]
-    return df.select(*cols, ok.alias(flag))
+    df = df.select(*cols, (F.size(failed) == 0).alias(flag), *([failed.alias(reasons)] if reasons else []))
+    return df
 
 
 def load_stats(flagged: DataFrame, source_col: str = "source_file", flag: str = "_ok") -> DataFrame:

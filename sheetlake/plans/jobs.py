@@ -9,12 +9,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, TimestampType
 
 from sheetlake.functions.cleaning import clean_cells
+from sheetlake.functions.dates import parse_flexible_date
 from sheetlake.functions.keys import with_row_key
 from sheetlake.operators import ledger as L
-from sheetlake.operators.schema import project_cells, union_schema
-from sheetlake.operators.typing_ import promote_types
+from sheetlake.operators.coerce import coerce_or_reject, load_stats
+from sheetlake.operators.schema import project_cells, schema_drift, union_schema
+from sheetlake.operators.typing_ import (MAX_PRECISION, SYSTEM_COLUMNS, candidate_columns, decide_types,
+                                         type_profile)
 from sheetlake.plans import storage as S
 from sheetlake.session import scratch_path
 from sheetlake.sources.reports import data_records, header_records, scan_errors, scan_report_rows
@@ -24,8 +28,22 @@ DATE_COLUMNS: dict[str, tuple[str, ...]] = {"customer_data": ("ngay_sinh",)}
 # -------------------------------------------------------------------
 
 
-def new_run_id(now: dt.datetime) -> int:
-    return int(now.strftime("%Y%m%d%H%M%S"))
+def aware(at: dt.datetime | None) -> dt.datetime | None:
+    """A time with its zone: naive times of the interface are UTC. Only aware
+    times reach Spark, as it reads naive ones in the driver's zone."""
+    return at.replace(tzinfo=dt.timezone.utc) if at is not None and at.tzinfo is None else at
+
+
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def new_run_id(now: dt.datetime, history: DataFrame | None = None) -> int:
+    """The run's start in UTC to the millisecond, moved on past known runs."""
+    at = aware(now).astimezone(dt.timezone.utc)
+    run_id = int(at.strftime("%Y%m%d%H%M%S") + f"{at.microsecond // 1000:03d}")
+    last = history.agg(F.max(F.col("run_id").cast("long"))).first()[0] if history is not None else None
+    return run_id if last is None or run_id > last else last + 1
 
 
 def write_run_event(spark: SparkSession, warehouse: str, run_id: int, event: str, mode: str,
@@ -61,22 +79,28 @@ def landed_table(scan: DataFrame, table: str, columns: Sequence[str]) -> DataFra
     return with_row_key(clean_cells(project_cells(rows, columns)))
 
 
-def file_outcomes(scan: DataFrame, loaded: DataFrame | None, table: str,
+def read_sources(scan: DataFrame, table: str) -> DataFrame:
+    """Files of a table that decoded completely."""
+    heads = header_records(scan).filter(F.col("table_name") == table)
+    return heads.select("source_file").distinct()
+
+
+def file_outcomes(scan: DataFrame, table: str, stats: DataFrame | None,
                   operations: DataFrame | None = None) -> DataFrame:
-    """Ledger outcome per file of a table: loaded rows and status; files
-    that could not be decoded are ``failed`` with 0 rows (A7, C7)."""
-    spark = scan.sparkSession
-    heads = header_records(scan).filter(F.col("table_name") == table).select("source_file").distinct()
-    counts = (loaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
-              if loaded is not None else spark.createDataFrame([], "source_file string, row_count long"))
-    ok = (heads.join(counts, "source_file", "left")
-               .select(F.col("source_file").alias("file_path"),
-                       F.coalesce("row_count", F.lit(0)).alias("row_count"),
-                       F.lit(L.SUCCESS).alias("status")))
-    bad = (scan_errors(scan).filter(F.col("table_name") == table)
-           .select(F.col("source_file").alias("file_path"), F.lit(0).cast("long").alias("row_count"),
-                   F.lit(L.FAILED).alias("status")))
-    out = ok.unionByName(bad).withColumn("table_name", F.lit(table))
+    """One ledger outcome per file of a table: loaded rows and status. Files
+    that could not be decoded are ``failed`` with 0 rows (A7, C7), and so are
+    all files when the load failed (``stats`` is None)."""
+    bad = scan_errors(scan).filter(F.col("table_name") == table).select("source_file").distinct()
+    good = read_sources(scan, table)
+    if stats is None:
+        bad, loaded = bad.union(good), None
+    else:
+        loaded = good.join(stats, "source_file", "left").select(
+            "source_file", F.coalesce("loaded", F.lit(0)).cast("long").alias("row_count"),
+            F.coalesce("status", F.lit(L.SUCCESS)).alias("status"))
+    out = bad.select("source_file", F.lit(0).cast("long").alias("row_count"), F.lit(L.FAILED).alias("status"))
+    out = (out if loaded is None else out.unionByName(loaded)).select(
+        F.col("source_file").alias("file_path"), "row_count", "status", F.lit(table).alias("table_name"))
     if operations is None:
         return out.withColumn("operation", F.lit(L.INSERT))
     ops = operations.select(F.col("rel_path").alias("file_path"), "operation")
@@ -84,43 +108,140 @@ def file_outcomes(scan: DataFrame, loaded: DataFrame | None, table: str,
         "operation", F.coalesce("operation", F.lit(L.INSERT)))
 
 
+def _decided(profile_rows) -> dict[str, str]:
+    return {r["column_name"]: r["promoted_type"] for r in profile_rows if r["promoted_type"] != "string"}
+
+
+def target_types(batch: DataFrame, text: DataFrame, stored: DataFrame | None,
+                 date_columns: Sequence[str]) -> tuple[dict[str, str], bool]:
+    """Target type per column, and whether stored rows must be typed anew.
+
+    Without a stored table the whole text decides (D3). Otherwise stored types
+    stay and only new columns are promoted (D6), with one exception: a batch
+    whose numbers need more fraction or whole digits than a stored decimal has
+    room for widens that column, and the table is typed again from its text
+    landing. No row is dropped for its digits; a column that needs more than
+    38 of them becomes text.
+    """
+    if stored is None:
+        names = [c for c in candidate_columns(text) if c not in date_columns]
+        return _decided(decide_types(type_profile(text, names)).collect()), False
+    have = {f.name: f.dataType for f in stored.schema.fields}
+    types = {n: t.simpleString() for n, t in have.items()
+             if isinstance(t, (DecimalType, TimestampType)) and n in batch.columns and n not in date_columns}
+    new = [c for c in candidate_columns(batch) if c not in have and c not in date_columns]
+    decimals = [n for n in types if isinstance(have[n], DecimalType)]
+    profile = decide_types(type_profile(batch, [*decimals, *new])).collect() if decimals or new else []
+    types.update(_decided([r for r in profile if r["column_name"] in new]))
+    small = [r["column_name"] for r in profile if r["column_name"] in decimals
+             and ((r["scale"] or 0) > have[r["column_name"]].scale
+                  or (r["int_digits"] or 0) > have[r["column_name"]].precision - have[r["column_name"]].scale)]
+    for r in type_profile(text, small).collect() if small else []:
+        name, scale = r["column_name"], max(r["scale"] or 0, have[r["column_name"]].scale)
+        if (r["int_digits"] or 0) + scale <= MAX_PRECISION:
+            types[name] = f"decimal({MAX_PRECISION},{scale})"
+        else:
+            types.pop(name)
+    return types, bool(small)
+
+
+def load_table(spark: SparkSession, warehouse: str, scan: DataFrame, table: str, run_id: int,
+               full: bool, operations: DataFrame | None = None) -> DataFrame:
+    """Land the decoded files of one table as text, type them, store good
+    rows and the cells of rejected rows, and return the ledger outcomes.
+
+    ``full`` replaces the table (init); otherwise the read files replace their
+    own earlier rows (E2), also when they have no row left.
+    """
+    headers = header_records(scan).filter(F.col("table_name") == table)
+    sources = read_sources(scan, table)
+    text_path, typed_path = S.text_path(warehouse, table), S.path(warehouse, table)
+    try:
+        cols = union_schema(headers, table)
+    except ValueError:  # no file with a column
+        return file_outcomes(scan, table, spark.createDataFrame([], "source_file string, loaded long, status string"),
+                             operations).checkpoint()
+    stored = None if full else S.read(spark, typed_path)
+    if stored is not None:
+        drift = schema_drift(headers, [c for c in stored.columns if c not in SYSTEM_COLUMNS])
+        S.replace_partitions(drift.withColumn("run_id", F.lit(run_id)).withColumn("table_name", F.lit(table)),
+                             S.path(warehouse, S.DRIFT), partition_by=("run_id", "table_name"))
+    fresh = landed_table(scan, table, cols)
+    if full:
+        S.overwrite(fresh, text_path)
+    else:
+        S.replace_sources(fresh, text_path, sources)
+    text = S.read(spark, text_path)
+    if text is None:  # header-only files and nothing stored before
+        text = spark.createDataFrame([], fresh.schema)
+    batch = text if full else text.join(F.broadcast(sources), S.SOURCE, "left_semi")
+
+    dates = [c for c in DATE_COLUMNS.get(table, ()) if c in text.columns]
+    types, again = target_types(batch, text, stored, dates)
+    rows = text if again else batch
+    flagged = coerce_or_reject(rows, {n: t for n, t in types.items() if n in rows.columns}, reasons="_bad")
+    flagged = flagged.withColumns({c: parse_flexible_date(F.col(f"`{c}`")) for c in dates})
+    good = flagged.filter("_ok").drop("_ok", "_bad")
+    rejects = flagged.filter("not _ok").select(
+        "source_file", "row_no", F.explode("_bad").alias("cell"), F.lit(run_id).alias("run_id")).select(
+        "source_file", "row_no", "cell.column_name", "cell.raw_text", "run_id")
+    rejects_path = S.path(warehouse, f"{table}_rejects")
+    if full or again:
+        S.overwrite(good, typed_path)
+        S.overwrite(rejects, rejects_path)
+    else:
+        S.replace_sources(good, typed_path, sources)
+        S.replace_sources(rejects, rejects_path, sources)
+    stats = load_stats(flagged.join(F.broadcast(sources), S.SOURCE, "left_semi"))
+    return file_outcomes(scan, table, stats, operations).checkpoint()
+
+
+def load_tables(spark: SparkSession, warehouse: str, scan: DataFrame, run_id: int, full: bool,
+                operations: DataFrame | None = None) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """Load every table of a scan. One table's failure must not stop the
+    others: its files get ``failed`` outcomes and the error is returned."""
+    outcomes, errors = [], []
+    for table in sorted(r[0] for r in scan.select("table_name").distinct().collect()):
+        try:
+            outcomes.append(load_table(spark, warehouse, scan, table, run_id, full, operations))
+        except Exception as e:
+            errors.append((table, str(e).splitlines()[0]))
+            outcomes.append(file_outcomes(scan, table, None, operations).checkpoint())
+    return outcomes, errors
+
+
+def write_ledger(spark: SparkSession, warehouse: str, outcomes: list[DataFrame], run_id: int,
+                 now: dt.datetime, reset: bool = False) -> tuple[int, int]:
+    """Append the outcomes of a run to the ledger (F1) or start it anew (F10);
+    returns the files processed and skipped, counted from what was written."""
+    rows = spark.createDataFrame(
+        [], "file_path string, row_count long, status string, table_name string, operation string")
+    for o in outcomes:
+        rows = rows.unionByName(o)
+    rows = L.ledger_rows(rows, F.lit(now).cast("timestamp")).withColumn("run_id", F.lit(run_id))
+    (S.overwrite if reset else S.replace_partitions)(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
+    stored = S.read(spark, S.path(warehouse, S.LEDGER))
+    stats = (L.run_summary(stored.filter(F.col("run_id") == str(run_id)), "run_id").collect()
+             if stored is not None else [])
+    return (stats[0]["files_processed"], stats[0]["files_skipped"]) if stats else (0, 0)
+
+
 def init(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
          warehouse: str, glob: str = "*.csv", decode: str = "csv",
          now: dt.datetime | None = None) -> dict:
     """Full rebuild of every table that has files; ledger and run log reset
-    (init mode)."""
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    (init mode). A table or file that fails is in the ledger as ``failed``,
+    its stored rows stay, and the next daily run reads the file again."""
+    now = aware(now) or utc_now()
     run_id = new_run_id(now)
     write_run_event(spark, warehouse, run_id, "started", "init", now, reset=True)
     scan, scan_path = land_scan(spark, scan_report_rows(spark, folder_map, header_rows, glob, decode),
                                 run_id)
-    headers = header_records(scan)
-    tables = [r[0] for r in scan.select("table_name").distinct().collect()]
-    outcomes = []
-    for table in sorted(tables):
-        try:
-            cols = union_schema(headers, table)
-        except ValueError:
-            outcomes.append(file_outcomes(scan, None, table))
-            continue
-        text = landed_table(scan, table, cols)
-        S.overwrite(text, S.text_path(warehouse, table))
-        text = spark.read.parquet(S.text_path(warehouse, table))
-        typed = promote_types(text, date_columns=DATE_COLUMNS.get(table, ()))
-        S.overwrite(typed, S.path(warehouse, table))
-        outcomes.append(file_outcomes(scan, text, table))
-    ledger = spark.createDataFrame(
-        [], "file_path string, row_count long, status string, table_name string, operation string")
-    for o in outcomes:
-        ledger = ledger.unionByName(o)
-    rows = L.ledger_rows(ledger, F.lit(now).cast("timestamp")).withColumn("run_id", F.lit(run_id))
-    S.overwrite(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
-    stats = L.run_summary(rows, "run_id").collect()
-    processed, skipped = (stats[0]["files_processed"], stats[0]["files_skipped"]) if stats else (0, 0)
+    outcomes, errors = load_tables(spark, warehouse, scan, run_id, full=True)
+    processed, skipped = write_ledger(spark, warehouse, outcomes, run_id, now, reset=True)
     S.remove(spark, scan_path)
-    done = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    write_run_event(spark, warehouse, run_id, "finished", "init", done, processed, skipped, 0)
-    return {"run_id": run_id, "files_processed": processed, "files_skipped": skipped}
+    write_run_event(spark, warehouse, run_id, "finished", "init", utc_now(), processed, skipped, len(errors))
+    return {"run_id": run_id, "files_processed": processed, "files_skipped": skipped, "errors": errors}
 
 
 def run_reports(spark: SparkSession, script_dir: str, out_dir: str, fmt: str = "parquet",

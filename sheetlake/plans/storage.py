@@ -2,6 +2,8 @@
 
 ``<warehouse>/<table>``          typed table, partitioned by ``source_file``
 ``<warehouse>/_text/<table>``    text landing (the truth types are derived from)
+``<warehouse>/<table>_rejects``  cells that did not convert, partitioned by ``source_file``
+``<warehouse>/_drift``           new and missing columns, partitioned by ``run_id``
 ``<warehouse>/<table>_deleted``  archive, partitioned by ``deleted_run, source_file``
 ``<warehouse>/_load_metadata``   file ledger, partitioned by ``run_id``
 ``<warehouse>/_run_log``         run events, partitioned by ``run_id``
@@ -15,12 +17,14 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SOURCE = "source_file"
 LEDGER = "_load_metadata"
 RUN_LOG = "_run_log"
+DRIFT = "_drift"
 
 
 def path(warehouse: str, name: str) -> str:
@@ -32,11 +36,15 @@ def text_path(warehouse: str, table: str) -> str:
 
 
 def exists(spark: SparkSession, p: str) -> bool:
+    """Whether a table is stored at ``p``. Only a missing or empty folder means
+    no; any other failure to read is raised, never taken for an absent table."""
     try:
         spark.read.parquet(p).schema  # noqa: B018 - resolves the file listing only
         return True
-    except Exception:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def read(spark: SparkSession, p: str) -> DataFrame | None:
@@ -55,11 +63,32 @@ def _balanced(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
 
 
 def overwrite(df: DataFrame, p: str, partition_by: tuple[str, ...] = (SOURCE,)) -> None:
-    """Static full overwrite (init, E3, F10)."""
+    """Full overwrite (init, E3, F10): the new table is written beside the old
+    one and takes its place only when it is complete, so a failed write leaves
+    the live table as it was. Spark never clears a folder that is read."""
+    spark = df.sparkSession
+    fresh, old = f"{p.rstrip('/')}__new", f"{p.rstrip('/')}__old"
+    remove(spark, fresh)
     w = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(p)
+    w.parquet(fresh)
+    remove(spark, old)
+    _move(spark, p, old)
+    if not _move(spark, fresh, p):
+        raise OSError(f"cannot put {fresh} in place of {p}")
+    remove(spark, old)
+
+
+def replace_sources(df: DataFrame, p: str, sources: DataFrame) -> None:
+    """E2 stored form: the rows of every file in ``sources`` (``source_file``)
+    are replaced by that file's rows in ``df``; a file without rows in ``df``
+    loses its old ones."""
+    spark = df.sparkSession
+    if exists(spark, p):
+        written_sources = df.select(SOURCE).distinct()
+        drop_sources(spark, p, sources.select(SOURCE).distinct().join(written_sources, SOURCE, "left_anti"))
+    replace_partitions(df, p)
 
 
 def replace_partitions(df: DataFrame, p: str, partition_by: tuple[str, ...] = (SOURCE,)) -> None:
@@ -68,8 +97,10 @@ def replace_partitions(df: DataFrame, p: str, partition_by: tuple[str, ...] = (S
        .partitionBy(*partition_by).parquet(p))
 
 
-def drop_sources(spark: SparkSession, p: str, sources: DataFrame, source_col: str = SOURCE) -> int:
-    """Delete the partition folders of the given source files (E5).
+def drop_sources(spark: SparkSession, p: str, sources: DataFrame, source_col: str = SOURCE,
+                 where: Column | None = None) -> int:
+    """Delete the partition folders of the given source files (E5), of those
+    rows that meet ``where`` (a condition on partition columns).
 
     The folders are found by reading the partition column only, so Spark's
     own path escaping is used; only the folder list reaches the driver.
@@ -77,6 +108,8 @@ def drop_sources(spark: SparkSession, p: str, sources: DataFrame, source_col: st
     table = read(spark, p)
     if table is None:
         return 0
+    if where is not None:
+        table = table.filter(where)
     keys = sources.select(F.col(source_col).alias(SOURCE)).distinct()
     files = (table.select(SOURCE, F.input_file_name().alias("f"))
                   .join(keys, SOURCE, "left_semi").select("f").distinct())
@@ -95,3 +128,11 @@ def remove(spark: SparkSession, p: str) -> None:
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(p)
     hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+
+
+def _move(spark: SparkSession, a: str, b: str) -> bool:
+    """Rename a folder; False when there is none."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(a), jvm.org.apache.hadoop.fs.Path(b)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(source) and fs.rename(source, target))

@@ -43,8 +43,10 @@ def binary_files(spark: SparkSession, folder: str, glob: str = "*.csv",
 
 
 def source_path(path_col: str, folder: str) -> F.Column:
-    """``<folder name>/<path below the folder>`` (A4)."""
-    inner = F.regexp_extract(F.col(path_col), r"\Q" + _folder_path(folder) + r"\E/(.*)$", 1)
+    """``<folder name>/<path below the folder>`` (A4). The folder stands at
+    the start of the path, after scheme and authority."""
+    inner = F.regexp_extract(F.col(path_col), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?\Q"
+                             + _folder_path(folder) + r"\E/(.*)$", 1)
     return F.concat(F.lit(_folder_name(folder) + "/"), inner)
 
 

@@ -13,17 +13,19 @@ many files spreads over the cluster. The output has three kinds of record:
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import io
 import itertools
-from collections.abc import Callable, Collection, Iterator, Mapping
+import re
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetlake.functions.names import fold_name_py
-from sheetlake.sources.listing import _folder_path, binary_files, source_path
+from sheetlake.sources.listing import binary_files, source_path
 
 SCAN_SCHEMA = ("table_name string, source_file string, row_no long, names array<string>, "
                "cells map<string,string>, error string")
@@ -33,16 +35,43 @@ CHUNK_ROWS = 10_000
 Decoder = Callable[[bytes, int, "int | None"], Iterator[pd.DataFrame]]
 
 
+# --- Fixed values: cell spellings that mean "no value" in exported sheets. ---
+NO_VALUE = frozenset(["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                      "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"])
+# -----------------------------------------------------------------------------
+
+
 def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> Iterator[pd.DataFrame]:
-    """Rows above ``header_row`` (0-based) are title rows. All cells are
-    text; empty cells and the usual NA spellings become NULL. The body is
-    read in chunks of ``CHUNK_ROWS`` (a header-only file gives one empty
-    chunk), so a large file never sits in memory as one table; ``nrows=0``
-    reads the header only."""
-    if nrows is not None:
-        yield pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, nrows=nrows)
+    """Rows above ``header_row`` (0-based, blank rows count) are title rows.
+    All cells are text; empty cells and the usual NA spellings become NULL, a
+    blank row is a row of NULLs. Empty cells beyond the header (trailing
+    delimiters) are dropped, other cells beyond it are an error, as they would
+    shift or lose values. The body is read in chunks of ``CHUNK_ROWS`` (a
+    header-only file gives one empty chunk), so a large file never sits in
+    memory as one table; ``nrows=0`` reads the header only."""
+    header = pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, nrows=0,
+                         skip_blank_lines=False, index_col=False)
+    names = list(header.columns)
+    while names and re.fullmatch(r"Unnamed: \d+", str(names[-1])):  # a trailing delimiter of the header
+        names.pop()
+    if nrows == 0:
+        yield header[names]
         return
-    yield from pd.read_csv(io.BytesIO(content), header=header_row, dtype=str, chunksize=CHUNK_ROWS)
+    csv.field_size_limit(max(csv.field_size_limit(), len(content)))
+    lines = csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", newline=""), strict=True)
+    body, any_rows = [], False
+    for at, cells in enumerate(lines):
+        if at <= header_row:
+            continue
+        if any(c not in NO_VALUE for c in cells[len(names):]):
+            raise ValueError(f"row {at + 1} has {len(cells)} cells, the header {len(names)}")
+        row = [None if c in NO_VALUE else c for c in cells[:len(names)]]
+        body.append(row + [None] * (len(names) - len(row)))
+        if len(body) == CHUNK_ROWS:
+            yield pd.DataFrame(body, columns=names, dtype=object)
+            body, any_rows = [], True
+    if body or not any_rows:
+        yield pd.DataFrame(body, columns=names, dtype=object)
 
 
 def decode_xlsx(content: bytes, header_row: int, nrows: int | None = None) -> Iterator[pd.DataFrame]:
@@ -112,26 +141,23 @@ def _records(decoder: Decoder, batches: Iterator[pd.DataFrame],
 def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
                      header_rows: Mapping[str, int], glob: str = "*.csv", decode: str = "csv",
                      since: dt.datetime | None = None, header_only: bool = False,
-                     paths: Collection[str] | None = None) -> DataFrame:
+                     wanted: DataFrame | None = None) -> DataFrame:
     """Decode every report file under the folders into landed records.
 
     ``header_rows``: 0-based header row per table (rows above are titles).
     ``header_only``: emit header and error records only (the cheap first
     pass that fixes the table schema, A6).
-    ``paths``: read exactly these files (as listed by
-    :func:`~sheetlake.sources.listing.list_reports`) instead of the whole
-    folders; only the selected bodies are read.
+    ``wanted``: a listing (:func:`~sheetlake.sources.listing.list_reports`);
+    only its files are decoded. It is broadcast: the file index of the scan
+    already holds the paths of all files on the driver. Give ``since`` as well
+    to read no older bodies.
     """
     decoder = DECODERS[decode]
     frames = []
     for folder, table_name in folder_map.items():
-        if paths is None:
-            files = binary_files(spark, folder, glob, since)
-        else:
-            inside = [p for p in paths if _under(p, folder)]
-            if not inside:
-                continue
-            files = spark.read.format("binaryFile").load(inside)
+        files = binary_files(spark, folder, glob, since)
+        if wanted is not None:
+            files = files.join(F.broadcast(wanted.select("path").distinct()), "path", "left_semi")
         frames.append(files.select(
             F.lit(table_name).alias("table_name"),
             source_path("path", folder).alias("source_file"),
@@ -145,22 +171,25 @@ def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
     return files.mapInPandas(lambda it: _records(decoder, it, header_only), SCAN_SCHEMA)
 
 
-def _under(path: str, folder: str) -> bool:
-    return ("/" + _folder_path(folder).strip("/") + "/") in path
+def _without_errors(records: DataFrame, scan: DataFrame) -> DataFrame:
+    """Records of files that decoded completely (the error list is small)."""
+    return records.join(scan_errors(scan).select("table_name", "source_file"),
+                        ["table_name", "source_file"], "left_anti")
 
 
 def header_records(scan: DataFrame) -> DataFrame:
-    """``table_name, source_file, position, column_name`` of readable files."""
+    """``table_name, source_file, position, column_name`` of files that decoded
+    completely (A6); a file that broke off has no say in the schema."""
     heads = scan.filter(F.col("row_no") == HEADER_ROW)
-    return heads.select("table_name", "source_file",
-                        F.posexplode("names").alias("position", "column_name"))
+    return _without_errors(heads, scan).select("table_name", "source_file",
+                                               F.posexplode("names").alias("position", "column_name"))
 
 
 def data_records(scan: DataFrame) -> DataFrame:
     """Rows of files that decoded completely (a file with an error record
-    contributes no rows; the error list is small)."""
+    contributes no rows)."""
     rows = scan.filter(F.col("row_no") >= 0).select("table_name", "source_file", "row_no", "cells")
-    return rows.join(scan_errors(scan).select("source_file"), "source_file", "left_anti")
+    return _without_errors(rows, scan)
 
 
 def scan_errors(scan: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Incremental (daily) runs: changed files since the last finished run.
 
 Source folders are polled: files modified after the start of the newest
-finished run are re-read; a re-read file replaces its earlier rows, a file
-gone from the folders has its rows archived. A file-stream source would not
-do here: it remembers seen paths and never re-reads a rewritten file.
+finished run are re-read, and so are files whose last load failed; a re-read
+file replaces its earlier rows, a file gone from the folders has its rows
+archived. A file-stream source would not do here: it remembers seen paths and
+never re-reads a rewritten file.
 """
 
 from __future__ import annotations
@@ -13,46 +14,32 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from sheetlake.operators import ledger as L
-from sheetlake.operators.schema import union_schema
 from sheetlake.operators.tables import archive_split
-from sheetlake.operators.typing_ import NUMERIC_PATTERN, promote_types
 from sheetlake.plans import storage as S
-from sheetlake.plans.jobs import (DATE_COLUMNS, file_outcomes, land_scan, landed_table, new_run_id,
-                                  runs, write_run_event)
+from sheetlake.plans.jobs import aware, land_scan, load_tables, new_run_id, runs, utc_now, write_ledger, write_run_event
 from sheetlake.sources.listing import list_reports
-from sheetlake.sources.reports import header_records, scan_report_rows
-
-
-def _coerce_to(stored: DataFrame, fresh: DataFrame, table: str) -> DataFrame:
-    """Cast a new text batch to the stored table's types; rows with a cell
-    that does not convert exactly are flagged (``_ok`` false) for rejection
-    (C5). A decimal cell with more fraction digits than the stored scale is
-    rejected rather than rounded."""
-    types = {f.name: f.dataType for f in stored.schema.fields}
-    exprs, flags = [], []
-    for name in fresh.columns:
-        raw = F.col(f"`{name}`")
-        t = types.get(name)
-        fresh_type = dict(fresh.dtypes)[name]
-        if (t is None or t.simpleString() == "string" or fresh_type != "string"
-                or name in DATE_COLUMNS.get(table, ())):
-            exprs.append(raw.alias(name))
-            continue
-        text = F.nullif(F.trim(raw), F.lit(""))
-        value = text.try_cast(t)
-        good = raw.isNull() | value.isNotNull()
-        if isinstance(t, DecimalType):
-            good = raw.isNull() | (value.isNotNull() & text.rlike(NUMERIC_PATTERN)
-                                   & (F.length(F.regexp_extract(text, r"\.([0-9]+)$", 1)) <= t.scale))
-        exprs.append(value.alias(name))
-        flags.append(good)
-    ok = F.lit(True)
-    for g in flags:
-        ok = ok & g
-    return fresh.select(*exprs, ok.alias("_ok"))
+from sheetlake.sources.reports import scan_report_rows
+
+
+def wanted_files(listing: DataFrame, ledger: DataFrame | None, since: dt.datetime | None,
+                 detect: str) -> DataFrame:
+    """Listed files a run reads: those modified after ``since``, those whose
+    newest ledger row failed, and with ``detect="ledger"`` also those the
+    ledger does not show as loaded."""
+    if since is None:
+        return listing
+    fresh = listing.filter(F.col("modified_at") > F.lit(since))
+    if ledger is None:
+        return fresh
+    newest = L.latest_ops(ledger).select(F.col("file_path").alias("rel_path"), "status", "is_loaded")
+    failed = listing.join(newest.filter(F.col("status") == L.FAILED), "rel_path", "left_semi")
+    out = fresh.unionByName(failed.select(listing.columns))
+    if detect == "ledger":
+        unknown = listing.join(newest.filter("is_loaded"), "rel_path", "left_anti")
+        out = out.unionByName(unknown.select(listing.columns))
+    return out.distinct()
 
 
 def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mapping[str, int],
@@ -63,142 +50,106 @@ def daily(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappi
     a crash re-processes files rather than losing them.
 
     Files modified after ``since`` are read (default: the start of the newest
-    finished run; no run yet means all files). A table whose load failed is
-    listed in ``errors``; its files are read again once modified, or when a
-    run is started with an earlier ``since``.
+    finished run; no run yet means all files), and every file whose last load
+    failed, however old. A table whose load failed is listed in ``errors`` and
+    its files are ``failed`` in the ledger. Naive times are UTC.
 
     ``detect="ledger"`` also reads every listed file the ledger does not show
-    as loaded (e.g. a file copied in with an old modification time, or one
-    whose load failed), comparing the folder listing with the ledger.
+    as loaded (e.g. a file copied in with an old modification time).
     ``failed_keeps_active=True`` lets a file whose newest re-read failed still
     count as present in the tables, so its rows are archived when it is
     deleted later (by default such a file is no longer active, as before).
     """
     if detect not in ("mtime", "ledger"):
         raise ValueError("detect must be 'mtime' or 'ledger'")
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    run_id = new_run_id(now)
+    now, since = aware(now) or utc_now(), aware(since)
     history = runs(spark, warehouse)
+    run_id = new_run_id(now, history)
     if since is None and history is not None:
-        since = L.last_run_time(history).collect()[0][0]
+        last = L.last_run_time(history).first()[0]
+        since = last.astimezone(dt.timezone.utc) if last is not None else None
     write_run_event(spark, warehouse, run_id, "started", "daily", now)
     ledger = S.read(spark, S.path(warehouse, S.LEDGER))
 
-    if detect == "ledger" and ledger is not None:
-        listing = list_reports(spark, folder_map, glob)
-        loaded = L.latest_ops(ledger).filter("is_loaded").select(F.col("file_path").alias("rel_path"))
-        modified = listing.filter(F.col("modified_at") > F.lit(since)) if since is not None else listing
-        changed = modified.unionByName(listing.join(loaded, "rel_path", "left_anti")).distinct().checkpoint()
-        paths = [r["path"] for r in changed.select("path").collect()]  # this run's file list only
-        raw = scan_report_rows(spark, folder_map, header_rows, glob, decode, paths=paths)
-    else:
-        changed = list_reports(spark, folder_map, glob, since)
-        raw = scan_report_rows(spark, folder_map, header_rows, glob, decode, since=since)
+    listing = list_reports(spark, folder_map, glob)
+    # The ledger is rewritten below: cut the read of it out of the plans.
+    wanted = wanted_files(listing, ledger, since, detect).checkpoint()
+    ops = (L.classify_ops(wanted.select("rel_path"), ledger) if ledger is not None
+           else wanted.select("rel_path", F.lit(L.INSERT).alias("operation"))).checkpoint()
+    raw = scan_report_rows(spark, folder_map, header_rows, glob, decode, since=since, wanted=wanted)
+    if since is not None:
+        old = wanted.filter(F.col("modified_at") <= F.lit(since))
+        oldest = old.agg(F.min("modified_at")).first()[0]
+        if oldest is not None:  # failed or unknown files: bodies from the oldest of them on
+            bound = oldest.astimezone(dt.timezone.utc) - dt.timedelta(seconds=1)
+            raw = raw.unionByName(scan_report_rows(spark, folder_map, header_rows, glob, decode, since=bound, wanted=old))
     scan, scan_path = land_scan(spark, raw, run_id)
-    headers = header_records(scan)
-    ops = (L.classify_ops(changed.select("rel_path"), ledger) if ledger is not None
-           else changed.select("rel_path", F.lit(L.INSERT).alias("operation")))
-    # The ledger is rewritten below: cut the read of it out of the plan.
-    ops = ops.checkpoint()
-    outcomes = []
-    errors: list[tuple[str, str]] = []
-    for table in sorted(r[0] for r in scan.select("table_name").distinct().collect()):
-        try:
-            outcomes.append(_load_table(spark, warehouse, scan, headers, table, ops))
-        except Exception as e:  # one table must not stop the others; reported in the run's errors
-            errors.append((table, str(e).splitlines()[0]))
+    outcomes, errors = load_tables(spark, warehouse, scan, run_id, full=False, operations=ops)
 
     # vanished files: archive their rows, then drop their partitions
     deleted = 0
     if ledger is not None:
-        listing = list_reports(spark, folder_map, glob)
         active = L.active_files(ledger, failed_keeps_active=failed_keeps_active)
-        gone = L.deleted_sources(active, listing).checkpoint()
+        gone = L.deleted_sources(active, list_reports(spark, folder_map, glob)).checkpoint()
+        confirmed = ledger.filter(F.col("operation") == L.DELETED).groupBy(
+            F.col("file_path").alias(S.SOURCE)).agg(
+            F.max(F.col("run_id").cast("long")).alias("confirmed_run")).checkpoint()
         for table in sorted(r[0] for r in gone.select("table_name").distinct().collect()):
             try:
                 archived = _archive_table(spark, warehouse, gone.filter(F.col("table_name") == table),
-                                          table, run_id, now)
-            except Exception as e:
+                                          confirmed, table, run_id, now)
+            except Exception as e:  # retried by the next run, as the ledger shows no deletion
                 errors.append((table, str(e).splitlines()[0]))
                 continue
-            if archived is not None:
-                outcomes.append(archived)
-                deleted += archived.count()
-
-    processed = skipped = 0
-    if outcomes:
-        out = outcomes[0]
-        for o in outcomes[1:]:
-            out = out.unionByName(o)
-        rows = L.ledger_rows(out, F.lit(now).cast("timestamp")).withColumn("run_id", F.lit(run_id))
-        S.replace_partitions(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
-        stats = L.run_summary(rows, "run_id").collect()[0]
-        processed, skipped = stats["files_processed"], stats["files_skipped"]
+            outcomes.append(archived)
+            deleted += archived.count()
+
+    processed, skipped = write_ledger(spark, warehouse, outcomes, run_id, now)
     S.remove(spark, scan_path)
-    done = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    write_run_event(spark, warehouse, run_id, "finished", "daily", done, processed, skipped, len(errors))
+    write_run_event(spark, warehouse, run_id, "finished", "daily", utc_now(), processed, skipped, len(errors))
     return {"run_id": run_id, "files_processed": processed, "files_skipped": skipped,
             "files_deleted": deleted, "since": since, "errors": errors}
 
 
-def _load_table(spark: SparkSession, warehouse: str, scan: DataFrame, headers: DataFrame, table: str,
-                ops: DataFrame) -> DataFrame:
-    """Land the changed files of one table (text, then typed) and return
-    their ledger outcomes."""
-    stored = S.read(spark, S.path(warehouse, table))
-    try:
-        cols = union_schema(headers, table)
-    except ValueError:
-        return file_outcomes(scan, None, table, ops)
-    text = landed_table(scan, table, cols)
-    S.replace_partitions(text, S.text_path(warehouse, table))
-    new_cols = [c for c in cols if stored is None or c not in stored.columns]
-    if stored is None:
-        good = promote_types(text, date_columns=DATE_COLUMNS.get(table, ()))
-    else:
-        # existing columns keep their stored type; new columns are promoted (D6);
-        # date columns are always parsed (they are stored as dates)
-        flagged = _coerce_to(stored, promote_types(text, columns=new_cols,
-                                                    date_columns=DATE_COLUMNS.get(table, ())), table)
-        good = flagged.filter("_ok").drop("_ok")
-    S.replace_partitions(good, S.path(warehouse, table))
-    return _with_skips(file_outcomes(scan, text, table, ops), text, good).checkpoint()
-
-
-def _archive_table(spark: SparkSession, warehouse: str, gone: DataFrame, table: str, run_id: int,
-                   now: dt.datetime) -> DataFrame | None:
+def _archive_table(spark: SparkSession, warehouse: str, gone: DataFrame, confirmed: DataFrame, table: str,
+                   run_id: int, now: dt.datetime) -> DataFrame:
     """Archive the rows of vanished files of one table, then drop their
     partitions; returns the ledger outcomes (``DELETED``), counted from
-    the written archive."""
-    stored = S.read(spark, S.path(warehouse, table))
-    if stored is None:
-        return None
-    _, moved = archive_split(stored, gone, deleted_at=F.lit(now).cast("timestamp"))
+    the written archive.
+
+    A run that broke off between archive and ledger leaves archived rows newer
+    than the file's last deletion in the ledger, and the file still counts as
+    active. Those rows are removed first, so archiving again never doubles
+    them. Where that run had dropped the partitions already, its archived rows
+    are the only copy: they are kept and confirmed now.
+    """
+    unconfirmed = F.col("deleted_run").cast("long") > F.coalesce("confirmed_run", F.lit(-1))
     archive = S.path(warehouse, f"{table}_deleted")
-    S.replace_partitions(moved.withColumn("deleted_run", F.lit(run_id)), archive,
-                         partition_by=("deleted_run", S.SOURCE))
-    counts = (spark.read.option("mergeSchema", "true").parquet(archive)
-              .filter(F.col("deleted_run") == run_id)
-              .groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))).checkpoint()
-    S.drop_sources(spark, S.path(warehouse, table), gone, "file_path")
-    S.drop_sources(spark, S.text_path(warehouse, table), gone, "file_path")
-    return (gone.join(counts.withColumnRenamed("source_file", "file_path"), "file_path", "left")
+    stored, earlier = S.read(spark, S.path(warehouse, table)), S.read(spark, archive)
+    held = (stored.select(S.SOURCE).distinct() if stored is not None
+            else spark.createDataFrame([], f"{S.SOURCE} string"))
+    if earlier is not None:
+        here = gone.select(F.col("file_path").alias(S.SOURCE))
+        orphans = (earlier.select("deleted_run", S.SOURCE).distinct()
+                   .join(here, S.SOURCE, "left_semi").join(held, S.SOURCE, "left_semi")
+                   .join(confirmed, S.SOURCE, "left").filter(unconfirmed)).checkpoint()
+        for (run,) in orphans.select("deleted_run").distinct().collect():
+            S.drop_sources(spark, archive, orphans.filter(F.col("deleted_run") == run),
+                           where=F.col("deleted_run") == run)
+    if stored is not None:
+        _, moved = archive_split(stored, gone, deleted_at=F.lit(now).cast("timestamp"))
+        S.replace_partitions(moved.withColumn("deleted_run", F.lit(str(run_id))), archive,
+                             partition_by=("deleted_run", S.SOURCE))
+    written = S.read(spark, archive)
+    counts = spark.createDataFrame([], "file_path string, row_count long")
+    if written is not None:
+        fresh = written.join(confirmed, S.SOURCE, "left").filter(unconfirmed)
+        counts = fresh.groupBy(F.col(S.SOURCE).alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+    counts = counts.checkpoint()
+    for p in (S.path(warehouse, table), S.text_path(warehouse, table), S.path(warehouse, f"{table}_rejects")):
+        S.drop_sources(spark, p, gone, "file_path")
+    return (gone.join(counts, "file_path", "left")
                 .select("file_path", "table_name",
                         F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
                         F.lit(L.SUCCESS).alias("status"), F.lit(L.DELETED).alias("operation"))
                 .checkpoint())
-
-
-def _with_skips(outcomes: DataFrame, text: DataFrame, good: DataFrame) -> DataFrame:
-    """Loaded = rows written; a file with rejected rows is ``partial``."""
-    loaded = good.groupBy("source_file").agg(F.count(F.lit(1)).alias("loaded"))
-    total = text.groupBy("source_file").agg(F.count(F.lit(1)).alias("total"))
-    joined = (outcomes.join(loaded.withColumnRenamed("source_file", "file_path"), "file_path", "left")
-                      .join(total.withColumnRenamed("source_file", "file_path"), "file_path", "left"))
-    status = (F.when(F.col("status") == L.FAILED, F.lit(L.FAILED))
-               .when(F.coalesce("loaded", F.lit(0)) < F.coalesce("total", F.lit(0)), F.lit(L.PARTIAL))
-               .otherwise(F.col("status")))
-    return joined.select("file_path", "table_name",
-                         F.when(F.col("status") == L.FAILED, F.lit(0))
-                          .otherwise(F.coalesce("loaded", F.lit(0))).cast("long").alias("row_count"),
-                         status.alias("status"), "operation")
