@@ -427,35 +427,133 @@ REPORT_HEADER = ["Mã hóa đơn", "ID Khách hàng", "Trạng thái", "Ngày gh
 # ---------------------------------------------------------------------
 
 
+def write_sheets(spark: SparkSession, lines: DataFrame, folder: str) -> str:
+    """Write text ``lines`` (file, line_no, value) as ``<folder>/<file>.csv``.
+    Files have stable names, so writing one again is a re-export. ``file``
+    names few files of bounded size; each is written by one task."""
+    scratch = f"{folder.rstrip('/')}__lines"
+    (lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "value")
+          .write.mode("overwrite").partitionBy("file").text(scratch))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for part in fs.globStatus(path(f"{scratch}/file=*/part-*")) or []:
+        target = path(f"{folder}/{part.getPath().getParent().getName()[5:]}.csv")
+        fs.delete(target, False)
+        fs.rename(part.getPath(), target)
+    fs.delete(path(scratch), True)
+    return folder
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+ORDERS_PER_FILE = 20_000
+
+
 def write_report_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    o = table(spark, sf_dir, "orders")
+    """Orders as report files of bounded size: a month's orders are dealt over
+    as many files as its count needs. A blank row stands between title and
+    header, and every row ends in a delimiter."""
     month = F.date_format("o_orderdate", "yyyy-MM")
+    o = table(spark, sf_dir, "orders").withColumn("month", month)
+    parts = o.groupBy("month").agg(F.ceil(F.count(F.lit(1)) / ORDERS_PER_FILE).alias("parts"))
+    o = o.join(parts, "month").withColumn(
+        "file", F.concat_ws("_", "month", F.pmod(F.xxhash64("o_orderkey"), "parts").cast("string")))
     body = o.select(
-        month.alias("file"), F.col("o_orderkey").alias("line_no"),
+        "file", F.col("o_orderkey").alias("line_no"),
         F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
                     "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority",
-                    F.lit("x")).alias("value"))
-    months = o.select(month.alias("file")).distinct()
-    title = months.select("file", F.lit(-2).cast("bigint").alias("line_no"),
-                          F.concat(F.lit("Báo cáo đơn hàng "), F.col("file")).alias("value"))
-    header = months.select("file", F.lit(-1).cast("bigint").alias("line_no"),
-                           F.lit(",".join(REPORT_HEADER)).alias("value"))
-    lines = title.unionByName(header).unionByName(body)
-    (lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "value")
-          .write.mode("overwrite").partitionBy("file").text(folder))
-    return folder
+                    F.lit("x"), F.lit("")).alias("value"))
+    files = o.select("file").distinct()
+    head = F.array(F.struct(F.lit(-3).cast("bigint").alias("line_no"),
+                            F.concat(F.lit("Báo cáo đơn hàng "), F.col("file")).alias("value")),
+                   F.struct(F.lit(-2).cast("bigint").alias("line_no"), F.lit("").alias("value")),
+                   F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit(",".join(REPORT_HEADER) + ",").alias("value")))
+    return write_sheets(spark, files.select("file", F.inline(head)).unionByName(body), folder)
 
 
 REPORT_ROWS_SQL = """
 SELECT CAST(o_orderkey AS VARCHAR) AS ma_hoa_don, CAST(o_custkey AS VARCHAR) AS id_khach_hang,
        o_orderstatus AS trang_thai, strftime(o_orderdate, '%Y-%m-%d') AS ngay_ghi,
-       o_orderpriority AS uu_tien, strftime(o_orderdate, '%Y-%m') AS report_month,
-       CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) - 1 AS BIGINT)
-         AS row_no
+       o_orderpriority AS uu_tien, strftime(o_orderdate, '%Y-%m') AS report_month
 FROM orders
 """
 
 
+# ---------------------------------------------------------------- replays ---
+# ``events`` as 24 sheets, exported twice. By file number modulo 6: unchanged,
+# changed (first the older rows only), emptied, vanished, new, and re-exported
+# with a broken last row. The first export shows whole numbers, the second
+# one fractions.
+
+REPLAY_FILES = 24
+
+
+def replay_lines(spark: SparkSession, sf_dir: str, second: bool) -> DataFrame:
+    ev = table(spark, sf_dir, "events").withColumn("k", F.pmod("user_id", F.lit(REPLAY_FILES)).cast("int"))
+    kind = F.col("k") % 6
+    name = F.concat(F.lit("f"), F.lpad(F.col("k").cast("string"), 2, "0"))
+    cents = F.floor(F.abs("value") * 100).cast("bigint")
+    whole = F.floor(F.abs("value")).cast("bigint").cast("string")
+    exact = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    if second:
+        rows, shown, files = kind.isin(1, 4, 5), exact, kind.isin(1, 2, 4, 5)
+    else:
+        rows = kind.isin(0, 2, 3, 5) | ((kind == 1) & (F.col("event_id") % 2 == 0))
+        shown, files = whole, kind != 4
+    body = ev.filter(rows).select(name.alias("file"), F.col("event_id").alias("line_no"), F.concat_ws(
+        ",", F.col("event_id").cast("string"), "event_type", shown).alias("value"))
+    heads = ev.filter(files).select("k", name.alias("file")).distinct()
+    title = heads.select("file", F.inline(F.array(
+        F.struct(F.lit(-2).cast("bigint").alias("line_no"), F.lit("Nhật ký").alias("value")),
+        F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit("Mã sự kiện,Loại,Giá trị").alias("value")))))
+    lines = title.unionByName(body)
+    if second:
+        broken = heads.filter(kind == 5).select("file", F.lit(1 << 62).alias("line_no"), F.lit("1,2,3,4").alias("value"))
+        lines = lines.unionByName(broken)
+    return lines
+
+
+def replay(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """First export and init, second export and daily run; returns the warehouse."""
+    from sheetlake.plans.jobs import init
+    from sheetlake.streaming.incremental import daily
+
+    folder, warehouse = f"{root}/replay", f"{root}/warehouse"
+    routes, headers = {folder: "events"}, {"events": 1}
+    write_sheets(spark, replay_lines(spark, sf_dir, False), folder)
+    init(spark, routes, headers, warehouse)
+    write_sheets(spark, replay_lines(spark, sf_dir, True), folder)
+    for k in range(3, REPLAY_FILES, 6):
+        remove_folder(spark, f"{folder}/f{k:02d}.csv")
+    daily(spark, routes, headers, warehouse)
+    return warehouse
+
+
+REPLAY_SQL = f"""
+WITH e AS (SELECT *, user_id % {REPLAY_FILES} AS k, (user_id % {REPLAY_FILES}) % 6 AS kind FROM events),
+named AS (SELECT *, 'replay/f' || lpad(k::VARCHAR, 2, '0') || '.csv' AS file FROM e)"""
+
+
+def timed_sheets(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The second export with every file's time set to its newest event."""
+    write_sheets(spark, replay_lines(spark, sf_dir, True), folder)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = (table(spark, sf_dir, "events").groupBy(F.pmod("user_id", F.lit(REPLAY_FILES)).alias("k"))
+              .agg(F.unix_millis(F.max("ts").cast("timestamp")).alias("at")).collect())
+    for r in newest:
+        target = path(f"{folder}/f{r['k']:02d}.csv")
+        if fs.exists(target):
+            fs.setTimes(target, r["at"], -1)
+    return folder
+
+
 # ---------------------------------------------------------- schema drift ---
 # Two exports of differently shaped files (orders-like and lineitem-like) for
 # the schema union; and per-file headers taken from ``events``: every user is
