@@ -33,13 +33,24 @@ def _uncut(text: str) -> bool:
             or _RARE.search(text) is not None)
 
 
+def _latin(text: str) -> bool:
+    """Only characters up to U+00FF: lower-casing is then letter by letter and
+    normalisation changes nothing."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     ``separator`` is a string that the tokenizer always turns into the one id
     ``separator_id`` and that stands in no chunk; new chunks are encoded
     together, joined by it. ``word_space`` keeps a word's leading space in
-    its chunk (byte-level vocabularies); otherwise blank space is dropped.
+    its chunk (byte-level vocabularies); otherwise the vocabulary lower-cases
+    texts and drops blank space.
     """
 
     def __init__(self, path: str, separator: str, separator_id: int, word_space: bool):
@@ -54,6 +65,8 @@ class ChunkEncoder:
         """Chunks whose ids, concatenated, are the text's; None: do not cut."""
         if _uncut(text):
             return None
+        if not self.word_space and _latin(text):
+            text = text.lower()  # as the vocabulary's normaliser does; one chunk for both spellings
         if not _SIGNS.search(text):
             text = text.replace(",", _MARK + ",").replace(".", _MARK + ".")
         if self.word_space:

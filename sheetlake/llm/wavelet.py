@@ -1,7 +1,7 @@
 """Token ids on disk as wavelet matrices, one compressed file per shard.
 
 File format (all numbers little-endian): the magic ``WMX1``, an unsigned
-32-bit header size, a JSON header, then zlib sections in the header's order:
+32-bit header size, a JSON header, then zstd sections in the header's order:
 document ids (int64), their null flags (uint8), their token counts (int64),
 and one section per bit-plane (highest bit first, bits packed low bit first).
 Plane k holds bit k of every token in the order left by the stable partition
@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 import struct
-import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -34,6 +33,7 @@ RANGE_ROWS, MAX_PARTS = 4_000, 10_000
 VOCABULARY = "word_bpe_49k.json"
 SEPARATOR, SEPARATOR_ID = "<|startoftext|>", 49406
 END_ID = 2
+_CODEC = "zstd"
 
 
 class WaveletMatrix:
@@ -50,9 +50,9 @@ class WaveletMatrix:
         for shift in range(bits - 1, -1, -1):
             one = (values >> values.dtype.type(shift)) & values.dtype.type(1) != 0
             planes.append(np.packbits(one, bitorder="little"))
-            low = values[~one]
+            low = values[np.flatnonzero(~one)]  # by places: far faster than by a mask of mixed bits
             zeros.append(len(low))
-            values = np.concatenate([low, values[one]])
+            values = np.concatenate([low, values[np.flatnonzero(one)]])
         return cls(planes, zeros, len(values))
 
     def _bits(self, level: int) -> np.ndarray:
@@ -131,8 +131,8 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             one, zeros = self._bits(level), self.zeros[level]
             merged = np.empty_like(values)
-            merged[~one] = values[:zeros]
-            merged[one] = values[zeros:] | dtype(1 << (len(self.planes) - 1 - level))
+            merged[np.flatnonzero(~one)] = values[:zeros]
+            merged[np.flatnonzero(one)] = values[zeros:] | dtype(1 << (len(self.planes) - 1 - level))
             values = merged
         return values
 
@@ -142,9 +142,9 @@ def to_bytes(doc_ids: list[int | None], counts: np.ndarray, tokens: np.ndarray)
     sections = [np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes(),
                 np.array([d is None for d in doc_ids], dtype=np.uint8).tobytes(),
                 np.asarray(counts, dtype="<i8").tobytes(), *[p.tobytes() for p in matrix.planes]]
-    packed = [zlib.compress(s, 1) for s in sections]
+    packed = [pa.compress(s, _CODEC, asbytes=True) for s in sections]
     header = json.dumps({"tokens": len(tokens), "documents": len(doc_ids), "zeros": matrix.zeros,
-                         "sections": [len(p) for p in packed]}).encode()
+                         "sections": [[len(p), len(s)] for p, s in zip(packed, sections, strict=True)]}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(header)), header, *packed])
 
 
@@ -154,8 +154,8 @@ def from_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Wavelet
         raise ValueError("not a wavelet matrix file")
     size, = struct.unpack_from("<I", data, 4)
     header, at, sections = json.loads(data[8:8 + size]), 8 + size, []
-    for n in header["sections"]:
-        sections.append(zlib.decompress(data[at:at + n]))
+    for n, plain in header["sections"]:
+        sections.append(pa.decompress(data[at:at + n], plain, _CODEC, asbytes=True))
         at += n
     planes = [np.frombuffer(s, dtype=np.uint8) for s in sections[3:]]
     return (np.frombuffer(sections[0], dtype="<i8"), np.frombuffer(sections[1], dtype=np.uint8) != 0,
