@@ -81,6 +81,9 @@ class Shard:
                 elif len(q):
                     keep = _bounded(np.einsum("ij,ij->i", mine[q], own[v])) >= floor[q]
                     q, v = q[keep], v[keep]
+            if q is None:  # vectors without components: nothing to bound
+                q, v = np.nonzero(np.ones((n, len(self.ids[a:a + CHUNK]))))
+                v = v + a
             other = self.ids[v] != query_ids[q]
             q, v = q[other], v[other]
             for b in range(0, len(q), 1 << 18):
