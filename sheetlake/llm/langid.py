@@ -25,7 +25,7 @@ from sheetlake.llm.common import blocks, narrow, text_buffer
 
 WINDOW_BYTES = 256
 WIDTHS, FILTERS = (2, 3, 4), 16
-PER_LANGUAGE, SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 1000, 12_000, 3
+PER_LANGUAGE, SAMPLE_DOCUMENTS, SAMPLE_WINDOWS, SPARE = 1000, 12_000, 3, 4
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 HELD_OUT = 2
 _PAD = 256
@@ -121,13 +121,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           per_language: int = PER_LANGUAGE, sample_documents: int = SAMPLE_DOCUMENTS) -> ByteNetwork | None:
     """Fit the network on the bounded sample; None if no row can be learned from."""
     base = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    base = base.filter(F.col("lang").isNotNull() & learnable(F.col("doc_id"))).withColumn(
+        "draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    # of a large language only the lowest draws go on, about SPARE times as many as are
+    # ranked; a row per language is broadcast, and the model holds them all anyway
+    share = F.least(F.lit(1.0), F.lit(float(SPARE * per_language)) / F.col("rows"))
+    counts = base.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    base = base.join(F.broadcast(counts), "lang").filter(F.col("draw") <= share * F.lit(float(1 << 40)))
     size = F.length("text")
     starts = [F.lit(1), *[1 + F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(size - WINDOW_BYTES, F.lit(1)))
                           for k in range(1, SAMPLE_WINDOWS)]]
     pieces = F.array(*[F.substring("text", s.cast("int"), F.lit(WINDOW_BYTES)) for s in starts])
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("pieces"))
-    rows = (base.filter(F.col("lang").isNotNull() & (size > 0) & learnable(F.col("doc_id")))
-            .select("lang", "doc_id", pieces.alias("pieces"))
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("pieces"))
+    rows = (base.filter(size > 0).select("lang", "doc_id", "draw", pieces.alias("pieces"))
             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language)
             .orderBy("rank", "lang").limit(sample_documents).select("lang", "pieces").collect())
     if not rows:
