@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query (markdown).
+"""Summarise the physical plan of every registered report query (markdown).
 
 usage: python scripts/explain_all.py [sf_dir] > docs/PLANS.md
 Per query: shuffles, join strategies, map-side window limits, aggregates,
@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from sheetlake.plans.registry import QUERIES  # noqa: E402
 from sheetlake.session import get_spark  # noqa: E402
 
 
@@ -48,8 +48,8 @@ def main() -> None:
     print("Initial AQE plans (before run-time re-planning): broadcasts here come from "
           "file-size statistics under the 32 MB threshold; at scale the same joins plan "
           "as sort-merge. Generated by `scripts/explain_all.py`.\n")
-    for name in sorted(queries()):
-        s = summary(spark, queries()[name](spark, sf_dir))
+    for name in sorted(QUERIES):
+        s = summary(spark, QUERIES[name](spark, sf_dir))
         print(f"## {name}\n")
         for k, v in s.items():
             if k != "scans":
