@@ -29,7 +29,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 9
 #: characters a match may look at beyond its own end: the longest contraction
 LOOK_AHEAD = 3
-CACHED_PIECES = 300_000
+CACHED_PIECES = 150_000
+DECODED_ROWS = 500
 
 
 class RankEncoder:
@@ -202,10 +203,12 @@ def _decode(path: str):
         for token, rank in ranks.items():
             table[rank] = token
         for batch in batches:
-            out = [None if d is None else b"".join(map(table.__getitem__, np.frombuffer(d, "<u4").tolist()))
-                   for d in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
-                                             [*batch.schema.names, "decoded"])
+            for a in range(0, len(batch), DECODED_ROWS):  # a few rows of ids and bytes at a time
+                part = batch.slice(a, DECODED_ROWS)
+                out = [None if d is None else b"".join(map(table.__getitem__, np.frombuffer(d, "<u4").tolist()))
+                       for d in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())],
+                                                 [*part.schema.names, "decoded"])
     return run
 
 
