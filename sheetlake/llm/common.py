@@ -90,8 +90,10 @@ def connected_components(edges: DataFrame, name: str = "components",
                                           F.least("u", "v").alias("v")).distinct(), name)
     first = e
     for _ in range(max_rounds):
-        # stars are reached when no centre of a link is itself below another
-        if not e.join(e.select(F.col("u").alias("v")), "v", "left_semi").take(1):
+        # stars are reached when no centre of a link is itself below another and no node has two centres
+        below = e.join(e.select(F.col("u").alias("v")), "v", "left_semi")
+        split = e.groupBy("u").count().filter("count > 1")
+        if not below.take(1) and not split.take(1):
             break
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(

@@ -95,3 +95,41 @@ def test_connected_components(spark):
     got = [(r.node, r.component) for r in connected_components(df).collect()]
     assert sorted(got) == sorted((x, find(x)) for x in parent)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def sparse_graph(seed, nodes=60, links=12):
+    rng = random.Random(seed)
+    return [(a, b) for a, b in ((rng.randrange(nodes), rng.randrange(nodes)) for _ in range(links)) if a != b]
+
+
+def random_path(seed, nodes):
+    rng = random.Random(seed)
+    ids = rng.sample(range(10 * nodes), nodes)
+    return list(zip(ids, ids[1:], strict=False))
+
+
+# the smallest ids of a node's links must meet even when no round is needed for the rest of the table
+@pytest.mark.parametrize("edges", [
+    [(5, 1), (5, 2)], [(9, 1), (9, 2), (9, 3), (20, 4), (20, 5)], random_path(1, 4), random_path(10, 8),
+    random_path(31, 300), *[sparse_graph(s) for s in (0, 6, 10, 12)], *[sparse_graph(s, 3000, 2000) for s in range(2)]])
+def test_connected_components_join_every_link(spark, edges):
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    got = [(r.node, r.component) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert sorted(got) == sorted((x, find(x)) for x in parent)
+
+
+def test_hub_with_an_id_larger_than_two_members(spark):
+    words = [f"w{i}" for i in range(100)]
+    texts = {5: words, 1: ["x"] * 5 + words[5:], 2: words[:-5] + ["y"] * 5}
+    rows = [(i, " ".join(t)) for i, t in texts.items()]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), share=(85, 100)).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (5, 1, False)}
