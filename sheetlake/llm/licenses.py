@@ -1,10 +1,10 @@
-"""License scans with a positional rare-token index.
+"""License scans with a positional index of license words.
 
-The index holds, for every word of the license templates, its postings
-(template, position). Document frequencies of these words are counted over the
-whole corpus. Each file looks up its highest-IDF license words; postings that
-agree on the place where a template would begin are intersected by relative
-position; a candidate place is then scored on all its template's words,
+Document frequencies of the words of the license templates are counted over
+the whole corpus. A block of files is indexed by license word; every word of
+every template looks up all its places, whatever else the file holds, and
+places are intersected by relative position: each votes for where the template
+would begin. A candidate place is then scored on all its template's words,
 weighted by IDF, and must hold the template's mandatory key phrases. Exact
 base phrases are counted beside it.
 """
@@ -62,8 +62,7 @@ TEMPLATES = [
      ["released into the public domain"]),
 ]
 
-ANCHOR_WORDS = 24
-MIN_VOTES = 2
+MIN_VOTES, MAX_VOTES = 2, 6
 MIN_SHARE = 0.7
 SLACK = 3
 
@@ -78,16 +77,13 @@ def _hashes(text: str) -> np.ndarray:
 
 
 class LicenseIndex:
-    """Vocabulary, postings and phrases as word numbers."""
+    """Vocabulary, templates and phrases as word numbers."""
 
     def __init__(self) -> None:
         texts = [*BASE_PHRASES, *[t for _, t, _ in TEMPLATES], *[p for _, _, ps in TEMPLATES for p in ps]]
         self.vocabulary = np.unique(np.concatenate([_hashes(t) for t in texts]))
         self.base = [(self.numbers(p), label) for p, label in BASE_PHRASES.items()]
         self.templates = [(label, self.numbers(t), [self.numbers(p) for p in ps]) for label, t, ps in TEMPLATES]
-        posts = sorted((int(w), t, q) for t, (_, ws, _) in enumerate(self.templates) for q, w in enumerate(ws))
-        self.postings = np.array([(t, q) for _, t, q in posts], dtype=np.int64)
-        self.first = np.searchsorted([w for w, _, _ in posts], np.arange(len(self.vocabulary) + 1))
 
     def numbers(self, text: str) -> np.ndarray:
         return np.searchsorted(self.vocabulary, _hashes(text))
@@ -145,38 +141,33 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> list[float]:
 def matches(numbers: np.ndarray, bounds: np.ndarray, index: LicenseIndex, idf: np.ndarray
             ) -> list[tuple[int, str, float]]:
     """(row, label, share) of the templates found in a block of texts."""
-    present = _present(numbers, bounds, len(idf))
-    rarest = np.argsort(-idf, kind="stable")
-    anchor = np.zeros_like(present)
-    anchor[:, rarest] = present[:, rarest] & (np.cumsum(present[:, rarest], axis=1) <= ANCHOR_WORDS)
-    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    longest = max(len(t) for _, t, _ in index.templates)
+    edges = bounds + longest * np.arange(len(bounds))  # texts lie apart, so no place counts words of two
     at = np.flatnonzero(numbers >= 0)
-    at = at[anchor[rows[at], numbers[at]]]
-    lows, sizes = index.first[numbers[at]], np.diff(index.first)[numbers[at]]
-    post = index.postings[np.repeat(lows - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())]
-    begins = np.repeat(at, sizes) - post[:, 1]
-    width = len(index.templates)
-    keys, votes = np.unique((begins + SLACK * 100) * width + post[:, 0], return_counts=True)
-    texts = np.repeat(rows[at], sizes)  # a place counts within one text only
-    of = dict(zip(((begins + SLACK * 100) * width + post[:, 0]).tolist(), texts.tolist(), strict=True))
-    needed = np.array([max(MIN_VOTES, min(len(t), ANCHOR_WORDS) // 4) for _, t, _ in index.templates])
+    at = at[np.argsort(numbers[at], kind="stable")]
+    of_word = np.searchsorted(numbers[at], np.arange(len(idf) + 1))
+    at += longest * np.searchsorted(bounds, at, side="right")
     out = []
-    for key in keys[votes >= needed[keys % width]].tolist():
-        label, template, phrases = index.templates[key % width]
-        row, begin = of[key], key // width - SLACK * 100
-        lo, hi = bounds[row], bounds[row + 1]
-        near = numbers[max(lo, begin - SLACK):min(hi, begin + len(template) + SLACK)]
-        room = np.arange(len(near), 0, -1)
-        if not all(len(places(near, p, room)) for p in phrases):
-            continue
-        weights, found = idf[template], np.zeros(len(template), dtype=bool)
-        for shift in range(-SLACK, SLACK + 1):  # a word more or less moves the rest
-            q = np.arange(len(template)) + begin + shift
-            inside = (q >= lo) & (q < hi)
-            found |= inside & (numbers[np.clip(q, 0, max(len(numbers) - 1, 0))] == template)
-        share = float(weights[found].sum() / weights.sum())
-        if share >= MIN_SHARE:
-            out.append((row, label, min(share, 1.0)))
+    for label, template, phrases in index.templates:
+        votes = np.zeros(int(edges[-1]), np.uint8)
+        for q, word in enumerate(template):
+            votes[at[of_word[word]:of_word[word + 1]] - q] += 1
+        spots = np.flatnonzero(votes >= max(MIN_VOTES, min(len(template) // 4, MAX_VOTES)))
+        of_spot = np.searchsorted(edges, spots, side="right") - 1
+        for row, begin in zip(of_spot.tolist(), (spots - longest * (of_spot + 1)).tolist(), strict=True):
+            lo, hi = bounds[row], bounds[row + 1]
+            near = numbers[max(lo, begin - SLACK):min(hi, begin + len(template) + SLACK)]
+            room = np.arange(len(near), 0, -1)
+            if not all(len(places(near, p, room)) for p in phrases):
+                continue
+            weights, found = idf[template], np.zeros(len(template), dtype=bool)
+            for shift in range(-SLACK, SLACK + 1):  # a word more or less moves the rest
+                q = np.arange(len(template)) + begin + shift
+                inside = (q >= lo) & (q < hi)
+                found |= inside & (numbers[np.clip(q, 0, max(len(numbers) - 1, 0))] == template)
+            share = float(weights[found].sum() / weights.sum())
+            if share >= MIN_SHARE:
+                out.append((row, label, min(share, 1.0)))
     return out
 
 

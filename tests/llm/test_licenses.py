@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from sheetlake.llm.licenses import BASE_PHRASES, TEMPLATES, LicenseIndex, places, scan_licenses
+from sheetlake.llm.licenses import BASE_PHRASES, TEMPLATES, LicenseIndex, _hashes, matches, places, scan_licenses
 
 from .conftest import EDGES, LONG, TR
 
@@ -60,3 +60,25 @@ def test_places_stay_in_their_text():
 @pytest.mark.parametrize("label,text,phrases", TEMPLATES)
 def test_every_template_holds_its_phrases(label, text, phrases):
     assert all(p in text for p in phrases)
+
+
+def test_other_words_of_a_file_hide_no_notice(spark):
+    vocabulary = sorted({w for _, t, _ in TEMPLATES for w in t.split()})
+    apart = " x ".join(vocabulary * 40)
+    rows = [(0, " . ".join(t for _, t, _ in TEMPLATES)), (1, " x ".join(t for _, t, _ in reversed(TEMPLATES)))]
+    rows += [(100 + k, f"{apart} x {t} x {apart}") for k, (_, t, _) in enumerate(TEMPLATES)]
+    rows += [(200, apart), *[(300 + i, f"plain text of the number {i}") for i in range(30)]]
+    got = {r.doc_id: set(r.labels.split(",")) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    every = {label for label, _, _ in TEMPLATES}
+    assert every <= got[0] and every <= got[1]
+    assert all(label in got[100 + k] for k, (label, _, _) in enumerate(TEMPLATES))
+    assert all(got[i] == {""} for i in [200, *range(300, 330)])
+
+
+def test_places_of_neighbouring_texts_stay_apart():
+    index = LicenseIndex()
+    whole = _hashes(next(t for label, t, _ in TEMPLATES if label == "bsd"))
+    cut = whole[:-5]
+    numbers = index.lookup(np.concatenate([cut, whole[-5:], cut]))
+    bounds = np.array([0, len(cut), len(cut) + 5, len(cut) + 5, len(numbers)])
+    assert {row for row, _, _ in matches(numbers, bounds, index, np.ones(len(index.vocabulary)))} == {0, 3}
