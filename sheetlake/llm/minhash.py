@@ -75,22 +75,28 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return fmix64((parts * multipliers).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
 
 
+def _prints(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Two fingerprints of every text's shingle set, 0 without shingles."""
+    full = np.flatnonzero(np.diff(offsets))
+    prints = np.zeros((2, len(offsets) - 1), dtype=np.uint64)
+    if len(full):
+        at = offsets[full]
+        prints[0, full] = np.add.reduceat(fmix64(hashes + _U64(0x5851F42D4C957F2D)), at)
+        prints[1, full] = np.add.reduceat(fmix64(hashes ^ _U64(0x14057B7EF767814F)), at)
+    return prints.view(np.int64)
+
+
 def _fingerprints(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for a, hashes, offsets in shingle_sets(batch.column(1), size):
                 n = np.diff(offsets)
-                full = np.flatnonzero(n)
-                prints = np.zeros((2, len(n)), dtype=np.uint64)
-                if len(full):
-                    at = offsets[full]
-                    prints[0, full] = np.add.reduceat(fmix64(hashes + _U64(0x5851F42D4C957F2D)), at)
-                    prints[1, full] = np.add.reduceat(fmix64(hashes ^ _U64(0x14057B7EF767814F)), at)
+                prints = _prints(hashes, offsets)
                 values = band_hashes(signatures(hashes, offsets, bands * rows), bands, rows)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, len(n)), pa.array(n, pa.int64()),
-                     pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
+                     pa.array(prints[0]), pa.array(prints[1]),
                      pa.ListArray.from_arrays(np.arange(0, values.size + 1, bands, dtype=np.int32),
                                               pa.array(values.ravel()))],
                     ["doc_id", "n", "print1", "print2", "bands"])
@@ -102,11 +108,12 @@ def _sets(size: int):
         for batch in batches:
             ids = batch.column(0)
             for a, hashes, offsets in shingle_sets(batch.column(1), size):
-                data = hashes.tobytes()
+                data, prints = hashes.tobytes(), _prints(hashes, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, len(offsets) - 1),
+                    [ids.slice(a, len(offsets) - 1), pa.array(prints[0]), pa.array(prints[1]),
+                     pa.array(np.diff(offsets), pa.int64()),
                      pa.array([data[8 * i:8 * j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)],
-                              pa.binary())], ["rep", "shingles"])
+                              pa.binary())], ["doc_id", "print1", "print2", "n", "shingles"])
     return run
 
 
@@ -121,10 +128,10 @@ def _star(share: tuple[int, int]):
         hub, hub_set = None, None
         for batch in batches:
             a, b = [], []
-            for h, rep, data in zip(*(batch.column(c).to_pylist() for c in ("hub", "rep", "shingles")),
-                                    strict=True):
+            for h, rep, leads, data in zip(*(batch.column(c).to_pylist() for c in ("hub", "rep", "leads", "shingles")),
+                                           strict=True):
                 values = np.frombuffer(data, dtype=np.uint64)
-                if rep == h:
+                if leads:
                     hub, hub_set = h, values
                     continue
                 assert hub == h
@@ -217,45 +224,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["print1", "print2", "n"]
     classes = written(prints.filter("n > 0 and doc_id is not null").groupBy(key).agg(
         F.min("doc_id").alias("rep")), "minhash-classes")
+    # texts are compared class by class, as classes may share an id; links are between ids
+    text = F.struct(F.col("doc_id").alias("rep"), *key).alias("text")
     reps = (prints.filter("n > 0").join(classes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"])
-            .select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct())
-    mixed = F.struct(F.xxhash64("rep").alias("mix"), F.col("rep").alias("rep"))
+            .select(text, F.explode("bands").alias("bucket")).distinct())
+    mixed = F.struct(F.xxhash64("text").alias("mix"), F.col("text").alias("text"))
     shared = (reps.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min(mixed).alias("hub"))
-              .filter("members > 1").select("bucket", F.col("hub.rep").alias("hub")))
+              .filter("members > 1").select("bucket", F.col("hub.text").alias("hub")))
     members = written(reps.join(shared, "bucket"), "minhash-buckets")
     sets = written(
-        base.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id")
-        .select("doc_id", "text").mapInArrow(_sets(size), "rep long, shingles binary")
-        .dropDuplicates(["rep"]), "minhash-sets")
+        base.join(members.select(F.col("text.rep").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id")
+        .select("doc_id", "text").mapInArrow(
+            _sets(size), "doc_id long, print1 long, print2 long, n long, shingles binary")
+        .select(text, "shingles").dropDuplicates(["text"]), "minhash-sets")
 
-    pairs = members.filter("rep <> hub").select("hub", "rep").distinct()
+    pairs = members.filter("text <> hub").select("hub", "text").distinct()
     salts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / STAR_TEXTS).alias("parts"))
     salted = written(pairs.join(salts, "hub").select(
-        "hub", F.pmod(F.xxhash64("rep"), "parts").alias("salt"), "rep"), "minhash-stars")
+        "hub", F.pmod(F.xxhash64("text"), "parts").alias("salt"), "text"), "minhash-stars")
     ends = salted.union(salted.select("hub", "salt", "hub").distinct())
-    star = (ends.join(sets, "rep").repartition("hub", "salt")
-            .sortWithinPartitions("hub", "salt", F.col("rep") != F.col("hub"))
-            .select("hub", "rep", "shingles"))
+    star = (ends.join(sets, "text").repartition("hub", "salt")
+            .sortWithinPartitions("hub", "salt", F.col("text") != F.col("hub"))
+            .select(F.col("hub.rep").alias("hub"), F.col("text.rep").alias("rep"),
+                    (F.col("text") == F.col("hub")).alias("leads"), "shingles"))
     links = written(star.mapInArrow(_star(share), "a long, b long"), "minhash-links")
 
     found = connected_components(links, "minhash-components")
-    labelled = written(members.select("bucket", "rep").join(
+    labelled = written(members.select("bucket", "text", "text.rep").join(
         found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("bucket", "rep", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
+        .select("bucket", "text", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
     # buckets that still hold several components; of those with equal members one is enough
     rest = labelled.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(2))).alias("y"))
+        F.bit_xor(F.xxhash64("text", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("text", F.lit(2))).alias("y"))
     rest = (rest.filter("low <> high").groupBy("members", "x", "y").agg(F.min("bucket").alias("bucket"))
             .select("bucket", F.ceil(F.col("members") / BLOCK_TEXTS).alias("parts")))
-    block = F.pmod(F.xxhash64("rep", F.lit(3)), "parts")
+    block = F.pmod(F.xxhash64("text", F.lit(3)), "parts")
     blocks = (labelled.join(rest, "bucket").withColumn("own", block)
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
               .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                      "rep", "component"))
-    more = (blocks.join(sets, "rep").repartition("bucket", "low", "high")
+                      "text", "component"))
+    more = (blocks.join(sets, "text").repartition("bucket", "low", "high")
             .sortWithinPartitions("bucket", "low", "high")
-            .select("bucket", "low", "high", "rep", "component", "shingles"))
+            .select("bucket", "low", "high", "text.rep", "component", "shingles"))
     more = written(more.mapInArrow(_block_pairs(share), "a long, b long"), "minhash-more")
     if more.take(1):
         found = connected_components(links.union(more), "minhash-components")

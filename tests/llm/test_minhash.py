@@ -133,3 +133,16 @@ def test_hub_with_an_id_larger_than_two_members(spark):
     rows = [(i, " ".join(t)) for i, t in texts.items()]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), share=(85, 100)).collect()
     assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (5, 1, False)}
+
+
+def test_texts_that_share_an_id_are_compared_each(spark):
+    rng = random.Random(8)
+    rows, want = [], set()
+    for k in range(0, 400, 10):  # ids k + 5 hold two texts each, both with a near copy of a larger id
+        for j in (7, 8):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+            rows += [(k + 5, " ".join(words)), (k + j, " ".join([*words[:-2], "y", "z"]))]
+            want |= {(k + 5, k + 5, True), (k + j, k + 5, False)}
+    rng.shuffle(rows)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == want and len(got) == len(rows)
