@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from sheetlake.llm import bpe
 from sheetlake.llm.exact_dedup import exact_duplicates
 from sheetlake.llm.langid import identify
+from sheetlake.llm.lexical import rank_documents
 from sheetlake.llm.licenses import scan_licenses
 from sheetlake.llm.minhash import near_duplicates
+from sheetlake.llm.mixing import mix
 from sheetlake.llm.packing import pack
 from sheetlake.llm.pii import anonymised
 from sheetlake.llm.topk import top_k
 from sheetlake.llm.url_filter import judge
 from sheetlake.llm.wavelet import token_shards
+from sheetlake.llm.whitening import whiten
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -68,6 +71,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_packing": op2_packing,
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_mixing": op11_mixing,
+    "op12_lexical": op12_lexical,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -152,4 +170,86 @@ ORACLES: dict[str, str] = {
         select p.page_id, coalesce(j.host, '') as host, coalesce(j.path, '') as path, j.rule,
                coalesce(j.verdict, case when j.node in (select node from bad) then 'block' end, 'allow') as verdict
         from pages p left join judged j on j.url = p.url""",
+    # blocks and seats are listed one by one here, sources stop in rounds
+    "op11_mixing": r"""
+        with recursive docs as (
+            select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+        src as (
+            select source, sum(size)::hugeint as source_size,
+                   row_number() over (order by source nulls last) - 1 as rank from docs group by source),
+        weighed as (select *, 1 + rank % 3 as weight, 3 * source_size as most, sum(source_size) over () as total from src),
+        rounds(turn, stopped) as (
+            select 0, []::bigint[]
+            union all
+            select turn + 1, now from (
+                select any_value(turn) as turn, any_value(stopped) as stopped, list(rank order by rank) filter (
+                    list_contains(stopped, rank) or most * free_weight <= (total - held) * weight) as now
+                from (select r.turn, r.stopped, w.*,
+                             sum(case when list_contains(r.stopped, w.rank) then 0 else w.weight end) over () as free_weight,
+                             sum(case when list_contains(r.stopped, w.rank) then w.most else 0 end) over () as held
+                      from rounds r, weighed w))
+            where now is distinct from stopped and now is not null),
+        stopped as (select stopped from rounds order by turn desc limit 1),
+        aimed as (
+            select w.*, list_contains(stopped, rank) as stops,
+                   total - sum(case when list_contains(stopped, rank) then most else 0 end) over () as shared,
+                   sum(case when list_contains(stopped, rank) then 0 else weight end) over () as sharing
+            from weighed w, stopped),
+        plan as (
+            select *, case when stops then most::double else (shared * weight)::double / sharing end as target,
+                   (source_size + 31) // 32 as blocks, (total + 16) // 32 as seats from aimed),
+        won as (
+            select rank, row_number() over (order by target / (2 * k + 1) desc, rank, k) as nth, seats
+            from plan, lateral (select unnest(range(0, least(seats, 3 * blocks)::bigint)) as k)),
+        quotas as (select rank, count(*) as quota from won where nth <= seats group by rank),
+        runs as (
+            select rank, quota, blocks, greatest(1, (blocks + 63) // 64) as run from plan join quotas using (rank) where blocks > 0),
+        shards as (
+            select rank, quota, run, shard, least(run, blocks - shard * run) as n, md5('0|shard|' || rank || '|' || shard) as draw
+            from runs, lateral (select unnest(range(0, ((blocks - 1) // run + 1)::bigint)) as shard)),
+        dealt as (
+            select rank, shard, n, row_number() over (partition by rank order by n::double / (2 * k + 1) desc, draw, k) as nth, quota
+            from shards, lateral (select unnest(range(0, least(quota, 3 * n)::bigint)) as k)),
+        taken_by as (select rank, shard, count(*) as q from dealt where nth <= quota group by all),
+        block as (
+            select rank, shard * run + k as nr, q // n + ((k + 1 + turn) * (q % n)) // n - ((k + turn) * (q % n)) // n as times
+            from (select rank, shard, run, n, coalesce(q, 0) as q, ('0x' || left(draw, 8))::bigint % n as turn
+                  from shards left join taken_by using (rank, shard)),
+                 lateral (select unnest(range(0, n::bigint)) as k)),
+        placed as (
+            select doc_id, size, rank, row_number() over () as row,
+                   sum(size) over (partition by rank order by md5('0|' || coalesce(doc_id::varchar, 'null') || '|' || size), doc_id
+                                   rows unbounded preceding) - size as start
+            from docs join src on docs.source is not distinct from src.source),
+        taken as (
+            select row, sum((least(start + size, 32 * nr + 32) - greatest(start, 32 * nr)) * times) as taken
+            from placed p join block b on b.rank = p.rank and b.nr >= start // 32 and 32 * b.nr < start + size
+            where size > 0 group by row)
+        select doc_id, source, size::bigint as size, source_size::bigint as source_size, target,
+               coalesce(taken, 0)::bigint as taken
+        from placed join plan using (rank) left join taken using (row)""",
+    "op12_lexical": r"""
+        with words as (
+            select row, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from (select row_number() over () as row, doc_id,
+                         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents)),
+        counts as (select row, any_value(doc_id) as doc_id, term, count(*) as tf from words group by row, term),
+        lengths as (select row, sum(tf)::bigint as n from counts group by row),
+        whole as (select count(*) as docs, sum(n)::bigint as total from lengths),
+        weights as (select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w
+                    from counts, whole group by term),
+        asked as (
+            select item, any_value(item_id) as item_id, term, count(*) as times
+            from (select item, item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                  from (select row_number() over () as item, item_id,
+                               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from benchmark))
+            group by item, term),
+        scored as (
+            select item, any_value(item_id) as item_id, any_value(doc_id) as doc_id,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::bigint as score
+            from asked join counts using (term) join weights using (term) join lengths using (row), whole
+            group by item, row)
+        select item_id, cast(row_number() over best as integer) as rank, doc_id, score from scored where score > 0
+        window best as (partition by item order by score desc, doc_id nulls last)
+        qualify row_number() over best <= 20""",
 }

@@ -1,0 +1,101 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sheetlake.llm import whitening
+from sheetlake.llm.whitening import components, polar, whiten
+from tests.llm.conftest import CLASHES
+
+RNG = np.random.default_rng(7)
+
+
+def random_symmetric(values):
+    q = np.linalg.qr(RNG.standard_normal((len(values), len(values))))[0]
+    return (q * np.array(values)) @ q.T
+
+
+@pytest.mark.parametrize("values", [
+    [3.0], [2.0, 1.0], [5, 4, 3, 2, 1], list(np.logspace(0, -12, 30)), list(np.linspace(1, 2, 64)), [1.0] * 10,
+    [4.0] * 5 + [1.0] * 5, [0.0] * 6, [1.0] + [0.0] * 7, [1 + 1e-13 * i for i in range(8)], list(range(-5, 6)), [1e-300, 3e-300]])
+def test_components_are_eigenvectors(values):
+    a = random_symmetric(values)
+    e, v = components(a)
+    size = max(np.abs(values).max(), 1e-300)
+    assert np.all(np.diff(e) <= 1e-12 * size)
+    assert np.allclose(e, sorted(values, reverse=True), atol=1e-12 * size, rtol=0)
+    assert np.abs(v.T @ v - np.eye(len(values))).max() < 1e-13
+    assert np.abs(a @ v - v * e).max() < 2e-13 * size
+
+
+@pytest.mark.parametrize("m", [2, 5, 40])
+def test_polar_factor_is_the_sign(m):
+    a = random_symmetric(RNG.standard_normal(m) + np.where(np.arange(m) % 2, 3, -3))
+    e, v = np.linalg.eigh(a)
+    assert np.abs(polar(a) - (v * np.sign(e)) @ v.T).max() < 1e-13
+
+
+def brute(vectors, kept=32):
+    x = np.array([[math.floor(64 * c) + 1_000_000 for c in v] for v in vectors], dtype=object)
+    n, s = len(x), x.sum(axis=0)
+    deviation = [int(sum((n * a - b) ** 2 for a, b in zip(r, s))) for r in x]
+    y = np.array([[float(n * a - b) / n for a, b in zip(r, s)] for r in x])
+    e, v = np.linalg.eigh(y.T @ y / n)
+    e, v = e[::-1][:kept], v[:, ::-1][:, :kept]
+    return deviation, y @ v / np.sqrt(e), e / np.trace(y.T @ y / n)
+
+
+@pytest.mark.parametrize("offset, scale, d", [(0, 1, 8), (1000.0, 0.5, 40), (-3e9, 1e4, 3)])
+def test_whitens_as_brute_force(spark, offset, scale, d):
+    data = RNG.standard_normal((300, d)) * scale * np.linspace(1, 3, d) + offset
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    rows = whiten(df.repartition(5)).collect()
+    deviation, white, explained = brute(data.tolist())
+    k = min(32, d)
+    assert len(rows) == 300 * k
+    got = np.zeros((300, k))
+    for r in rows:
+        assert r["n"] == 300 and int(r["deviation"]) == deviation[r["vec_id"]]
+        assert r["explained"] == pytest.approx(explained[r["component"] - 1], rel=1e-9)
+        assert 0 <= r["identity_error"] < 1e-9
+        got[r["vec_id"], r["component"] - 1] = r["whitened"]
+    signs = np.sign((got * white).sum(axis=0))
+    assert np.abs(got - white * signs).max() < 1e-8
+    assert np.abs(got.T @ got / 300 - np.eye(k)).max() < 1e-8
+
+
+def test_deviation_beyond_64_bits_is_exact(spark):
+    data = [[1e14, 5.0], [-1e14, 7.0], [3e13, 1.0], [0.5, 0.25]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    want = brute(data)[0]
+    assert want[0] > 2 ** 63
+    assert {(r["vec_id"], int(r["deviation"])) for r in whiten(df).collect()} == set(enumerate(want))
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [3.0, -1.0]), (4, [0.5, 0.5]), (5, None), (6, [1.0, None]), (7, [nan, 1.0]),
+            (8, [inf, 1.0]), (9, [1.0]), (10, []), (11, [1e300, 1.0]), (12, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    df = df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHES)])
+    got = whiten(df).collect()
+    assert sorted([r["vec_id"] for r in got], key=str) == sorted([1, 1, None, 4] * 2, key=str)
+    assert {r["n"] for r in got} == {4}
+    assert whiten(df.limit(0)).collect() == []
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "vec_id long, embedding array<double>")
+    assert whiten(same).collect() == []
+    flat = spark.createDataFrame([(i, [float(i), 2.0, 3.0]) for i in range(5)], "vec_id long, embedding array<float>")
+    assert {(r["component"], r["explained"]) for r in whiten(flat).collect()} == {(1, 1.0)}
+    only_bad = spark.createDataFrame([(1, [nan]), (2, None)], "vec_id long, embedding array<double>")
+    assert whiten(only_bad).collect() == []
+
+
+def test_tasks_hold_few_rows_at_a_time(spark, monkeypatch):
+    data = RNG.standard_normal((100, 4)).tolist()
+    df = spark.createDataFrame(list(enumerate(data)), "vec_id long, embedding array<double>")
+    whole = {(r["vec_id"], r["component"]): r["whitened"] for r in whiten(df).collect()}
+    monkeypatch.setattr(whitening, "_ROWS", 7)
+    again = {(r["vec_id"], r["component"]): r["whitened"] for r in whiten(df.repartition(9)).collect()}
+    assert whole.keys() == again.keys()
+    assert max(abs(whole[k] - again[k]) for k in whole) < 1e-9
