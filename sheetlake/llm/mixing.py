@@ -28,7 +28,7 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 BLOCK_WORDS = 32
 SHARDS = 64
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 COPIES = 10_000
 
 
@@ -161,11 +161,16 @@ def place(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size"))
     like = written(like.withColumn("words", F.col("size") * F.col("copies"))
                    .withColumn("slice", F.substring(key, 1, digits)), "mix-rows")
-    before = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # words before a slice: before its coarse slice, and in that before itself
+    before = Window.unboundedPreceding, -1
     slices = (like.groupBy("rank", "slice").agg(F.sum("words").alias("words"))
-              .select("rank", "slice", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base")))
-    within = (Window.partitionBy("rank", "slice").orderBy("key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
+              .withColumn("coarse", F.substring("slice", 1, digits // 2)))
+    fine = Window.partitionBy("rank", "coarse").orderBy("slice").rowsBetween(*before)
+    coarse = (slices.groupBy("rank", "coarse").agg(F.sum("words").alias("words")).select(
+        "rank", "coarse", F.sum("words").over(Window.partitionBy("rank").orderBy("coarse").rowsBetween(*before)).alias("far")))
+    slices = (slices.withColumn("near", F.sum("words").over(fine)).join(coarse, ["rank", "coarse"])
+              .select("rank", "slice", (F.coalesce("near", F.lit(0)) + F.coalesce("far", F.lit(0))).alias("base")))
+    within = Window.partitionBy("rank", "slice").orderBy("key", "doc_id", "size").rowsBetween(*before)
     placed = (like.withColumn("key", key).withColumn("start", F.coalesce(F.sum("words").over(within), F.lit(0)))
               .join(slices, ["rank", "slice"])
               .select("rank", "doc_id", "size", "copies", (F.col("start") + F.col("base")).alias("first")))
