@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetlake.llm.common import narrow, written
-from sheetlake.llm.tokens import encoder, text_groups
+from sheetlake.llm.tokens import binary_rows, encoded_blocks, encoder
 
 SEQUENCE_TOKENS = 1024
 SLICE_PIECES = 20_000
@@ -77,22 +77,15 @@ def rank_ranges(packs: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, i
 
 def _pieces(path: str, size: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, "\n", LINE_FEED_ID, True).encode
-        end = np.array([end_id], dtype="<u4").tobytes()
-        for ids, texts in text_groups(batches):
-            rows, starts, data, totals = [], [], [], []
-            for i, tokens in enumerate(encode(texts)):
-                tokens += end
-                total = len(tokens) // 4
-                for start in range(0, total, size):
-                    rows.append(i)
-                    starts.append(start)
-                    data.append(tokens[4 * start:4 * (start + size)])
-                    totals.append(total)
+        encode = encoder(path, "\n", LINE_FEED_ID, True)
+        for ids, tokens, totals in encoded_blocks(encode, end_id, batches):
+            pieces = -(-totals // size)
+            rows = np.repeat(np.arange(len(totals)), pieces)
+            starts = (np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * size
+            lengths = np.minimum(totals[rows] - starts, size)
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
-                 pa.array([len(d) // 4 for d in data], pa.int64()), pa.array(data, pa.binary()),
-                 pa.array(totals, pa.int64())], ["doc_id", "start", "length", "ids", "doc_tokens"])
+                [ids.take(pa.array(rows)), pa.array(starts), pa.array(lengths), binary_rows(tokens, lengths),
+                 pa.array(totals[rows])], ["doc_id", "start", "length", "ids", "doc_tokens"])
     return run
 
 

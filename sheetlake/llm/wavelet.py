@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheetlake.llm.common import narrow, scratch_folder, written
-from sheetlake.llm.tokens import encoder, text_groups
+from sheetlake.llm.tokens import binary_rows, encoded_blocks, encoder
 
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 20
@@ -171,15 +171,17 @@ def _encode(path: str, end_id: int, bounds: list[int]):
     edges = np.array(bounds, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, SEPARATOR, SEPARATOR_ID, False).encode
-        end = np.array([end_id], dtype="<u4").tobytes()
-        for ids, texts in text_groups(batches):
+        encode = encoder(path, SEPARATOR, SEPARATOR_ID, False)
+        for ids, tokens, counts in encoded_blocks(encode, end_id, batches):
             at = np.searchsorted(edges, ids.fill_null(0).to_numpy(), side="right") + 1
             at[ids.is_null().to_numpy(zero_copy_only=False)] = 0
-            tokens = [np.frombuffer(t + end, dtype="<u4") for t in encode(texts)]
-            data = [t.astype("<u2").tobytes() if t.max() < 1 << 16 else b"W" + t.tobytes() for t in tokens]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int64()), ids, pa.array(data, pa.binary())], ["part", "doc_id", "data"])
+            if tokens.max(initial=0) < 1 << 16:
+                data = binary_rows(tokens.astype("<u2"), counts)
+            else:
+                rows = np.split(tokens, np.cumsum(counts)[:-1])
+                data = pa.array([r.astype("<u2").tobytes() if r.max() < 1 << 16 else b"W" + r.tobytes() for r in rows],
+                                pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), ids, data], ["part", "doc_id", "data"])
     return run
 
 

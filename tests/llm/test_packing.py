@@ -91,3 +91,16 @@ def test_little_padding_and_slices(spark, monkeypatch):
     got = pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want, sequences = check(got, rows)
     assert sum(map(len, want)) > 0.97 * 1024 * sequences
+
+
+def test_a_small_cache_and_small_blocks_change_nothing(monkeypatch):
+    from sheetlake.llm import tokens
+
+    e = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), "\n", 198, True)
+    texts = [" ".join(f"w{k * i % 977}" for k in range(60)) + ".\nThe end, 日本 é." for i in range(30)] + ODD
+    want = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 50)
+    for a in range(0, len(texts), 7):
+        got = [np.frombuffer(b, "<u4").tolist() for b in e.encode(texts[a:a + 7])]
+        assert got == want[a:a + 7]
+    assert e.encode([]) == [] and e.encode(["", ""]) == [b"", b""]
