@@ -17,18 +17,14 @@ DOT_ZERO = ".0"
 # ----------------------------------------------------------------------------
 
 
-def _whitespace_class() -> str:
-    """Regex class of the characters Python's ``str.strip()`` removes."""
-    chars = [chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isspace()]
-    return "[" + "".join(f"\\x{{{ord(ch):04x}}}" for ch in chars) + "]"
-
-
-WS = _whitespace_class()
+#: the characters Python's ``str.strip()`` removes
+BLANKS = "".join(chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isspace())
 
 
 def strip_ws(c: Column) -> Column:
-    """Trim leading and trailing whitespace as Python's ``str.strip()`` does."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    """Trim leading and trailing whitespace as Python's ``str.strip()`` does:
+    a trim by characters, which reads the ends of a cell only."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def clean_identifier(c: Column) -> Column:

@@ -18,8 +18,8 @@ FLOAT_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan
 # ---------------------------------------------------------
 
 def _converted(raw, kind: str):
-    """A text cell as ``kind``, NULL where it does not convert exactly."""
-    s = strip_ws(raw)
+    """A trimmed text cell as ``kind``, NULL where it does not convert exactly."""
+    s = raw
     if kind == "integer":
         return F.when(s.rlike(INTEGER_PATTERN), s.try_cast("int"))
     if kind in ("float", "numeric"):
@@ -47,14 +47,18 @@ def coerce_or_reject(df: DataFrame, types: Mapping[str, str], flag: str = "_ok",
     ``timestamp``, ``decimal(p,s)``.
     """
     out, bad = {}, []
-    for name, kind in types.items():
+    columns = df.columns
+    # each step in a projection of its own: a cell is trimmed and converted once
+    df = df.withColumns({f"__s{i}": strip_ws(F.col(f"`{name}`")) for i, name in enumerate(types)}) if types else df
+    df = df.withColumns({f"__v{i}": _converted(F.col(f"__s{i}"), kind) for i, kind in enumerate(types.values())}) if types else df
+    for i, name in enumerate(types):
         raw = F.col(f"`{name}`")
-        out[name] = _converted(raw, kind)
+        out[name] = F.col(f"__v{i}")
         bad.append(F.when(raw.isNotNull() & out[name].isNull(),
                           F.struct(F.lit(name).alias("column_name"), raw.alias("raw_text"))))
     failed = (F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad
               else F.array().cast("array<struct<column_name:string,raw_text:string>>"))
-    cols = [out.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns]
+    cols = [out.get(c, F.col(f"`{c}`")).alias(c) for c in columns]
     df = df.select(*cols, (F.size(failed) == 0).alias(flag), *([failed.alias(reasons)] if reasons else []))
     return df
 

@@ -61,41 +61,59 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     return out if rank_col else out.drop(name)
 
 
+#: rows that one task may take for a key
+HEAVY_ROWS = 1_000_000
+
+
 def newest_rows(df: DataFrame, keys: Sequence[str], order_col: str,
-                rank_col: str | None = None, distinct: bool = False) -> DataFrame:
+                rank_col: str | None = None, distinct: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """All rows carrying the newest ``order_col`` of their key
     (``dense_rank() OVER (PARTITION BY keys ORDER BY order_col DESC) = 1``;
     a NULL time counts as newest, as in PostgreSQL), each once with
     ``distinct``.
 
-    Rows whose keys are all set are ranked in one window: a map-side
-    ``WindowGroupLimit`` drops older rows before the only shuffle, and the
-    distinct meets the same partitioning. Rows with a NULL key (which may be
-    most of a table) take another way: a per-key aggregate, combined map-side,
-    joined back null-safely, so they never meet in one window task.
+    Ordinary keys are ranked in one window: a map-side ``WindowGroupLimit``
+    drops older rows before the only shuffle, and the distinct meets the same
+    partitioning. Rows that tie for the newest time would all meet in one task,
+    so keys with NULLs and keys that a count (over the keys alone, combined
+    map-side) finds in more than ``heavy_rows`` rows go another way: the newest
+    time of each is an aggregate, and their rows find it by a salted join,
+    which leaves them spread as they were. Both ways give the same rows; a
+    table without such keys takes the window alone.
     """
     known = F.lit(True)
     for k in keys:
         known = known & F.col(f"`{k}`").isNotNull()
     name = rank_col or "__rank"
     newest_first_window = Window.partitionBy(*keys).orderBy(F.col(f"`{order_col}`").desc_nulls_first())
-    ranked = (df.filter(known).withColumn(name, F.dense_rank().over(newest_first_window))
+    ordinary, rest = df.filter(known), df.filter(~known)
+    counts = ordinary.groupBy(*keys).count().filter(F.col("count") > heavy_rows).drop("count")
+    if counts.take(1):
+        heavy = counts.checkpoint()  # at most a key per ``heavy_rows`` rows
+        rest = rest.unionByName(ordinary.join(heavy, list(keys), "left_semi").select(*df.columns))
+        ordinary = ordinary.join(heavy, list(keys), "left_anti").select(*df.columns)
+    ranked = (ordinary.withColumn(name, F.dense_rank().over(newest_first_window))
               .filter(F.col(f"`{name}`") == 1))
-    rest = _newest_by_join(df.filter(~known), keys, order_col).withColumn(name, F.lit(1))
+    rest = _newest_by_join(rest, keys, order_col).withColumn(name, F.lit(1))
     if distinct:
         ranked, rest = ranked.distinct(), rest.distinct()
     out = ranked.unionByName(rest)
     return out if rank_col else out.drop(name)
 
 
+SALTS = 64
+
+
 def _newest_by_join(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     order = F.col(f"`{order_col}`")
     top = df.groupBy(*keys).agg(F.max(order.isNull().cast("int")).alias("__has_null"),
                                 F.max(order).alias("__top"))
-    top = top.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], "__has_null", "__top")
-    cond = None
+    top = top.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], "__has_null", "__top",
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if _orderable(f.dataType)]
+    salted = df.withColumn("__deal", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
+    cond = F.col("__deal") == F.col("__salt")
     for i, k in enumerate(keys):
-        c = df[f"`{k}`"].eqNullSafe(top[f"__k{i}"])
-        cond = c if cond is None else cond & c
+        cond = cond & salted[f"`{k}`"].eqNullSafe(top[f"__k{i}"])
     newest = F.when(F.col("__has_null") == 1, order.isNull()).otherwise(order == F.col("__top"))
-    return df.join(top, cond, "inner").filter(newest).select(*[F.col(f"`{c}`") for c in df.columns])
+    return salted.join(top, cond, "inner").filter(newest).select(*[F.col(f"`{c}`") for c in df.columns])

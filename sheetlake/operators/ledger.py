@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetlake.operators.keys import exclude_keys
-from sheetlake.operators.latest import latest_by_key
 
 # --- Fixed values: ledger vocabulary. ---
 SUCCESS = "success"
@@ -38,14 +37,34 @@ def loaded_flag(operation: Column, status: Column) -> Column:
 
 
 def latest_ops(ledger: DataFrame) -> DataFrame:
-    """Newest ledger row per file (NULL times first, ties broken by id) with
-    its ``is_loaded`` flag (F2, F8)."""
-    newest = latest_by_key(ledger, ["file_path"],
-                           [F.col("last_loaded_at").desc_nulls_first(), F.col("id").desc_nulls_last()],
-                           ties="one")
+    """Newest ledger row per file (NULL times first, ties broken by id, then
+    by the other columns) with its ``is_loaded`` flag (F2, F8): one aggregate,
+    combined map-side, so a file with a long history is never sorted."""
+    rest = [c for c in ledger.columns if c != "file_path"]
+    others = [c for c in rest if c not in ("last_loaded_at", "id")]
+    order = F.struct(F.col("last_loaded_at").isNull().alias("undated"), "last_loaded_at", "id", *others)
+    newest = ledger.groupBy("file_path").agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    newest = newest.select(*[F.col("file_path") if c == "file_path" else F.col(f"__row.`{c}`") for c in ledger.columns])
     return newest.withColumn("is_loaded", loaded_flag(F.col("operation"), F.col("status")))
 
 
+def merge_latest(state: DataFrame | None, tail: DataFrame) -> DataFrame:
+    """:func:`latest_ops` of a long history from its compacted state (an
+    earlier result of this function or of :func:`latest_ops`) and the rows
+    that came after it: the history itself is not read again."""
+    if state is None:
+        return latest_ops(tail)
+    return latest_ops(state.drop("is_loaded").unionByName(tail.drop("is_loaded")))
+
+
+def active_of(newest: DataFrame, failed_keeps_active: bool = False) -> DataFrame:
+    """:func:`active_files` from the newest row of every file."""
+    op, st = F.col("operation"), F.col("status")
+    ok_status = (st != FAILED) if not failed_keeps_active else st.isNotNull()
+    cond = (op.isin(INSERT, UPDATE) & ok_status) | (op.isNull() & (st == SUCCESS))
+    return newest.filter(F.coalesce(cond, F.lit(False))).select("file_path", "table_name")
+
+
 def active_files(ledger: DataFrame, failed_keeps_active: bool = False) -> DataFrame:
     """Files whose rows currently live in a table (F3): newest row inserted or
     updated the file and did not fail, or is a legacy success row. A NULL
@@ -54,10 +73,7 @@ def active_files(ledger: DataFrame, failed_keeps_active: bool = False) -> DataFr
     ``failed_keeps_active=True`` also keeps files whose newest re-read failed,
     so that a later deletion of such a file still archives its old rows.
     """
-    op, st = F.col("operation"), F.col("status")
-    ok_status = (st != FAILED) if not failed_keeps_active else st.isNotNull()
-    cond = (op.isin(INSERT, UPDATE) & ok_status) | (op.isNull() & (st == SUCCESS))
-    return latest_ops(ledger).filter(F.coalesce(cond, F.lit(False))).select("file_path", "table_name")
+    return active_of(latest_ops(ledger), failed_keeps_active)
 
 
 def deleted_sources(active: DataFrame, listing: DataFrame, listing_col: str = "rel_path") -> DataFrame:
@@ -65,15 +81,20 @@ def deleted_sources(active: DataFrame, listing: DataFrame, listing_col: str = "r
     return exclude_keys(active, listing, "file_path", listing_col)
 
 
-def classify_ops(batch: DataFrame, ledger: DataFrame, path_col: str = "rel_path") -> DataFrame:
-    """``UPDATE`` for files already loaded, else ``INSERT``."""
-    state = latest_ops(ledger).select(F.col("file_path").alias(path_col), "is_loaded")
+def classify_with(batch: DataFrame, newest: DataFrame, path_col: str = "rel_path") -> DataFrame:
+    """:func:`classify_ops` from the newest row of every file."""
+    state = newest.select(F.col("file_path").alias(path_col), "is_loaded")
     joined = batch.join(state, path_col, "left")
     return joined.withColumn(
         "operation", F.when(F.coalesce(F.col("is_loaded"), F.lit(False)), F.lit(UPDATE))
                       .otherwise(F.lit(INSERT))).drop("is_loaded")
 
 
+def classify_ops(batch: DataFrame, ledger: DataFrame, path_col: str = "rel_path") -> DataFrame:
+    """``UPDATE`` for files already loaded, else ``INSERT``."""
+    return classify_with(batch, latest_ops(ledger), path_col)
+
+
 def run_log(run_events: DataFrame) -> DataFrame:
     """Fold ``started`` / ``finished`` run events into one row per run.
 

@@ -62,3 +62,23 @@ def schema_drift(headers: DataFrame, existing: Sequence[str],
     drifts = F.concat(tagged(F.array_except("cols", known), "new"),
                       tagged(F.array_except(needed, "cols"), "missing"))
     return per_file.select("source_file", F.inline(drifts))
+
+
+def header_state(headers: DataFrame, upto=None) -> DataFrame:
+    """``source_file, column_name`` of every file as of a run: its header in
+    the newest run that read it, not after ``upto``. ``headers`` is the stored
+    index (``source_file, column_name, run_id``)."""
+    seen = headers if upto is None else headers.filter(F.col("run_id") <= F.lit(upto))
+    newest = seen.groupBy(SOURCE).agg(F.max("run_id").alias("run_id"))
+    return seen.join(newest, [SOURCE, "run_id"], "left_semi").select(SOURCE, "column_name").distinct()
+
+
+def drift_between(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Columns that files of both header states gained or lost, as
+    ``source_file, column_name, drift`` (``added`` / ``dropped``): one outer
+    join on file and column."""
+    files = before.select(SOURCE).distinct().join(after.select(SOURCE).distinct(), SOURCE, "left_semi")
+    both = (before.withColumn("was", F.lit(True)).join(after.withColumn("is", F.lit(True)), [SOURCE, "column_name"], "full")
+            .filter(F.col("was").isNull() | F.col("is").isNull()))
+    return both.join(files, SOURCE, "left_semi").select(
+        SOURCE, "column_name", F.when(F.col("was").isNull(), F.lit("added")).otherwise(F.lit("dropped")).alias("drift"))

@@ -30,18 +30,16 @@ def candidate_columns(df: DataFrame, columns: Sequence[str] | None = None) -> li
             and c not in SYSTEM_COLUMNS and not is_identifier_name(c)]
 
 
-def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One aggregate over all candidate columns, one output row per column.
+def _empty_profile(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return df.sparkSession.createDataFrame([], ", ".join(
+        [*[f"{k} string" for k in keys],
+         *[f"{c} {'string' if c == 'column_name' else 'bigint'}" for c in PROFILE_COLUMNS]]))
 
-    Cells are compared after trimming spaces; blank cells are counted apart
-    (they pass the pattern checks but would fail the cast).
-    """
-    cols = candidate_columns(df, columns)
-    if not cols:
-        return df.sparkSession.createDataFrame([], ", ".join(
-            [f"{c} {'string' if c == 'column_name' else 'bigint'}" for c in PROFILE_COLUMNS]))
-    # Per-cell flags first, in one projection: each pattern runs once per cell.
-    flags, measures = [], []
+
+def _profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per-cell flags first, in one projection (each pattern runs once per
+    cell), then one aggregate over all columns, then a row per column."""
+    flags, measures = [F.col(f"`{k}`") for k in keys], []
     for i, c in enumerate(cols):
         raw = F.col(f"`{c}`")
         t = F.trim(raw)
@@ -64,13 +62,43 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
             F.count_if(F.col(f"x{i}")).alias("timestamp_cast_failures"),
             F.max(F.col(f"d{i}")).alias("int_digits"),
             F.max(F.col(f"s{i}")).alias("scale"),
-        ).alias(c))
-    df = df.select(*flags)
-    one_row = df.agg(*measures)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`.*")) for c in cols])
-    prof = one_row.select(F.inline(rows))
-    return prof.select(*[F.col(c).cast("string" if c == "column_name" else "bigint").alias(c)
-                         for c in PROFILE_COLUMNS])
+        ).alias(f"m{i}"))
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}.*")) for i, c in enumerate(cols)])
+    prof = df.select(*flags).groupBy(*keys).agg(*measures).select(*keys, F.inline(rows))
+    return prof.select(*keys, *[F.col(c).cast("string" if c == "column_name" else "bigint").alias(c)
+                                for c in PROFILE_COLUMNS])
+
+
+def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One aggregate over all candidate columns, one output row per column.
+
+    Cells are compared after trimming spaces; blank cells are counted apart
+    (they pass the pattern checks but would fail the cast).
+    """
+    cols = candidate_columns(df, columns)
+    return _profile(df, cols, []) if cols else _empty_profile(df)
+
+
+def source_profiles(df: DataFrame, columns: Sequence[str] | None = None, source_col: str = "source_file") -> DataFrame:
+    """:func:`type_profile` of every source file: a row per file and column.
+    Profiles add up (:func:`merge_profiles`), so they are stored with their
+    file and leave with it, and a new file never has old text read again."""
+    cols = candidate_columns(df, columns)
+    return _profile(df, cols, [source_col]) if cols else _empty_profile(df, [source_col])
+
+
+def merge_profiles(profiles: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The profile of several files' text together, a row per column: counts
+    add up, digits are the most of any file. ``columns`` that no profile names
+    (a table without rows) count as all-NULL."""
+    digits = ("int_digits", "scale")
+    out = profiles.groupBy("column_name").agg(*[
+        (F.max(c) if c in digits else F.sum(c)).cast("bigint").alias(c) for c in PROFILE_COLUMNS[1:]])
+    if columns is None:
+        return out
+    wanted = profiles.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return wanted.join(out, "column_name", "left").select(
+        "column_name", *[F.col(c) if c in digits else F.coalesce(c, F.lit(0)).alias(c) for c in PROFILE_COLUMNS[1:]])
 
 
 def decide_types(profile: DataFrame, blank_as_null: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from sheetlake.operators import ledger as L
 from sheetlake.operators.coerce import coerce_or_reject, load_stats
 from sheetlake.operators.schema import project_cells, schema_drift, union_schema
 from sheetlake.operators.typing_ import (MAX_PRECISION, SYSTEM_COLUMNS, candidate_columns, decide_types,
-                                         type_profile)
+                                         merge_profiles, source_profiles)
 from sheetlake.plans import storage as S
 from sheetlake.session import scratch_path
 from sheetlake.sources.reports import data_records, header_records, scan_errors, scan_report_rows
@@ -112,31 +112,37 @@ def _decided(profile_rows) -> dict[str, str]:
     return {r["column_name"]: r["promoted_type"] for r in profile_rows if r["promoted_type"] != "string"}
 
 
-def target_types(batch: DataFrame, text: DataFrame, stored: DataFrame | None,
+def target_types(profiles: DataFrame, batch: DataFrame, sources: DataFrame, stored: DataFrame | None,
                  date_columns: Sequence[str]) -> tuple[dict[str, str], bool]:
     """Target type per column, and whether stored rows must be typed anew.
 
-    Without a stored table the whole text decides (D3). Otherwise stored types
-    stay and only new columns are promoted (D6), with one exception: a batch
-    whose numbers need more fraction or whole digits than a stored decimal has
-    room for widens that column, and the table is typed again from its text
-    landing. No row is dropped for its digits; a column that needs more than
-    38 of them becomes text.
+    ``profiles`` has a row per file and column (:func:`source_profiles`) of all
+    stored text, ``sources`` the files of this batch. Without a stored table
+    all profiles decide (D3). Otherwise stored types stay and only new columns
+    are promoted (D6), with one exception: a batch whose numbers need more
+    fraction or whole digits than a stored decimal has room for widens that
+    column, by the profiles of all files, and the table is typed again from its
+    text landing. No row is dropped for its digits; a column that needs more
+    than 38 of them becomes text. No text but the batch's is ever profiled.
     """
+    def decided(rows: DataFrame, names: Sequence[str]) -> list:
+        rows = rows.filter(F.col("column_name").isin(list(names)))
+        return decide_types(merge_profiles(rows, names)).collect()
+
     if stored is None:
-        names = [c for c in candidate_columns(text) if c not in date_columns]
-        return _decided(decide_types(type_profile(text, names)).collect()), False
+        return _decided(decided(profiles, [c for c in candidate_columns(batch) if c not in date_columns])), False
     have = {f.name: f.dataType for f in stored.schema.fields}
     types = {n: t.simpleString() for n, t in have.items()
              if isinstance(t, (DecimalType, TimestampType)) and n in batch.columns and n not in date_columns}
     new = [c for c in candidate_columns(batch) if c not in have and c not in date_columns]
     decimals = [n for n in types if isinstance(have[n], DecimalType)]
-    profile = decide_types(type_profile(batch, [*decimals, *new])).collect() if decimals or new else []
+    mine = profiles.join(sources, S.SOURCE, "left_semi")
+    profile = decided(mine, [*decimals, *new]) if decimals or new else []
     types.update(_decided([r for r in profile if r["column_name"] in new]))
     small = [r["column_name"] for r in profile if r["column_name"] in decimals
              and ((r["scale"] or 0) > have[r["column_name"]].scale
                   or (r["int_digits"] or 0) > have[r["column_name"]].precision - have[r["column_name"]].scale)]
-    for r in type_profile(text, small).collect() if small else []:
+    for r in decided(profiles, small) if small else []:
         name, scale = r["column_name"], max(r["scale"] or 0, have[r["column_name"]].scale)
         if (r["int_digits"] or 0) + scale <= MAX_PRECISION:
             types[name] = f"decimal({MAX_PRECISION},{scale})"
@@ -154,8 +160,9 @@ def load_table(spark: SparkSession, warehouse: str, scan: DataFrame, table: str,
     own earlier rows (E2), also when they have no row left.
     """
     headers = header_records(scan).filter(F.col("table_name") == table)
-    sources = read_sources(scan, table)
-    text_path, typed_path = S.text_path(warehouse, table), S.path(warehouse, table)
+    sources = read_sources(scan, table).checkpoint()
+    text_path, typed_path, rejects_path = (S.text_path(warehouse, table), S.path(warehouse, table),
+                                           S.path(warehouse, f"{table}_rejects"))
     try:
         cols = union_schema(headers, table)
     except ValueError:  # no file with a column
@@ -166,34 +173,36 @@ def load_table(spark: SparkSession, warehouse: str, scan: DataFrame, table: str,
         drift = schema_drift(headers, [c for c in stored.columns if c not in SYSTEM_COLUMNS])
         S.replace_partitions(drift.withColumn("run_id", F.lit(run_id)).withColumn("table_name", F.lit(table)),
                              S.path(warehouse, S.DRIFT), partition_by=("run_id", "table_name"))
-    fresh = landed_table(scan, table, cols)
-    if full:
-        S.overwrite(fresh, text_path)
-    else:
-        S.replace_sources(fresh, text_path, sources)
-    text = S.read(spark, text_path)
-    if text is None:  # header-only files and nothing stored before
-        text = spark.createDataFrame([], fresh.schema)
-    batch = text if full else text.join(F.broadcast(sources), S.SOURCE, "left_semi")
+    S.replace_partitions(headers.select("source_file", "position", "column_name", F.lit(run_id).alias("run_id"), "table_name"),
+                         S.path(warehouse, S.HEADERS), partition_by=("run_id", "table_name"))
+
+    def store(rows: DataFrame, p: str, all_rows: bool) -> None:
+        if all_rows:
+            S.overwrite(rows, p, sources=sources.count())
+        else:
+            S.replace_sources(rows, p, sources)
 
+    store(landed_table(scan, table, cols), text_path, full)
+    text = S.read(spark, text_path)
+    batch = text if full else text.join(sources, S.SOURCE, "left_semi")
     dates = [c for c in DATE_COLUMNS.get(table, ()) if c in text.columns]
-    types, again = target_types(batch, text, stored, dates)
+    profiles = S.profile_path(warehouse, table)
+    store(source_profiles(batch, [c for c in candidate_columns(batch) if c not in dates]), profiles, full)
+    types, again = target_types(S.read(spark, profiles), batch, sources, stored, dates)
     rows = text if again else batch
     flagged = coerce_or_reject(rows, {n: t for n, t in types.items() if n in rows.columns}, reasons="_bad")
     flagged = flagged.withColumns({c: parse_flexible_date(F.col(f"`{c}`")) for c in dates})
+    flagged, flagged_path = land_scan(spark, flagged, run_id)  # good rows, rejects and counts read what is typed once
     good = flagged.filter("_ok").drop("_ok", "_bad")
     rejects = flagged.filter("not _ok").select(
         "source_file", "row_no", F.explode("_bad").alias("cell"), F.lit(run_id).alias("run_id")).select(
         "source_file", "row_no", "cell.column_name", "cell.raw_text", "run_id")
-    rejects_path = S.path(warehouse, f"{table}_rejects")
-    if full or again:
-        S.overwrite(good, typed_path)
-        S.overwrite(rejects, rejects_path)
-    else:
-        S.replace_sources(good, typed_path, sources)
-        S.replace_sources(rejects, rejects_path, sources)
-    stats = load_stats(flagged.join(F.broadcast(sources), S.SOURCE, "left_semi"))
-    return file_outcomes(scan, table, stats, operations).checkpoint()
+    store(good, typed_path, full or again)
+    store(rejects, rejects_path, full or again)
+    stats = load_stats(flagged.join(sources, S.SOURCE, "left_semi"))
+    outcomes = file_outcomes(scan, table, stats, operations).checkpoint()
+    S.remove(spark, flagged_path)
+    return outcomes
 
 
 def load_tables(spark: SparkSession, warehouse: str, scan: DataFrame, run_id: int, full: bool,
@@ -210,6 +219,20 @@ def load_tables(spark: SparkSession, warehouse: str, scan: DataFrame, run_id: in
     return outcomes, errors
 
 
+def known_state(spark: SparkSession, warehouse: str) -> DataFrame | None:
+    """Newest ledger row of every file: the stored state, and what the ledger
+    has from runs after it (a run that broke off between the two writes)."""
+    ledger = S.read(spark, S.path(warehouse, S.LEDGER))
+    if ledger is None:
+        return None
+    state = S.read(spark, S.path(warehouse, S.LEDGER_STATE))
+    if state is None:
+        return L.latest_ops(ledger)
+    last = state.agg(F.max("run_id")).first()[0]
+    tail = ledger.filter(F.col("run_id") > last) if last is not None else ledger
+    return L.merge_latest(state.withColumnRenamed(S.SOURCE, "file_path"), tail)
+
+
 def write_ledger(spark: SparkSession, warehouse: str, outcomes: list[DataFrame], run_id: int,
                  now: dt.datetime, reset: bool = False) -> tuple[int, int]:
     """Append the outcomes of a run to the ledger (F1) or start it anew (F10);
@@ -219,10 +242,16 @@ def write_ledger(spark: SparkSession, warehouse: str, outcomes: list[DataFrame],
     for o in outcomes:
         rows = rows.unionByName(o)
     rows = L.ledger_rows(rows, F.lit(now).cast("timestamp")).withColumn("run_id", F.lit(run_id))
+    rows = rows.checkpoint()
     (S.overwrite if reset else S.replace_partitions)(rows, S.path(warehouse, S.LEDGER), partition_by=("run_id",))
-    stored = S.read(spark, S.path(warehouse, S.LEDGER))
-    stats = (L.run_summary(stored.filter(F.col("run_id") == str(run_id)), "run_id").collect()
-             if stored is not None else [])
+    state = rows.withColumnRenamed("file_path", S.SOURCE)
+    if reset:
+        S.overwrite(state, S.path(warehouse, S.LEDGER_STATE), sources=rows.count())
+    else:
+        newest = L.merge_latest(known_state(spark, warehouse), rows).join(rows.select("file_path"), "file_path", "left_semi")
+        S.replace_sources(newest.drop("is_loaded").withColumnRenamed("file_path", S.SOURCE),
+                          S.path(warehouse, S.LEDGER_STATE), state)
+    stats = L.run_summary(rows, "run_id").collect()
     return (stats[0]["files_processed"], stats[0]["files_skipped"]) if stats else (0, 0)
 
 

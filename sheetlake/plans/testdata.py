@@ -587,6 +587,28 @@ def event_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(_file_path().alias("source_file"), F.col("event_type").alias("column_name")).distinct()
 
 
+def daily_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header index of one run per log day."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(_file_path().alias("source_file"), F.col("event_type").alias("column_name"),
+                     F.date_format("ts", "yyyyMMdd").cast("bigint").alias("run_id"),
+                     F.lit("events").alias("table_name")).distinct()
+
+
+HEADER_DRIFT_SQL = f"""
+WITH h AS (SELECT DISTINCT {FILE_PATH_SQL} AS source_file, event_type AS column_name, ts::DATE AS run FROM events),
+ends AS (SELECT max(run) AS last FROM h),
+was AS (SELECT source_file, list(column_name) AS cols FROM h, ends WHERE run < last
+        AND run = (SELECT max(run) FROM h x WHERE x.source_file = h.source_file AND x.run < last) GROUP BY source_file),
+now AS (SELECT source_file, list(column_name) AS cols FROM h, ends WHERE run = last GROUP BY source_file)
+SELECT source_file, unnest(list_filter(now.cols, lambda c: NOT list_contains(was.cols, c))) AS column_name, 'added' AS drift
+FROM was JOIN now USING (source_file)
+UNION ALL
+SELECT source_file, unnest(list_filter(was.cols, lambda c: NOT list_contains(now.cols, c))), 'dropped'
+FROM was JOIN now USING (source_file)
+"""
+
+
 UNION_SQL = """
 SELECT id_khach_hang, loai_du_lieu, loai_hoa_don, ma_hoa_don, ngay_ghi, san_pham, source_file FROM (
   SELECT CAST(o_orderkey AS VARCHAR) AS ma_hoa_don, CAST(o_custkey AS VARCHAR) AS id_khach_hang,

@@ -34,16 +34,16 @@ def test_init_daily_reports(spark, workdir):
     t0 = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=1)
     first = init(spark, fm, hr, wh, now=t0)
     assert first["files_processed"] == 4
-    cust = spark.read.parquet(S.path(wh, "customer_data"))
+    cust = S.read(spark, S.path(wh, "customer_data"))
     assert dict(cust.dtypes)["ngay_sinh"] == "date"
     assert [(r.id, r.ngay_sinh) for r in cust.collect()] == [("7", dt.date(1988, 5, 27))]
 
-    sales = spark.read.parquet(S.path(wh, "sales_revenue"))
+    sales = S.read(spark, S.path(wh, "sales_revenue"))
     types = dict(sales.dtypes)
     assert types["so_tien"].startswith("decimal") and types["ngay_ghi"] == "timestamp"
     assert types["ma_hoa_don"] == "string"
     assert sales.count() == 3
-    cancel = spark.read.parquet(S.path(wh, "cancellation_bills"))
+    cancel = S.read(spark, S.path(wh, "cancellation_bills"))
     assert sorted(r.ma_hoa_don for r in cancel.collect()) == ["1", "HD2"]
 
     # daily: r1 re-exported with one row and a new column, r2 deleted, r3 new, a corrupt file
@@ -56,17 +56,17 @@ def test_init_daily_reports(spark, workdir):
     second = daily(spark, fm, hr, wh)
     assert second["since"] is not None and second["files_deleted"] == 1
 
-    sales = spark.read.option("mergeSchema", "true").parquet(S.path(wh, "sales_revenue"))
+    sales = S.read(spark, S.path(wh, "sales_revenue"))
     got = sorted((r.ma_hoa_don, str(r.so_tien), r.ghi_chu) for r in sales.collect())
     assert got == [("HD1", "120", "x"), ("HD5", "9", None)]   # HD6 rejected: amount is not a number
-    cust = spark.read.option("mergeSchema", "true").parquet(S.path(wh, "customer_data"))
+    cust = S.read(spark, S.path(wh, "customer_data"))
     assert sorted((r.id, r.ngay_sinh) for r in cust.collect()) == [("7", dt.date(1988, 5, 27)),
                                                                   ("8", dt.date(1988, 5, 27))]
-    archived = spark.read.parquet(S.path(wh, "sales_revenue_deleted"))
+    archived = S.read(spark, S.path(wh, "sales_revenue_deleted"))
     assert [r.ma_hoa_don for r in archived.collect()] == ["HD4"]
     assert archived.filter(F.col("deleted_at").isNull()).count() == 0
 
-    led = spark.read.parquet(S.path(wh, S.LEDGER))
+    led = S.read(spark, S.path(wh, S.LEDGER))
     latest = {r.file_path: (r.operation, r.status) for r in L.latest_ops(led).collect()}
     assert latest["revenue/r1.csv"] == ("UPDATE", "success")
     assert latest["revenue/r2.csv"] == ("DELETED", "success")
@@ -77,7 +77,7 @@ def test_init_daily_reports(spark, workdir):
     # a second daily run without changes archives nothing and loads nothing
     third = daily(spark, fm, hr, wh)
     assert third["files_deleted"] == 0
-    assert spark.read.option("mergeSchema", "true").parquet(S.path(wh, "sales_revenue")).count() == 2
+    assert S.read(spark, S.path(wh, "sales_revenue")).count() == 2
 
     # reports over the stored tables
     scripts = f"{workdir}/scripts"
@@ -107,7 +107,7 @@ def test_incremental_equals_full_reload(spark, workdir):
     init(spark, fm, hr, f"{workdir}/wh2")
 
     def rows(wh):
-        df = spark.read.option("mergeSchema", "true").parquet(S.path(wh, "sales_revenue"))
+        df = S.read(spark, S.path(wh, "sales_revenue"))
         cols = sorted(c for c in df.columns)
         return sorted(tuple("<null>" if r[c] is None else str(r[c]) for c in cols) for r in df.collect()), cols
 
@@ -128,7 +128,7 @@ def test_ledger_detection_finds_old_copies(spark, workdir):
     assert by_mtime["files_processed"] == 0
     by_ledger = daily(spark, fm, hr, wh, detect="ledger")
     assert by_ledger["files_processed"] == 1
-    got = sorted(r.ma_hoa_don for r in spark.read.parquet(S.path(wh, "sales_revenue")).collect())
+    got = sorted(r.ma_hoa_don for r in S.read(spark, S.path(wh, "sales_revenue")).collect())
     assert got == ["A1", "O1"]
 
 

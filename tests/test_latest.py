@@ -5,6 +5,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sheetlake.operators.latest import latest_by_key, newest_first, newest_rows
 
@@ -76,3 +77,38 @@ def test_map_columns_are_not_tie_breakers(spark):
                                "k string, t int, m map<string,string>")
     out = latest_by_key(df, ["k"], [newest_first("t")]).collect()
     assert sorted(r.k for r in out) == ["a", "b"]
+
+
+@pytest.mark.parametrize("heavy_rows", [1, 50, 10**6])
+def test_heavy_keys_give_the_same_rows(spark, heavy_rows):
+    rows = [("hot" if i % 3 else f"k{i % 40}", None if i % 97 == 0 else i % 5, i % 7) for i in range(1500)]
+    rows += [("hot", 9, i) for i in range(300)] + [(None, 3, 1), (None, 3, 1), (None, 2, 5)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    top = {}
+    for k, t, _ in rows:
+        top[k] = max(top.get(k, (0, -1)), (t is None, -1 if t is None else t))
+    want = sorted((r for r in rows if (r[1] is None, -1 if r[1] is None else r[1]) == top[r[0]]), key=repr)
+    got = newest_rows(df.repartition(5), ["k"], "t", heavy_rows=heavy_rows)
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    once = newest_rows(df, ["k"], "t", rank_col="r", distinct=True, heavy_rows=heavy_rows)
+    assert sorted((tuple(r)[:3] for r in once.collect()), key=repr) == sorted(set(want), key=repr)
+
+
+def test_a_hot_key_is_spread(spark):
+    """One bill holds a third of the rows, all with its newest time: no task
+    gets more than twice the median."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+                                    F.lit(5).alias("t"), F.col("id").alias("v")).repartition(8)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = newest_rows(df, ["k"], "t", heavy_rows=1000, distinct=True)
+        heavy = out.filter("k = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert out.count() == 30_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = sorted(r["count"] for r in heavy)
+    assert sum(sizes) == 10_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]

@@ -57,6 +57,12 @@ def test_numbers_grow_instead_of_dropping_rows(spark, place):
     daily(spark, fm, hr, wh)
     got = table(spark, wh)
     assert dict(got.dtypes)["so_luong"] == "string" and got.count() == 7
+    profiles = S.read(spark, S.profile_path(wh, "sales_revenue")).filter("column_name = 'so_luong'")
+    assert sorted((r.source_file, r.non_blank, r.numeric_violations, r.int_digits, r.scale) for r in profiles.collect()) == [
+        ("revenue/a.csv", 3, 0, 1, 0), ("revenue/b.csv", 3, 1, 1, 2), ("revenue/c.csv", 1, 0, 37, 0)]
+    os.remove(f"{src}/b.csv")  # a profile leaves with its file
+    daily(spark, fm, hr, wh)
+    assert {r.source_file for r in S.read(spark, S.profile_path(wh, "sales_revenue")).collect()} == {"revenue/a.csv", "revenue/c.csv"}
 
 
 def test_empty_and_fully_rejected_exports_clear_old_rows(spark, place):
@@ -123,6 +129,8 @@ def test_archive_is_not_doubled_after_a_broken_run(spark, place, monkeypatch):
     real = S.drop_sources
     monkeypatch.setattr(incremental.S, "drop_sources", lambda *a, **k: 1 / 0)
     assert daily(spark, fm, hr, wh)["errors"]
+    led = {r.file_path: (r.operation, r.status) for r in L.latest_ops(table(spark, wh, S.LEDGER)).collect()}
+    assert led == {"revenue/a.csv": ("DELETED", "failed"), "revenue/b.csv": ("INSERT", "success")}
     monkeypatch.setattr(incremental.S, "drop_sources", real)
     done = daily(spark, fm, hr, wh)
     assert not done["errors"] and done["files_deleted"] == 1
@@ -133,6 +141,12 @@ def test_archive_is_not_doubled_after_a_broken_run(spark, place, monkeypatch):
     os.remove(f"{src}/a.csv")
     daily(spark, fm, hr, wh)
     assert sorted(r.ma_hoa_don for r in table(spark, wh, "sales_revenue_deleted").collect()) == ["A1", "A2", "A3"]
+    # after all these runs the compacted state is the newest rows of the whole ledger, without reading it
+    state = S.read(spark, S.path(wh, S.LEDGER_STATE)).withColumnRenamed(S.SOURCE, "file_path")
+    whole = L.latest_ops(table(spark, wh, S.LEDGER)).drop("is_loaded")
+    assert sorted(map(str, state.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+    known = jobs.known_state(spark, wh).drop("is_loaded")
+    assert sorted(map(str, known.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
 
 
 def test_failed_overwrite_leaves_the_live_table(spark, workdir):
@@ -146,6 +160,35 @@ def test_failed_overwrite_leaves_the_live_table(spark, workdir):
     assert S.read(spark, f"{workdir}/none") is None
 
 
+def test_state_catches_up_after_a_run_that_broke_off(spark, place, monkeypatch):
+    src, wh, fm, hr = place
+    write(f"{src}/a.csv", "Mã hóa đơn\nA\n", age=60)
+    init(spark, fm, hr, wh, now=EARLY)
+    write(f"{src}/b.csv", "Mã hóa đơn\nB\n")
+    real = S.replace_sources
+
+    def stop(df, p, sources):
+        if p.endswith(S.LEDGER_STATE):
+            raise OSError("stopped")
+        return real(df, p, sources)
+    monkeypatch.setattr(jobs.S, "replace_sources", stop)
+    with pytest.raises(OSError):
+        daily(spark, fm, hr, wh)
+    monkeypatch.setattr(jobs.S, "replace_sources", real)
+    known = {r.file_path: r.operation for r in jobs.known_state(spark, wh).collect()}
+    assert known == {"revenue/a.csv": "INSERT", "revenue/b.csv": "INSERT"}
+
+
+def test_newest_rows_need_no_window(spark):
+    ledger = spark.createDataFrame([(1, "f", "t", None, 1, "success", None), (2, "f", "t", EARLY, 1, "failed", "INSERT")],
+                                   "id long, file_path string, table_name string, last_loaded_at timestamp, row_count long, "
+                                   "status string, operation string")
+    newest = L.latest_ops(ledger)
+    assert "Window" not in newest._jdf.queryExecution().executedPlan().toString()
+    assert [(r.id, r.is_loaded) for r in newest.collect()] == [(1, True)]  # an undated row is the newest
+    assert [(r.id, r.is_loaded) for r in L.merge_latest(L.latest_ops(ledger.filter("id = 1")), ledger.filter("id = 2")).collect()] == [(1, True)]
+
+
 def test_drift_is_stored(spark, place):
     src, wh, fm, hr = place
     write(f"{src}/a.csv", "Mã hóa đơn,Số tiền\nA,1\n", age=60)
