@@ -25,7 +25,7 @@ from sheetlake.llm.common import narrow, written
 from sheetlake.llm.tokens import binary_rows, encoded_blocks, encoder
 
 SEQUENCE_TOKENS = 1024
-SLICE_PIECES = 20_000
+SLICE_PIECES = 5_000
 VOCABULARY = "byte_bpe_50k.json"
 LINE_FEED_ID = 198
 END_ID = 0

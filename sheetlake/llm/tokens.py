@@ -22,8 +22,8 @@ from sheetlake.llm.common import blocks, text_buffer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHED_CHUNKS = 1_000_000
-BLOCK_BYTES = 1 << 23
+CACHED_CHUNKS = 500_000
+BLOCK_BYTES = 1 << 22
 
 # kinds of bytes
 _WORD, _SIGN, _SPACE, _FEED, _RARE, _LEAD, _LESS, _BAR = range(1, 9)
