@@ -3,9 +3,10 @@
 A vector is cut into segments; with a segment's mean m and deviation s over L
 components, the part of an inner product in that segment is at most
 L * (m_q * m_v + s_q * s_v), which is the same as a lower bound on the squared
-distance of the segment. Bounds are taken coarse to fine (more and more
-segments); a pair whose bound is below the query's current k-th best score is
-dropped, and exact integer scores are computed for the survivors only.
+distance of the segment. A few vectors with high bounds give every query a first
+k-th best score. Bounds are then taken coarse to fine (more and more segments); a
+pair whose bound is below the query's current k-th best score is dropped, and
+exact integer scores are computed for the survivors only.
 
 Queries are a stated subset of the table. They travel in blocks to every shard
 of vectors; a shard keeps its best k per query, and the best k of all shards
@@ -24,54 +25,118 @@ from pyspark.sql import functions as F
 from sheetlake.llm.common import narrow
 
 QUERY_BLOCK, SHARD_VECTORS, CHUNK = 512, 100_000, 2048
+#: vectors that make a shard of their own where the session has idle cores
+LEAST_SHARD = 4_000
 RESOLUTIONS = (1, 4, 16)
 SCALE = 1024
+#: vectors per query, in numbers of k, whose exact scores give the first floor
+SEEDS = 4
+_EPS = np.finfo(float).eps
 
 
 def segment_features(vectors: np.ndarray, segments: int) -> np.ndarray:
-    """Means and deviations per segment, scaled so that the inner product of
-    two vectors' features bounds their inner product from above."""
+    """Means, deviations and room for rounding per segment, scaled so that the
+    inner product of two vectors' features bounds their inner product from
+    above. Deviations are taken from centred values, so large means cost them
+    no digits; the room is in proportion to the means, whose rounding and whose
+    products' cancellation it covers. Components too large for this give
+    infinite or undefined bounds, which exclude nothing."""
     out = []
-    for part in np.array_split(vectors, segments, axis=1):
-        size = part.shape[1]
-        mean = part.mean(axis=1)
-        spread = np.sqrt(np.maximum((part * part).mean(axis=1) - mean * mean, 0))
-        out += [mean * np.sqrt(size), spread * np.sqrt(size) * (1 + 1e-9) + 1e-6]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for part in np.array_split(vectors, segments, axis=1):
+            size = part.shape[1]
+            mean = part.mean(axis=1)
+            spread = np.sqrt(((part - mean[:, None]) ** 2).mean(axis=1))
+            room = np.sqrt(16 * _EPS * (vectors.shape[1] + 8))
+            out += [mean * np.sqrt(size), spread * np.sqrt(size) * (1 + 1e-9) + 1e-6, np.abs(mean) * np.sqrt(size) * room]
     return np.stack(out, axis=1)
 
 
 def _bounded(bound: np.ndarray) -> np.ndarray:
     """Room for rounding in a bound."""
-    return bound + 1e-9 * np.abs(bound) + 1e-3
+    with np.errstate(over="ignore", invalid="ignore"):
+        return bound + 1e-9 * np.abs(bound) + 1e-3
+
+
+def whole(value: float) -> int:
+    """1024 times a component held as floor(1024 * x) / 1024, exactly."""
+    return int(value) * SCALE if abs(value) >= 2 ** 43 else int(value * SCALE)
+
+
+def _at_most(score: int) -> float:
+    """A double not above a whole number."""
+    try:
+        value = float(score)
+    except OverflowError:
+        return float(np.finfo(float).max) if score > 0 else -np.inf
+    return value if abs(score) < 2 ** 52 else value - abs(value) * 1e-9
 
 
 class Shard:
-    """Vectors of one length with their features, searched chunk by chunk."""
+    """Vectors of one length, held as floor(1024 * x) / 1024, with their
+    features, searched chunk by chunk."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        levels = [r for r in RESOLUTIONS if r <= vectors.shape[1]]
-        self.levels = [(r, segment_features(vectors, r)) for r in levels]
-        self.largest = float(np.abs(vectors).max(initial=0))
+    def __init__(self, ids: np.ndarray, held: np.ndarray):
+        self.ids, self.held = ids, held
+        with np.errstate(over="ignore"):
+            self.vectors = held * SCALE
+        levels = [r for r in RESOLUTIONS if r <= held.shape[1]]
+        self.levels = [(r, segment_features(self.vectors, r)) for r in levels]
+        self.largest = float(np.abs(self.vectors).max(initial=0))
+        self.scored = self.pairs = 0
 
-    def _exact(self, queries: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    def _exact(self, held: np.ndarray, queries: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
         """Integer scores of pairs: in doubles while those are exact, else in Python's integers."""
-        if self.largest * np.abs(queries).max(initial=0) * queries.shape[1] < 2 ** 52:
-            return np.einsum("ij,ij->i", queries[q], self.vectors[v])
-        exact = [sum(int(a) * int(b) for a, b in zip(queries[i], self.vectors[j], strict=True))
-                 for i, j in zip(q, v, strict=True)]
-        return np.array(exact, dtype=object)
+        self.scored += len(q)
+        with np.errstate(over="ignore", invalid="ignore"):
+            small = self.largest * np.abs(queries).max(initial=0) * queries.shape[1] < 2 ** 52
+        if not small:
+            rows = {i: [whole(x) for x in held[i].tolist()] for i in np.unique(q).tolist()}
+            others = {j: [whole(x) for x in self.held[j].tolist()] for j in np.unique(v).tolist()}
+            return np.array([sum(a * b for a, b in zip(rows[i], others[j], strict=True))
+                             for i, j in zip(q.tolist(), v.tolist(), strict=True)], dtype=object)
+        first, last = (int(v.min()), int(v.max()) + 1) if len(v) else (0, 0)
+        if len(q) > 0.2 * len(queries) * (last - first):
+            return (queries @ self.vectors[first:last].T)[q, v - first]
+        return np.einsum("ij,ij->i", queries[q], self.vectors[v])
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    def _seeds(self, features: list[np.ndarray], n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """A few pairs per query with high bounds."""
+        level = min(1, len(self.levels) - 1)
+        mine, own, few = features[level], self.levels[level][1], SEEDS * k
+        found = []
+        with np.errstate(over="ignore", invalid="ignore"):
+            for a in range(0, len(self.ids), CHUNK):
+                bound = np.nan_to_num(mine @ own[a:a + CHUNK].T, nan=np.inf)
+                pick = np.argpartition(-bound, min(few, bound.shape[1]) - 1, axis=1)[:, :few]
+                found.append((pick + a, np.take_along_axis(bound, pick, axis=1)))
+                if len(found) > 1:
+                    v, b = (np.concatenate(x, axis=1) for x in zip(*found, strict=True))
+                    top = np.argpartition(-b, min(few, b.shape[1]) - 1, axis=1)[:, :few]
+                    found = [(np.take_along_axis(v, top, axis=1), np.take_along_axis(b, top, axis=1))]
+        v = found[0][0]
+        return np.repeat(np.arange(n), v.shape[1]), v.ravel()
+
+    def search(self, query_ids: np.ndarray, held: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         """The k best (query, vector, score) of every query, ties to smaller ids."""
+        with np.errstate(over="ignore"):
+            queries = held * SCALE
         n, floor = len(queries), np.full(len(queries), -np.inf)
+        self.pairs += n * len(self.ids)
         best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object))
         features = [segment_features(queries, r) for r, _ in self.levels]
+        if features and len(self.ids) > SEEDS * k:
+            q, v = self._seeds(features, n, k)
+            other = self.ids[v] != query_ids[q]
+            q, v = q[other], v[other]
+            self._merged(best, q, v, self._exact(held, queries, q, v), floor, k)  # for the floors only
         for a in range(0, len(self.ids), CHUNK):
             q, v = None, None
             for (_, own), mine in zip(self.levels, features, strict=True):
+                # an undefined bound is not below the floor: its pair stays
                 if q is None or len(q) > 0.2 * n * min(CHUNK, len(self.ids) - a):
-                    keep = _bounded(mine @ own[a:a + CHUNK].T) >= floor[:, None]
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        keep = ~(_bounded(mine @ own[a:a + CHUNK].T) < floor[:, None])
                     if q is not None:
                         alive = np.zeros_like(keep)
                         alive[q, v - a] = True
@@ -79,7 +144,8 @@ class Shard:
                     q, v = np.nonzero(keep)
                     v = v + a
                 elif len(q):
-                    keep = _bounded(np.einsum("ij,ij->i", mine[q], own[v])) >= floor[q]
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        keep = ~(_bounded(np.einsum("ij,ij->i", mine[q], own[v])) < floor[q])
                     q, v = q[keep], v[keep]
             if q is None:  # vectors without components: nothing to bound
                 q, v = np.nonzero(np.ones((n, len(self.ids[a:a + CHUNK]))))
@@ -88,7 +154,7 @@ class Shard:
             q, v = q[other], v[other]
             for b in range(0, len(q), 1 << 18):
                 part = slice(b, b + (1 << 18))
-                best = self._merged(best, q[part], v[part], self._exact(queries, q[part], v[part]), floor, k)
+                best = self._merged(best, q[part], v[part], self._exact(held, queries, q[part], v[part]), floor, k)
         q, v, scores = best
         return list(zip(query_ids[q].tolist(), self.ids[v].tolist(), map(int, scores), strict=True))
 
@@ -102,7 +168,7 @@ class Shard:
         rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
         full = rank == k - 1
         for i in np.flatnonzero(full):
-            floor[q[i]] = float(scores[i]) if abs(scores[i]) < 2 ** 52 else float(scores[i]) * (1 - 1e-9 * np.sign(float(scores[i])))
+            floor[q[i]] = max(floor[q[i]], _at_most(scores[i]))
         top = rank < k
         return q[top], v[top], scores[top]
 
@@ -112,9 +178,11 @@ class Shard:
 
 
 def _rows(column: pa.Array) -> np.ndarray:
-    """Vectors of one length as whole numbers held in doubles."""
-    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
-    return np.floor(SCALE * flat.reshape(len(column), -1))
+    """Vectors of one length as floor(1024 * x) / 1024, exact for every double."""
+    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(SCALE * flat)
+    return np.where(np.isfinite(scaled), scaled / SCALE, flat)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +236,10 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     rows of another id and of the same vector length. Components count as
     floor(1024 * x); the score is their integer inner product; ties go to the
     smaller id. Rows with a null id or with null or non-finite components take
-    no part; rows that repeat an id are candidates each, a query id that
+    no part; finite components of any size do; rows that repeat an id are candidates each, a query id that
     repeats asks with each of its rows and gets the k best of all their
-    scores. Scores beyond 64 bits are cut to its ends. Extra columns are ignored.
+    scores. Scores beyond 64 bits are cut to its ends. Vectors without components score
+    0 with each other. Extra columns are ignored; an empty table gives no row.
     """
     base = narrow(vectors, vec_id=id_col, embedding=vector_col).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -178,7 +247,8 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     base = base.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~odd)
     is_query = F.col("vec_id") % every == 0
     n, asked = base.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
-    shards, query_blocks = max(1, -(-n // shard_vectors)), max(1, -(-asked // query_block))
+    idle = min(vectors.sparkSession.sparkContext.defaultParallelism, n // min(LEAST_SHARD, shard_vectors))
+    shards, query_blocks = max(1, -(-n // shard_vectors), idle), max(1, -(-asked // query_block))
     spread = F.xxhash64("vec_id", "embedding")
     schema = "shard long, kind long, block long, size long, ids binary, vectors binary"
     held = base.select(F.pmod(spread, F.lit(shards)).alias("shard"), F.lit(0).cast("long").alias("kind"),

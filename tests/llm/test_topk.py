@@ -1,5 +1,6 @@
 import math
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -56,3 +57,49 @@ def test_features_bound_inner_products():
         assert (bound >= exact - 1e-6 * np.abs(exact)).all()
         last = bound if last is None else np.minimum(last, bound)
     assert np.allclose(bound, exact, rtol=1e-3, atol=np.abs(exact).max())
+
+
+@pytest.mark.parametrize("d", [16, 64])
+@pytest.mark.parametrize("values", ["offset", "mixed", "huge", "beyond"])
+def test_search_of_hard_vectors(monkeypatch, d, values):
+    """Large offsets against centred queries, mixed scales, squares and
+    1024-folds beyond doubles: the k best are those of whole-number arithmetic."""
+    monkeypatch.setattr(topk, "CHUNK", 16)
+    rng = np.random.default_rng(8)
+    rows = {"offset": (2.0 ** 26 + rng.choice([-1, 1], (400, d))) / 1024,
+            "mixed": rng.normal(size=(400, d)) * 10.0 ** rng.integers(-6, 9, (400, d)),
+            "huge": rng.normal(size=(400, d)) * 1e160, "beyond": rng.normal(size=(400, d)) * 1e306}[values]
+    centred = rng.choice([-1.0, 1.0], (5, d))
+    centred[:, -1] = -centred[:, :-1].sum(axis=1)
+    queries = {"offset": centred, "mixed": rows[:5] * -1}.get(values, rows[:5] / 1e3)
+    held = topk._rows(topk.pa.array(rows.tolist(), topk.pa.list_(topk.pa.float64())))
+    asked = topk._rows(topk.pa.array(queries.tolist(), topk.pa.list_(topk.pa.float64())))
+
+    def ints(m):
+        return [[topk.whole(x) for x in r] for r in m.tolist()]
+    assert ints(held)[7] == [math.floor(1024 * Fraction(x)) for x in rows[7].tolist()]
+    shard = topk.Shard(np.arange(400), held)
+    got = Counter(shard.search(np.arange(1000, 1005), asked, 10))
+    want = Counter()
+    for i, q in enumerate(ints(asked)):
+        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in enumerate(ints(held)))[:10]
+        want.update((1000 + i, j, -s) for s, j in scored)
+    assert got == want
+
+
+def test_bounds_exclude_most_pairs_of_clustered_vectors():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(50, 64))
+    vectors = np.floor(1024 * (centres[rng.integers(0, 50, 20_000)] + 0.2 * rng.normal(size=(20_000, 64)))) / 1024
+    shard = topk.Shard(np.arange(20_000), vectors)
+    shard.search(np.arange(0, 20_000, 100), vectors[::100], 10)
+    assert shard.scored < shard.pairs / 2
+
+
+def test_many_vectors_make_several_shards(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).round(3).tolist()) for i in range(9_000)]
+    df = table(spark, rows)
+    out = top_k(df, every=3_000)
+    assert sum(bool(r[0]) for r in top_k(df, every=3_000).groupBy("query_id").count().select("count").collect()) == 3
+    assert Counter(map(tuple, out.collect())) == brute(rows, 10, 3_000)
