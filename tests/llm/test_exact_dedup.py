@@ -28,13 +28,27 @@ def test_edges_match_brute_force_with_any_filter_size(edge_docs, words):
     assert Counter(map(tuple, got.collect())) == brute(EDGES)
 
 
-def test_unique_rows_pass_straight(spark):
-    rows = [(i, f"text {i}") for i in range(500)] + [(1000 + i, "Same") for i in range(200)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
-        "doc_id", "unhex(sha2(lower(text), 256)) as digest")
-    flagged = exact_dedup.flag_possible(docs, exact_dedup.repeated_filter(docs))
+@pytest.mark.parametrize("broadcast_words", [1 << 20, 16])
+def test_unique_rows_pass_straight_at_any_size(spark, monkeypatch, broadcast_words):
+    """The filter grows with the table, so it never saturates; beyond the
+    checked size it is joined without a broadcast."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_WORDS", broadcast_words)
+    rows = spark.range(60_000).selectExpr("id as doc_id", "concat('text ', id) as text").union(
+        spark.range(200).selectExpr("100000 + id", "if(id % 2 = 0, 'Same', 'sAME')"))
+    docs = rows.selectExpr("doc_id", "unhex(sha2(lower(text), 256)) as digest")
+    words = exact_dedup.words_for(60_200)
+    flagged = exact_dedup.flag_possible(docs, exact_dedup.repeated_filter(docs, words), words)
     maybe = {r.doc_id for r in flagged.filter("possible").collect()}
-    assert {1000 + i for i in range(200)} <= maybe and len(maybe) < 220
+    assert {100_000 + i for i in range(200)} <= maybe and len(maybe) < 200 + 60_000 * 0.01
+    got = exact_duplicates(rows).filter("group_size > 1").collect()
+    assert len(got) == 200 and {(r.keep_id, r.group_size) for r in got} == {(100_199, 200)}
+    assert [r.doc_id for r in got if r.kept] == [100_199]
+
+
+def test_words_grow_with_the_rows():
+    assert exact_dedup.words_for(0) == exact_dedup.LEAST_WORDS
+    for rows in (10**4, 10**7, 10**10):
+        assert rows / 3 <= exact_dedup.words_for(rows) < rows
 
 
 def test_drop_keeps_one_row_per_text_and_all_columns(edge_docs, no_docs):
