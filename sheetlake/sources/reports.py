@@ -1,8 +1,8 @@
 """Decoding report files into landed rows.
 
 Each file is decoded once by a small per-file codec running inside Spark
-tasks (``mapInPandas``); files are the unit of parallelism, so a folder of
-many files spreads over the cluster. The output has three kinds of record:
+tasks (``mapInPandas``); a folder of many files spreads over the cluster, and
+large CSV files are read by byte ranges (``splits.py``). The output has three kinds of record:
 
 * header record (``row_no = -1``): the file's column names after folding,
   duplicates dropped (first wins), in file order, in ``names``;
@@ -18,6 +18,7 @@ import datetime as dt
 import io
 import itertools
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
@@ -26,11 +27,14 @@ from pyspark.sql import functions as F
 
 from sheetlake.functions.names import fold_name_py
 from sheetlake.sources.listing import binary_files, source_path
+from sheetlake.sources.splits import WHOLE_BYTES, scan_splits
 
 SCAN_SCHEMA = ("table_name string, source_file string, row_no long, names array<string>, "
                "cells map<string,string>, error string")
 HEADER_ROW, ERROR_ROW = -1, -2
 CHUNK_ROWS = 10_000
+#: bytes from which a file is read by several tasks
+SPLIT_FROM = 128 << 20
 
 Decoder = Callable[[bytes, int, "int | None"], Iterator[pd.DataFrame]]
 
@@ -41,6 +45,14 @@ NO_VALUE = frozenset(["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-Na
 # -----------------------------------------------------------------------------
 
 
+def row_cells(cells: list[str], width: int, row_no: int) -> list[str | None]:
+    """The ``width`` cells of a row under its header."""
+    if any(c not in NO_VALUE for c in cells[width:]):
+        raise ValueError(f"row {row_no} below the header has {len(cells)} cells, the header {width}")
+    row = [None if c in NO_VALUE else c for c in cells[:width]]
+    return row + [None] * (width - len(row))
+
+
 def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> Iterator[pd.DataFrame]:
     """Rows above ``header_row`` (0-based, blank rows count) are title rows.
     All cells are text; empty cells and the usual NA spellings become NULL, a
@@ -63,10 +75,7 @@ def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> Ite
     for at, cells in enumerate(lines):
         if at <= header_row:
             continue
-        if any(c not in NO_VALUE for c in cells[len(names):]):
-            raise ValueError(f"row {at + 1} has {len(cells)} cells, the header {len(names)}")
-        row = [None if c in NO_VALUE else c for c in cells[:len(names)]]
-        body.append(row + [None] * (len(names) - len(row)))
+        body.append(row_cells(cells, len(names), at - header_row - 1))
         if len(body) == CHUNK_ROWS:
             yield pd.DataFrame(body, columns=names, dtype=object)
             body, any_rows = [], True
@@ -141,34 +150,48 @@ def _records(decoder: Decoder, batches: Iterator[pd.DataFrame],
 def scan_report_rows(spark: SparkSession, folder_map: Mapping[str, str],
                      header_rows: Mapping[str, int], glob: str = "*.csv", decode: str = "csv",
                      since: dt.datetime | None = None, header_only: bool = False,
-                     wanted: DataFrame | None = None) -> DataFrame:
+                     wanted: DataFrame | None = None, split_from: int = SPLIT_FROM) -> DataFrame:
     """Decode every report file under the folders into landed records.
 
     ``header_rows``: 0-based header row per table (rows above are titles).
     ``header_only``: emit header and error records only (the cheap first
     pass that fixes the table schema, A6).
     ``wanted``: a listing (:func:`~sheetlake.sources.listing.list_reports`);
-    only its files are decoded. It is broadcast: the file index of the scan
-    already holds the paths of all files on the driver. Give ``since`` as well
-    to read no older bodies.
+    only its files are decoded. Give ``since`` as well to read no older bodies.
+    ``split_from``: CSV files of more bytes are read by many tasks
+    (:mod:`sheetlake.sources.splits`), with the same records; smaller files are
+    a task each.
     """
     decoder = DECODERS[decode]
-    frames = []
+    frames, splits = [], []
     for folder, table_name in folder_map.items():
         files = binary_files(spark, folder, glob, since)
         if wanted is not None:
-            files = files.join(F.broadcast(wanted.select("path").distinct()), "path", "left_semi")
-        frames.append(files.select(
-            F.lit(table_name).alias("table_name"),
-            source_path("path", folder).alias("source_file"),
-            F.lit(int(header_rows.get(table_name, 0))).alias("header_row"),
-            "content"))
+            files = files.join(wanted.select("path").distinct(), "path", "left_semi")
+        named = [F.lit(table_name).alias("table_name"), source_path("path", folder).alias("source_file"),
+                 F.lit(int(header_rows.get(table_name, 0))).alias("header_row")]
+        if decode == "csv" and not header_only:
+            large = files.filter(F.col("length") > split_from).select("path", *named, "length")
+            if large.take(1):
+                rows, whole = scan_splits(spark, folder, glob, large.drop("length"), f"split-{uuid.uuid4().hex}", since)
+                splits.append(rows)
+                beyond = large.join(whole, "path", "left_semi").filter(F.col("length") > WHOLE_BYTES)
+                splits.append(beyond.select(
+                    "table_name", "source_file", F.lit(ERROR_ROW).cast("long").alias("row_no"),
+                    F.lit(None).cast("array<string>").alias("names"), F.lit(None).cast("map<string,string>").alias("cells"),
+                    F.lit("ValueError: too large to be decoded as a whole").alias("error")))
+                files = files.filter(F.col("length") <= split_from).unionByName(
+                    files.filter((F.col("length") > split_from) & (F.col("length") <= WHOLE_BYTES)).join(whole, "path", "left_semi"))
+        frames.append(files.select(*named, "content"))
     if not frames:
         return spark.createDataFrame([], SCAN_SCHEMA)
     files = frames[0]
     for f in frames[1:]:
         files = files.unionByName(f)
-    return files.mapInPandas(lambda it: _records(decoder, it, header_only), SCAN_SCHEMA)
+    out = files.mapInPandas(lambda it: _records(decoder, it, header_only), SCAN_SCHEMA)
+    for part in splits:
+        out = out.unionByName(part)
+    return out
 
 
 def _without_errors(records: DataFrame, scan: DataFrame) -> DataFrame:
