@@ -202,24 +202,37 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(docs, train(docs, id_col, text_col, lang_col), id_col, text_col)
 
 
-def _identified(model: ByteNetwork | None, at: int):
-    """Rows with a predicted language, unchanged; ``at`` is the text's column."""
+def _identified(model: ByteNetwork | None, text_at: int, lang_at: int, sure: float):
+    """Rows whose text has a letter, with their language; positions of the two columns."""
     run = _predict(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            texts = batch.column(text_at)
+            if model is None:
+                known = np.array([any(map(str.isalpha, t or "")) for t in texts.to_pylist()], dtype=bool)
+                yield batch.filter(pa.array(known))
+                continue
             index = pa.array(np.arange(len(batch)))
-            found = pa.Table.from_batches(run(iter([pa.RecordBatch.from_arrays(
-                [index, batch.column(at)], ["row", "text"])])),
-                schema=pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())]))
-            known = np.array([x != "und" for x in found["lang_pred"].to_pylist()], dtype=bool)
-            yield batch.filter(pa.array(known))
+            found = pa.Table.from_batches(run(iter([pa.RecordBatch.from_arrays([index, texts], ["row", "text"])])),
+                                          schema=pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()),
+                                                            ("score", pa.float64())]))
+            names, scores = found["lang_pred"].to_pylist(), found["score"].to_pylist()
+            given = batch.column(lang_at)
+            langs = [n if s >= sure else g for n, s, g in zip(names, scores, given.to_pylist(), strict=True)]
+            columns = [pa.array(langs, given.type) if i == lang_at else c for i, c in enumerate(batch.columns)]
+            known = np.array([n != "und" for n in names], dtype=bool)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(known))
     return keep
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows that get ``und``; all columns unchanged, row by row
-    (null and repeated ids included). No language is preferred to another."""
+                    lang_col: str = "lang", sure: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that get ``und`` (null texts, texts without a
+    letter); the others carry the network's language in ``lang_col`` where its
+    score is ``sure`` or more, and their own elsewhere. Other columns are
+    unchanged, row by row (null and repeated ids included); no language is
+    preferred to another. Where no row can be learned from, rows with a letter
+    stay as they are."""
     model = train(docs, id_col, text_col, lang_col)
-    return docs.mapInArrow(_identified(model, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(_identified(model, docs.columns.index(text_col), docs.columns.index(lang_col), sure), docs.schema)
