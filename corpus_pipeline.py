@@ -1,5 +1,11 @@
 """Training-corpus pipeline: language ID, exact dedup, near dedup, personal
-data, packing. Every stage but the last returns the columns of ``documents``."""
+data, packing. Every stage but the last returns the columns of ``documents``.
+
+In every stage null and repeated ids are rows like others, a null text counts
+as empty (the first stage rejects it), texts of any length are processed whole,
+rows that repeat are copies of each other (the second stage keeps one), extra
+columns are carried through whatever their names, and an empty table gives an
+empty table."""
 
 from __future__ import annotations
 
@@ -18,7 +24,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without an identified language (no text or no letter)."""
+    """Rejects documents without an identifiable language (no text or no letter);
+    the others carry the language that the network finds in ``lang``, where it
+    is sure (score 0.5 or more), else their own. Without labelled rows to learn
+    from, nothing but texts without a letter goes."""
     return keep_identified(docs)
 
 
