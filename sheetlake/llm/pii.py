@@ -7,7 +7,8 @@ of the same type and format: separators, lengths and letter classes stay, card
 check digits stay valid, names keep title, gender and script. The same value
 has the same surrogate in all documents. Surrogates are checked against each
 other and against all original values; a clash moves the later value to its
-next attempt until none is left, so distinct values stay distinct.
+next attempt until none is left, so distinct values stay distinct. Family names
+settle first, and a family keeps its surrogate whatever its members' are.
 
 A text is rebuilt from its parts between the matches and the replacements in
 order. Texts without a match never shuffle.
@@ -15,6 +16,8 @@ order. Texts without a match never shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,30 +129,36 @@ def _pick(names: list[str], at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), at + 1)
 
 
-def _name(key: str, value: Column, gender: Column, attempt: Column) -> Column:
-    """Given name by gender and script, family name from syllables. Parts are
-    keyed by themselves, so a family name alone keeps its surrogate."""
-    words = F.split(value, " ")
-    family, given = F.element_at(words, -1), F.when(F.size(words) > 1, words[0])
-    cyrillic = value.rlike(r"\p{IsCyrillic}")
-    h = _hex(key, F.lit("family"), family, attempt.cast("string"))
-    g = _nibble(_hex(key, F.lit("given"), F.coalesce(given, F.lit(""))), 0)
-
+def _syllables(value: Column, stream: Column, count: Column) -> Column:
+    """``count`` syllables in the value's script, at most 60."""
     def joined(script: str) -> Column:
-        count = F.least(4 + attempt, F.lit(60))
-        return F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: _pick(
-            SYLLABLES[script], F.conv(h.substr(i, F.lit(1)), 16, 10).cast("int"))), ""))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.least(count, F.lit(60))), lambda i: _pick(
+            SYLLABLES[script], F.conv(stream.substr(i, F.lit(1)), 16, 10).cast("int"))), "")
+    return F.when(value.rlike(r"\p{IsCyrillic}"), joined("c")).otherwise(joined("l"))
+
 
+def family_name(key: str, family: Column, attempt: Column) -> Column:
+    """A family name's surrogate, from syllables."""
+    return F.initcap(_syllables(family, _hex(key, F.lit("family"), family, attempt.cast("string")), 4 + attempt))
+
+
+def given_name(key: str, name: Column, gender: Column, attempt: Column) -> Column:
+    """The surrogate of a person's given name, by gender and script. Given names
+    are few, so the later of two that meet in one family gets syllables added."""
+    given = F.substring_index(name, " ", 1)
+    cyrillic = name.rlike(r"\p{IsCyrillic}")
+    h = _hex(key, F.lit("given"), given)
+    g = _nibble(h, 0)
     first = F.when(cyrillic & (gender == "f"), _pick(GIVEN["cf"], g)).when(cyrillic, _pick(GIVEN["cm"], g)).when(
         gender == "f", _pick(GIVEN["f"], g)).otherwise(_pick(GIVEN["m"], g))
-    last = F.when(cyrillic, joined("c")).otherwise(joined("l"))
-    return F.when(given.isNotNull(), F.concat_ws(" ", first, last)).otherwise(last)
+    more = _syllables(name, _hex(key, F.lit("given"), given, attempt.cast("string")), 1 + attempt)
+    return F.concat(first, F.when(attempt > 0, more).otherwise(""))
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """A value's replacement of the same kind and format. Names carry their
-    gender in the kind (``name-m``, ``name-f``)."""
-    stream = _hex(key, F.substring_index(kind, "-", 1), value, attempt.cast("string"))
+    """A value's replacement of the same kind and format (of all kinds but
+    names). Spellings of an address in capitals or not draw the same letters."""
+    stream = _hex(key, kind, F.when(kind == "email", F.lower(value)).otherwise(value), attempt.cast("string"))
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     email = F.concat(_reshaped(local, stream), F.when(attempt > 0, stream.substr(1, 8)).otherwise(""), F.lit("@"),
                      F.lit("h"), _hex(key, F.lit("domain"), F.lower(domain)).substr(1, 10), F.lit(".example.net"))
@@ -160,7 +169,6 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     other = F.concat(value.substr(F.lit(1), fixed), _reshaped(value.substr(fixed + 1, F.length(value)), stream))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone)
             .when(kind == "card", _card(value, stream))
-            .when(kind.startswith("name"), _name(key, value, F.substring_index(kind, "-", -1), attempt))
             .otherwise(other))
 
 
@@ -172,30 +180,54 @@ def _decomposed(match: Column) -> tuple[Column, Column, Column]:
     return (F.when(kind == "name", F.when(female, "name-f").otherwise("name-m")).otherwise(kind), prefix, value)
 
 
-def surrogates(values: DataFrame, key: str) -> DataFrame:
-    """(kind, value, surrogate) for distinct (kind, value), without clashes:
-    no two values of a kind share a surrogate and none is an original value."""
-    def drawn(df: DataFrame) -> DataFrame:
-        return written(df.select("kind", "value", "attempt", surrogate(
-            key, F.col("kind"), F.col("value"), F.col("attempt")).alias("surrogate")), "pii-surrogates")
-
-    table = drawn(values.withColumn("attempt", F.lit(0)))
-    family = F.substring_index("kind", "-", 1)
-    # men and women of one family name share its surrogate: the value counts, not the kind
-    earlier = Window.partitionBy(family, "surrogate").orderBy("attempt", "value")
+def _settled(values: DataFrame, draw: Callable[[], Column], kinds: Column) -> DataFrame:
+    """``values`` (kind, value and what ``draw`` needs) plus ``surrogate``,
+    drawn from the columns and ``attempt`` until no two values of one of
+    ``kinds`` share a surrogate and none is an original value."""
+    names = values.columns
+    table = written(values.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw()), "pii-surrogates")
+    # men and women of one name are one value: the value counts, not the kind
+    earlier = Window.partitionBy(kinds, "surrogate").orderBy("attempt", "value")
     for _ in range(MAX_ATTEMPTS):
-        taken = table.select(family.alias("f"), F.col("value").alias("original")).distinct()
+        taken = table.select(kinds.alias("f"), F.col("value").alias("original")).distinct()
         checked = (table.withColumn("rank", F.dense_rank().over(earlier))
-                   .join(taken, (family == F.col("f")) & (F.col("surrogate") == F.col("original")), "left")
+                   .join(taken, (kinds == F.col("f")) & (F.col("surrogate") == F.col("original")), "left")
                    .withColumn("clash", (F.col("rank") > 1) | F.col("original").isNotNull()))
-        checked = written(checked.select("kind", "value", "attempt", "surrogate", "clash"), "pii-checked")
+        checked = written(checked.select(*names, "attempt", "surrogate", "clash"), "pii-checked")
         if not checked.filter("clash").take(1):
-            return table.select("kind", "value", "surrogate")
-        again = drawn(checked.filter("clash").select("kind", "value", (F.col("attempt") + 1).alias("attempt")))
+            return table.select(*names, "surrogate")
+        again = checked.filter("clash").select(*names, (F.col("attempt") + 1).alias("attempt"))
+        again = written(again.withColumn("surrogate", draw()), "pii-surrogates")
         table = checked.filter("not clash").drop("clash").union(again)
     raise RuntimeError("surrogates still clash")
 
 
+def surrogates(values: DataFrame, key: str) -> DataFrame:
+    """(kind, value, surrogate) for distinct (kind, value), without clashes:
+    no two values of a kind share a surrogate and none is an original value.
+
+    Family names settle first, in a table of their own; a person's surrogate
+    is a given name before the family's. Where two persons of a family clash,
+    only the given name is drawn again, so all of a family, and the family
+    name alone, keep one surrogate.
+    """
+    values = written(values.select("kind", "value"), "pii-values")
+    kind, value, attempt = F.col("kind"), F.col("value"), F.col("attempt")
+    is_name = kind.startswith("name")
+    out = _settled(values.filter(~is_name), lambda: surrogate(key, kind, value, attempt), kind)
+    names = values.filter(is_name).withColumn("last", F.substring_index("value", " ", -1))
+    if not names.take(1):
+        return out
+    families = _settled(names.select(F.lit("family").alias("kind"), F.col("last").alias("value")).distinct(),
+                        lambda: family_name(key, value, attempt), kind)
+    names = names.join(families.select(F.col("value").alias("last"), F.col("surrogate").alias("family")), "last")
+    alone = names.filter(value == F.col("last")).select("kind", "value", F.col("family").alias("surrogate"))
+    persons = _settled(names.filter(value != F.col("last")).select("kind", "value", "family"),
+                       lambda: F.concat_ws(" ", given_name(key, value, F.substring_index(kind, "-", -1), attempt), "family"),
+                       F.substring_index(kind, "-", 1))
+    return out.unionByName(alone).unionByName(persons.select("kind", "value", "surrogate"))
+
+
 def _replaced(docs: DataFrame, text_col: str, key: str) -> DataFrame:
     """(row, text, n_entities): every row as a struct, its new text and count."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
@@ -227,7 +259,8 @@ def _replaced(docs: DataFrame, text_col: str, key: str) -> DataFrame:
 def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` with every detected value in ``text_col`` replaced; all other
     columns, null texts and texts without a value are unchanged. Rows repeat
-    as in the input; nothing depends on ids. Columns may have any name."""
+    as in the input; nothing depends on ids; texts of any length are rewritten
+    whole. Columns may have any name; an empty table stays empty."""
     new = _replaced(docs, text_col, key)
     return new.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 

@@ -43,6 +43,25 @@ def test_coreference_gender_and_key(spark):
     assert one(spark, "Mrs Jane Smith")[0].split()[1] in pii.GIVEN["f"]
 
 
+def test_a_family_of_many_keeps_one_surrogate(spark):
+    """Far more given names than there are surrogates for them, men and women,
+    in one family: all distinct, one family name, the name alone as well."""
+    given = [f"{a}{b}" for a in "ABCDEFGHIJ" for b in ("dam", "rno", "ina", "ke")]
+    texts = [f"Mr {g} Smith met Mr Smith and Mrs {g} Smith; Mr {g} Smithson" for g in given]
+    got = one(spark, *texts)
+    people = [re.fullmatch(r"Mr (\w+) (\w+) met Mr (\w+) and Mrs (\w+) (\w+); Mr (\w+) (\w+)", t).groups() for t in got]
+    assert len({p[1] for p in people} | {p[2] for p in people} | {p[4] for p in people}) == 1
+    assert len({p[0] for p in people}) == len({p[3] for p in people}) == len({p[5] for p in people}) == len(given)
+    assert len({p[6] for p in people}) == 1 and people[0][6] != people[0][1]
+    assert all(any(p[0].startswith(n) for n in pii.GIVEN["m"]) and any(p[3].startswith(n) for n in pii.GIVEN["f"]) for p in people)
+
+
+def test_spellings_of_an_address_match(spark):
+    text, = one(spark, "ab.c@Mail.org and AB.c@mail.org and Ab.C@mail.org")
+    a, b, c = text.split(" and ")
+    assert len({a, b, c}) == 3 and a.lower() == b.lower() == c.lower()
+
+
 def test_clean_texts_stay(spark):
     texts = ["version 3.14 of 2024-01-02, 1.2.3.4.5", "secret: information", "call 12345", "a @ b", "The Mr. is late", "x" * 50]
     assert one(spark, *texts) == texts
