@@ -22,7 +22,7 @@ from sheetlake.llm.common import blocks, text_buffer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 1_000_000
 BLOCK_BYTES = 1 << 22
 
 # kinds of bytes
@@ -75,9 +75,15 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str, separator: str, separator_id: int, word_space: bool):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = None
+        if not word_space:
+            # words of a-z are their own normal form and one pre-token: the model alone decides
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+            self.stop_id, = self.plain.encode(".", add_special_tokens=False).ids
         self.separator, self.separator_id, self.word_space = separator, separator_id, word_space
         fixed = [b" ", b"\n"]  # chunks that the separator cannot join
         ids = [self.tokenizer.encode(c.decode(), add_special_tokens=False).ids for c in fixed]
@@ -104,30 +110,41 @@ class ChunkEncoder:
         starts[1:-1] |= (kinds[1:] == _SIGN) & (kinds[:-1] == _WORD)
         return raw, np.flatnonzero(starts[:-1])
 
-    def _learn(self, chunks: pa.Array) -> None:
-        """Encode chunks that are not known, and know them from now on."""
-        texts = chunks.cast(pa.large_string()).to_pylist()
-        joined = [self.separator.join(texts[i:i + 256]) for i in range(0, len(texts), 256)]
-        flats, sizes = [self.flat], [self.sizes]
-        for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(found.ids, dtype="<u4")
-            between = ids == self.separator_id
-            flats.append(ids[~between])
-            sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(between), [len(ids)]])) - 1)
-        self.known = pa.concat_arrays([self.known, chunks])
-        self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
+    def _learn(self, chunks: pa.Array) -> np.ndarray:
+        """Encode chunks that are not known and know them from now on; their places."""
+        easy = np.zeros(len(chunks), dtype=bool)
+        if self.plain is not None:
+            easy = pc.match_substring_regex(chunks, "^[a-z]+$").to_numpy(zero_copy_only=False)
+        known, flats, sizes, places = [self.known], [self.flat], [self.sizes], np.empty(len(chunks), np.int64)
+        count = len(self.known)
+        for rows, tokenizer, separator, stop in ((np.flatnonzero(easy), self.plain, " . ", getattr(self, "stop_id", None)),
+                                                 (np.flatnonzero(~easy), self.tokenizer, self.separator, self.separator_id)):
+            if not len(rows):
+                continue
+            part = chunks.take(pa.array(rows))
+            texts = part.cast(pa.large_string()).to_pylist()
+            joined = [separator.join(texts[i:i + 256]) for i in range(0, len(texts), 256)]
+            for found in tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+                ids = np.array(found.ids, dtype="<u4")
+                between = ids == stop
+                flats.append(ids[~between])
+                sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(between), [len(ids)]])) - 1)
+            known.append(part)
+            places[rows] = count + np.arange(len(rows))
+            count += len(rows)
+        self.known, self.flat, self.sizes = pa.concat_arrays(known), np.concatenate(flats), np.concatenate(sizes)
         assert len(self.known) == len(self.sizes)
+        return places
 
     def _places(self, chunks: pa.Array) -> np.ndarray:
         """Where distinct chunks stand in what is known."""
         if len(self.known) > CACHED_CHUNKS:
             self.known, self.flat, self.sizes = self._first
         found = pc.index_in(chunks, value_set=self.known)
-        new = chunks.filter(found.is_null())
         places = found.fill_null(-1).to_numpy().astype(np.int64)
-        places[places < 0] = len(self.known) + np.arange(len(new))
+        new = np.flatnonzero(places < 0)
         if len(new):
-            self._learn(new)
+            places[new] = self._learn(chunks.take(pa.array(new)))
         return places
 
     def encode_block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
