@@ -10,9 +10,13 @@ sets, without emitting the pairs of a group:
    stands for it;
 2. in every bucket each member is compared with one hub (a star, not all
    pairs), and confirmed links are joined to components;
-3. a bucket whose members still lie in different components is split into
-   blocks, and each pair of blocks is compared exactly in one task, which
-   returns a spanning forest of the links it finds.
+3. a bucket of up to BLOCK_TEXTS members that still lie in different components
+   is compared exactly in one task, which returns a spanning forest of the
+   links it finds;
+4. members of larger ones meet again by their rarest shingles: two texts with
+   enough in common share one of the first few of any common order, so what
+   thousands of texts repeat brings none of them together. The finer buckets
+   take steps 2 and 3; one that is still large is compared by pairs of blocks.
 
 So every pair that shares a band is either confirmed, refuted, or already
 connected by confirmed links. A link at the threshold shares no band with
@@ -34,6 +38,7 @@ from sheetlake.llm.shingles import shingle_sets
 BANDS, ROWS = 30, 5
 BLOCK_TEXTS = 384
 STAR_TEXTS = 256
+SKETCH = 18  # bits of the slots that shingles are counted in, to order them
 _SLICE = 1 << 15
 _U32, _U64 = np.uint32, np.uint64
 
@@ -201,6 +206,101 @@ def _block_pairs(share: tuple[int, int]):
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles fall into each slot, over the texts of a task."""
+    counts = np.zeros(1 << SKETCH, np.int64)
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            np.add.at(counts, slots(np.frombuffer(data, dtype=np.uint64)), 1)
+    held = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], ["slot", "texts"])
+
+
+def slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> _U64(64 - SKETCH)).astype(np.int64)
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """The shingles that a text is looked for by: the first of its set in the
+    order of (count of the slot, value), as many as a text that links with it
+    cannot all lack. Those of a slot counted once are found nowhere else."""
+    n = len(shingles)
+    count = counts[slots(shingles)]
+    first = np.lexsort((shingles, count))[:n - (share[0] * n + share[1] - 1) // share[1] + 1]
+    return shingles[first[count[first] >= 2]]
+
+
+def _rarest_of(counts: np.ndarray, share: tuple[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = [rarest(np.frombuffer(d, dtype=np.uint64), counts, share) for d in batch.column(2).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row),
+                 pa.array(np.concatenate([np.zeros(0, np.uint64), *chosen]).view(np.int64))],
+                ["text", "component", "bucket"])
+    return run
+
+
+def _finer_buckets(texts: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """text, component, bucket: every text (text, component, shingles) under its
+    rarest shingles. The counts that order them have 2^SKETCH numbers at most,
+    whatever the table, and any counts give an order that loses no link."""
+    counted = (texts.select("shingles").mapInArrow(_counted, "slot long, texts long")
+               .groupBy("slot").agg(F.sum("texts").alias("texts")).toArrow())
+    counts = np.zeros(1 << SKETCH, np.uint32)
+    counts[counted["slot"].to_numpy()] = np.minimum(counted["texts"].to_numpy(), 0xFFFFFFFF)
+    kind = texts.schema["text"].dataType.simpleString()
+    return texts.select("text", "component", "shingles").mapInArrow(
+        _rarest_of(counts, share), f"text {kind}, component long, bucket long")
+
+
+def _hub_links(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Confirmed links (a, b) among the pairs (hub, text), a hub's texts dealt
+    over tasks, each with a copy of the hub."""
+    salts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / STAR_TEXTS).alias("parts"))
+    salted = written(pairs.join(salts, "hub").select(
+        "hub", F.pmod(F.xxhash64("text"), "parts").alias("salt"), "text"), "minhash-stars")
+    ends = salted.union(salted.select("hub", "salt", "hub").distinct())
+    star = (ends.join(sets, "text").repartition("hub", "salt")
+            .sortWithinPartitions("hub", "salt", F.col("text") != F.col("hub"))
+            .select(F.col("hub.rep").alias("hub"), F.col("text.rep").alias("rep"),
+                    (F.col("text") == F.col("hub")).alias("leads"), "shingles"))
+    return written(star.mapInArrow(_star(share), "a long, b long"), "minhash-links")
+
+
+def _block_links(labelled: DataFrame, rest: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """A spanning forest of the links between components of each bucket of
+    ``rest`` (bucket, parts), by pairs of its blocks."""
+    blocks = (labelled.join(rest, "bucket").withColumn("own", F.pmod(F.xxhash64("text", F.lit(3)), "parts"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+              .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                      "text", "component"))
+    more = (blocks.join(sets, "text").repartition("bucket", "low", "high")
+            .sortWithinPartitions("bucket", "low", "high")
+            .select("bucket", "low", "high", "text.rep", "component", "shingles"))
+    return written(more.mapInArrow(_block_pairs(share), "a long, b long"), "minhash-more")
+
+
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, text and the text's component so far."""
+    return written(members.select("bucket", "text", "text.rep").join(
+        found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        .select("bucket", "text", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
+
+
+def _unsettled(labelled: DataFrame) -> DataFrame:
+    """bucket, parts: buckets that hold several components after the comparison
+    with their hub, which settles two members; of those with equal members one
+    is enough."""
+    rest = labelled.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("text", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("text", F.lit(2))).alias("y"))
+    rest = (rest.filter("low <> high and members > 2").groupBy("members", "x", "y")
+            .agg(F.min("bucket").alias("bucket")))
+    return written(rest.select("bucket", F.ceil(F.col("members") / BLOCK_TEXTS).alias("parts")), "minhash-rest")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                     share: tuple[int, int] = (80, 100), bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Components of near duplicates: doc_id, n_shingles, component_id, kept.
@@ -239,37 +339,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select(text, "shingles").dropDuplicates(["text"]), "minhash-sets")
 
     pairs = members.filter("text <> hub").select("hub", "text").distinct()
-    salts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / STAR_TEXTS).alias("parts"))
-    salted = written(pairs.join(salts, "hub").select(
-        "hub", F.pmod(F.xxhash64("text"), "parts").alias("salt"), "text"), "minhash-stars")
-    ends = salted.union(salted.select("hub", "salt", "hub").distinct())
-    star = (ends.join(sets, "text").repartition("hub", "salt")
-            .sortWithinPartitions("hub", "salt", F.col("text") != F.col("hub"))
-            .select(F.col("hub.rep").alias("hub"), F.col("text.rep").alias("rep"),
-                    (F.col("text") == F.col("hub")).alias("leads"), "shingles"))
-    links = written(star.mapInArrow(_star(share), "a long, b long"), "minhash-links")
-
+    links = _hub_links(pairs, sets, share)
     found = connected_components(links, "minhash-components")
-    labelled = written(members.select("bucket", "text", "text.rep").join(
-        found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("bucket", "text", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
-    # buckets that still hold several components; of those with equal members one is enough
-    rest = labelled.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.bit_xor(F.xxhash64("text", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("text", F.lit(2))).alias("y"))
-    rest = (rest.filter("low <> high").groupBy("members", "x", "y").agg(F.min("bucket").alias("bucket"))
-            .select("bucket", F.ceil(F.col("members") / BLOCK_TEXTS).alias("parts")))
-    block = F.pmod(F.xxhash64("text", F.lit(3)), "parts")
-    blocks = (labelled.join(rest, "bucket").withColumn("own", block)
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-              .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                      "text", "component"))
-    more = (blocks.join(sets, "text").repartition("bucket", "low", "high")
-            .sortWithinPartitions("bucket", "low", "high")
-            .select("bucket", "low", "high", "text.rep", "component", "shingles"))
-    more = written(more.mapInArrow(_block_pairs(share), "a long, b long"), "minhash-more")
+
+    labelled = _labelled(members, found)
+    rest = _unsettled(labelled)
+    more = _block_links(labelled, rest.filter("parts = 1"), sets, share)
     if more.take(1):
-        found = connected_components(links.union(more), "minhash-components")
+        links = links.union(more)
+        found = connected_components(links, "minhash-components")
+    large = rest.filter("parts > 1")
+    if large.take(1):
+        texts = labelled.join(large, "bucket").select("text", "text.rep").distinct().join(
+            found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        texts = written(texts.select("text", F.coalesce("component", "rep").alias("component"))
+                        .join(sets, "text"), "minhash-large")
+        finer = written(_finer_buckets(texts, share), "minhash-finer")
+        lead = F.struct(F.xxhash64("text").alias("mix"), F.col("text").alias("text"),
+                        F.col("component").alias("component"))
+        shared = finer.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min(lead).alias("lead")
+        ).filter("low <> high").select("bucket", "lead")
+        members = written(finer.join(shared, "bucket"), "minhash-finer-buckets")
+        pairs = members.filter("component <> lead.component").select(F.col("lead.text").alias("hub"), "text").distinct()
+        links = links.union(_hub_links(pairs, sets, share))
+        found = connected_components(links, "minhash-components")
+        labelled = _labelled(members, found)
+        more = _block_links(labelled, _unsettled(labelled), sets, share)
+        if more.take(1):
+            found = connected_components(links.union(more), "minhash-components")
 
     component = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         *key, F.coalesce("component", "rep").alias("component_id"))

@@ -146,3 +146,44 @@ def test_texts_that_share_an_id_are_compared_each(spark):
     rng.shuffle(rows)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.component_id, r.kept) for r in got} == want and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("share", [(85, 100), (80, 100), (1, 1), (1, 3)])
+def test_linked_sets_share_a_rarest_shingle(share):
+    rng = np.random.default_rng(share[0])
+    linked = 0
+    for _ in range(300):
+        common, own = int(rng.integers(1, 60)), rng.integers(0, 20, 2)
+        pool = rng.integers(0, 2**64, 200, dtype=np.uint64)
+        a = np.unique(np.concatenate([pool[:common], pool[100:100 + own[0]]]))
+        b = np.unique(np.concatenate([pool[:common], pool[150:150 + own[1]]]))
+        counts = rng.integers(0, 5, 1 << minhash.SKETCH).astype(np.uint32)  # any other texts
+        for x in (a, b):
+            np.add.at(counts, minhash.slots(x), 1)
+        inter = len(np.intersect1d(a, b))
+        if share[1] * inter >= share[0] * (len(a) + len(b) - inter):
+            linked += 1
+            assert len(np.intersect1d(minhash.rarest(a, counts, share), minhash.rarest(b, counts, share)))
+    assert linked or share == (1, 1)
+
+
+def test_boilerplate_does_not_copy_a_bucket_by_blocks(spark, monkeypatch):
+    """Many texts that only share a long passage: their shingle sets are not copied once per block."""
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", 8)
+    copied = []
+    plain = minhash._block_links
+
+    def counted(labelled, rest, sets, share):
+        copied.append(labelled.join(rest, "bucket").selectExpr("sum(parts)").first()[0] or 0)
+        return plain(labelled, rest, sets, share)
+
+    monkeypatch.setattr(minhash, "_block_links", counted)
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(70))
+    texts = [passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(300)]
+    texts += [t.rsplit(" ", 1)[0] + " z" for t in texts[::3]]  # and near copies of some
+    rows = list(enumerate(texts))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=20, rows=2).collect()
+    want = components({i: shingles(t) for i, t in rows}, (80, 100))
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(copied) == 2 and sum(copied) < 10 * len(rows)  # by blocks: some 20 buckets x 400 texts x 50 blocks
