@@ -276,6 +276,7 @@ def _block_links(labelled: DataFrame, rest: DataFrame, sets: DataFrame, share: t
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
               .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
                       "text", "component"))
+    blocks = written(blocks, "minhash-blocks")  # its size is known then: beside few of them, the sets stay in place
     more = (blocks.join(sets, "text").repartition("bucket", "low", "high")
             .sortWithinPartitions("bucket", "low", "high")
             .select("bucket", "low", "high", "text.rep", "component", "shingles"))
@@ -350,17 +351,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = connected_components(links, "minhash-components")
     large = rest.filter("parts > 1")
     if large.take(1):
-        texts = labelled.join(large, "bucket").select("text", "text.rep").distinct().join(
-            found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        texts = written(texts.select("text", F.coalesce("component", "rep").alias("component"))
-                        .join(sets, "text"), "minhash-large")
-        finer = written(_finer_buckets(texts, share), "minhash-finer")
+        texts = written(labelled.join(large, "bucket").select("text", "text.rep").distinct().join(
+            found.select(F.col("node").alias("rep"), "component"), "rep", "left"), "minhash-large").join(sets, "text")
+        # a number stands for the fingerprints, as every text comes under many shingles
+        text = F.struct("rep", F.monotonically_increasing_id().alias("no")).alias("text")
+        sets = written(texts.select(text, F.coalesce("component", "rep").alias("component"), "shingles"), "minhash-large-sets")
+        finer = written(_finer_buckets(sets, share), "minhash-finer")
+        sets = sets.drop("component")
         lead = F.struct(F.xxhash64("text").alias("mix"), F.col("text").alias("text"),
                         F.col("component").alias("component"))
         shared = finer.groupBy("bucket").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min(lead).alias("lead")
         ).filter("low <> high").select("bucket", "lead")
-        members = written(finer.join(shared, "bucket"), "minhash-finer-buckets")
+        members = finer.join(shared, "bucket")
         pairs = members.filter("component <> lead.component").select(F.col("lead.text").alias("hub"), "text").distinct()
         links = links.union(_hub_links(pairs, sets, share))
         found = connected_components(links, "minhash-components")
