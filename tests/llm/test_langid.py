@@ -72,3 +72,79 @@ def test_windows_cover_whole_texts():
     for i, t in enumerate(texts):
         flat = windows[rows == i].ravel()
         assert bytes(flat[flat < 256].astype(np.uint8)) == t
+
+
+def network(languages=3, seed=4):
+    """A network in doubles and windows with padding, repeated and all byte values."""
+    rng = np.random.default_rng(seed)
+    model = langid.ByteNetwork([f"l{k}" for k in range(languages)], seed=seed)
+    model.taps = [t.astype(np.float64) for t in model.taps]
+    model.dense, model.bias = model.dense.astype(np.float64), rng.normal(0, 0.1, languages)
+    windows = rng.integers(0, 256, (5, 12))
+    windows[1, 7:], windows[2, 1:], windows[3] = langid._PAD, langid._PAD, 65
+    return model, windows
+
+
+def plain_log_probabilities(model, windows):
+    """Convolution, maximum and softmax, a byte, a filter and a window at a time."""
+    out = []
+    for window in windows.tolist():
+        features = []
+        for width, taps in zip(langid.WIDTHS, model.taps, strict=True):
+            for f in range(langid.FILTERS):
+                features.append(max(sum(float(taps[j][window[at + j]][f]) for j in range(width))
+                                    for at in range(len(window) - width + 1)))
+        scores = [sum(x * float(w) for x, w in zip(features, model.dense[:, k], strict=True)) + float(model.bias[k])
+                  for k in range(len(model.languages))]
+        out.append(np.array(scores) - np.log(sum(np.exp(s) for s in scores)))
+    return np.array(out)
+
+
+def test_network_matches_a_plain_convolution():
+    model, windows = network()
+    assert np.allclose(model.log_probabilities(windows), plain_log_probabilities(model, windows), atol=1e-5)
+
+
+def test_gradients_match_differences_of_the_loss():
+    model, windows = network(seed=9)
+    labels = np.array([0, 1, 2, 1, 0])
+
+    def loss():
+        return -plain_log_probabilities(model, windows)[np.arange(len(labels)), labels].mean()
+
+    grads = model._gradients(windows, labels)
+    rng, step = np.random.default_rng(1), 1e-6
+    for weights, grad in zip([*model.taps, model.dense, model.bias], grads, strict=True):
+        assert weights.shape == grad.shape
+        moved = np.argwhere(grad)
+        picks = [tuple(moved[i]) for i in rng.choice(len(moved), min(6, len(moved)), replace=False)]
+        picks.append(tuple(rng.integers(0, weights.shape)))
+        for at in picks:
+            if weights.ndim == 3 and at[1] == langid._PAD:
+                continue  # padding stays zero
+            kept = weights[at]
+            weights[at] = kept + step
+            above = loss()
+            weights[at] = kept - step
+            below = loss()
+            weights[at] = kept
+            assert abs((above - below) / (2 * step) - grad[at]) < 1e-6
+    assert all((g[:, langid._PAD] == 0).all() for g in grads[:len(langid.WIDTHS)])
+
+
+def test_score_of_a_text_is_the_mean_over_its_windows(spark):
+    """predict against the plain network over every window of whole texts."""
+    rng = random.Random(6)
+    model = train(spark.createDataFrame(corpus(), "doc_id long, text string, lang string"))
+    rows = [(i, " ".join(rng.choices(WORDS[lang] + WORDS["en"], k=k)))
+            for i, (lang, k) in enumerate([("de", 3), ("ru", 30), ("ru", 90), ("en", 120), ("de", 200)])]
+    got = {r.doc_id: r for r in predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for i, text in rows:
+        data, size = text.encode(), langid.WINDOW_BYTES
+        total = 0
+        for a in range(0, len(data), size):
+            part = data[a:a + size]
+            window = np.array([[*part, *[langid._PAD] * (size - len(part))]])
+            total = total + plain_log_probabilities(model, window)[0] * len(part) / len(data)
+        share = np.exp(total) / np.exp(total).sum()
+        assert got[i].lang_pred == model.languages[int(share.argmax())] and abs(got[i].score - share.max()) < 1e-4
