@@ -693,7 +693,7 @@ def header_offset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("changed_files", f"""{T.REPLAY_SQL}
-SELECT regexp_extract(file, 'f..[.]csv$') AS file, count(*) AS n FROM named
+SELECT regexp_extract(file, 'f[0-9]+[.]csv$') AS file, count(*) AS n FROM named
 WHERE kind IN (1, 2, 4, 5) GROUP BY ALL HAVING max(ts) > (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """)
 def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -701,9 +701,8 @@ def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = T.timed_sheets(spark, sf_dir, _scratch(spark, "sheets"))
     ev = T.table(spark, sf_dir, "events")
     since = ev.select((F.max("ts") - F.expr("INTERVAL 1 HOUR")).cast("timestamp")).first()[0].astimezone(_dt.timezone.utc)
-    files = list_reports(spark, {folder: "events"}, since=since).select(F.regexp_extract("rel_path", r"f..\.csv$", 0).alias("file"))
-    per_file = ev.groupBy(F.format_string("f%02d.csv", F.pmod("user_id", F.lit(T.REPLAY_FILES))).alias("file")).agg(
-        F.count(F.lit(1)).alias("n"))
+    files = list_reports(spark, {folder: "events"}, since=since).select(F.regexp_extract("rel_path", r"f\d+\.csv$", 0).alias("file"))
+    per_file = T.replay_events(spark, sf_dir).groupBy(F.concat("file", F.lit(".csv")).alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return files.join(per_file, "file")
 
 

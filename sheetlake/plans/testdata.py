@@ -485,18 +485,29 @@ FROM orders
 
 
 # ---------------------------------------------------------------- replays ---
-# ``events`` as 24 sheets, exported twice. By file number modulo 6: unchanged,
+# ``events`` as sheets by user, cut into slices of bounded size, exported twice.
+# By file number modulo 6: unchanged,
 # changed (first the older rows only), emptied, vanished, new, and re-exported
 # with a broken last row. The first export shows whole numbers, the second
 # one fractions.
 
 REPLAY_FILES = 24
+EVENTS_PER_FILE = 50_000
+
+
+def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with the number ``k`` and the name ``file`` of its sheet: more
+    slices of a user's sheet as the table grows, so a hot user fills many."""
+    ev = table(spark, sf_dir, "events")
+    slices = max(1, -(-ev.count() // (REPLAY_FILES * EVENTS_PER_FILE)))
+    of_user, slice_ = F.pmod("user_id", F.lit(REPLAY_FILES)), F.floor(F.col("event_id") / 2) % slices
+    return ev.withColumn("k", of_user + REPLAY_FILES * slice_).withColumn("file", F.format_string("f%06d", "k"))
 
 
 def replay_lines(spark: SparkSession, sf_dir: str, second: bool) -> DataFrame:
-    ev = table(spark, sf_dir, "events").withColumn("k", F.pmod("user_id", F.lit(REPLAY_FILES)).cast("int"))
+    ev = replay_events(spark, sf_dir)
     kind = F.col("k") % 6
-    name = F.concat(F.lit("f"), F.lpad(F.col("k").cast("string"), 2, "0"))
+    name = F.col("file")
     cents = F.floor(F.abs("value") * 100).cast("bigint")
     whole = F.floor(F.abs("value")).cast("bigint").cast("string")
     exact = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
@@ -528,15 +539,19 @@ def replay(spark: SparkSession, sf_dir: str, root: str) -> str:
     write_sheets(spark, replay_lines(spark, sf_dir, False), folder)
     init(spark, routes, headers, warehouse)
     write_sheets(spark, replay_lines(spark, sf_dir, True), folder)
-    for k in range(3, REPLAY_FILES, 6):
-        remove_folder(spark, f"{folder}/f{k:02d}.csv")
+    gone = replay_events(spark, sf_dir).filter("k % 6 = 3").select("file").distinct()
+    for r in gone.toLocalIterator():
+        remove_folder(spark, f"{folder}/{r['file']}.csv")
     daily(spark, routes, headers, warehouse)
     return warehouse
 
 
 REPLAY_SQL = f"""
-WITH e AS (SELECT *, user_id % {REPLAY_FILES} AS k, (user_id % {REPLAY_FILES}) % 6 AS kind FROM events),
-named AS (SELECT *, 'replay/f' || lpad(k::VARCHAR, 2, '0') || '.csv' AS file FROM e)"""
+WITH size AS (SELECT greatest(1, (count(*) + {REPLAY_FILES * EVENTS_PER_FILE - 1}) // {REPLAY_FILES * EVENTS_PER_FILE}) AS slices
+  FROM events),
+e AS (SELECT events.*, user_id % {REPLAY_FILES} + {REPLAY_FILES} * ((event_id // 2) % (SELECT slices FROM size)) AS k,
+  (user_id % {REPLAY_FILES}) % 6 AS kind FROM events),
+named AS (SELECT *, 'replay/' || format('f{{:06d}}', k::BIGINT) || '.csv' AS file FROM e)"""
 
 
 def timed_sheets(spark: SparkSession, sf_dir: str, folder: str) -> str:
@@ -545,10 +560,9 @@ def timed_sheets(spark: SparkSession, sf_dir: str, folder: str) -> str:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    newest = (table(spark, sf_dir, "events").groupBy(F.pmod("user_id", F.lit(REPLAY_FILES)).alias("k"))
-              .agg(F.unix_millis(F.max("ts").cast("timestamp")).alias("at")).collect())
-    for r in newest:
-        target = path(f"{folder}/f{r['k']:02d}.csv")
+    newest = replay_events(spark, sf_dir).groupBy("file").agg(F.unix_millis(F.max("ts").cast("timestamp")).alias("at"))
+    for r in newest.toLocalIterator():
+        target = path(f"{folder}/{r['file']}.csv")
         if fs.exists(target):
             fs.setTimes(target, r["at"], -1)
     return folder
