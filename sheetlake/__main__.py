@@ -23,7 +23,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--cancel-dir", help="folder of cancelled-bill exports")
     p.add_argument("--customer-dir", help="folder of customer exports")
     p.add_argument("--revenue-dir", help="folder of sales exports")
-    p.add_argument("--glob", default="*.csv", help="file name pattern (default *.csv)")
+    p.add_argument("--glob", default=None, help="file name pattern (default *.csv or *.xlsx, by --decode)")
     p.add_argument("--decode", default="csv", choices=["csv", "xlsx"])
     p.add_argument("--detect", default="mtime", choices=["mtime", "ledger"],
                    help="daily: how changed files are found")
@@ -32,7 +32,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--script-dir", default="script", help="run_script: folder of .sql files")
     p.add_argument("--script", default=None, help="run_script: one .sql file")
     p.add_argument("--out-dir", default="output", help="run_script: output folder")
-    p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    p.add_argument("--format", default="parquet", choices=["parquet", "csv", "xlsx"])
     return p.parse_args(argv)
 
 
@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     from sheetlake.streaming.incremental import daily
 
     args = parse(argv)
+    args.glob = args.glob or f"*.{args.decode}"
     spark = spark or get_spark()
     if args.mode == "init":
         result = jobs.init(spark, folder_map(args), HEADER_ROWS, args.warehouse, args.glob, args.decode)
@@ -69,14 +70,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                                           views["cancellation_bills"]))
             except Exception as e:  # a table without the report columns: base tables only
                 print(f"reports not registered: {str(e).splitlines()[0]}", file=sys.stderr)
-        script_dir = args.script_dir
-        if args.script:
-            import os
-            import shutil
-            import tempfile
-            script_dir = tempfile.mkdtemp(prefix="sheetlake-script-")
-            shutil.copy(args.script, os.path.join(script_dir, os.path.basename(args.script)))
-        result = jobs.run_reports(spark, script_dir, args.out_dir, args.format, views=views)
+        result = jobs.run_reports(spark, args.script or args.script_dir, args.out_dir, args.format, views=views)
     print(json.dumps(result, default=str))
     return result
 

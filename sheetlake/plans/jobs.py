@@ -22,6 +22,7 @@ from sheetlake.operators.typing_ import (MAX_PRECISION, SYSTEM_COLUMNS, candidat
 from sheetlake.plans import storage as S
 from sheetlake.session import scratch_path
 from sheetlake.sources.reports import data_records, header_records, scan_errors, scan_report_rows
+from sheetlake.sources.workbook import write_workbooks
 
 # --- Fixed values: the birth-date column of the customer table. ---
 DATE_COLUMNS: dict[str, tuple[str, ...]] = {"customer_data": ("ngay_sinh",)}
@@ -273,28 +274,40 @@ def init(spark: SparkSession, folder_map: Mapping[str, str], header_rows: Mappin
     return {"run_id": run_id, "files_processed": processed, "files_skipped": skipped, "errors": errors}
 
 
+def read_scripts(spark: SparkSession, script_dir: str) -> list[tuple[str, str]]:
+    """Name and text of every ``*.sql`` file of a folder, or of the one file that
+    ``script_dir`` names, on any file system that the driver reaches."""
+    if script_dir.endswith(".sql"):
+        return [(os.path.basename(script_dir), S.get_text(spark, script_dir))]
+    return [(name, S.get_text(spark, os.path.join(script_dir, name)))
+            for name in sorted(S.listed(spark, script_dir)) if name.endswith(".sql")]
+
+
 def run_reports(spark: SparkSession, script_dir: str, out_dir: str, fmt: str = "parquet",
                 views: Mapping[str, DataFrame] | None = None,
                 now: dt.datetime | None = None) -> dict:
-    """Run every ``*.sql`` script of a folder and write each result to
-    ``<out_dir>/<stem>_<timestamp>`` (E6). Empty scripts are skipped; a
-    failing script is reported and the others still run. ``views`` are
-    registered as temporary views first (e.g. the stored tables)."""
+    """Run every ``*.sql`` script of a folder (or one script) and write each
+    result to ``<out_dir>/<stem>_<timestamp>`` (E6) as ``fmt``: parquet, csv or
+    xlsx. Empty scripts are skipped; a failing script is reported and the others
+    still run. ``views`` are registered as temporary views first (e.g. the
+    stored tables)."""
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
     stamp = (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
     ok, errors, skipped = [], [], []
-    for fname in sorted(os.listdir(script_dir)):
-        if not fname.endswith(".sql"):
-            continue
-        with open(os.path.join(script_dir, fname), encoding="utf-8") as fh:
-            sql = fh.read().strip().rstrip(";")
+    for fname, text in read_scripts(spark, script_dir):
+        sql = text.lstrip("\ufeff").strip().rstrip(";")
         if not sql:
             skipped.append(fname)
             continue
         target = os.path.join(out_dir, f"{fname[:-4]}_{stamp}")
         try:
-            spark.sql(sql).write.mode("overwrite").format(fmt).option("header", "true").save(target)
+            if fmt == "xlsx":
+                scratch = scratch_path(spark, f"export-{uuid.uuid4().hex}")
+                write_workbooks(spark.sql(sql), target, scratch).collect()  # a row per workbook
+                S.remove(spark, scratch)
+            else:
+                spark.sql(sql).write.mode("overwrite").format(fmt).option("header", "true").save(target)
             ok.append(target)
         except Exception as e:  # one report must not stop the others
             errors.append((fname, str(e).splitlines()[0]))

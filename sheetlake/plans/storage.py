@@ -68,12 +68,12 @@ def _place(spark: SparkSession, p: str):
     return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
 
 
-def _names(spark: SparkSession, p: str) -> list[str]:
+def listed(spark: SparkSession, p: str) -> list[str]:
     fs, hp = _place(spark, p)
     return [s.getPath().getName() for s in fs.listStatus(hp)] if fs.exists(hp) else []
 
 
-def _get_text(spark: SparkSession, p: str) -> str:
+def get_text(spark: SparkSession, p: str) -> str:
     fs, hp = _place(spark, p)
     stream = fs.open(hp)
     try:
@@ -82,7 +82,7 @@ def _get_text(spark: SparkSession, p: str) -> str:
         stream.close()
 
 
-def _put_text(spark: SparkSession, p: str, text: str) -> None:
+def put_text(spark: SparkSession, p: str, text: str) -> None:
     """A file that is there whole or not at all."""
     attempt = f"{os.path.dirname(p)}/_writing-{uuid.uuid4().hex}"
     fs, hp = _place(spark, attempt)
@@ -107,8 +107,8 @@ def remove(spark: SparkSession, p: str) -> None:
 # --- layouts ------------------------------------------------------------------------
 
 def _layout(spark: SparkSession, p: str) -> dict | None:
-    numbers = [int(m[1]) for n in _names(spark, p) if (m := _LAYOUT.fullmatch(n))]
-    return json.loads(_get_text(spark, f"{p}/_layout-{max(numbers):08d}.json")) if numbers else None
+    numbers = [int(m[1]) for n in listed(spark, p) if (m := _LAYOUT.fullmatch(n))]
+    return json.loads(get_text(spark, f"{p}/_layout-{max(numbers):08d}.json")) if numbers else None
 
 
 def _commit(spark: SparkSession, p: str, old: dict | None, **new) -> None:
@@ -116,12 +116,12 @@ def _commit(spark: SparkSession, p: str, old: dict | None, **new) -> None:
     number = old["number"] + 1 if old else 1
     before = set(old["folders"].values()) if old else set()
     now = set(new["folders"].values())
-    _put_text(spark, f"{p}/_layout-{number:08d}.json", json.dumps({**new, "number": number, "stale": sorted(before - now)}))
+    put_text(spark, f"{p}/_layout-{number:08d}.json", json.dumps({**new, "number": number, "stale": sorted(before - now)}))
     for folder in (old or {}).get("stale", []):
         if folder not in now:
             remove(spark, f"{p}/{folder}")
     named = {f.partition("/")[0] for f in before | now}
-    for name in _names(spark, p):
+    for name in listed(spark, p):
         old_layout = (m := _LAYOUT.fullmatch(name)) and int(m[1]) < number - 1
         if old_layout or (name.startswith(f"{GENERATION}=") and name not in named):
             remove(spark, f"{p}/{name}")
@@ -229,7 +229,7 @@ def overwrite(df: DataFrame, p: str, partition_by: tuple[str, ...] = (SOURCE,),
 
 
 def _bucket_folders(spark: SparkSession, p: str, folder: str) -> dict[str, str]:
-    names = [n for n in _names(spark, f"{p}/{folder}") if n.startswith(f"{BUCKET}=")]
+    names = [n for n in listed(spark, f"{p}/{folder}") if n.startswith(f"{BUCKET}=")]
     return {n.partition("=")[2]: f"{folder}/{n}" for n in names}
 
 

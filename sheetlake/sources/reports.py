@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from sheetlake.functions.names import fold_name_py
 from sheetlake.sources.listing import binary_files, source_path
 from sheetlake.sources.splits import WHOLE_BYTES, scan_splits
+from sheetlake.sources.workbook import sheet_rows
 
 SCAN_SCHEMA = ("table_name string, source_file string, row_no long, names array<string>, "
                "cells map<string,string>, error string")
@@ -83,13 +84,46 @@ def decode_csv(content: bytes, header_row: int, nrows: int | None = None) -> Ite
         yield pd.DataFrame(body, columns=names, dtype=object)
 
 
+def header_names(cells: list[str]) -> list[str]:
+    """Names of a header row: a blank one is numbered, a repeated one gets a
+    number behind it, blank ones at the end are no columns."""
+    while cells and cells[-1] in NO_VALUE:
+        cells = cells[:-1]
+    names, seen = [], set()
+    for k, cell in enumerate(cells):
+        base = name = f"Unnamed: {k}" if cell in NO_VALUE else cell
+        again = itertools.count(1)
+        while name in seen:
+            name = f"{base}.{next(again)}"
+        seen.add(name)
+        names.append(name)
+    return names
+
+
 def decode_xlsx(content: bytes, header_row: int, nrows: int | None = None) -> Iterator[pd.DataFrame]:
-    """First sheet of a workbook (needs ``openpyxl`` on the executors)."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:  # pragma: no cover - depends on the deployment
-        raise RuntimeError("xlsx decoding needs openpyxl on the executors") from e
-    yield pd.read_excel(io.BytesIO(content), header=header_row, dtype=str, engine="openpyxl", nrows=nrows)
+    """First sheet of a workbook, as :func:`decode_csv` reads a text file: rows
+    above ``header_row`` are title rows, blank rows between others are rows of
+    NULLs (those after the last row with a value are none). Whole numbers are
+    shown without a fraction, dates as ``YYYY-MM-DD HH:MM:SS``, error values
+    are NULL."""
+    rows = sheet_rows(content)
+    names = header_names(next(itertools.islice(rows, header_row, None), []))
+    if not names:
+        raise ValueError(f"no header in row {header_row + 1} of the sheet")
+    body, any_rows, blank = [], False, 0
+    for at, cells in enumerate(rows if nrows is None else ()):
+        row = row_cells(cells, len(names), at)
+        if not any(c is not None for c in row):
+            blank += 1
+            continue
+        body.extend([None] * len(names) for _ in range(blank))
+        body.append(row)
+        blank = 0
+        if len(body) >= CHUNK_ROWS:
+            yield pd.DataFrame(body, columns=names, dtype=object)
+            body, any_rows = [], True
+    if body or not any_rows:
+        yield pd.DataFrame(body, columns=names, dtype=object)
 
 
 DECODERS: dict[str, Decoder] = {"csv": decode_csv, "xlsx": decode_xlsx}

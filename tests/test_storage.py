@@ -61,7 +61,7 @@ def test_a_write_stopped_at_any_step_loses_nothing(spark, workdir, monkeypatch,
             S.drop_sources(spark, p, keys)
     kept = [r for r in OLD if r[1] != "f1.csv"]
     want = sorted({"overwrite": new, "replace": kept + new, "drop": kept}[write])
-    steps, real = [0, -1], {n: getattr(S, n) for n in ("_write", "_put_text", "_move", "remove")}
+    steps, real = [0, -1], {n: getattr(S, n) for n in ("_write", "put_text", "_move", "remove")}
 
     def counted(name):
         def call(*a, **k):
@@ -119,8 +119,8 @@ def test_readers_keep_their_files_until_the_next_write(spark, workdir):
     assert reader.count() == 20
     S.overwrite(table(spark, [("m", "f.csv")]), p)
     assert rows(spark, p) == [("m", "f.csv")]
-    assert sum(n.startswith(S.GENERATION) for n in S._names(spark, p)) == 2
-    assert sum(n.startswith("_layout") for n in S._names(spark, p)) == 2
+    assert sum(n.startswith(S.GENERATION) for n in S.listed(spark, p)) == 2
+    assert sum(n.startswith("_layout") for n in S.listed(spark, p)) == 2
 
 
 def test_schema_comes_from_the_layout_and_types_grow(spark, workdir):
