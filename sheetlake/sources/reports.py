@@ -110,20 +110,25 @@ def decode_xlsx(content: bytes, header_row: int, nrows: int | None = None) -> It
     names = header_names(next(itertools.islice(rows, header_row, None), []))
     if not names:
         raise ValueError(f"no header in row {header_row + 1} of the sheet")
-    body, any_rows, blank = [], False, 0
-    for at, cells in enumerate(rows if nrows is None else ()):
-        row = row_cells(cells, len(names), at)
-        if not any(c is not None for c in row):
-            blank += 1
-            continue
-        body.extend([None] * len(names) for _ in range(blank))
-        body.append(row)
+
+    def body() -> Iterator[list[str | None]]:
         blank = 0
-        if len(body) >= CHUNK_ROWS:
-            yield pd.DataFrame(body, columns=names, dtype=object)
-            body, any_rows = [], True
-    if body or not any_rows:
-        yield pd.DataFrame(body, columns=names, dtype=object)
+        for at, cells in enumerate(rows if nrows is None else ()):
+            row = row_cells(cells, len(names), at)
+            if any(c is not None for c in row):
+                yield from ([None] * len(names) for _ in range(blank))
+                yield row
+                blank = 0
+            else:
+                blank += 1
+
+    kept = body()
+    chunk = list(itertools.islice(kept, CHUNK_ROWS))
+    while True:  # a sheet without rows gives one empty chunk
+        yield pd.DataFrame(chunk, columns=names, dtype=object)
+        chunk = list(itertools.islice(kept, CHUNK_ROWS))
+        if not chunk:
+            return
 
 
 DECODERS: dict[str, Decoder] = {"csv": decode_csv, "xlsx": decode_xlsx}

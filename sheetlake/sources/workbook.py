@@ -171,10 +171,14 @@ def sheet_rows(content: bytes) -> Iterator[list[str]]:
         with book.open(sheet) as stream:
             for row in _elements(stream, "row"):
                 number = int(row.get("r", at + 1)) - 1
+                if number >= SHEET_ROWS:
+                    raise ValueError(f"row {number + 1} is beyond the end of a sheet")
                 yield from ([] for _ in range(at, number))
                 cells: list[str] = []
                 for cell in (c for c in row if _tag(c) == "c"):
                     place = _column(cell.get("r", "")) if cell.get("r") else len(cells)
+                    if place >= SHEET_COLUMNS:
+                        raise ValueError(f"cell {cell.get('r')} is beyond the last column of a sheet")
                     cells.extend([""] * (place - len(cells)))
                     cells.append(_cell(cell, shared, dates, epoch))
                 yield cells

@@ -3,6 +3,7 @@ both together, and their use in the scan and the report export."""
 
 import datetime as dt
 import io
+import os
 import zipfile
 from decimal import Decimal
 
@@ -10,9 +11,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sheetlake.plans.jobs import init, run_reports
 from sheetlake.plans import storage as S
-from sheetlake.sources.reports import decode_xlsx, header_names, scan_errors, scan_report_rows, data_records
+from sheetlake.plans.jobs import init, run_reports
+from sheetlake.sources.reports import data_records, decode_xlsx, header_names, scan_errors, scan_report_rows
 from sheetlake.sources.workbook import sheet_rows, write_book, write_workbooks
 
 PARTS = {
@@ -57,6 +58,19 @@ def test_cells_of_every_kind():
                        "1900-03-01 00:00:00", "1000000000000", *[""] * 18, "12345678901234567890"]
 
 
+def test_places_beyond_a_sheet_are_errors():
+    for sheet in ('<row r="1048577"><c><v>1</v></c></row>', '<row><c r="ZZZZZZ1"><v>1</v></c></row>'):
+        with pytest.raises(ValueError):
+            list(sheet_rows(book(sheet)))
+
+
+def test_long_sheets_come_in_chunks():
+    content = made([["n"], *([k] if k in (0, 25_000) else [] for k in range(25_001)), []])
+    frames = list(decode_xlsx(content, 0))
+    assert [len(f) for f in frames] == [10_000, 10_000, 5_001]
+    assert frames[-1]["n"].tolist()[-1] == "25000" and sum(f["n"].notna().sum() for f in frames) == 2
+
+
 def test_days_from_1904():
     rows = list(sheet_rows(book('<row><c s="1"><v>1</v></c></row>', '<workbookPr date1904="1"/>')))
     assert rows == [["1904-01-02 00:00:00"]]
@@ -103,7 +117,6 @@ def test_numbers_dates_and_limits():
 
 
 def test_scan_and_load(spark, workdir):
-    import os
     os.makedirs(f"{workdir}/kq")
     for name, content in (("a", made([["t"], ["Mã hóa đơn", "Số tiền"], ["A1", 1], ["A2", 2.5]])), ("b", b"broken")):
         with open(f"{workdir}/kq/{name}.xlsx", "wb") as fh:
@@ -132,7 +145,6 @@ def test_export_keeps_order_over_many_files(spark, workdir):
     assert all(s[0] == ["id", "id7", "l", "é"] for s in sheets)
     want = sorted(range(1000), key=lambda i: (i % 7, i))
     assert [int(r[0]) for s in sheets for r in s[1:]] == want and sheets[0][1][2] == "[0]"
-    import os
     assert not [f for f in os.listdir(f"{workdir}/o") if f.startswith("_")]
 
 
