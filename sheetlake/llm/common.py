@@ -20,11 +20,11 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy", **options: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: later plans read
     the files, so a lost executor never recomputes what went before."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

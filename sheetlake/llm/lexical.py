@@ -16,37 +16,47 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from datetime import datetime
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sheetlake.llm.common import fmix64, narrow, written
 from sheetlake.llm.tokens import text_groups
 
 BEST = 20
-SHARD_DOCS, SHARD_BYTES = 1024, 4 << 20
+SHARD_DOCS, SHARD_BYTES = 1024, 1 << 20
 #: bits a signature entry, and slices that mark it
 ENTRY_BITS, ENTRY_SLICES = 12, 3
 #: occurrences of a term that have an entry of their own
 LEVELS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128)
 #: items that are searched together: at most so many, with so many terms
 BLOCK_ITEMS, BLOCK_TERMS = 1024, 100_000
-#: shards that give the first scores to compare with
-SEED_SHARDS = 4
-CACHED_TERMS = 1_000_000
+#: terms of a block, and documents, that a matrix holds at a time
+MATRIX_TERMS, MATRIX_DOCS = 1024, 256
+#: shards that give the first scores to compare with: so many of so many tasks each
+SEED_SHARDS, SEED_TASKS = 4, 4
+CACHED_TERMS = 200_000
+#: rows that a worker holds as Python strings, and terms that it sends at a time
+PIECE_ROWS, SENT_TERMS = 256, 20_000
+#: layout of the index files: a shard is a large row, so pages and row groups close by size, not after many rows
+LAYOUT = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(8 << 20), "parquet.enable.dictionary": "false"}
 
 # --- Fixed values: bytes of a term, and the numbers of the score. ---
 _INSIDE = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 TOP, K1, LONGER = 1_000_000_000, 12, 25
 # -------------------------------------------------------------------------
 _TERMS = bytes(c + 32 if 65 <= c <= 90 else c if _INSIDE.fullmatch(bytes([c])) else 32 for c in range(256))
-INDEX = ("doc_ids array<{id}>, lengths binary, most binary, width int, slices binary, texts binary, "
+INDEX = ("doc_ids array<{id}>, lengths binary, most binary, width int, slices binary, texts binary, seed boolean, "
          "term binary, df long, total long")
 
 
@@ -95,18 +105,38 @@ def _shard(ids: list, counted: list[tuple[np.ndarray, np.ndarray, int]], texts:
             pack(np.packbits(bits, axis=1).tobytes()), pack(frame))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, len(batch), PIECE_ROWS):
+            yield batch.slice(a, PIECE_ROWS)
+
+
 def _index(schema: pa.Schema):
-    def emit(shards=(), df: Counter | None = None, total: int = 0) -> pa.RecordBatch:
-        rows = [(*s, None, None, None) for s in shards]
-        rows += [(None,) * 6 + (t, n, None) for t, n in (df or {}).items()]
-        rows += [(None,) * 8 + (total,)] if total else []
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    def emit(**columns) -> pa.RecordBatch:
+        rows = max(map(len, columns.values()))
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type)
+                                           for f in schema], schema=schema)
+
+    def emit_terms(df: Counter, total: int) -> Iterator[pa.RecordBatch]:
+        pairs = iter(df.items())
+        while part := list(islice(pairs, SENT_TERMS)):
+            yield emit(term=[t for t, _ in part], df=[n for _, n in part])
+        if total:
+            yield emit(total=[total])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, df, total = _Hashes(), Counter(), 0
         open_shards: dict[int, list] = {}  # by the class of the number of terms
-        for ids, texts in text_groups(batches):
+        task, closed = TaskContext.get().partitionId(), 0
+
+        def close(shard: list) -> pa.RecordBatch:
+            nonlocal closed
+            closed += 1
+            values = (*_shard(*shard[:3]), task < SEED_TASKS and closed <= SEED_SHARDS)
+            shard[:] = [[], [], [], 0]
+            return emit(**{name: [value] for name, value in zip(schema.names, values, strict=False)})
+
+        for ids, texts in text_groups(_pieces(batches)):
             for doc_id, text in zip(ids.to_pylist(), texts, strict=True):
                 found = terms(text)
                 if not found:
@@ -122,17 +152,16 @@ def _index(schema: pa.Schema):
                     part.append(value)
                 shard[3] += len(raw)
                 if len(shard[0]) == SHARD_DOCS or shard[3] >= SHARD_BYTES:
-                    yield emit([_shard(*shard[:3])])
-                    shard[:] = [[], [], [], 0]
+                    yield close(shard)
             if len(known) > CACHED_TERMS:
                 known.clear()
             if len(df) > CACHED_TERMS:
-                yield emit(df=df, total=total)
+                yield from emit_terms(df, total)
                 df, total = Counter(), 0
         for shard in open_shards.values():
             if shard[0]:
-                yield emit([_shard(*shard[:3])])
-        yield emit(df=df, total=total)
+                yield close(shard)
+        yield from emit_terms(df, total)
     return run
 
 
@@ -154,19 +183,28 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     id_type = base.schema["doc_id"].dataType.simpleString()
     ddl = INDEX.format(id=id_type)
-    empty = base.sparkSession.createDataFrame([], ddl)
-    rows = written(base.mapInArrow(_index(_arrow(empty)), ddl), "lexical-index", compression="zstd")
+    rows = written(base.mapInArrow(_index(_arrow(ddl)), ddl), "lexical-index", compression="zstd", **LAYOUT)
     vocabulary = written(rows.filter("term is not null").groupBy("term").agg(F.sum("df").alias("df")), "lexical-terms")
-    shards = rows.filter("slices is not null").select("doc_ids", "lengths", "most", "width", "slices", "texts")
+    shards = rows.filter("width is not null").select("doc_ids", "lengths", "most", "width", "slices", "texts", "seed")
     found = shards.agg(F.coalesce(F.sum(F.length("lengths") / 8), F.lit(0)).cast("long")).first()[0]
     total = rows.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     return Index(shards, vocabulary, found, total, id_type)
 
 
-def _arrow(df: DataFrame) -> pa.Schema:
+def _arrow(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(df.schema)
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def _local(spark: SparkSession, ddl: str, *columns: list) -> DataFrame:
+    """A small table of the driver's values; needs no Python worker to be read."""
+    schema = _arrow(ddl)
+    # local times of rows as points in time
+    columns = [[v.astimezone() if isinstance(v, datetime) and getattr(f.type, "tz", None) else v for v in c]
+               for c, f in zip(columns, schema, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema), ddl)
 
 
 def weight(documents: int, df: int) -> int:
@@ -183,13 +221,26 @@ class Block:
         self.place = {t: i for i, t in enumerate(known)}
         self.hashes = np.array([xxhash.xxh64_intdigest(t) for t in known], dtype=np.uint64)
         self.weights = np.array([weight(documents, df[t]) for t in known], dtype=np.int64)
-        self.times = np.zeros((len(known), len(items)))
-        for i, item in enumerate(items):
-            for t in item:
-                if t in self.place:
-                    self.times[self.place[t], i] += 1
+        held = Counter((self.place[t], i) for i, item in enumerate(items) for t in item if t in self.place)
+        pairs = np.array(sorted(held), dtype=np.int64).reshape(-1, 2)
+        self.term, self.item = pairs[:, 0], pairs[:, 1]
+        self.count = np.array([held[p] for p in map(tuple, pairs.tolist())], dtype=np.int64)
+        self.items = len(items)
         # sums stay whole numbers below 2^53, so products of floats are exact
-        self.exact = float((self.times.T @ self.weights.astype(float)).max(initial=0)) * (TOP // 1000) < 2 ** 53
+        most = np.bincount(self.item, self.count * self.weights[self.term].astype(float)).max(initial=0)
+        self.exact = float(most) * (TOP // 1000) < 2 ** 53
+
+    def parts(self) -> Iterator[tuple[int, int]]:
+        """Ranges of terms that a matrix holds at a time."""
+        for a in range(0, len(self.place), MATRIX_TERMS):
+            yield a, min(a + MATRIX_TERMS, len(self.place))
+
+    def times(self, a: int, b: int, dtype: type, weighted: bool = False) -> np.ndarray:
+        """How often each item holds the terms [a, b), terms x items."""
+        r = slice(*np.searchsorted(self.term, [a, b]))
+        out = np.zeros((b - a, self.items), dtype=dtype)
+        out[self.term[r] - a, self.item[r]] = self.count[r] * (self.weights[self.term[r]] if weighted else 1)
+        return out
 
     def lengthened(self, lengths: np.ndarray) -> np.ndarray:
         """m of documents, times 12."""
@@ -200,36 +251,60 @@ class Block:
         """Upper bounds of the scores, documents x items: for every term the
         highest level that a document's signature holds with all levels below,
         scored with the most occurrences that this level allows."""
-        level = np.zeros((len(self.hashes), docs), dtype=np.uint8)
-        alive = np.arange(len(self.hashes))
+        allowed = np.array([0, *[n - 1 for n in LEVELS[1:]], 2 ** 62])[:, None]
+        tf = np.minimum(np.minimum(allowed, most), 10 ** 9)
+        value = (TOP * tf / (1000 * tf + self.lengthened(lengths))).astype(np.float32)
+        bound = np.zeros((docs, self.items), dtype=np.float32)
+        for a, b in self.parts():
+            each = value[self.levels(self.hashes[a:b], slices, width, docs, most.max()), np.arange(docs)].T
+            bound += each @ self.times(a, b, np.float32, weighted=True)
+        return bound * 1.0001 + 1  # above any rounding of 32-bit floats
+
+    @staticmethod
+    def levels(hashes: np.ndarray, slices: np.ndarray, width: int, docs: int, most: int) -> np.ndarray:
+        """Levels that signatures hold with all below, terms x documents."""
+        level = np.zeros((len(hashes), docs), dtype=np.uint8)
+        alive = np.arange(len(hashes))
         here = np.full((len(alive), slices.shape[1]), 255, dtype=np.uint8)
         for i in range(len(LEVELS)):
-            if not len(alive) or LEVELS[i] > most.max():
+            if not len(alive) or LEVELS[i] > most:
                 break
-            for place in places(entries(self.hashes[alive], i), width):
+            for place in places(entries(hashes[alive], i), width):
                 here = here & slices[place]
             level[alive] += np.unpackbits(here, axis=1, count=docs)
             left = here.any(axis=1)
             alive, here = alive[left], here[left]
-        allowed = np.array([0, *[n - 1 for n in LEVELS[1:]], 2 ** 62])[:, None]
-        tf = np.minimum(np.minimum(allowed, most), 10 ** 9)
-        value = (TOP * tf / (1000 * tf + self.lengthened(lengths))).astype(np.float32)
-        each = value[level, np.arange(docs)].T
-        bound = each @ (self.times * self.weights[:, None]).astype(np.float32)
-        return bound * 1.0001 + 1  # above any rounding of 32-bit floats
+        return level
 
-    def scores(self, texts: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    def scores(self, texts: Iterable[bytes], lengths: np.ndarray) -> np.ndarray:
         """Exact scores, documents x items."""
-        tf = np.zeros((len(texts), len(self.place)), dtype=np.int64)
+        doc, term, tf = [], [], []
         for d, text in enumerate(texts):
-            for t, n in Counter(text.translate(_TERMS).split()).items():
-                at = self.place.get(t)
-                if at is not None:
-                    tf[d, at] = n
-        part = (TOP * tf) // (1000 * tf + self.lengthened(lengths)[:, None]) * self.weights
-        if self.exact:
-            return (part.astype(float) @ self.times).astype(np.int64)
-        return part @ self.times.astype(np.int64)
+            counted = Counter(text.translate(_TERMS).split())
+            if len(counted) < len(self.place):
+                found = [(self.place[t], n) for t, n in counted.items() if t in self.place]
+            else:
+                found = [(at, counted[t]) for t, at in self.place.items() if t in counted]
+            doc += [d] * len(found)
+            term += [at for at, _ in found]
+            tf += [n for _, n in found]
+        doc, term, tf = np.array([doc, term, tf], dtype=np.int64)
+        part = (TOP * tf) // (1000 * tf + self.lengthened(lengths)[doc]) * self.weights[term]
+        order = np.argsort(term, kind="stable")
+        doc, term, part = doc[order], term[order], part[order]
+        dtype = float if self.exact else np.int64
+        score = np.zeros((len(lengths), self.items), dtype=dtype)
+        for a, b in self.parts():
+            r = slice(*np.searchsorted(term, [a, b]))
+            if r.start == r.stop:
+                continue
+            times = self.times(a, b, dtype)
+            for first in range(0, len(lengths), MATRIX_DOCS):
+                rows = np.flatnonzero((doc[r] >= first) & (doc[r] < first + MATRIX_DOCS)) + r.start
+                held = np.zeros((min(MATRIX_DOCS, len(lengths) - first), b - a), dtype=dtype)
+                held[doc[rows] - first, term[rows] - a] = part[rows]
+                score[first:first + MATRIX_DOCS] += held @ times
+        return score.astype(np.int64)
 
 
 def _order(ids: list) -> list:
@@ -241,12 +316,12 @@ def _search(block, first_floors, best: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q: Block = block.value
         unpack = zstandard.ZstdDecompressor().decompress
-        items = q.times.shape[1]
+        items = q.items
         floors = np.array(first_floors.value if first_floors is not None else [1] * items, dtype=np.int64)
         top: list[list] = [[] for _ in range(items)]
         for batch in batches:
             for at in range(len(batch)):
-                ids, lengths, most, width, slices, texts = (c[at].as_py() for c in batch.columns)
+                ids, lengths, most, width, slices, texts = (c[at].as_py() for c in batch.columns[:6])
                 docs = len(ids)
                 lengths, most = np.frombuffer(lengths, "<i8"), np.frombuffer(most, "<i8")
                 sliced = np.frombuffer(unpack(slices), np.uint8).reshape(width, -1)
@@ -254,7 +329,7 @@ def _search(block, first_floors, best: int, schema: pa.Schema):
                 # some documents with high bounds first: their scores may exclude others
                 few = np.zeros(docs, dtype=bool)
                 if docs > 2 * best:
-                    open_items = np.flatnonzero([len(t) < best for t in top])
+                    open_items = np.flatnonzero(floors <= 1)
                     few[np.argpartition(-bound[:, open_items], best - 1, axis=0)[:best].ravel()] = True
                 frame = None
                 for first in (True, False):
@@ -265,7 +340,7 @@ def _search(block, first_floors, best: int, schema: pa.Schema):
                     if frame is None:
                         frame = unpack(texts)
                         ends = 8 * docs + np.concatenate([[0], np.cumsum(np.frombuffer(frame, "<i8", docs))])
-                    score = q.scores([frame[ends[d]:ends[d + 1]] for d in chosen], lengths[chosen])
+                    score = q.scores((frame[ends[d]:ends[d + 1]] for d in chosen), lengths[chosen])
                     hit = score >= floors
                     for i in np.flatnonzero(hit.any(axis=0)):
                         rows = np.flatnonzero(hit[:, i])
@@ -314,21 +389,21 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
     item_type = items.schema[id_col].dataType.simpleString()
     narrowed = narrow(items, item_id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     ddl = f"item long, doc_id {index.id_type}, score long"
-    schema = _arrow(spark.createDataFrame([], ddl))
-    out = spark.createDataFrame([], f"item_id {item_type}, rank int, doc_id {index.id_type}, score long")
+    schema = _arrow(ddl)
+    out = _local(spark, f"item_id {item_type}, rank int, doc_id {index.id_type}, score long", [], [], [], [])
     for rows in _blocks(narrowed):
         words = sorted({t for _, found in rows for t in found})
-        wanted = spark.createDataFrame([(bytearray(t),) for t in words], "term binary")
+        wanted = _local(spark, "term binary", words)
         df = {bytes(r["term"]): r["df"] for r in index.vocabulary.join(wanted, "term").collect()}  # terms of a block
         if not df:
             continue
         block = spark.sparkContext.broadcast(Block([found for _, found in rows], df, index.documents, index.terms))
-        seeds = index.shards.limit(SEED_SHARDS).mapInArrow(_search(block, None, best, schema), ddl)
+        seeds = index.shards.filter("seed").mapInArrow(_search(block, None, best, schema), ddl)
         floors = [1] * len(rows)
         for r in _ranked(seeds, best).filter(F.col("rank") == best).collect():  # a row per item of the block
             floors[r["item"]] = r["score"]
         found = index.shards.mapInArrow(_search(block, spark.sparkContext.broadcast(floors), best, schema), ddl)
-        names = spark.createDataFrame([(k, item_id) for k, (item_id, _) in enumerate(rows)], f"item long, item_id {item_type}")
+        names = _local(spark, f"item long, item_id {item_type}", list(range(len(rows))), [item_id for item_id, _ in rows])
         ranked = _ranked(written(found, "lexical-best"), best)
         out = out.unionByName(ranked.join(names, "item").select("item_id", "rank", "doc_id", "score"))
     return out

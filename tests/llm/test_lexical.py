@@ -1,8 +1,12 @@
 import math
 import re
+import tracemalloc
 from collections import Counter
+from datetime import datetime
+from decimal import Decimal
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +123,50 @@ def test_scores_beyond_53_bits_are_exact():
     assert not q.exact
     m = 75 + 25 * 1000 * 10**6 // 10**8
     assert q.scores([text.encode()], np.array([1000]))[0, 0] == 3_000_000 * weight(10**6, 1) * (10**12 // (10**6 + 12 * m))
+
+
+def test_matrices_of_bounds_and_scores_stay_small():
+    rng = np.random.default_rng(11)
+    known = [b"t%d" % k for k in range(4000)]
+    item = [[known[k] for k in rng.integers(0, len(known), 60)] for _ in range(200)]
+    q = Block([known, *item], {t: 1 + k for k, t in enumerate(known)}, 10**5, 10**7)
+    docs = [Counter(known[k] for k in rng.zipf(1.3, 120) % len(known)) for _ in range(1000)]
+    texts = [b" ".join(c.elements()) for c in docs]
+    lengths = np.array([c.total() for c in docs])
+    shard = lexical._shard(list(range(len(docs))), [(np.array([lexical.xxhash.xxh64_intdigest(t) for t in c], dtype=np.uint64),
+                                                     np.array(list(c.values())), c.total()) for c in docs], texts)
+    slices = np.frombuffer(lexical.zstandard.ZstdDecompressor().decompress(shard[4]), np.uint8).reshape(shard[3], -1)
+    tracemalloc.start()
+    try:
+        bound = q.bounds(shard[3], slices, len(docs), lengths, np.frombuffer(shard[2], "<i8"))
+        score = q.scores(texts, lengths)
+        assert tracemalloc.get_traced_memory()[1] < 50e6  # a matrix of all terms and documents takes 32 MB
+    finally:
+        tracemalloc.stop()
+    assert (bound >= score).all()
+    m = 75 + 25 * lengths * 10**5 // 10**7
+    for d in (0, 500, 999):
+        assert score[d].tolist() == [sum(weight(10**5, 1 + int(t[1:])) * (10**9 * docs[d][t] // (1000 * docs[d][t] + 12 * int(m[d])))
+                                         for t in i if t in docs[d]) for i in (known, *item)]
+
+
+def test_index_rows_and_row_groups_are_small(spark):
+    rng = np.random.default_rng(13)
+    vocabulary = np.array([f"{k:x}" for k in rng.integers(0, 2**40, 5000)])
+    docs = [(k, " ".join(rng.choice(vocabulary, 600))) for k in range(8000)]
+    index = build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    assert index.documents == 8000 and index.terms == 8000 * 600
+    sizes = index.shards.selectExpr("octet_length(texts) + octet_length(slices) as size").collect()
+    assert max(r["size"] for r in sizes) < 1 << 20
+    groups = [f.metadata.row_group(g) for f in map(pq.ParquetFile, {p.removeprefix("file://") for p in index.shards.inputFiles()})
+              for g in range(f.metadata.num_row_groups)]
+    assert max(g.total_byte_size for g in groups) < 12 << 20 < sum(g.total_byte_size for g in groups)
+
+
+def test_small_tables_keep_their_values(spark):
+    at = datetime(2024, 7, 1, 12, 30)
+    columns = [[7, None], ["é", None], [b"\x00a", b""], [at, None], [at, None], [Decimal("1.50"), None]]
+    ddl = "a long, b string, c binary, d timestamp, e timestamp_ntz, f decimal(5,2)"
+    rows = [tuple(r) for r in lexical._local(spark, ddl, *columns).collect()]
+    assert rows == [tuple(r) for r in spark.createDataFrame(list(zip(*columns, strict=True)), ddl).collect()]
+    assert lexical._local(spark, ddl, *[[] for _ in columns]).collect() == []
